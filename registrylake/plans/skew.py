@@ -1,0 +1,163 @@
+"""Ways to keep one hot key from becoming one hot task.
+
+Hash partitioning sends all rows of a key to one task. Aggregates survive that because Spark combines
+rows before the shuffle. Two shapes do not, and get help here:
+
+* *ordered neighbours* (previous / next row of a key): hot keys are cut into range chunks, each chunk is
+  solved alone, and the rows at the chunk borders look their neighbour up in a summary per chunk;
+* *a value per key brought back to the rows of that key*: hot keys are broadcast (their number is bounded
+  by rows / threshold) and their rows are spread by a salt.
+
+Results are exact for every distribution; thresholds change the plan, never the rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from registrylake.session import materialise
+
+HOT_ROWS_CONF = "registrylake.hotKeyRows"
+HOT_ROWS = 5_000_000
+MAX_HOT_KEYS = 100_000  # broadcast bound: at most this many keys are treated one by one
+SALTS = 512
+CHUNK = "_chunk"
+
+
+def hot_threshold(df: DataFrame, hot_rows: int | None) -> int:
+    return hot_rows or int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> tuple[DataFrame | None, int]:
+    """Keys with more than ``hot_rows`` rows as a small local table, and how many rows they hold.
+
+    Counts combine before the shuffle and only the key columns are read. At most MAX_HOT_KEYS keys come
+    back, the largest; the ones cut off go the ordinary way, so the result does not depend on the cut.
+    """
+    limit = hot_threshold(df, hot_rows)
+    rows = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > limit)
+        .orderBy(F.desc("_n"))
+        .limit(MAX_HOT_KEYS)
+        .collect()
+    )
+    if not rows:
+        return None, 0
+    schema = df.select(*keys).schema
+    local = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in rows], schema)
+    return local, sum(r["_n"] for r in rows)
+
+
+def _same_keys(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & a[k].eqNullSafe(b[k])
+    return cond
+
+
+def range_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: int) -> DataFrame:
+    """Rows cut into ``chunks`` ranges of (keys, order), the range number stored as a column.
+
+    The order columns must be a total order per key, so that even a key whose order value is all ties can
+    be cut. The result is written once: the number comes from sampled bounds and must not be drawn twice.
+    """
+    ranged = df.repartitionByRange(max(1, chunks), *keys, *order)
+    return materialise(ranged.withColumn(CHUNK, F.spark_partition_id()), "ranges")
+
+
+def divide_by_heat(
+    df: DataFrame, keys: Sequence[str], hot_rows: int | None = None
+) -> tuple[DataFrame, DataFrame | None, int]:
+    """Rows of ordinary keys, rows of hot keys (None when there are none), and how many those are."""
+    hot, n_rows = hot_keys(df, keys, hot_rows)
+    if hot is None:
+        return df, None, 0
+    small = F.broadcast(hot)
+    same = _same_keys(df, hot, keys)
+    return df.join(small, same, "left_anti"), df.join(small, same, "left_semi"), n_rows
+
+
+def by_key_in_order(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    solve: Callable[[DataFrame, Sequence[str]], DataFrame],
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """Run ``solve(rows, split)`` on all rows; ``split`` is [] or the chunk column for hot keys."""
+    cold, hot, n_rows = divide_by_heat(df, keys, hot_rows)
+    if hot is None:
+        return solve(df, [])
+    chunks = -(-n_rows // hot_threshold(df, hot_rows))
+    split = solve(range_chunks(hot, keys, order, chunks), [CHUNK])
+    return solve(cold, []).unionByName(split.drop(CHUNK))
+
+
+def neighbour(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    columns: Sequence[str],
+    out: str,
+    split: Sequence[str] = (),
+    forward: bool = False,
+) -> DataFrame:
+    """Add ``out``: a struct of ``columns`` of the previous (next, if forward) row of the key, or null.
+
+    With ``split`` the window stays inside a chunk; a row at a chunk border takes the nearest row of the
+    key in another chunk, found among one summary row per (key, chunk).
+    """
+    here = F.struct(*columns)
+    shift = F.lead if forward else F.lag
+    inner = Window.partitionBy(*keys, *split).orderBy(*order)
+    local = df.withColumn(out, shift(here).over(inner))
+    if not split:
+        return local
+    edge = F.min_by if forward else F.max_by
+    edges = df.groupBy(*keys, *split).agg(edge(here, F.struct(*order)).alias("_edge"))
+    across = Window.partitionBy(*keys).orderBy(*split)
+    edges = edges.select(*keys, *split, shift("_edge").over(across).alias("_far"))
+    names = [*keys, *split]
+    other = edges.select(*[F.col(n).alias(f"_r_{n}") for n in names], "_far")
+    cond = F.lit(True)
+    for n in names:
+        cond = cond & local[n].eqNullSafe(other[f"_r_{n}"])
+    joined = local.join(other, cond, "left")
+    return joined.withColumn(out, F.coalesce(F.col(out), F.col("_far"))).select(*df.columns, out)
+
+
+def bring_to_rows(
+    rows: DataFrame,
+    per_key: DataFrame,
+    keys: Sequence[str],
+    values: Sequence[str],
+    weight: str,
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """Left-join ``per_key`` (one row per key) to ``rows``; ``weight`` is the key's count of rows.
+
+    ``per_key`` is computed once and written. Keys above the threshold are broadcast; there are at most
+    rows / threshold of them. Their rows enter the second join under a salt, where nothing matches but
+    the load spreads.
+    """
+    limit = hot_threshold(rows, hot_rows)
+    per_key = materialise(per_key.select(*dict.fromkeys([*keys, *values, weight])), "per-key")
+    if per_key.where(F.col(weight) > limit).isEmpty():
+        return rows.join(per_key.select(*keys, *values), list(keys), "left").select(*rows.columns, *values)
+    value = F.struct(*values)
+    hot = per_key.where(F.col(weight) > limit).select(*keys, value.alias("_hot"))
+    cold = per_key.where(F.col(weight) <= limit).select(
+        *keys, F.lit(0).cast("bigint").alias("_salt"), value.alias("_cold")
+    )
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)) + 1
+    marked = rows.join(F.broadcast(hot), list(keys), "left").withColumn(
+        "_salt", F.when(F.col("_hot").isNotNull(), salt).otherwise(F.lit(0)).cast("bigint")
+    )
+    joined = marked.join(cold, [*keys, "_salt"], "left")
+    found = F.coalesce(F.col("_hot"), F.col("_cold"))
+    return joined.select(*rows.columns, *[found[v].alias(v) for v in values])
