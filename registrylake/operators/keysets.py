@@ -22,8 +22,8 @@ def key_set_difference(left: DataFrame, right: DataFrame, left_key: str, right_k
         .agg(F.max("l").alias("l"), F.max("r").alias("r"))
     )
     return both.agg(
-        F.count_if("l = 1 and r = 0").alias("only_left"),
-        F.count_if("l = 0 and r = 1").alias("only_right"),
+        F.count_if((F.col("l") == 1) & (F.col("r") == 0)).alias("only_left"),
+        F.count_if((F.col("l") == 0) & (F.col("r") == 1)).alias("only_right"),
     ).withColumn("sets_equal", F.expr("only_left = 0 and only_right = 0"))
 
 

@@ -274,10 +274,11 @@ def _fk_groups(df: DataFrame, fk: str, parent: DataFrame, pk: str, extra: Sequen
     return counts.join(parents.withColumn("_hit", F.lit(True)), "_fk", "left")
 
 
-_MATCHED = {
-    "total": F.coalesce(F.sum("_n"), F.lit(0)),
-    "matched": F.coalesce(F.sum(F.when(F.col("_hit"), F.col("_n"))), F.lit(0)),
-}
+def _matched() -> dict[str, Column]:
+    return {
+        "total": F.coalesce(F.sum("_n"), F.lit(0)),
+        "matched": F.coalesce(F.sum(F.when(F.col("_hit"), F.col("_n"))), F.lit(0)),
+    }
 
 
 def fk_match_rate(
@@ -294,7 +295,7 @@ def fk_match_rate(
         value = F.concat(_percent(rate), F.lit(" ("), _thousands(m("total") - m("matched")), F.lit(" orphans)"))
         return status, value, F.lit(f"{fk} -> {pk}")
 
-    return Check("fk_match_rate", 2, shown, _fk_groups(df, fk, parent, pk), _MATCHED, render)
+    return Check("fk_match_rate", 2, shown, _fk_groups(df, fk, parent, pk), _matched(), render)
 
 
 def orphan_count(
@@ -309,7 +310,7 @@ def orphan_count(
         return status, F.concat(_thousands(orphans), F.lit(" orphans ("), _percent(rate), F.lit(")")), F.lit(f"{fk} -> {pk}")
 
     shown = f"warn > {warn_above:.0%}, fail > {fail_above:.0%}"
-    return Check("orphan_count", 2, shown, _fk_groups(df, fk, parent, pk), _MATCHED, render)
+    return Check("orphan_count", 2, shown, _fk_groups(df, fk, parent, pk), _matched(), render)
 
 
 def orphans_by_category(df: DataFrame, fk: str, parent: DataFrame, pk: str, category: str) -> DataFrame:
