@@ -13,6 +13,7 @@ from registrylake.functions.layout import Field
 from registrylake.functions.text import LATIN_SPACE, null_if_empty, strip
 from registrylake.operators.keysets import union_by_name
 from registrylake.sources.fixed_records import RecordFile, list_files, read_record_files
+from registrylake.sources.paths import locate
 
 # Fixed values of the file format.
 PREFIX = "<B3xIHH20x"
@@ -48,9 +49,7 @@ def parse_header(head: bytes) -> DbaseHeader:
 
 
 def _read_header(path: str) -> DbaseHeader:
-    from pyarrow import fs
-
-    filesystem, inner = fs.FileSystem.from_uri(path)
+    filesystem, inner = locate(path)
     with filesystem.open_input_file(inner) as f:
         head = f.read(32)
         if len(head) < 32:

@@ -8,13 +8,16 @@ expressions in the JVM.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 from typing import NamedTuple
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from registrylake.sources import paths
+from registrylake.sources.paths import locate, ship_with_tasks
+
 SPLIT_BYTES = 64 << 20
 BATCH_BYTES = 4 << 20
 
@@ -64,13 +67,12 @@ class FixedRecordReader(DataSourceReader):
     def read(self, partition: RecordRange) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        from pyarrow import fs
 
         if partition.count == 0:
             return
         length = partition.record_length
         step = max(1, BATCH_BYTES // length)
-        filesystem, inner = fs.FileSystem.from_uri(partition.path)
+        filesystem, inner = locate(partition.path)
         name = inner.rsplit("/", 1)[-1]
         with filesystem.open_input_file(inner) as f:
             f.seek(partition.offset)
@@ -97,7 +99,7 @@ def list_files(folder_or_file: str, pattern: str = "*") -> list[tuple[str, int]]
 
     from pyarrow import fs
 
-    filesystem, inner = fs.FileSystem.from_uri(folder_or_file)
+    filesystem, inner = locate(folder_or_file)
     prefix = folder_or_file[: len(folder_or_file) - len(inner)] if folder_or_file.endswith(inner) else ""
     info = filesystem.get_file_info(inner)
     if info.type == fs.FileType.File:
@@ -109,10 +111,8 @@ def list_files(folder_or_file: str, pattern: str = "*") -> list[tuple[str, int]]
 
 
 def read_record_files(spark: SparkSession, files: list[RecordFile], split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    import registrylake.sources.fixed_records as module
-
-    # Workers get the reader with the plan, so the package need not be installed on them.
-    cloudpickle.register_pickle_by_value(module)
+    ship_with_tasks(paths)
+    ship_with_tasks(sys.modules[__name__])
     spark.dataSource.register(FixedRecordSource)
     return (
         spark.read.format("fixed_records")

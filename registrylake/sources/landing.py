@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from registrylake.sources import paths
+from registrylake.sources.paths import locate, ship_with_tasks
+
 SIDECAR = "source_meta.json"
 
 # File patterns per source, in order of priority.
@@ -48,12 +52,11 @@ def _digest(batches: Iterator) -> Iterator:
     import hashlib
 
     import pyarrow as pa
-    from pyarrow import fs
 
     for batch in batches:
         digests = []
         for path in batch.column("path").to_pylist():
-            filesystem, inner = fs.FileSystem.from_uri(path)
+            filesystem, inner = locate(path)
             h = hashlib.sha256()
             with filesystem.open_input_stream(inner) as f:
                 while block := f.read(8 << 20):
@@ -68,6 +71,8 @@ def verify_sources(spark: SparkSession, folder: str) -> DataFrame:
     Files are hashed as streams, one task per few files, so size does not matter. No sidecar and no
     expected digest pass; only a mismatch is not ok.
     """
+    ship_with_tasks(paths)
+    ship_with_tasks(sys.modules[__name__])
     files = list_landed(spark, folder).where(F.col("file_name") != SIDECAR).select("path")
     spread = files.repartition("path")
     actual = spread.mapInArrow(_digest, "path string, actual string")

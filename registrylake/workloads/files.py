@@ -1 +1,541 @@
+"""Whole files: the given tables are rendered as regulatory files, read back and turned into tables.
 
+The rendering is test scaffolding; it is Spark work over the whole tables too, one file per task.
+"""
+
+from __future__ import annotations
+
+import struct
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from registrylake.functions.ebcdic import encode_text
+from registrylake.functions.packed import long_to_packed
+from registrylake.quality import checks as Q
+from registrylake.quality.runner import check_log
+from registrylake.session import scratch_path
+from registrylake.sinks.publish import publish
+from registrylake.sources.dbase import read_dbase
+from registrylake.sources.delimited import overlong_rows, read_delimited
+from registrylake.sources.landing import newest_snapshot, verify_sources
+from registrylake.sources.paths import locate
+from registrylake.sources.text_lines import read_lines, read_numbered_lines
+from registrylake.streaming.landing_stream import run_available, stream_lines
+from registrylake.tables import hearings as hearings_table
+from registrylake.tables import injection, inspections, operator_registry, permits, production, wells
+from registrylake.workloads.registry import RUN_TS, query, table
+
+# -- rendering -----------------------------------------------------------------------------------
+
+
+def write_text_files(lines: DataFrame, label: str, gz: bool = False) -> str:
+    folder = scratch_path(lines.sparkSession, label)
+    lines.write.text(folder, compression="gzip" if gz else "none")
+    return folder
+
+
+def write_binary_files(records: DataFrame, label: str, suffix: str, header: bytes = b"") -> str:
+    """One file per task, ``header`` first, then the task's records in order."""
+    folder = scratch_path(records.sparkSession, label)
+
+    def write(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        filesystem, inner = open_at(folder)
+        filesystem.create_dir(inner, recursive=True)
+        n = 0
+        with filesystem.open_output_stream(f"{inner}/api{TaskContext.get().partitionId():05d}{suffix}") as out:
+            out.write(header)
+            for batch in batches:
+                out.write(b"".join(batch.column(0).to_pylist()))
+                n += batch.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    open_at = _by_value(locate)
+    records.mapInArrow(write, "n bigint").agg(F.sum("n")).collect()
+    return folder
+
+
+def _by_value(fn):
+    from registrylake.sources import paths
+    from registrylake.sources.paths import ship_with_tasks
+
+    ship_with_tasks(paths)
+    return fn
+
+
+def _left(c, width: int) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return F.rpad(c.cast("string"), width, " ")
+
+
+def _zero(c, width: int) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return F.right(F.lpad(c.cast("string"), width + 12, "0"), F.lit(width))
+
+
+def _gap(n: int) -> Column:
+    return F.lit(" " * n)
+
+
+# -- operator registry ----------------------------------------------------------------------------
+
+
+def _registry_lines(spark, sf_dir) -> DataFrame:
+    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    bal, seg = F.col("c_acctbal"), F.col("c_mktsegment")
+    blank = lambda cond, x: F.when(cond, "").otherwise(x)
+    return c.select(
+        F.concat(
+            F.when(seg == "FURNITURE", "F ").when(seg == "MACHINERY", "1T").otherwise("A "),
+            _zero("c_custkey", 6),
+            _left("c_name", 32),
+            F.when(bal < 0, "N").otherwise("Y"),
+            F.when(bal < 1000, "D").when(bal < 3000, "A").when(bal < 5000, "I").when(bal < 7000, "S").otherwise("Z"),
+            F.lit("HP"),
+            F.when(bal < 4000, "A").when(bal < 8000, "C").otherwise(" "),
+            _gap(25),
+            _left(blank(bal < 500, F.col("c_name")), 31),
+            _gap(31),
+            _left(blank(bal < 500, F.col("n_name")), 13),
+            _left(blank(bal < 2500, F.substring("n_name", 1, 2)), 2),
+            _left(blank(bal < 500, _zero("c_nationkey", 5)), 5),
+            _gap(4 + 86),
+            F.when(bal < 0, "00000000").when(bal < 2000, "        ").otherwise("19980704"),
+            F.when(seg == "BUILDING", "").otherwise(F.concat(_gap(8), F.lit("5125550100"))),
+        ).alias("value")
+    )
+
+
+@query(
+    """WITH p AS (SELECT *, CASE WHEN c_acctbal < 500 THEN '' ELSE c_name END AS l1, CASE WHEN c_acctbal < 500 THEN '' ELSE substr(n_name, 1, 13) END AS city,
+        CASE WHEN c_acctbal < 2500 THEN '' ELSE substr(n_name, 1, 2) END AS st, CASE WHEN c_acctbal < 500 THEN '' ELSE lpad(CAST(c_nationkey AS VARCHAR), 5, '0') END AS zip
+      FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment NOT IN ('FURNITURE', 'MACHINERY'))
+    SELECT right(lpad(CAST(c_custkey AS VARCHAR), 18, '0'), 6) AS operator_number, c_name AS operator_name,
+      CASE WHEN c_acctbal < 1000 THEN 'delinquent' WHEN c_acctbal < 3000 THEN 'active' WHEN c_acctbal < 5000 THEN 'inactive'
+           WHEN c_acctbal < 7000 THEN 'see_remarks' ELSE 'Z' END AS p5_status,
+      CASE WHEN c_acctbal < 4000 THEN 'corporation' WHEN c_acctbal < 8000 THEN 'sole_proprietorship' ELSE '' END AS organization_type,
+      CASE WHEN c_acctbal < 0 THEN 'N' ELSE 'Y' END AS refiling_required,
+      NULLIF(concat_ws(', ', NULLIF(l1, ''), NULLIF(city, ''), NULLIF(trim(st || ' ' || zip), '')), '') AS mailing_address,
+      CAST(NULL AS VARCHAR) AS physical_address,
+      CASE WHEN c_acctbal >= 2000 THEN '1998-07-04' END AS date_built,
+      CASE WHEN c_mktsegment <> 'BUILDING' THEN '5125550100' END AS phone_number, CAST(NULL AS VARCHAR) AS emer_phone_number
+    FROM p"""
+)
+def operator_registry_file(spark, sf_dir):
+    folder = write_text_files(_registry_lines(spark, sf_dir), "registry")
+    rows = operator_registry.operator_registry(read_lines(spark, folder), RUN_TS)
+    return rows.select(
+        "operator_number", "operator_name", "p5_status", "organization_type", "refiling_required", "mailing_address",
+        "physical_address", "date_built", "phone_number", "emer_phone_number",
+    )
+
+
+@query(
+    """SELECT CASE c_mktsegment WHEN 'FURNITURE' THEN 'F' WHEN 'MACHINERY' THEN '1T' ELSE 'A' END AS record_type, COUNT(*) AS n_records
+    FROM customer GROUP BY 1"""
+)
+def operator_registry_types(spark, sf_dir):
+    folder = write_text_files(_registry_lines(spark, sf_dir), "registry")
+    typed = operator_registry.record_type(read_lines(spark, folder))
+    return typed.groupBy("record_type").agg(F.count(F.lit(1)).alias("n_records"))
+
+
+# -- permits ------------------------------------------------------------------------------------
+
+
+def _permit_lines(spark, sf_dir) -> DataFrame:
+    seg = F.col("c_mktsegment")
+    line = F.concat(
+        _zero("c_nationkey", 2),
+        _zero("c_custkey", 6),
+        _left("c_name", 32),
+        _left(F.substring(seg, 1, 4), 4),
+        _gap(4),
+        _zero(F.floor(F.abs("c_acctbal")), 5),
+        _zero("c_nationkey", 3),
+        _zero("c_custkey", 5),
+        F.lit(" 1H"),
+        F.rpad(F.concat(F.lit("É"), seg), 29, " "),
+        _zero("c_custkey", 6),
+        F.when(seg == "BUILDING", "   ").otherwise(_zero("c_nationkey", 3)),
+        F.when(seg == "BUILDING", "     ").otherwise(_zero("c_custkey", 5)),
+        F.rpad(F.lit("end"), 480, "."),
+    )
+    return table(spark, sf_dir, "customer").select(F.when(F.col("c_acctbal") < 0, "SHORT LINE").otherwise(line).alias("value"))
+
+
+_Z = "right(lpad(CAST({0} AS VARCHAR), 24, '0'), {1})"
+_PERMITS_SQL = f"""SELECT {_Z.format('c_nationkey', 2)} AS district, {_Z.format('c_custkey', 6)} AS permit_number, c_name AS lease_name,
+      substr(c_mktsegment, 1, 4) AS district_suffix, {_Z.format('CAST(floor(abs(c_acctbal)) AS BIGINT)', 5)} AS total_depth, '1H' AS well_number,
+      chr(65533) || chr(65533) || c_mktsegment AS remarks, {_Z.format('c_custkey', 6)} AS operator_number,
+      CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE {_Z.format('c_nationkey', 3)} END AS api_county,
+      CASE WHEN c_mktsegment = 'BUILDING' THEN '4200000000' ELSE '42' || {_Z.format('c_nationkey', 3)} || {_Z.format('c_custkey', 5)} END AS api10,
+      c_mktsegment <> 'BUILDING' AND c_nationkey <> 0 AND {_Z.format('c_custkey', 5)} <> '00000' AS api10_valid,
+      510::BIGINT AS raw_length FROM customer WHERE c_acctbal >= 0"""
+
+
+def _permit_columns(rows):
+    return rows.select(
+        "district", "permit_number", "lease_name", "district_suffix", "total_depth", "well_number", "remarks",
+        "operator_number", "api_county", "api10", "api10_valid", F.length("raw_line").cast("bigint").alias("raw_length"),
+    )
+
+
+@query(_PERMITS_SQL)
+def permits_file(spark, sf_dir):
+    folder = write_text_files(_permit_lines(spark, sf_dir), "permits", gz=True)
+    return _permit_columns(permits.drilling_permits(read_lines(spark, folder), RUN_TS))
+
+
+@query(_PERMITS_SQL)
+def permits_stream(spark, sf_dir):
+    """The same files as a stream that reads what has landed and stops."""
+    folder = write_text_files(_permit_lines(spark, sf_dir), "permits")
+    target, checkpoint = scratch_path(spark, "permits-table"), scratch_path(spark, "permits-progress")
+    lines = stream_lines(spark, folder, "part-*")
+    run_available(lines, lambda x: permits.drilling_permits(x, RUN_TS), target, checkpoint).awaitTermination()
+    return _permit_columns(spark.read.parquet(target))
+
+
+# -- injection ------------------------------------------------------------------------------------
+
+
+def _injection_lines(spark, sf_dir, header: str) -> DataFrame:
+    seg, bal = F.col("c_mktsegment"), F.col("c_acctbal")
+    line = F.concat(
+        F.when(bal > 3000, header).otherwise("02"), _zero("c_nationkey", 2), _zero("c_custkey", 6), F.lit("I"),
+        _zero("c_nationkey", 3), _zero("c_custkey", 8), _zero("c_custkey", 6),
+        F.when(seg == "BUILDING", "000").otherwise(_zero("c_nationkey", 3)),
+        F.when(seg == "MACHINERY", "     ").otherwise(_zero("c_custkey", 5)),
+    )
+    return table(spark, sf_dir, "customer").select(F.when(bal < 0, "TOO SHORT").otherwise(line).alias("value"))
+
+
+def _injection_sql(keep):
+    c, u = _Z.format("c_nationkey", 3), _Z.format("c_custkey", 5)
+    return f"""SELECT {_Z.format('c_custkey', 6)} AS lease_number, {_Z.format('c_custkey', 8)} AS field_number, 'I' AS well_type_code,
+      CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') OR {c} = '000' OR {u} = '00000' THEN NULL ELSE '42' || {c} || {u} END AS api10
+      FROM customer WHERE c_acctbal >= 0 AND {keep}"""
+
+
+def _injection(spark, sf_dir, header):
+    folder = write_text_files(_injection_lines(spark, sf_dir, header), "injection")
+    raw = injection.injection_raw(read_lines(spark, folder), RUN_TS)
+    return injection.injection_wells(raw).select("lease_number", "field_number", "well_type_code", "api10")
+
+
+@query(_injection_sql("c_acctbal > 3000"))
+def injection_file(spark, sf_dir):
+    return _injection(spark, sf_dir, "01")
+
+
+@query(_injection_sql("TRUE"))
+def injection_file_without_headers(spark, sf_dir):
+    """No type 01 anywhere: every row is kept."""
+    return _injection(spark, sf_dir, "03")
+
+
+# -- hearings -------------------------------------------------------------------------------------
+
+
+def _hearing_lines(spark, sf_dir) -> DataFrame:
+    status, key = F.col("o_orderstatus"), _zero("o_orderkey", 5)
+    line = (
+        F.when(
+            status == "F",
+            F.concat(F.lit("01"), _gap(5), key, F.lit("OG A"), _gap(64), F.date_format("o_orderdate", "yyyyMMdd")),
+        )
+        .when(status == "O", F.concat(F.lit("02"), _left("o_orderpriority", 40), _zero("o_custkey", 6)))
+        .when(F.col("o_totalprice") < 50000, F.lit(" "))
+        .otherwise(F.concat(F.lit("15"), _zero("o_orderkey", 4), _left("o_orderpriority", 250), F.lit("tail")))
+    )
+    return table(spark, sf_dir, "orders").repartition(4, "o_orderkey").select(line.alias("value"))
+
+
+@query(
+    f"""SELECT record_type, docket_number, CASE WHEN record_type = '01' THEN 'OG' END AS case_type, CASE WHEN record_type = '01' THEN 'A' END AS status_code,
+      filing_date, party_name, operator_number, line_number, subject_text, raw_length FROM (
+      SELECT CASE o_orderstatus WHEN 'F' THEN '01' WHEN 'O' THEN '02' ELSE '15' END AS record_type,
+        CASE WHEN o_orderstatus = 'F' THEN {_Z.format('o_orderkey', 5)} END AS docket_number,
+        CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y%m%d') END AS filing_date,
+        CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS party_name, CASE WHEN o_orderstatus = 'O' THEN {_Z.format('o_custkey', 6)} END AS operator_number,
+        CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN {_Z.format('o_orderkey', 4)} END AS line_number,
+        CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN o_orderpriority END AS subject_text,
+        CASE o_orderstatus WHEN 'F' THEN 88 WHEN 'O' THEN 48 ELSE 200 END::BIGINT AS raw_length
+      FROM orders WHERE o_orderstatus IN ('F', 'O') OR o_totalprice >= 50000)"""
+)
+def hearings_file(spark, sf_dir):
+    folder = write_text_files(_hearing_lines(spark, sf_dir), "hearings", gz=True)
+    rows = hearings_table.hearings(read_numbered_lines(spark, folder), RUN_TS)
+    kept = [c for c in rows.columns if c not in ("raw_line", "line_number_in_file", "scraped_at")]
+    return rows.select(*kept, F.length("raw_line").cast("bigint").alias("raw_length"))
+
+
+@query("SELECT COUNT(*) AS n_lines, COUNT(*) AS n_places, TRUE AS is_dense FROM orders")
+def line_numbering(spark, sf_dir):
+    """Each file's lines are numbered 0, 1, 2, ... without gaps or repeats, short lines included."""
+    folder = write_text_files(_hearing_lines(spark, sf_dir), "hearings")
+    lines = read_numbered_lines(spark, folder)
+    per_file = lines.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("line_number_in_file").alias("d"), F.max("line_number_in_file").alias("m")
+    )
+    return per_file.agg(
+        F.sum("n").alias("n_lines"), F.sum("d").alias("n_places"), F.bool_and(F.col("m") + 1 == F.col("n")).alias("is_dense")
+    )
+
+
+# -- inspections ----------------------------------------------------------------------------------
+
+_HEADER = "Operator Name}District}API No}Compliance}Remarks"
+
+
+def _inspection_folder(spark, sf_dir) -> str:
+    c = table(spark, sf_dir, "customer")
+    seg, bal = F.col("c_mktsegment"), F.col("c_acctbal")
+    api = F.when(bal > 9000, "  ").when(bal > 8000, "1234567890").otherwise(_left("c_custkey", 8))
+    remarks = F.when(seg == "BUILDING", '"say ""no"" } later"').when(seg == "MACHINERY", "N/A").otherwise(seg)
+    row = F.concat_ws("}", "c_name", _zero("c_nationkey", 2), api, F.when(bal < 5000, "Y").otherwise(""), remarks)
+    row = F.when(bal < 0, F.concat(row, F.lit("}one too many"))).when(bal < 500, F.substring_index(row, "}", 2)).otherwise(row)
+    rows = c.select(row.alias("value")).coalesce(4)
+    header = F.lit(_HEADER)
+    # one header line at the top of every file: it sorts first in its partition
+    parts = rows.withColumn("_p", F.spark_partition_id()).withColumn("_h", F.lit(1))
+    heads = parts.select("_p").distinct().select(header.alias("value"), "_p", F.lit(0).alias("_h"))
+    ordered = parts.unionByName(heads).repartition("_p").sortWithinPartitions("_p", "_h")
+    folder = scratch_path(spark, "inspections")
+    ordered.select("value", "_p").write.partitionBy("_p").text(folder)
+    return folder
+
+
+@query(
+    f"""SELECT c_name AS operator_name, {_Z.format('c_nationkey', 2)} AS district,
+      CASE WHEN c_acctbal < 500 THEN NULL WHEN c_acctbal > 9000 THEN '  ' WHEN c_acctbal > 8000 THEN '1234567890' ELSE rpad(CAST(c_custkey AS VARCHAR), 8, ' ') END AS api_no,
+      CASE WHEN c_acctbal >= 500 AND c_acctbal < 5000 THEN 'Y' END AS compliance,
+      CASE WHEN c_acctbal < 500 THEN NULL WHEN c_mktsegment = 'BUILDING' THEN 'say "no" }} later' WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE c_mktsegment END AS remarks,
+      CASE WHEN c_acctbal < 500 OR c_acctbal > 9000 THEN NULL WHEN c_acctbal > 8000 THEN '421234567890' ELSE '42' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') END AS api10
+    FROM customer WHERE c_acctbal >= 0"""
+)
+def inspections_file(spark, sf_dir):
+    rows = read_delimited(spark, _inspection_folder(spark, sf_dir))
+    return inspections.inspections(rows, RUN_TS).select(
+        "operator_name", "district", "api_no", "compliance", "remarks", "api10"
+    )
+
+
+@query("SELECT COUNT(*) AS n_dropped FROM customer WHERE c_acctbal < 0")
+def inspections_dropped(spark, sf_dir):
+    return overlong_rows(spark, _inspection_folder(spark, sf_dir))
+
+
+# -- county dBase files -----------------------------------------------------------------------------
+
+_DBASE = (
+    ("APINUM", 8), ("LEASE_NAME", 16), ("GAS_RRCID", 10), ("OPERATOR", 16), ("COMPLETION", 8), ("SURVEY", 12),
+    ("TOTAL_DEPT", 8),
+)
+
+
+def dbase_header(layout, n_records: int = 0xFFFFFFFF) -> bytes:
+    size = 1 + sum(length for _, length in layout)
+    fields = b"".join(
+        struct.pack("<11sc4xBB14x", name.encode("ascii"), b"C", length, 0) for name, length in layout
+    )
+    head_size = 32 + len(fields) + 1
+    return struct.pack("<B3BIHH20x", 3, 126, 5, 13, n_records, head_size, size) + fields + b"\x0d"
+
+
+def _county_files(spark, sf_dir) -> str:
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    priority = F.col("o_orderpriority")
+    cells = [
+        _zero("o_custkey", 8), _left(F.concat(F.lit("LEASE "), F.col("o_orderstatus")), 16), _left("o_orderkey", 10),
+        F.when(priority == "5-LOW", _gap(16)).otherwise(_left(priority, 16)),
+        F.when(F.col("o_totalprice") < 20000, "00000000").otherwise(F.date_format("o_orderdate", "yyyyMMdd")),
+        _left(F.concat(F.lit("É "), F.col("c_mktsegment")), 12), _left(F.floor("o_totalprice"), 8),
+    ]
+    flag = F.when(F.col("o_totalprice") > 490000, "*").otherwise(" ")
+    ordered = o.repartitionByRange(5, "o_custkey", "o_orderkey").sortWithinPartitions("o_custkey", "o_orderkey")
+    records = ordered.select(F.encode(F.concat(flag, *cells), "ISO-8859-1").alias("rec"))
+    return write_binary_files(records, "county", ".dbf", dbase_header(_DBASE))
+
+
+def _raw_wells(spark, sf_dir) -> DataFrame:
+    return wells.well_records_raw(read_dbase(spark, _county_files(spark, sf_dir)), RUN_TS)
+
+
+_COUNTY_SQL = f"""SELECT '42' || {_Z.format('o_custkey', 8)} AS api10, {_Z.format('o_custkey', 8)} AS apinum, 'LEASE ' || o_orderstatus AS lease_name,
+    CAST(o_orderkey AS VARCHAR) AS gas_rrcid, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS operator,
+    CASE WHEN o_totalprice < 20000 THEN '00000000' ELSE strftime(o_orderdate, '%Y%m%d') END AS completion,
+    chr(201) || ' ' || c_mktsegment AS survey, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS total_dept, o_orderkey
+    FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice <= 490000"""
+
+
+@query(f"SELECT * EXCLUDE (o_orderkey) FROM ({_COUNTY_SQL})")
+def county_records(spark, sf_dir):
+    return _raw_wells(spark, sf_dir).drop("source_file", "ordinal", "scraped_at")
+
+
+@query(
+    f"""SELECT api10, apinum, survey, total_dept FROM ({_COUNTY_SQL}) QUALIFY ROW_NUMBER() OVER (PARTITION BY api10 ORDER BY o_orderkey) = 1"""
+)
+def county_well_master(spark, sf_dir):
+    return wells.well_master(_raw_wells(spark, sf_dir)).drop("source_file", "scraped_at")
+
+
+@query(f"SELECT api10, gas_rrcid, operator, lease_name, completion FROM ({_COUNTY_SQL})")
+def county_completions(spark, sf_dir):
+    return wells.well_completions(_raw_wells(spark, sf_dir)).drop("source_file", "scraped_at", "ordinal")
+
+
+@query(
+    f"""WITH o AS (SELECT *, TRY_CAST(completion AS DOUBLE) AS ord FROM ({_COUNTY_SQL}) WHERE operator IS NOT NULL),
+    l AS (SELECT *, LAG(operator) OVER (PARTITION BY api10 ORDER BY ord, o_orderkey) AS prev FROM o),
+    s AS (SELECT * FROM l WHERE prev IS NULL OR prev <> operator)
+    SELECT api10, operator AS operator_name, completion AS effective_date, LEAD(completion) OVER w AS termination_date,
+      LEAD(1) OVER w IS NULL AS is_current, lease_name AS lease_number FROM s WINDOW w AS (PARTITION BY api10 ORDER BY ord, o_orderkey)"""
+)
+def county_operator_history(spark, sf_dir):
+    completions = wells.well_completions(_raw_wells(spark, sf_dir))
+    return wells.operator_history(completions, RUN_TS).drop("operator_number", "district", "scraped_at")
+
+
+@query(
+    f"""WITH r AS (SELECT *, CAST(completion AS BIGINT) AS num FROM ({_COUNTY_SQL})),
+    p AS (SELECT api10, lease_name, MIN(num) AS f, MAX(num) AS l, COUNT(gas_rrcid) AS n_completions FROM r GROUP BY 1, 2),
+    cur AS (SELECT api10, lease_name AS c FROM r QUALIFY ROW_NUMBER() OVER (PARTITION BY api10 ORDER BY num DESC, o_orderkey DESC) = 1),
+    t AS (SELECT *, CASE WHEN f > 0 THEN CAST(f AS VARCHAR) END AS fs, CASE WHEN l > 0 THEN CAST(l AS VARCHAR) END AS ls FROM p JOIN cur USING (api10))
+    SELECT api10, lease_name, substr(fs, 1, 4) || '-' || substr(fs, 5, 2) || '-' || substr(fs, 7, 2) AS effective_date,
+      CASE WHEN lease_name <> c THEN substr(ls, 1, 4) || '-' || substr(ls, 5, 2) || '-' || substr(ls, 7, 2) END AS termination_date,
+      lease_name = c AS is_current, n_completions FROM t"""
+)
+def county_lease_crosswalk(spark, sf_dir):
+    completions = wells.well_completions(_raw_wells(spark, sf_dir))
+    return wells.well_lease_crosswalk(completions, RUN_TS).drop("district", "scraped_at")
+
+
+# -- oil tape -----------------------------------------------------------------------------------------
+
+
+def _tape_records(spark, sf_dir) -> DataFrame:
+    """Orders as leases, their shipping months as cycles, their lines as production and disposition."""
+    pad = lambda n: F.lit(bytearray(b"\x40" * n))
+    txt = encode_text
+    long = lambda c: long_to_packed(c.cast("bigint"))
+    lines = table(spark, sf_dir, "lineitem").withColumn("yymm", F.date_format("l_shipdate", "yyMM"))
+    key = _zero("l_orderkey", 8)
+    none = F.lit(0).cast("bigint")
+    root = lines.select("l_orderkey").distinct().select(
+        "l_orderkey", F.lit("").alias("a"), F.lit(0).alias("b"), none.alias("c"), none.alias("d"),
+        F.concat(txt(F.concat(F.lit("01O"), key)), *[long(F.col("l_orderkey") * k) for k in (1, -1, 2, 0)], pad(71)).alias("rec"),
+    )
+    cycle = lines.select("l_orderkey", "yymm").distinct().select(
+        "l_orderkey", F.col("yymm").alias("a"), F.lit(1).alias("b"), none.alias("c"), none.alias("d"),
+        F.concat(
+            txt(F.concat(F.lit("02"), "yymm")), *[long(none)] * 4, long(F.col("l_orderkey") * 3), long(none),
+            txt(F.lit("1998010119980102")), long(-F.col("l_orderkey")), *[long(none)] * 4, pad(25),
+        ).alias("rec"),
+    )
+    made = lines.select(
+        "l_orderkey", F.col("yymm").alias("a"), F.lit(2).alias("b"), F.col("l_linenumber").cast("bigint").alias("c"),
+        F.xxhash64("l_partkey", "l_suppkey", "l_extendedprice").alias("d"),
+        F.concat(
+            txt(F.concat(F.lit("03"), F.when(F.col("l_returnflag") == "R", "Y").otherwise("N"), _gap(3))),
+            long(F.col("l_quantity")), long(F.round("l_extendedprice")), long(-F.col("l_partkey")),
+            txt(F.concat(F.lit("001"), _zero("l_linenumber", 4), F.date_format("l_shipdate", "yyyyMMdd"), F.lit("Y"))), pad(65),
+        ).alias("rec"),
+    )
+    gone = lines.where("l_returnflag = 'A'").select(
+        "l_orderkey", F.col("yymm").alias("a"), F.lit(2).alias("b"), F.col("l_linenumber").cast("bigint").alias("c"),
+        F.xxhash64("l_partkey", "l_suppkey", "l_extendedprice").alias("d"),
+        F.concat(txt(F.concat(F.lit("05"), _zero("l_linenumber", 2))), long(F.col("l_suppkey")), pad(93)).alias("rec"),
+    )
+    return root.unionByName(cycle).unionByName(made).unionByName(gone)
+
+
+def _tape(spark, sf_dir) -> DataFrame:
+    records = _tape_records(spark, sf_dir).repartitionByRange(6, "l_orderkey")
+    ordered = records.sortWithinPartitions("l_orderkey", "a", "b", "c", "d", F.substring("rec", 1, 2))
+    return production.read_tape(spark, write_binary_files(ordered.select("rec"), "tape", ".ebc"))
+
+
+_L8 = _Z.format("l_orderkey", 8)
+_MONTHLY_SQL = f"""WITH r AS (SELECT *, strftime(l_shipdate, '%y%m') AS k FROM lineitem)
+    SELECT substr({_L8}, 1, 2) AS district, substr({_L8}, 3, 6) AS lease_number, 'O' AS oil_code, k AS rpt_cycle_key,
+      CAST(l_quantity AS BIGINT) AS oil_production_bbl, CAST(round(l_extendedprice) AS BIGINT) AS casinghead_gas_mcf, -l_partkey AS casinghead_gas_lift,
+      CASE WHEN l_returnflag = 'R' THEN 'Y' ELSE 'N' END AS corrected_report_flag, strftime(l_shipdate, '%Y') AS posting_year,
+      strftime(l_shipdate, '%m') AS posting_month, strftime(l_shipdate, '%d') AS posting_day, 'Y' AS filed_by_edi,
+      -l_orderkey AS oil_ending_balance, l_orderkey * 3 AS oil_allowable_cycle_bbls, strftime(l_shipdate, '%Y') AS prod_year, strftime(l_shipdate, '%m') AS prod_month
+    FROM r"""
+
+
+@query(_MONTHLY_SQL)
+def oil_tape_monthly(spark, sf_dir):
+    return production.production_monthly(_tape(spark, sf_dir), RUN_TS, chunk_records=4096).drop("scraped_at")
+
+
+@query(
+    f"""SELECT district, prod_year, CAST(SUM(oil_production_bbl) AS BIGINT) AS oil, CAST(SUM(casinghead_gas_mcf) AS BIGINT) AS gas, COUNT(*) AS n_reports
+    FROM ({_MONTHLY_SQL}) GROUP BY 1, 2"""
+)
+def oil_tape_by_district_year(spark, sf_dir):
+    rows = production.production_monthly(_tape(spark, sf_dir), RUN_TS)
+    return rows.groupBy("district", "prod_year").agg(
+        F.sum("oil_production_bbl").alias("oil"), F.sum("casinghead_gas_mcf").alias("gas"), F.count(F.lit(1)).alias("n_reports")
+    )
+
+
+@query(
+    f"""WITH t AS (
+      SELECT '01' AS record_type, l_orderkey FROM (SELECT DISTINCT l_orderkey FROM lineitem)
+      UNION ALL SELECT '02', l_orderkey FROM (SELECT DISTINCT l_orderkey, strftime(l_shipdate, '%y%m') FROM lineitem)
+      UNION ALL SELECT '03', l_orderkey FROM lineitem UNION ALL SELECT '05', l_orderkey FROM lineitem WHERE l_returnflag = 'A')
+    SELECT record_type, substr({_L8}, 1, 2) AS district, substr({_L8}, 3, 6) AS lease_number, COUNT(*) AS n, 80 * COUNT(*) AS hex_chars FROM t GROUP BY 1, 2, 3"""
+)
+def oil_tape_raw(spark, sf_dir):
+    rows = production.production_records_raw(_tape(spark, sf_dir), RUN_TS, chunk_records=1000)
+    return rows.groupBy("record_type", "district", "lease_number").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("raw_hex")).cast("bigint").alias("hex_chars")
+    )
+
+
+@query(
+    f"""SELECT lpad(CAST(l_linenumber AS VARCHAR), 2, '0') AS disposition_code, l_suppkey AS disposition_amount FROM lineitem WHERE l_returnflag = 'A'"""
+)
+def oil_tape_disposition(spark, sf_dir):
+    return production.disposition_records(_tape(spark, sf_dir), RUN_TS).select("disposition_code", "disposition_amount")
+
+
+@query(
+    """SELECT 'O' AS oil_code, l_orderkey AS movable_balance, -l_orderkey AS beginning_oil_status, 2 * l_orderkey AS beginning_csghd_status, 0::BIGINT AS oil_oldest_eom_balance
+    FROM (SELECT DISTINCT l_orderkey FROM lineitem)"""
+)
+def oil_tape_roots(spark, sf_dir):
+    return production.segment_records(_tape(spark, sf_dir), "01").drop("record_index", "district", "lease_number")
+
+
+# -- publishing and landing -----------------------------------------------------------------------------
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def publish_checked(spark, sf_dir):
+    """Stage, check, swap over an older version, read back."""
+    rows = table(spark, sf_dir, "nation")
+    target = scratch_path(spark, "published")
+    rows.limit(1).write.parquet(target)  # the older version
+    publish(rows, target, lambda staged: check_log(Q.evaluate([Q.pk_unique(staged, "n_nationkey")]), RUN_TS))
+    return spark.read.parquet(target)
+
+
+@query("SELECT TRUE AS found_newest, 'no_sidecar' AS status, TRUE AS all_ok")
+def landing_audit(spark: SparkSession, sf_dir):
+    """Newest file by name, and integrity of all files (no sidecar here: they pass)."""
+    folder = write_text_files(_permit_lines(spark, sf_dir), "landing")
+    last = spark.read.text(folder).select(F.max("_metadata.file_name").alias("m")).first()["m"]
+    newest = newest_snapshot(spark, folder, ("*.gz", "*.txt"))
+    audit = verify_sources(spark, folder)
+    return audit.agg(
+        F.lit(newest.endswith(last)).alias("found_newest"), F.max("status").alias("status"), F.bool_and("ok").alias("all_ok")
+    )
