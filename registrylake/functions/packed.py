@@ -1,43 +1,25 @@
-"""Packed decimals (two digits a byte, sign in the last half-byte) as integer arithmetic."""
+"""Packed decimals (two digits a byte, sign in the last half-byte) as built-in expressions."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_CHUNK = 7  # bytes that fit a signed 64-bit integer
-
-
-def _bits(c: Column) -> Column:
-    return F.coalesce(F.conv(F.hex(c), 16, 10).cast("bigint"), F.lit(0).cast("bigint"))
-
-
-def _half_byte(bits: Column, place: int) -> Column:
-    return F.shiftright(bits, 4 * place).bitwiseAND(F.lit(15).cast("bigint"))
-
 
-def packed_to_long(c: Column, width: int = 5) -> Column:
-    """Decode ``width`` packed bytes.
+def packed_to_long(c: Column) -> Column:
+    """Decode packed bytes (up to nine).
 
     Every half-byte counts with its value, also the ones above 9, and only the signs D and B are
-    negative. No bytes give 0.
+    negative. No bytes give 0. A half-byte of 10 to 15 is its last digit plus a carried one, so a dirty
+    number is the sum of two clean ones.
     """
-    if width > 9:
-        raise ValueError("more digits than a 64-bit integer holds")
-    terms, place = [], 0
-    for end in range(width, 0, -_CHUNK):
-        start = max(0, end - _CHUNK)
-        bits = _bits(F.substring(c, start + 1, end - start))
-        for half in range(2 * (end - start)):
-            if end == width and half == 0:
-                sign = _half_byte(bits, 0)
-                continue
-            terms.append(_half_byte(bits, half) * F.lit(10**place).cast("bigint"))
-            place += 1
-    total = reduce(lambda a, b: a + b, terms)
-    return F.when(sign.isin(11, 13), -total).otherwise(total)
+    shown = F.hex(c)
+    digits = F.substring(shown, F.lit(1), F.length(shown) - 1)
+    last_digit = F.translate(digits, "ABCDEF", "012345").try_cast("bigint")
+    carried = F.translate(digits, "0123456789ABCDEF", "0000000000111111").try_cast("bigint")
+    value = F.coalesce(digits.try_cast("bigint"), last_digit + carried * 10, F.lit(0).cast("bigint"))
+    negative = F.right(shown, F.lit(1)).isin("B", "D")
+    return value * F.when(negative, F.lit(-1)).otherwise(F.lit(1)).cast("bigint")
 
 
 def is_valid_packed(c: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK_RECORDS = 1_000_000
+CHUNK_RECORDS = 1 << 16
 
 
 def carry_forward(

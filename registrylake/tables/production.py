@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,14 @@ from registrylake.functions.ebcdic import byte_slice, text_slice
 from registrylake.functions.packed import packed_to_long
 from registrylake.functions.text import LATIN_SPACE, strip
 from registrylake.operators.carry import CHUNK_RECORDS, carry_forward
-from registrylake.sources.fixed_records import read_fixed_records
+from registrylake.session import materialise
+from registrylake.sources.fixed_records import (
+    SPLIT_BYTES,
+    Context,
+    read_record_files,
+    read_with_contexts,
+    whole_records,
+)
 
 RECORD_LENGTH = 102
 TEXT, PACKED = "text", "packed"
@@ -83,7 +91,7 @@ MONTHLY_COLUMNS = (
 
 def decode_field(rec: Column, f: TapeField) -> Column:
     if f.kind == PACKED:
-        return packed_to_long(byte_slice(rec, f.start, f.length), f.length)
+        return packed_to_long(byte_slice(rec, f.start, f.length))
     return text_slice(rec, f.start, f.length)
 
 
@@ -95,63 +103,85 @@ def record_type(rec: Column) -> Column:
     return strip(text_slice(rec, 0, 2), LATIN_SPACE)
 
 
-def read_tape(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    return read_fixed_records(spark, path, RECORD_LENGTH, pattern)
+# The bytes of a root and of a cycle that their records below use (start 0).
+ROOT_BYTES, CYCLE_BYTES = 11, 57
 
 
-def segment_records(tape: DataFrame, segment: str) -> DataFrame:
-    """All records of one segment with every field decoded."""
-    found = tape.where(record_type(F.col("rec")) == segment)
-    return found.select("record_index", *decode_segment(F.col("rec"), segment))
+def _type_hex(*types: str) -> list[str]:
+    return [t.encode("cp037").hex() for t in types]
 
 
-def _with_parents(tape: DataFrame, chunk_records: int, roots_only: bool = False) -> DataFrame:
-    """Each record with its type and the bytes of the latest root and cycle before it.
+def read_tape(spark: SparkSession, path: str, pattern: str = "*", types: Sequence[str] = ()) -> DataFrame:
+    """``source_file``, ``record_index``, ``rec``; only the given record types, if any are."""
+    return read_record_files(spark, whole_records(path, RECORD_LENGTH, pattern), keep=_type_hex(*types))
 
-    Parents travel as the few bytes that are used, and are decoded only on the rows that keep them. A
-    new root does not reset the cycle.
+
+def read_tape_with_parents(
+    spark: SparkSession, path: str, pattern: str = "*", types: Sequence[str] = (), split_bytes: int = SPLIT_BYTES
+) -> DataFrame:
+    """``read_tape`` plus the bytes of the latest root and cycle (``root_rec``, ``cycle_rec``).
+
+    A new root does not reset the cycle. The source carries the parents, no record is shuffled.
     """
-    typed = tape.withColumn("record_type", record_type(F.col("rec")))
-    root = F.when(F.col("record_type") == "01", byte_slice(F.col("rec"), 0, 11))
-    cycle = F.when(F.col("record_type") == "02", byte_slice(F.col("rec"), 0, 57))
-    contexts = {"_root": root} if roots_only else {"_root": root, "_cycle": cycle}
+    root, cycle = _type_hex("01", "02")
+    contexts = [Context("root_rec", root, 0, ROOT_BYTES), Context("cycle_rec", cycle, 0, CYCLE_BYTES)]
+    files = whole_records(path, RECORD_LENGTH, pattern)
+    return read_with_contexts(spark, files, contexts, _type_hex(*types), split_bytes)
+
+
+def with_parents(tape: DataFrame, chunk_records: int = CHUNK_RECORDS) -> DataFrame:
+    """The same for records that are already in a table."""
+    kind = record_type(F.col("rec"))
+    contexts = {
+        "root_rec": F.when(kind == "01", byte_slice(F.col("rec"), 0, ROOT_BYTES)),
+        "cycle_rec": F.when(kind == "02", byte_slice(F.col("rec"), 0, CYCLE_BYTES)),
+    }
     group = ["source_file"] if "source_file" in tape.columns else []
-    return carry_forward(typed, "record_index", contexts, group, chunk_records)
+    return carry_forward(tape, "record_index", contexts, group, chunk_records)
+
+
+def segment_records(tape: DataFrame, segment: str) -> DataFrame:
+    """All records of one segment with every field decoded."""
+    found = tape.where(record_type(F.col("rec")) == segment)
+    return found.select("record_index", *decode_segment(F.col("rec"), segment))
 
 
-def _parent_field(context: str, f: TapeField) -> Column:
+def _parent_field(parent: str, f: TapeField) -> Column:
     missing = F.lit(0).cast("bigint") if f.kind == PACKED else F.lit("")
-    return F.when(F.col(context).isNull(), missing).otherwise(decode_field(F.col(context), f))
+    return F.when(F.col(parent).isNull(), missing).otherwise(decode_field(F.col(parent), f))
 
 
-def production_monthly_undated(tape: DataFrame, chunk_records: int = CHUNK_RECORDS) -> DataFrame:
-    """Production segments with lease and cycle of their parents ("" / 0 without one)."""
-    # only the three types of the hierarchy matter here; the others never reach the shuffle
-    needed = tape.where(record_type(F.col("rec")).isin("01", "02", "03"))
-    rows = _with_parents(needed, chunk_records).where(F.col("record_type") == "03")
+def production_monthly_undated(records: DataFrame) -> DataFrame:
+    """Production segments with lease and cycle of their parents ("" / 0 without one).
+
+    ``records`` come with parents; these are decoded only on the rows that keep them.
+    """
+    rows = records.where(record_type(F.col("rec")) == "03")
     source = {
         **{f.name: decode_field(F.col("rec"), f) for f in PRODUCTION},
-        **{f.name: _parent_field("_root", f) for f in ROOT[:3]},
-        **{f.name: _parent_field("_cycle", f) for f in CYCLE},
+        **{f.name: _parent_field("root_rec", f) for f in ROOT[:3]},
+        **{f.name: _parent_field("cycle_rec", f) for f in CYCLE if f.name in MONTHLY_COLUMNS},
     }
     return rows.select(*[source[c].alias(c) for c in MONTHLY_COLUMNS])
 
 
-def production_monthly(tape: DataFrame, run_ts: str, chunk_records: int = CHUNK_RECORDS) -> DataFrame:
-    """fact_production_monthly."""
-    rows = production_monthly_undated(tape, chunk_records)
+def production_monthly(records: DataFrame, run_ts: str) -> DataFrame:
+    """fact_production_monthly.
+
+    The format of the cycle key is a property of the whole column, so the decoded rows are written once
+    and read twice, instead of reading the tape twice.
+    """
+    rows = materialise(production_monthly_undated(records), "monthly")
     return split_cycle_key(rows, "rpt_cycle_key").withColumn("scraped_at", F.lit(run_ts))
 
 
-def production_records_raw(tape: DataFrame, run_ts: str, chunk_records: int = CHUNK_RECORDS) -> DataFrame:
+def production_records_raw(records: DataFrame, run_ts: str) -> DataFrame:
     """fact_production_records_raw: every record, its first 40 bytes as hex, its lease."""
-    slim = tape.withColumn("rec", byte_slice(F.col("rec"), 0, 40))
-    rows = _with_parents(slim, chunk_records, roots_only=True)
-    return rows.select(
+    return records.select(
         "record_index",
-        "record_type",
-        F.lower(F.hex("rec")).alias("raw_hex"),
-        *[_parent_field("_root", f).alias(f.name) for f in ROOT[1:3]],
+        record_type(F.col("rec")).alias("record_type"),
+        F.lower(F.hex(byte_slice(F.col("rec"), 0, 40))).alias("raw_hex"),
+        *[_parent_field("root_rec", f).alias(f.name) for f in ROOT[1:3]],
         F.lit(run_ts).alias("scraped_at"),
     )
 

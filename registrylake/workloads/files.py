@@ -18,6 +18,7 @@ from registrylake.session import scratch_path
 from registrylake.sinks.publish import publish
 from registrylake.sources.dbase import read_dbase
 from registrylake.sources.delimited import overlong_rows, read_delimited
+from registrylake.sources.fixed_records import SPLIT_BYTES, list_files
 from registrylake.sources.landing import newest_snapshot, verify_sources
 from registrylake.sources.paths import locate
 from registrylake.sources.text_lines import read_lines, read_numbered_lines
@@ -455,10 +456,15 @@ def _tape_records(spark, sf_dir) -> DataFrame:
     return root.unionByName(cycle).unionByName(made).unionByName(gone)
 
 
-def _tape(spark, sf_dir) -> DataFrame:
+def _crossing(folder: str) -> int:
+    """A split size that cuts every file at least a few times, so that leases cross range borders."""
+    return min(SPLIT_BYTES, max(size for _, size in list_files(folder)) // 4)
+
+
+def _tape_folder(spark, sf_dir) -> str:
     records = _tape_records(spark, sf_dir).repartitionByRange(6, "l_orderkey")
     ordered = records.sortWithinPartitions("l_orderkey", "a", "b", "c", "d", F.substring("rec", 1, 2))
-    return production.read_tape(spark, write_binary_files(ordered.select("rec"), "tape", ".ebc"))
+    return write_binary_files(ordered.select("rec"), "tape", ".ebc")
 
 
 _L8 = _Z.format("l_orderkey", 8)
@@ -473,7 +479,16 @@ _MONTHLY_SQL = f"""WITH r AS (SELECT *, strftime(l_shipdate, '%y%m') AS k FROM l
 
 @query(_MONTHLY_SQL)
 def oil_tape_monthly(spark, sf_dir):
-    return production.production_monthly(_tape(spark, sf_dir), RUN_TS, chunk_records=4096).drop("scraped_at")
+    folder = _tape_folder(spark, sf_dir)
+    records = production.read_tape_with_parents(spark, folder, types=("03",), split_bytes=_crossing(folder))
+    return production.production_monthly(records, RUN_TS).drop("scraped_at")
+
+
+@query(_MONTHLY_SQL)
+def oil_tape_table_monthly(spark, sf_dir):
+    """The records are in a table already: parents are carried by windows over chunks."""
+    tape = production.read_tape(spark, _tape_folder(spark, sf_dir), types=("01", "02", "03"))
+    return production.production_monthly(production.with_parents(tape, 4096), RUN_TS).drop("scraped_at")
 
 
 @query(
@@ -481,7 +496,8 @@ def oil_tape_monthly(spark, sf_dir):
     FROM ({_MONTHLY_SQL}) GROUP BY 1, 2"""
 )
 def oil_tape_by_district_year(spark, sf_dir):
-    rows = production.production_monthly(_tape(spark, sf_dir), RUN_TS)
+    records = production.read_tape_with_parents(spark, _tape_folder(spark, sf_dir), types=("03",))
+    rows = production.production_monthly(records, RUN_TS)
     return rows.groupBy("district", "prod_year").agg(
         F.sum("oil_production_bbl").alias("oil"), F.sum("casinghead_gas_mcf").alias("gas"), F.count(F.lit(1)).alias("n_reports")
     )
@@ -495,7 +511,9 @@ def oil_tape_by_district_year(spark, sf_dir):
     SELECT record_type, substr({_L8}, 1, 2) AS district, substr({_L8}, 3, 6) AS lease_number, COUNT(*) AS n, 80 * COUNT(*) AS hex_chars FROM t GROUP BY 1, 2, 3"""
 )
 def oil_tape_raw(spark, sf_dir):
-    rows = production.production_records_raw(_tape(spark, sf_dir), RUN_TS, chunk_records=1000)
+    folder = _tape_folder(spark, sf_dir)
+    records = production.read_tape_with_parents(spark, folder, split_bytes=_crossing(folder))
+    rows = production.production_records_raw(records, RUN_TS)
     return rows.groupBy("record_type", "district", "lease_number").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("raw_hex")).cast("bigint").alias("hex_chars")
     )
@@ -505,7 +523,8 @@ def oil_tape_raw(spark, sf_dir):
     f"""SELECT lpad(CAST(l_linenumber AS VARCHAR), 2, '0') AS disposition_code, l_suppkey AS disposition_amount FROM lineitem WHERE l_returnflag = 'A'"""
 )
 def oil_tape_disposition(spark, sf_dir):
-    return production.disposition_records(_tape(spark, sf_dir), RUN_TS).select("disposition_code", "disposition_amount")
+    tape = production.read_tape(spark, _tape_folder(spark, sf_dir), types=("05",))
+    return production.disposition_records(tape, RUN_TS).select("disposition_code", "disposition_amount")
 
 
 @query(
@@ -513,7 +532,8 @@ def oil_tape_disposition(spark, sf_dir):
     FROM (SELECT DISTINCT l_orderkey FROM lineitem)"""
 )
 def oil_tape_roots(spark, sf_dir):
-    return production.segment_records(_tape(spark, sf_dir), "01").drop("record_index", "district", "lease_number")
+    tape = production.read_tape(spark, _tape_folder(spark, sf_dir))
+    return production.segment_records(tape, "01").drop("record_index", "district", "lease_number")
 
 
 # -- publishing and landing -----------------------------------------------------------------------------
