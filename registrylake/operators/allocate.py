@@ -51,8 +51,9 @@ def allocate_to_wells(
         prod.groupBy(*lease)
         .agg(F.collect_list(F.struct("month", "volume")).alias("_months"))
         .join(spans.groupBy(*lease).agg(F.count(F.lit(1)).alias("_wells")), lease)
+        .withColumn("_out", F.col("_wells") * F.size("_months"))
     )
-    spread = bring_to_rows(spans, per_lease, lease, ["_months"], "_wells", hot_rows)
+    spread = bring_to_rows(spans, per_lease, lease, ["_months"], "_out", hot_rows)
     active = (
         spread.select(*lease, "api10", "_from", "_to", "_weight", F.explode("_months").alias("_m"))
         .select(*lease, "api10", "_from", "_to", "_weight", "_m.*")

@@ -109,7 +109,7 @@ def neighbour(
 ) -> DataFrame:
     """Add ``out``: a struct of ``columns`` of the previous (next, if forward) row of the key, or null.
 
-    With ``split`` the window stays inside a chunk; a row at a chunk border takes the nearest row of the
+    Keys are not null. With ``split`` the window stays inside a chunk; a row at a chunk border takes the nearest row of the
     key in another chunk, found among one summary row per (key, chunk).
     """
     here = F.struct(*columns)
@@ -122,13 +122,9 @@ def neighbour(
     edges = df.groupBy(*keys, *split).agg(edge(here, F.struct(*order)).alias("_edge"))
     across = Window.partitionBy(*keys).orderBy(*split)
     edges = edges.select(*keys, *split, shift("_edge").over(across).alias("_far"))
-    names = [*keys, *split]
-    other = edges.select(*[F.col(n).alias(f"_r_{n}") for n in names], "_far")
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & local[n].eqNullSafe(other[f"_r_{n}"])
-    joined = local.join(other, cond, "left")
-    return joined.withColumn(out, F.coalesce(F.col(out), F.col("_far"))).select(*df.columns, out)
+    # the join is on the window's own partitioning, so the rows do not shuffle again
+    joined = local.join(edges, [*keys, *split], "left")
+    return joined.select(*df.columns, F.coalesce(F.col(out), F.col("_far")).alias(out))
 
 
 def bring_to_rows(

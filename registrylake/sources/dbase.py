@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import struct
 from concurrent.futures import ThreadPoolExecutor
-from typing import NamedTuple
+from typing import BinaryIO, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,20 +29,26 @@ class DbaseHeader(NamedTuple):
     layout: tuple[Field, ...]
 
 
-def parse_header(head: bytes) -> DbaseHeader:
-    """Header of the file that starts with ``head``; raises on a damaged one."""
-    _, n_records, header_size, record_size = struct.unpack_from(PREFIX, head)
-    layout, at, start = [], 32, 1  # a record starts with its deletion flag
+def parse_header(stream: BinaryIO) -> DbaseHeader:
+    """Header of the file; raises on a damaged one.
+
+    The field list ends at its end mark or at a cut-off entry; a file that stops before that is damaged.
+    """
+    prefix = stream.read(32)
+    if len(prefix) < 32:
+        raise ValueError("file is shorter than a header")
+    _, n_records, header_size, record_size = struct.unpack(PREFIX, prefix)
+    layout, start = [], 1  # a record starts with its deletion flag
     while True:
-        if at >= len(head):
-            raise ValueError("header ends before its field list")
-        if head[at] == FIELDS_END or len(head) - at < 32:
+        entry = stream.read(32)
+        if not entry:
+            raise ValueError("file ends before its field list")
+        if entry[0] == FIELDS_END or len(entry) < 32:
             break
-        raw_name, _, length, _ = struct.unpack_from(DESCRIPTOR, head, at)
+        raw_name, _, length, _ = struct.unpack(DESCRIPTOR, entry)
         name = raw_name.split(b"\x00")[0].decode("ascii").strip()
         layout.append(Field(name, start, length))
         start += length
-        at += 32
     if record_size < 1:
         raise ValueError("records have no length")
     return DbaseHeader(n_records, header_size, record_size, tuple(layout))
@@ -50,12 +56,8 @@ def parse_header(head: bytes) -> DbaseHeader:
 
 def _read_header(path: str) -> DbaseHeader:
     filesystem, inner = locate(path)
-    with filesystem.open_input_file(inner) as f:
-        head = f.read(32)
-        if len(head) < 32:
-            raise ValueError("file is shorter than a header")
-        size = struct.unpack_from(PREFIX, head)[2]
-        return parse_header(head + f.read(max(32, size - 32)))
+    with filesystem.open_input_stream(inner) as f:
+        return parse_header(f)
 
 
 def scan_headers(folder: str, pattern: str = "api*.dbf") -> tuple[list[tuple[str, int, DbaseHeader]], list[tuple[str, str]]]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,8 +11,7 @@ NA_WORDS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
     "NULL", "NaN", "None", "n/a", "nan", "null",
 )
-_NO_NULL = "\x00"
-_EXTRA = "_extra"
+_RAW = "_raw_record"
 
 
 def header_names(spark: SparkSession, path: str, sep: str = "}") -> list[str]:
@@ -24,28 +23,43 @@ def normalise_name(name: str) -> str:
     return name.strip().lower().replace(" ", "_")
 
 
-def read_delimited(
-    spark: SparkSession, path: str, sep: str = "}", multi_line: bool = False, keep_overlong: bool = False
-) -> DataFrame:
-    """Rows as text columns named by the normalised header.
+def _n_fields(raw: Column, sep: str) -> Column:
+    """Fields of a raw record; separators inside quoted fields do not count."""
+    mark = f"\\Q{sep}\\E"
+    bare = F.regexp_replace(raw, f'(^|{mark})"([^"]|"")*"(?={mark}|$)', "$1")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
+
 
-    A row with too many fields is dropped (kept and marked in ``_extra`` with ``keep_overlong``), one
-    with too few is filled with nulls, quotes are honoured, NA words become null. ``multi_line`` lets
-    quoted fields span lines, at the price of one task per file.
+def _parse(spark: SparkSession, path: str, sep: str, multi_line: bool) -> tuple[DataFrame, list[str], Column]:
+    """Parsed rows, their column names, and whether a row is over-long.
+
+    Spark keeps the raw text of rows whose number of fields is off, short or long; only for these the
+    fields are counted. It notices them only while it parses all columns, so the parser does not prune.
     """
     names = [normalise_name(c) for c in header_names(spark, path, sep)]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _EXTRA]])
-    rows = spark.read.csv(
-        path, schema=schema, sep=sep, header=True, encoding="US-ASCII", quote='"', escape='"',
-        nullValue=_NO_NULL, emptyValue="", mode="PERMISSIVE", multiLine=multi_line, enforceSchema=True,
-        maxCharsPerColumn=-1,
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
+    rows = spark.read.schema(schema).option("columnPruning", "false").csv(
+        path, sep=sep, header=True, encoding="US-ASCII", quote='"', escape='"', emptyValue="", mode="PERMISSIVE",
+        columnNameOfCorruptRecord=_RAW, multiLine=multi_line, enforceSchema=True, maxCharsPerColumn=-1,
     )
-    cells = [F.when(~F.col(n).isin(*NA_WORDS), F.col(n)).alias(n) for n in names]
-    if keep_overlong:
-        return rows.select(*cells, F.col(_EXTRA).isNotNull().alias(_EXTRA))
-    return rows.where(F.col(_EXTRA).isNull()).select(*cells)
+    raw = F.col(_RAW)
+    overlong = F.when(raw.isNotNull(), _n_fields(raw, sep) > len(names)).otherwise(F.lit(False))
+    return rows, names, overlong
+
+
+def read_delimited(spark: SparkSession, path: str, sep: str = "}", multi_line: bool = False) -> DataFrame:
+    """Rows as text columns named by the normalised header.
+
+    A row with too many fields is dropped, one with too few is filled with nulls, quotes are honoured,
+    NA words become null. ``multi_line`` lets quoted fields span lines, at the price of one task per file.
+    """
+    rows, names, overlong = _parse(spark, path, sep, multi_line)
+    return rows.where(~overlong).select(*[F.when(~F.col(n).isin(*NA_WORDS), F.col(n)).alias(n) for n in names])
 
 
 def overlong_rows(spark: SparkSession, path: str, sep: str = "}") -> DataFrame:
     """How many rows ``read_delimited`` drops."""
-    return read_delimited(spark, path, sep, keep_overlong=True).agg(F.count_if(_EXTRA).alias("n_dropped"))
+    rows, names, overlong = _parse(spark, path, sep, False)
+    # Spark refuses a scan of the raw text alone, so a parsed column takes part in the count
+    parsed = F.length(F.coalesce(F.col(names[0]), F.lit(""))) >= 0
+    return rows.agg(F.count_if(overlong & parsed).alias("n_dropped"))

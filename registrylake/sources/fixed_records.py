@@ -27,7 +27,7 @@ from registrylake.sources.paths import locate, ship_with_tasks
 SPLIT_BYTES = 64 << 20
 BATCH_BYTES = 4 << 20
 TAIL_BYTES = 64 << 10
-BROADCAST_RANGES = 1_000_000
+MAX_RANGES = 200_000
 
 
 class RecordFile(NamedTuple):
@@ -194,11 +194,17 @@ def list_files(folder_or_file: str, pattern: str = "*") -> list[tuple[str, int]]
     return [(prefix + i.path, i.size) for i in sorted(found, key=lambda i: i.base_name)]
 
 
+def split_size(files: Sequence[RecordFile], wanted: int) -> int:
+    """``wanted`` bytes per task, more when that would make over MAX_RANGES tasks."""
+    total = sum(f.n_records * f.record_length for f in files)
+    return max(wanted, total // MAX_RANGES)
+
+
 def _load(spark: SparkSession, files: Sequence[RecordFile], split_bytes: int, **options: object) -> DataFrame:
     ship_with_tasks(paths)
     ship_with_tasks(sys.modules[__name__])
     spark.dataSource.register(FixedRecordSource)
-    reader = spark.read.format("fixed_records").option("splitBytes", str(split_bytes))
+    reader = spark.read.format("fixed_records").option("splitBytes", str(split_size(files, split_bytes)))
     for key, value in {"files": [list(f) for f in files], **options}.items():
         reader = reader.option(key, value if isinstance(value, str) else json.dumps(value))
     return reader.load()
@@ -220,8 +226,8 @@ def read_with_contexts(
 ) -> DataFrame:
     """``read_record_files`` plus one binary column per context, null before its first record in a file.
 
-    There is one tail row per range. They are broadcast up to BROADCAST_RANGES (the number of ranges is
-    known from the file sizes) and joined by shuffle beyond.
+    There is one tail row per range. The number of ranges is known from the file sizes; up to twice
+    MAX_RANGES (many small files can exceed it) they are broadcast, beyond they are joined by shuffle.
     """
     names = [c.name for c in contexts]
     carried = [list(c) for c in contexts]
@@ -230,8 +236,8 @@ def read_with_contexts(
     starts = tails.select(
         "source_file", "range_first", *[F.last(n, ignorenulls=True).over(earlier).alias(f"_start_{n}") for n in names]
     )
-    n_ranges = sum(-(-f.n_records // max(1, split_bytes // f.record_length)) for f in files)
-    if n_ranges <= BROADCAST_RANGES:
+    step = split_size(files, split_bytes)
+    if sum(-(-f.n_records // max(1, step // f.record_length)) for f in files) <= 2 * MAX_RANGES:
         starts = F.broadcast(starts)
     records = _load(spark, files, split_bytes, contexts=carried, keep=list(keep))
     joined = records.join(starts, ["source_file", "range_first"], "left")

@@ -308,7 +308,7 @@ def _inspection_folder(spark, sf_dir) -> str:
     ordered = parts.unionByName(heads).repartition("_p").sortWithinPartitions("_p", "_h")
     folder = scratch_path(spark, "inspections")
     ordered.select("value", "_p").write.partitionBy("_p").text(folder)
-    return folder
+    return f"{folder}/*"
 
 
 @query(
