@@ -96,7 +96,7 @@ def _percent(rate: Column) -> Column:
 
 
 def _thousands(n: Column) -> Column:
-    return F.format_string("%,d", n.cast("bigint"))
+    return F.when(n.isNotNull(), F.format_string("%,d", n.cast("bigint")))
 
 
 def _issues(items: Sequence[Column], bad: str, good: str, bad_status: str = "fail") -> Rendered:
