@@ -30,14 +30,14 @@ def allocate_to_wells(
 
     ``method``: ``equal``, ``proportional`` (by ``weight`` of the well) or ``single`` (only lease-months
     with one well are given to it). What goes to no well keeps a row with a null well, so shares always
-    add up to the lease volume. ``production`` has one row per lease-month.
+    add up to the lease volume.
 
     The months of a lease are bounded by the calendar, its wells are not: so the months travel to the
     wells, as one array per lease, and hot leases are spread by ``bring_to_rows``.
     """
     if method not in ("equal", "proportional", "single"):
         raise ValueError(method)
-    prod = production.select(*lease, F.col(month).alias("month"), F.col(volume).alias("volume"))
+    prod = production.groupBy(*lease, F.col(month).alias("month")).agg(F.sum(volume).alias("volume"))
     share_weight = F.col(weight).cast("double") if method == "proportional" else F.lit(1.0)
     active_from = F.col(effective)
     spans = wells.select(

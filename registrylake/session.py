@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+LOCAL_SCRATCH = "registrylake.localScratch"
 
 
 def local_session(cores: int | str = 8, app: str = "registrylake", **conf: str) -> SparkSession:
@@ -41,8 +42,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="registrylake-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
+    folder = spark.conf.get(LOCAL_SCRATCH, None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="registrylake-")
+        spark.conf.set(LOCAL_SCRATCH, folder)
     return folder
 
 

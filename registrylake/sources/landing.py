@@ -65,8 +65,8 @@ def _digest(batches: Iterator) -> Iterator:
         yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(digests, pa.string())], ["path", "actual"])
 
 
-def verify_sources(spark: SparkSession, folder: str) -> DataFrame:
-    """SHA-256 of every landed file against its folder's sidecar.
+def verify_sources(spark: SparkSession, folder: str, path: str | None = None) -> DataFrame:
+    """SHA-256 of every landed file (or the one at ``path``) against its folder's sidecar.
 
     Files are hashed as streams, one task per few files, so size does not matter. No sidecar and no
     expected digest pass; only a mismatch is not ok.
@@ -74,6 +74,8 @@ def verify_sources(spark: SparkSession, folder: str) -> DataFrame:
     ship_with_tasks(paths)
     ship_with_tasks(sys.modules[__name__])
     files = list_landed(spark, folder).where(F.col("file_name") != SIDECAR).select("path")
+    if path:
+        files = files.where(F.col("path") == path)
     spread = files.repartition("path")
     actual = spread.mapInArrow(_digest, "path string, actual string")
     where = F.regexp_extract("path", "^(.*)/[^/]*$", 1)

@@ -16,9 +16,11 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return raw.select(ascii_replace(F.col("value")).alias("value"), F.col("_metadata.file_name").alias("source_file"))
 
 
-def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_numbered_lines(spark: SparkSession, path: str | list[str], spread: int | None = None) -> DataFrame:
     """``read_lines`` plus ``line_number_in_file``, the 0-based position in the file.
 
+    A ``.gz`` file is one task; ``spread`` hands its numbered lines to that many tasks for what follows.
+
     A line's number is its place in its split plus the lines of the file's earlier splits. Spark numbers
     the rows of a task one after the other, so the place in the split needs no shuffle; the lines per
     split are one aggregate. That aggregate is broadcast while the number of splits is known to be
@@ -41,6 +43,7 @@ def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame
     )
     if splits <= BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
-    return lines.join(offsets, ["_path", "_start"]).select(
+    numbered = lines.join(offsets, ["_path", "_start"]).select(
         "value", "source_file", (F.col("_id") + F.col("_shift")).alias("line_number_in_file")
     )
+    return numbered.repartition(spread, "source_file", "line_number_in_file") if spread else numbered

@@ -19,18 +19,21 @@ LAYOUTS = {
 }
 
 
+def long_enough(lines: DataFrame) -> DataFrame:
+    return lines.where(F.length(rstrip(F.col("value"))) >= MIN_LENGTH)
+
+
 def hearings(lines: DataFrame, run_ts: str) -> DataFrame:
     """All lines of 2 characters or more; each type fills its own columns, others stay null.
 
     ``lines`` comes from ``read_numbered_lines``: skipped lines count in ``line_number_in_file``.
     """
     value = F.col("value")
-    trimmed = rstrip(value)
     kind = strip(F.substring(value, 1, 2))
     cells = [c for wanted, layout in LAYOUTS.items() for c in cut_variant(value, kind, wanted, layout)]
-    return lines.where(F.length(trimmed) >= MIN_LENGTH).select(
+    return long_enough(lines).select(
         kind.alias("record_type"),
-        F.substring(trimmed, 1, RAW_LENGTH).alias("raw_line"),
+        F.substring(rstrip(value), 1, RAW_LENGTH).alias("raw_line"),
         "line_number_in_file",
         *cells,
         F.lit(run_ts).alias("scraped_at"),

@@ -27,10 +27,13 @@ LAYOUT = fields(
 )
 
 
+def long_enough(lines: DataFrame) -> DataFrame:
+    return lines.where(F.length(rstrip(F.col("value"))) >= MIN_LENGTH)
+
+
 def injection_raw(lines: DataFrame, run_ts: str) -> DataFrame:
-    trimmed = rstrip(F.col("value"))
-    rows = lines.where(F.length(trimmed) >= MIN_LENGTH).select(
-        *cut_all(F.col("value"), LAYOUT), F.substring(trimmed, 1, RAW_LENGTH).alias("raw_line")
+    rows = long_enough(lines).select(
+        *cut_all(F.col("value"), LAYOUT), F.substring(rstrip(F.col("value")), 1, RAW_LENGTH).alias("raw_line")
     )
     return rows.withColumns(
         {"api10": injection_key(F.col("api_county"), F.col("api_unique")), "scraped_at": F.lit(run_ts)}

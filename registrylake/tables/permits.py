@@ -29,11 +29,14 @@ LAYOUT = fields(
 )
 
 
+def long_enough(lines: DataFrame) -> DataFrame:
+    return lines.where(F.length(rstrip(F.col("value"))) >= MIN_LENGTH)
+
+
 def drilling_permits(lines: DataFrame, run_ts: str) -> DataFrame:
     """Permit rows; ``api10_valid`` tells real well keys from the zero-filled ones of blank parts."""
-    trimmed = rstrip(F.col("value"))
-    rows = lines.where(F.length(trimmed) >= MIN_LENGTH).select(
-        F.substring(trimmed, 1, RAW_LENGTH).alias("raw_line"), *cut_all(F.col("value"), LAYOUT)
+    rows = long_enough(lines).select(
+        F.substring(rstrip(F.col("value")), 1, RAW_LENGTH).alias("raw_line"), *cut_all(F.col("value"), LAYOUT)
     )
     county, unique = F.col("api_county"), F.col("api_unique")
     return rows.withColumns(

@@ -539,13 +539,13 @@ def oil_tape_roots(spark, sf_dir):
 # -- publishing and landing -----------------------------------------------------------------------------
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def publish_checked(spark, sf_dir):
     """Stage, check, swap over an older version, read back."""
-    rows = table(spark, sf_dir, "nation")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     target = scratch_path(spark, "published")
-    rows.limit(1).write.parquet(target)  # the older version
-    publish(rows, target, lambda staged: check_log(Q.evaluate([Q.pk_unique(staged, "n_nationkey")]), RUN_TS))
+    rows.where("o_orderstatus = 'F'").write.parquet(target)  # the older version
+    publish(rows, target, lambda staged: check_log(Q.evaluate([Q.pk_unique(staged, "o_orderkey")]), RUN_TS))
     return spark.read.parquet(target)
 
 
