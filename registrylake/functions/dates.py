@@ -36,6 +36,11 @@ def month_label(c: Column) -> Column:
     return F.date_format(c, "MMM yyyy")
 
 
+def period_label(year: Column, month: Column) -> Column:
+    """The same from the text columns ``prod_year`` and ``prod_month``."""
+    return month_label(F.try_to_timestamp(F.concat(year, month), F.lit("yyyyMM")))
+
+
 def _century(yy: Column) -> Column:
     return F.concat(F.when(yy < CENTURY_PIVOT, F.lit("20")).otherwise(F.lit("19")), yy)
 

@@ -83,6 +83,14 @@ def allocate_to_wells(
     return shared.unionByName(rest)
 
 
+def well_production(shares: DataFrame) -> DataFrame:
+    """Monthly production per well over all its leases; what went to no well is left out."""
+    wells = shares.where(F.col("api10").isNotNull())
+    return wells.groupBy("api10", "month").agg(
+        F.sum("share").alias("volume"), F.count(F.lit(1)).alias("n_leases"), F.max("n_wells").alias("largest_lease")
+    )
+
+
 def per_unit(measure: Column, unit: Column) -> Column:
     """Measure per unit (foot, acre); null where the unit is missing or not positive."""
     return F.when(unit > 0, measure / unit)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,3 +60,16 @@ def stratified_sample(df: DataFrame, strata: Sequence[str], identity: Sequence[s
     """``k`` rows per stratum, the same ones on every run: lowest hash of the identity columns first."""
     text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in identity])
     return k_per_group(df.withColumn("_pick", F.md5(text)), strata, ["_pick", *identity], k).drop("_pick")
+
+
+def sample_coverage(sample: DataFrame, population: DataFrame, dimensions: Sequence[str]) -> DataFrame:
+    """How many of each dimension's values the sample reaches: one row per dimension."""
+    parts = []
+    for d in dimensions:
+        reached = sample.where(F.col(d).isNotNull()).select(d).distinct().withColumn("_hit", F.lit(True))
+        known = population.where(F.col(d).isNotNull()).select(d).distinct()
+        counts = known.join(reached, d, "left").agg(
+            F.count("_hit").alias("n_sampled"), F.count(F.lit(1)).alias("n_known")
+        )
+        parts.append(counts.select(F.lit(d).alias("dimension"), "n_sampled", "n_known"))
+    return reduce(DataFrame.unionAll, parts)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
@@ -88,6 +88,23 @@ def _evaluate_alone(check: Check) -> DataFrame:
         return error_row(spark, check.name, check.level, str(e).splitlines()[0], check.threshold)
 
 
+def guarded(name: str, level: int, threshold: str):
+    """A check whose frame cannot be built (an absent column) is an error row, not an exception."""
+
+    def wrap(build: Callable[..., Check]) -> Callable[..., Check]:
+        @wraps(build)
+        def safe(df: DataFrame, *args, **kwargs) -> Check:
+            try:
+                return build(df, *args, **kwargs)
+            except AnalysisException as e:
+                message = str(e).splitlines()[0]
+                return Check(name, level, threshold, df.sparkSession.range(1), {}, _fixed("error", message))
+
+        return safe
+
+    return wrap
+
+
 # -- rendering helpers --------------------------------------------------------------------------
 
 
@@ -125,6 +142,13 @@ def _listed(items: Sequence[str], bad: str, good: str) -> Callable[..., Rendered
 # -- level 1: ingestion -------------------------------------------------------------------------
 
 
+def _missing(df: DataFrame, c: str) -> Column:
+    """Null, or not a number in a floating column."""
+    real = df.schema[c].dataType in (T.DoubleType(), T.FloatType())
+    return F.col(c).isNull() | F.isnan(c) if real else F.col(c).isNull()
+
+
+@guarded("pk_unique", 1, "0 duplicates")
 def pk_unique(df: DataFrame, columns: str | Sequence[str]) -> Check:
     """No two rows share a key. Counts all rows of duplicate groups; null equals null."""
     columns = [columns] if isinstance(columns, str) else list(columns)
@@ -143,7 +167,7 @@ def pk_unique(df: DataFrame, columns: str | Sequence[str]) -> Check:
 def required_nonnull(df: DataFrame, columns: Sequence[str], threshold: float = 0.01) -> Check:
     """Null rate of each column at most ``threshold``; an empty string is a value, a missing column an issue."""
     have = [c for c in columns if c in df.columns]
-    rates = {f"null_{c}": F.coalesce(F.avg(F.col(c).isNull().cast("int")), F.lit(0.0)) for c in have}
+    rates = {f"null_{c}": F.coalesce(F.avg(_missing(df, c).cast("int")), F.lit(0.0)) for c in have}
 
     def render(m):
         items = []
@@ -246,6 +270,7 @@ def row_count(df: DataFrame, expected: int | None = None, tolerance: float = 0.0
     return Check("row_count", 1, f"{shown} +/- {tolerance:.0%}", df, n, render)
 
 
+@guarded("row_count_match", 1, "exact match")
 def row_count_match(source: DataFrame, output: DataFrame) -> Check:
     """The output has exactly as many rows as the source."""
     counts = source.agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("o")).unionAll(
@@ -281,6 +306,7 @@ def _matched() -> dict[str, Column]:
     }
 
 
+@guarded("fk_match_rate", 2, "resolved")
 def fk_match_rate(
     df: DataFrame, fk: str, parent: DataFrame, pk: str, warn_threshold: float = 0.99, fail_threshold: float = 0.95
 ) -> Check:
@@ -298,6 +324,7 @@ def fk_match_rate(
     return Check("fk_match_rate", 2, shown, _fk_groups(df, fk, parent, pk), _matched(), render)
 
 
+@guarded("orphan_count", 2, "resolved")
 def orphan_count(
     df: DataFrame, fk: str, parent: DataFrame, pk: str, warn_above: float = 0.05, fail_above: float = 0.20
 ) -> Check:
@@ -319,6 +346,7 @@ def orphans_by_category(df: DataFrame, fk: str, parent: DataFrame, pk: str, cate
     return groups.where(F.col("_hit").isNull()).groupBy("category").agg(F.sum("_n").alias("n_orphans"))
 
 
+@guarded("orphan_distribution", 2, "no dominant category")
 def orphan_distribution(
     df: DataFrame, fk: str, parent: DataFrame, pk: str, category: str, max_share: float = 0.5
 ) -> Check:
@@ -342,6 +370,7 @@ def orphan_distribution(
     )
 
 
+@guarded("cardinality_bounds", 2, "max")
 def cardinality_bounds(df: DataFrame, group: str, max_expected: int) -> Check:
     """Largest group within bounds; null keys do not count."""
     if group not in df.columns:
@@ -363,6 +392,7 @@ def cardinality_bounds(df: DataFrame, group: str, max_expected: int) -> Check:
     return Check("cardinality_bounds", 2, f"max <= {max_expected:,}", top, measures, render)
 
 
+@guarded("cross_ref_consistency", 2, "match")
 def cross_ref_consistency(
     snapshot: DataFrame, current: DataFrame, key: str, snapshot_field: str, current_field: str, min_rate: float = 0.99
 ) -> Check:
@@ -388,6 +418,7 @@ def names_with_several_ids(df: DataFrame, name: str, identifier: str) -> DataFra
     return pairs.groupBy(name).agg(F.count(F.lit(1)).alias("n_ids")).where("n_ids > 1")
 
 
+@guarded("name_to_id_cardinality", 2, "no name maps to 2+ IDs")
 def name_to_id_cardinality(df: DataFrame, name: str, identifier: str) -> Check:
     return Check(
         "name_to_id_cardinality", 2, "no name maps to 2+ IDs", names_with_several_ids(df, name, identifier),
@@ -422,6 +453,7 @@ def count_sanity(df: DataFrame, low: int, high: int, entity: str) -> Check:
     )
 
 
+@guarded("spot_check_authoritative", 3, "all samples exact")
 def spot_check_authoritative(reconciled: DataFrame) -> Check:
     """All sampled rows agree exactly (see ``operators.reconcile``)."""
     return Check(
@@ -449,6 +481,7 @@ def manifest_differences(manifest: DataFrame, counts: DataFrame, table: str = "t
     return a.join(b, table, "full").withColumn("manifest_status", status)
 
 
+@guarded("manifest_consistency", 3, "exact match")
 def manifest_consistency(manifest: DataFrame, counts: DataFrame) -> Check:
     diff = manifest_differences(manifest, counts)
     return Check(
@@ -472,6 +505,7 @@ def coverage_by_type(df: DataFrame, kind: str, extracted: Column, good: float =
     )
 
 
+@guarded("extraction_coverage", 3, "rate per type")
 def extraction_coverage(df: DataFrame, kind: str, extracted: Column, good: float = 0.9, low: float = 0.8) -> Check:
     """The worst document type decides."""
     types = coverage_by_type(df, kind, extracted, good, low)
@@ -498,6 +532,7 @@ def only_original_reports(df: DataFrame, keys: Sequence[str], flag: str = "corre
     )
 
 
+@guarded("corrected_report_handling", 3, "corrected report present")
 def corrected_report_handling(df: DataFrame, keys: Sequence[str], flag: str = "corrected_report_flag", corrected: str = "Y") -> Check:
     return Check(
         "corrected_report_handling", 3, "corrected report present",

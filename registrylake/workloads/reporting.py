@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from registrylake.functions import filters
 from registrylake.operators import allocate, profile, reconcile
 from registrylake.quality import checks as Q
 from registrylake.tables.corrections import apply_corrections
@@ -63,6 +64,20 @@ def stratified_sample(spark, sf_dir):
     return reconcile.stratified_sample(rows, ["band"], ["o_orderkey"], 5, seed=7)
 
 
+@query(
+    f"""WITH s AS (SELECT o_orderkey FROM ({_BANDED}) QUALIFY ROW_NUMBER() OVER (PARTITION BY band ORDER BY md5('7|' || o_orderkey), o_orderkey) <= 5),
+    p AS (SELECT o_orderkey, strftime(o_orderdate, '%Y') AS prod_year, o_orderpriority, o_orderstatus FROM orders)
+    SELECT 'prod_year' AS dimension, (SELECT COUNT(DISTINCT prod_year) FROM p JOIN s USING (o_orderkey)) AS n_sampled, COUNT(DISTINCT prod_year) AS n_known FROM p
+    UNION ALL SELECT 'o_orderpriority', (SELECT COUNT(DISTINCT o_orderpriority) FROM p JOIN s USING (o_orderkey)), COUNT(DISTINCT o_orderpriority) FROM p
+    UNION ALL SELECT 'o_orderstatus', (SELECT COUNT(DISTINCT o_orderstatus) FROM p JOIN s USING (o_orderkey)), COUNT(DISTINCT o_orderstatus) FROM p"""
+)
+def sample_coverage(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").withColumn("prod_year", F.date_format("o_orderdate", "yyyy"))
+    band = reconcile.volume_band(F.col("o_totalprice"), F.col("o_custkey") * 10, high=450_000, low=20_000, gas_ratio=10)
+    sample = reconcile.stratified_sample(rows.withColumn("band", band), ["band"], ["o_orderkey"], 5, seed=7)
+    return reconcile.sample_coverage(sample, rows, ["prod_year", "o_orderpriority", "o_orderstatus"])
+
+
 # -- allocation --------------------------------------------------------------------------------
 
 _MONTH = "CAST(strftime(l_shipdate, '%Y%m') AS BIGINT)"
@@ -127,6 +142,15 @@ def allocate_skewed_lease(spark, sf_dir):
     return _allocation(spark, sf_dir, _LEASE, hot_rows=max(1, rows // 100))
 
 
+@query(
+    f"""SELECT api10, month, CAST(SUM(share) AS BIGINT) AS volume, COUNT(*) AS n_leases, MAX(n_wells) AS largest_lease
+    FROM ({_allocation_sql('l_suppkey', 'volume // n_wells')}) WHERE api10 IS NOT NULL GROUP BY 1, 2"""
+)
+def well_monthly_production(spark, sf_dir):
+    """Lease volumes shared out equally, summed per well."""
+    return allocate.well_production(_allocation(spark, sf_dir, "l_suppkey"))
+
+
 @query(
     f"""WITH {_PROD_SQL.format(lease='l_suppkey')} SELECT lease, CAST(SUM(volume) AS BIGINT) AS volume, TRUE AS shares_add_up FROM prod GROUP BY 1"""
 )
@@ -216,21 +240,18 @@ def coverage_counts(spark, sf_dir):
 
 @query(
     """SELECT c_custkey, c_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey
-    WHERE c_acctbal BETWEEN 1000 AND 5000 AND c_nationkey BETWEEN 3 AND 15 AND c_mktsegment IN ('BUILDING', 'MACHINERY')
-      AND (starts_with(right(c_name, 2), '7') OR starts_with(right(c_name, 2), '75') OR starts_with(right(c_name, 2), '1'))"""
+    WHERE c_acctbal / 100 BETWEEN 25.8 AND 36.5 AND -(c_nationkey + 90) BETWEEN -106.7 AND -93.5
+      AND (starts_with(c_mktsegment, 'BUILD') OR starts_with(c_mktsegment, 'MACH') OR starts_with(c_mktsegment, 'AUTO'))
+      AND n_name <> 'TX'"""
 )
 def bbox_prefix_filter(spark, sf_dir):
-    """Box, list and prefix filters for extracts."""
-    tail = F.right("c_name", F.lit(2))
+    """Box, state and prefix filters for extracts; balances and nations stand in for coordinates."""
     rows = table(spark, sf_dir, "customer").where(
-        F.col("c_acctbal").between(1000, 5000)
-        & F.col("c_nationkey").between(3, 15)
-        & F.col("c_mktsegment").isin("BUILDING", "MACHINERY")
-        & (tail.startswith("7") | tail.startswith("75") | tail.startswith("1"))
-    )
-    return rows.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey", "c_name", "n_name"
+        filters.in_box(F.col("c_acctbal") / 100, -(F.col("c_nationkey") + 90))
+        & filters.starts_with_any(F.col("c_mktsegment"), ("BUILD", "MACH", "AUTO"))
     )
+    joined = rows.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return joined.where(~filters.in_state(F.col("n_name"))).select("c_custkey", "c_name", "n_name")
 
 
 _POSTED = """SELECT l_suppkey AS lease_number, {fmt} AS posted, l_returnflag AS flag, l_orderkey, l_linenumber, l_partkey,

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from registrylake.functions import dates, ebcdic, keys, layout, packed, text
+from registrylake.functions import dates, ebcdic, filters, keys, layout, packed, text
 
 
 def column(spark, values, kind="string"):
@@ -130,6 +130,15 @@ def test_codes_address_and_display(spark):
     assert results(df, text.last_digits(F.col("v"))) == ["03137", "17", "12345"]
 
 
+def test_filters_and_labels(spark):
+    df = spark.createDataFrame([(30.0, -100.0, "78701", "2021", "05"), (40.0, -100.0, "80202", "2023", "13")], "lat double, lon double, zip string, y string, m string").coalesce(1)
+    rows = df.select(
+        filters.in_box(F.col("lat"), F.col("lon")), filters.starts_with_any(F.col("zip")), filters.in_state(F.lit("TX")),
+        dates.period_label(F.col("y"), F.col("m")),
+    ).collect()
+    assert [tuple(r) for r in rows] == [(True, True, True, "May 2021"), (False, False, True, None)]
+
+
 def test_layout_short_lines_and_replacement(spark):
     fields = layout.fields(("a", 0, 2), ("b", 2, 5), ("c", 90, 3))
     df = spark.createDataFrame([("xx  y  ",), ("x",), ("",)], "v string").coalesce(1)

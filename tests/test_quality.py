@@ -152,6 +152,19 @@ def test_a_check_that_cannot_run_is_an_error_and_the_others_run(spark):
     assert rows == {"broken": "error", "row_count": "pass"}
 
 
+@pytest.mark.parametrize("check", [
+    lambda df: Q.pk_unique(df, ["absent"]), lambda df: Q.fk_match_rate(df, "id", df, "absent"), lambda df: Q.orphan_count(df, "absent", df, "id"),
+    lambda df: Q.name_to_id_cardinality(df, "absent", "id"), lambda df: Q.corrected_report_handling(df, ["absent"]),
+])
+def test_absent_columns_are_errors(spark, check):
+    assert one(check(spark.range(3))).check_status == "error"
+
+
+def test_not_a_number_counts_as_missing(spark):
+    df = frame(spark, [(float("nan"),), (1.0,)], "x double")
+    assert one(Q.required_nonnull(df, ["x"])).notes == "x: 50.00% null (threshold 1%)"
+
+
 def test_single_scan_for_single_table_checks(spark, tmp_path):
     spark.range(10).selectExpr("cast(id as string) api10", "id % 2 = 0 flag").write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
