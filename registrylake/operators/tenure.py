@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from registrylake.functions.text import numeric_or_null
 from registrylake.plans.skew import by_key_in_order, neighbour
+from registrylake.session import materialise
 
 
 def operator_tenure(
@@ -40,6 +41,8 @@ def operator_tenure(
         part = neighbour(part, ["api10"], order, ["operator_name"], "_before", split)
         before = F.col("_before.operator_name")
         starts = part.where(before.isNull() | (before != F.col("operator_name"))).drop("_before")
+        if split:
+            starts = materialise(starts, "starts")  # read twice below: rows and chunk borders
         return neighbour(starts, ["api10"], order, ["effective_date"], "_next", split, forward=True)
 
     stays = by_key_in_order(rows, ["api10"], order, solve, hot_rows)

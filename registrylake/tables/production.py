@@ -89,14 +89,23 @@ MONTHLY_COLUMNS = (
 )
 
 
-def decode_field(rec: Column, f: TapeField) -> Column:
-    if f.kind == PACKED:
-        return packed_to_long(byte_slice(rec, f.start, f.length))
-    return text_slice(rec, f.start, f.length)
+def decode_fields(rec: Column, layout: Sequence[TapeField], names: Sequence[str] | None = None) -> dict[str, Column]:
+    """Columns by field name. The text fields are cut from one decoded stretch, so it is decoded once."""
+    wanted = [f for f in layout if names is None or f.name in names]
+    texts = [f for f in wanted if f.kind == TEXT]
+    begin = min((f.start for f in texts), default=0)
+    end = max((f.start + f.length for f in texts), default=0)
+    stretch = text_slice(rec, begin, end - begin)
+    return {
+        f.name: F.substring(stretch, f.start - begin + 1, f.length)
+        if f.kind == TEXT
+        else packed_to_long(byte_slice(rec, f.start, f.length))
+        for f in wanted
+    }
 
 
 def decode_segment(rec: Column, segment: str) -> list[Column]:
-    return [decode_field(rec, f).alias(f.name) for f in SEGMENTS[segment]]
+    return [c.alias(name) for name, c in decode_fields(rec, SEGMENTS[segment]).items()]
 
 
 def record_type(rec: Column) -> Column:
@@ -146,9 +155,11 @@ def segment_records(tape: DataFrame, segment: str) -> DataFrame:
     return found.select("record_index", *decode_segment(F.col("rec"), segment))
 
 
-def _parent_field(parent: str, f: TapeField) -> Column:
-    missing = F.lit(0).cast("bigint") if f.kind == PACKED else F.lit("")
-    return F.when(F.col(parent).isNull(), missing).otherwise(decode_field(F.col(parent), f))
+def _parent_fields(parent: str, layout: Sequence[TapeField], names: Sequence[str]) -> dict[str, Column]:
+    """Fields of the parent; "" and 0 without one (a packed null is 0 already)."""
+    kinds = {f.name: f.kind for f in layout}
+    cells = decode_fields(F.col(parent), layout, names)
+    return {n: F.coalesce(c, F.lit("")) if kinds[n] == TEXT else c for n, c in cells.items()}
 
 
 def production_monthly_undated(records: DataFrame) -> DataFrame:
@@ -158,9 +169,9 @@ def production_monthly_undated(records: DataFrame) -> DataFrame:
     """
     rows = records.where(record_type(F.col("rec")) == "03")
     source = {
-        **{f.name: decode_field(F.col("rec"), f) for f in PRODUCTION},
-        **{f.name: _parent_field("root_rec", f) for f in ROOT[:3]},
-        **{f.name: _parent_field("cycle_rec", f) for f in CYCLE if f.name in MONTHLY_COLUMNS},
+        **decode_fields(F.col("rec"), PRODUCTION, MONTHLY_COLUMNS),
+        **_parent_fields("root_rec", ROOT, MONTHLY_COLUMNS),
+        **_parent_fields("cycle_rec", CYCLE, MONTHLY_COLUMNS),
     }
     return rows.select(*[source[c].alias(c) for c in MONTHLY_COLUMNS])
 
@@ -181,7 +192,7 @@ def production_records_raw(records: DataFrame, run_ts: str) -> DataFrame:
         "record_index",
         record_type(F.col("rec")).alias("record_type"),
         F.lower(F.hex(byte_slice(F.col("rec"), 0, 40))).alias("raw_hex"),
-        *[_parent_field("root_rec", f).alias(f.name) for f in ROOT[1:3]],
+        *[c.alias(n) for n, c in _parent_fields("root_rec", ROOT, ("district", "lease_number")).items()],
         F.lit(run_ts).alias("scraped_at"),
     )
 
