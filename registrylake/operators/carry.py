@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK_RECORDS = 1 << 16
+MAX_CHUNKS = 100_000
 
 
 def carry_forward(
@@ -15,15 +16,18 @@ def carry_forward(
     index: str,
     contexts: Mapping[str, Column],
     group: Sequence[str] = (),
-    chunk_records: int = CHUNK_RECORDS,
+    chunk_records: int | None = None,
 ) -> DataFrame:
     """Add each context: its last non-null value at or before the row, in ``index`` order per ``group``.
 
     A file is one ordered sequence, so a window over it would be one task. Instead the sequence is cut
     into chunks of ``chunk_records`` positions, each carried alone; one row per chunk and context then
     hands the last value on to the later chunks. Both steps use (group, chunk), so the records shuffle
-    once.
+    once. By default a chunk grows with the data, so that a group has at most MAX_CHUNKS of these rows.
     """
+    if chunk_records is None:
+        span = df.agg((F.max(index) - F.min(index)).alias("span")).first()["span"] or 0
+        chunk_records = max(CHUNK_RECORDS, int(span) // MAX_CHUNKS + 1)
     names = list(contexts)
     at = F.col(index).cast("bigint")
     chunk = at - F.pmod(at, F.lit(chunk_records).cast("bigint"))

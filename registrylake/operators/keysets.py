@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BROADCAST_KEYS = 1_000_000
+
 
 def key_set_difference(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """One row: distinct keys only left, only right, and are the sets equal.
@@ -33,10 +35,12 @@ def first_n_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 
 
 def first_n_keys(df: DataFrame, key: str, order: Sequence[str], n: int) -> DataFrame:
-    """All rows of the first ``n`` distinct keys in order of appearance. At most ``n`` rows broadcast."""
+    """All rows of the first ``n`` distinct keys in order of appearance. They are broadcast while few."""
     firsts = df.groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))
     chosen = firsts.orderBy("_first").limit(n).select(F.col(key).alias("_k"))
-    return df.join(F.broadcast(chosen), df[key].eqNullSafe(chosen["_k"]), "left_semi")
+    if n <= BROADCAST_KEYS:
+        chosen = F.broadcast(chosen)
+    return df.join(chosen, df[key].eqNullSafe(chosen["_k"]), "left_semi")
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from registrylake.session import materialise
 
-HOT_ROWS_CONF = "registrylake.hotKeyRows"
+HOT_ROWS_CONF = "spark.registrylake.hotKeyRows"
 HOT_ROWS = 5_000_000
 MAX_HOT_KEYS = 100_000  # broadcast bound: at most this many keys are treated one by one
 SALTS = 512

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
-LOCAL_SCRATCH = "registrylake.localScratch"
+LOCAL_SCRATCH = "spark.registrylake.localScratch"
 
 
 def local_session(cores: int | str = 8, app: str = "registrylake", **conf: str) -> SparkSession:
@@ -30,6 +30,12 @@ def local_session(cores: int | str = 8, app: str = "registrylake", **conf: str)
     return spark
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20, least: int = 200) -> int:
+    """A value for ``spark.sql.shuffle.partitions``: AQE joins small partitions but never splits a plan
+    that starts with too few, so a cluster job over many terabytes should start with this many."""
+    return max(least, -(-input_bytes // target_bytes))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach.
 

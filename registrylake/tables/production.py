@@ -12,7 +12,7 @@ from registrylake.functions.dates import split_cycle_key
 from registrylake.functions.ebcdic import byte_slice, text_slice
 from registrylake.functions.packed import packed_to_long
 from registrylake.functions.text import LATIN_SPACE, strip
-from registrylake.operators.carry import CHUNK_RECORDS, carry_forward
+from registrylake.operators.carry import carry_forward
 from registrylake.session import materialise
 from registrylake.sources.fixed_records import (
     SPLIT_BYTES,
@@ -138,7 +138,7 @@ def read_tape_with_parents(
     return read_with_contexts(spark, files, contexts, _type_hex(*types), split_bytes)
 
 
-def with_parents(tape: DataFrame, chunk_records: int = CHUNK_RECORDS) -> DataFrame:
+def with_parents(tape: DataFrame, chunk_records: int | None = None) -> DataFrame:
     """The same for records that are already in a table."""
     kind = record_type(F.col("rec"))
     contexts = {

@@ -161,7 +161,7 @@ _CARRY_SQL = f"""
 
 @query(_CARRY_SQL)
 def carry_forward(spark, sf_dir):
-    return _carried(spark, sf_dir, carry.CHUNK_RECORDS)
+    return _carried(spark, sf_dir, None)
 
 
 @query(_CARRY_SQL)
