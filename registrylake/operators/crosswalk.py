@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from registrylake.functions.dates import numeric_date
@@ -13,12 +13,12 @@ from registrylake.plans.skew import divide_by_heat
 from registrylake.session import materialise
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
+def _pairs(rows: DataFrame, *more: Column) -> DataFrame:
     return rows.groupBy("api10", "lease_name").agg(
         F.min("_num").alias("_first_num"),
         F.max("_num").alias("_last_num"),
         F.count("_record").alias("n_completions"),
-        F.max("_last").alias("_last"),
+        *more,
     )
 
 
@@ -42,26 +42,27 @@ def lease_crosswalk(
         F.col(lease).alias("lease_name"),
         F.col(record).alias("_record"),
         num.alias("_num"),
-        F.struct(num.isNull().alias("bad"), num.alias("num"), *seq).alias("_last"),
+        F.struct(num.isNull().alias("bad"), num.alias("num"), *seq, F.col(lease).alias("tie")).alias("_place"),
     )
-    # The rows of an ordinary well shuffle once, by well: its pairs and its current lease come from there.
     cold, hot, _ = divide_by_heat(rows, ["api10"], hot_rows)
-    well = Window.partitionBy("api10")
-    marked = _pairs(cold.repartition("api10")).withColumn(
-        "_current", F.max_by("lease_name", "_last").over(well)
-    )
+    # The rows of an ordinary well shuffle once, by well. Marking the last row first leaves only fixed-width
+    # values to aggregate, so the pairs come out of a hash aggregate.
+    last = F.max("_place").over(Window.partitionBy("api10"))
+    marked = cold.repartition("api10").withColumn("_is_last", F.col("_place").eqNullSafe(last))
+    pairs = _pairs(marked, F.max("_is_last").alias("is_current"))
     if hot is not None:
         # A hot well's rows combine to pairs before the shuffle; at most MAX_HOT_KEYS wells are broadcast.
-        pairs = materialise(_pairs(hot), "pairs")
-        last = pairs.groupBy("api10").agg(F.max_by("lease_name", "_last").alias("_current"))
-        marked = marked.unionByName(pairs.join(F.broadcast(last), "api10"))
-    current = F.col("_current") == F.col("lease_name")
-    return marked.select(
+        hot_pairs = materialise(_pairs(hot, F.max("_place").alias("_place")), "pairs")
+        wells = hot_pairs.groupBy("api10").agg(F.max("_place").alias("_last"))
+        joined = hot_pairs.join(F.broadcast(wells), "api10")
+        is_last = F.col("_place").eqNullSafe(F.col("_last"))
+        pairs = pairs.unionByName(joined.select(*pairs.columns[:-1], is_last.alias("is_current")))
+    return pairs.select(
         "api10",
         "lease_name",
         numeric_date(F.col("_first_num")).alias("effective_date"),
-        F.when(~current, numeric_date(F.col("_last_num"))).alias("termination_date"),
-        current.alias("is_current"),
+        F.when(~F.col("is_current"), numeric_date(F.col("_last_num"))).alias("termination_date"),
+        "is_current",
         "n_completions",
         F.lit("").alias("district"),
     )

@@ -55,9 +55,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/registrylake/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/registrylake/{label}-{uuid.uuid4().hex}"
+    return f"{_own_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Drop this application's intermediate tables; DataFrames that still read them end to work."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:

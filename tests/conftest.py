@@ -5,11 +5,12 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from registrylake.session import local_session  # noqa: E402
+from registrylake.session import clear_scratch, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(4, "tests", **{"spark.sql.shuffle.partitions": "4"})
     yield session
+    clear_scratch(session)
     session.stop()
