@@ -36,6 +36,10 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20, leas
     return max(least, -(-input_bytes // target_bytes))
 
 
+def _named_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
@@ -43,7 +47,7 @@ def shared_folder(spark: SparkSession) -> str:
     local one (tests, laptop) is a temporary folder made; on a cluster a missing setting is an error,
     because a machine-local folder would lose data with its machine.
     """
-    folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    folder = _named_folder(spark)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

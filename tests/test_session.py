@@ -6,10 +6,7 @@ from registrylake import session
 
 
 def test_the_cluster_names_the_folder(spark, tmp_path, monkeypatch):
-    real = spark.conf.get
-    monkeypatch.setattr(
-        type(spark.conf), "get", lambda self, key, *d: f"file:{tmp_path}/" if key == session.CHECKPOINT_CONF else real(key, *d)
-    )
+    monkeypatch.setattr(session, "_named_folder", lambda spark: f"file:{tmp_path}/")
     assert session.shared_folder(spark) == f"file:{tmp_path}"
     kept = session.materialise(spark.range(5), "five")
     assert kept.count() == 5 and list(tmp_path.glob("registrylake/*/five-*/*.parquet"))
@@ -18,12 +15,9 @@ def test_the_cluster_names_the_folder(spark, tmp_path, monkeypatch):
 
 
 def test_without_a_folder_only_a_local_session_goes_on(spark, monkeypatch):
-    real = spark.conf.get
-    unset = lambda self, key, *d: d[0] if key == session.CHECKPOINT_CONF else real(key, *d)
-    monkeypatch.setattr(type(spark.conf), "get", unset)
-    monkeypatch.setattr(type(spark.sparkContext.getConf()), "get", lambda self, key, *d: None)
+    monkeypatch.setattr(session, "_named_folder", lambda spark: None)
     assert session.shared_folder(spark) == session.shared_folder(spark)
-    monkeypatch.setattr(type(spark.sparkContext), "master", "spark://somewhere:7077")
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://somewhere:7077")
     with pytest.raises(RuntimeError, match="checkpoint"):
         session.shared_folder(spark)
 
