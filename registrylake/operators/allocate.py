@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from registrylake.plans.skew import bring_to_rows
@@ -32,47 +34,42 @@ def allocate_to_wells(
     with one well are given to it). What goes to no well keeps a row with a null well, so shares always
     add up to the lease volume.
 
-    The months of a lease are bounded by the calendar, its wells are not: so the months travel to the
-    wells, as one array per lease, and hot leases are spread by ``bring_to_rows``.
+    How many wells (how much weight) a lease-month has is a running sum over the lease's starts and ends,
+    counted per month: calendar-sized however many wells there are. The months then travel to the wells, as
+    one array per lease, and hot leases are spread by ``bring_to_rows``: the wells are joined once.
     """
     if method not in ("equal", "proportional", "single"):
         raise ValueError(method)
     prod = production.groupBy(*lease, F.col(month).alias("month")).agg(F.sum(volume).alias("volume"))
-    share_weight = F.col(weight).cast("double") if method == "proportional" else F.lit(1.0)
-    active_from = F.col(effective)
-    spans = wells.select(
+    exact = "decimal(38,10)"  # sums of weights that come and go leave no rounding residue
+    spans = wells.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in lease])).select(
         *lease,
         F.col(well).alias("api10"),
-        active_from.alias("_from"),
+        F.col(effective).alias("_from"),
         F.col(termination).alias("_to"),
-        share_weight.alias("_weight"),
+        (F.col(weight) if method == "proportional" else F.lit(1)).cast(exact).alias("_weight"),
     )
+    spans = spans.where("_from is null or _to is null or _from < _to")
+
+    months = _months_with_wells(prod, spans, lease)
+    fits = (F.col("n_wells") == 1) if method == "single" else (F.col("n_wells") > 0) & (F.col("_total") > 0)
+    given = months.withColumn("_given", F.coalesce(fits, F.lit(False)))
     per_lease = (
-        prod.groupBy(*lease)
-        .agg(F.collect_list(F.struct("month", "volume")).alias("_months"))
-        .join(spans.groupBy(*lease).agg(F.count(F.lit(1)).alias("_wells")), lease)
+        given.where("_given")
+        .groupBy(*lease)
+        .agg(
+            F.collect_list(F.struct("month", "volume", "n_wells", "_total")).alias("_months"),
+            F.max("_wells").alias("_wells"),
+        )
         .withColumn("_out", F.col("_wells") * F.size("_months"))
     )
     spread = bring_to_rows(spans, per_lease, lease, ["_months"], "_out", hot_rows)
-    active = (
-        spread.select(*lease, "api10", "_from", "_to", "_weight", F.explode("_months").alias("_m"))
-        .select(*lease, "api10", "_from", "_to", "_weight", "_m.*")
-        .where("(_from is null or _from <= month) and (_to is null or month < _to)")
-        .drop("_from", "_to")
-    )
-    per_month = active.groupBy(*lease, "month").agg(
-        F.count(F.lit(1)).alias("n_wells"), F.sum("_weight").alias("_total")
+    active = spread.select("*", F.explode("_months").alias("_m")).where(
+        "(_from is null or _from <= _m.month) and (_to is null or _m.month < _to)"
     )
-    counted = bring_to_rows(active, per_month, [*lease, "month"], ["n_wells", "_total"], "n_wells", hot_rows)
-    if method == "single":
-        counted = counted.where("n_wells = 1")
-        per_month = per_month.where("n_wells = 1")
-    share = F.when(F.col("_total") > 0, F.col("volume") * F.col("_weight") / F.col("_total"))
-    shared = counted.select(*lease, "month", "api10", "n_wells", "volume", share.alias("share"))
-    if method == "proportional":
-        per_month = per_month.where("_total > 0")
-        shared = shared.where(F.col("share").isNotNull())
-    rest = prod.join(per_month.select(*lease, "month"), [*lease, "month"], "left_anti").select(
+    portion = F.col("_m.volume") * F.col("_weight").cast("double") / F.col("_m._total").cast("double")
+    shared = active.select(*lease, "_m.month", "api10", "_m.n_wells", "_m.volume", portion.alias("share"))
+    rest = given.where("not _given").select(
         *lease,
         "month",
         F.lit(None).cast(wells.schema[well].dataType).alias("api10"),
@@ -83,6 +80,33 @@ def allocate_to_wells(
     return shared.unionByName(rest)
 
 
+def _months_with_wells(prod: DataFrame, spans: DataFrame, lease: list[str]) -> DataFrame:
+    """Lease-months with ``n_wells`` and ``_total`` weight active then, and ``_wells`` of the lease at all."""
+    start = F.struct(F.col("_from").alias("month"), F.lit(1).alias("n"), F.col("_weight").alias("w"))
+    end = F.struct(F.col("_to").alias("month"), F.lit(-1).alias("n"), (-F.col("_weight")).alias("w"))
+    both = F.when(F.col("_to").isNull(), F.array(start)).otherwise(F.array(start, end))
+    changes = (
+        spans.select(*lease, F.explode(both).alias("_c"))
+        .groupBy(*lease, F.col("_c.month").alias("month"))
+        .agg(F.sum("_c.n").alias("_n"), F.sum("_c.w").alias("_w"), F.count_if(F.col("_c.n") > 0).alias("_starts"))
+    )
+    rows = changes.withColumn("_is_month", F.lit(False)).unionByName(
+        prod.withColumn("_is_month", F.lit(True)), allowMissingColumns=True
+    )
+    so_far = Window.partitionBy(*lease).orderBy(F.col("month").asc_nulls_first(), "_is_month")
+    so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = rows.select(
+        *lease,
+        "month",
+        "volume",
+        "_is_month",
+        F.coalesce(F.sum("_n").over(so_far), F.lit(0)).cast("bigint").alias("n_wells"),
+        F.sum("_w").over(so_far).alias("_total"),
+        F.sum("_starts").over(Window.partitionBy(*lease)).alias("_wells"),
+    )
+    return counted.where("_is_month").drop("_is_month")
+
+
 def well_production(shares: DataFrame) -> DataFrame:
     """Monthly production per well over all its leases; what went to no well is left out."""
     wells = shares.where(F.col("api10").isNotNull())
