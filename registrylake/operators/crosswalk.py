@@ -4,21 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from registrylake.functions.dates import numeric_date
 from registrylake.functions.text import numeric_or_null
 from registrylake.plans.skew import divide_by_heat
-from registrylake.session import materialise
 
 
-def _pairs(rows: DataFrame, *more: Column) -> DataFrame:
-    return rows.groupBy("api10", "lease_name").agg(
+def _pairs(rows: DataFrame) -> DataFrame:
+    marked = rows.withColumn("_is_last", F.col("_place").eqNullSafe(F.col("_last")))
+    return marked.groupBy("api10", "lease_name").agg(
         F.min("_num").alias("_first_num"),
         F.max("_num").alias("_last_num"),
         F.count("_record").alias("n_completions"),
-        *more,
+        F.max("_is_last").alias("is_current"),
     )
 
 
@@ -45,18 +45,15 @@ def lease_crosswalk(
         F.struct(num.isNull().alias("bad"), num.alias("num"), *seq, F.col(lease).alias("tie")).alias("_place"),
     )
     cold, hot, _ = divide_by_heat(rows, ["api10"], hot_rows)
-    # The rows of an ordinary well shuffle once, by well. Marking the last row first leaves only fixed-width
-    # values to aggregate, so the pairs come out of a hash aggregate.
+    # Marking each well's last row first leaves only fixed-width values to aggregate per pair, which Spark
+    # does in hash aggregates. The rows of an ordinary well shuffle once, by well.
     last = F.max("_place").over(Window.partitionBy("api10"))
-    marked = cold.repartition("api10").withColumn("_is_last", F.col("_place").eqNullSafe(last))
-    pairs = _pairs(marked, F.max("_is_last").alias("is_current"))
+    pairs = _pairs(cold.repartition("api10").withColumn("_last", last))
     if hot is not None:
-        # A hot well's rows combine to pairs before the shuffle; at most MAX_HOT_KEYS wells are broadcast.
-        hot_pairs = materialise(_pairs(hot, F.max("_place").alias("_place")), "pairs")
-        wells = hot_pairs.groupBy("api10").agg(F.max("_place").alias("_last"))
-        joined = hot_pairs.join(F.broadcast(wells), "api10")
-        is_last = F.col("_place").eqNullSafe(F.col("_last"))
-        pairs = pairs.unionByName(joined.select(*pairs.columns[:-1], is_last.alias("is_current")))
+        # The last rows of at most MAX_HOT_KEYS wells are broadcast; a hot well's rows stay where they are
+        # and combine to pairs before the shuffle.
+        lasts = hot.groupBy("api10").agg(F.max("_place").alias("_last"))
+        pairs = pairs.unionByName(_pairs(hot.join(F.broadcast(lasts), "api10")))
     return pairs.select(
         "api10",
         "lease_name",

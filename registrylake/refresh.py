@@ -110,8 +110,8 @@ def inspections(
     spark: SparkSession, landing: str, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
 ) -> DataFrame:
     """fact_inspections and its identical raw twin."""
-    rows = read_delimited(spark, newest(spark, landing, "inspections"))
-    rows = inspections_table.inspections(rows.limit(subset) if subset else rows, run_ts)
+    rows = read_delimited(spark, newest(spark, landing, "inspections"), first=subset)
+    rows = inspections_table.inspections(rows, run_ts)
     _publish(rows, lake, "fact_inspections_raw", run_ts, gate)
     return _publish(spark.read.parquet(f"{lake}/fact_inspections_raw"), lake, "fact_inspections", run_ts, gate)
 

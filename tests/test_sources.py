@@ -170,3 +170,15 @@ def test_delimited_trailing_separators(spark, tmp_path):
     got = sorted(map(tuple, delimited.read_delimited(spark, str(path)).collect()))
     assert got == sorted([("1", None), ("4}4}4", "x"), ("5", None), ("6", "}")], key=repr)
     assert delimited.overlong_rows(spark, str(path)).first().n_dropped == 2
+
+
+def test_first_delimited_rows_in_file_order(spark, tmp_path):
+    path = tmp_path / "big.txt"
+    path.write_text("id}v\n" + "".join(f"{i}}}{'x' * (i % 50)}\n" if i % 7 else f"{i}}}a}}b\n" for i in range(3000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        got = [int(r.id) for r in delimited.read_delimited(spark, str(path), first=1500).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(got) == [i for i in range(3000) if i % 7][:1500]
