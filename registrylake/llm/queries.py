@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrylake.llm import mixing, rendezvous
+from registrylake.llm import mixing, rendezvous, repair
+from registrylake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
+END_ID = 2
 SHARDS = 40
 # crc32 of UTF-8 bytes in DuckDB: the table from its rule, then one step a byte
 SQL_CRC = """
@@ -107,3 +109,16 @@ FROM k JOIN b USING (key)
 def op7_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = rendezvous.shard_documents(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op1_repair_token_ids")
+def op1_repair_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-ids")
+    repair.write_shards(table(spark, sf_dir, "documents"), path, _tokenizer("byte_bpe_50k.json"), END_ID)
+    return repair.read_documents(spark, path)
