@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrylake.llm import mixing, rendezvous, repair
+from registrylake.llm import editcount, mixing, rendezvous, repair, spacedseeds
 from registrylake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +122,22 @@ def op1_repair_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
     repair.write_shards(table(spark, sf_dir, "documents"), path, _tokenizer("byte_bpe_50k.json"), END_ID)
     return repair.read_documents(spark, path)
+
+
+#: mail addresses, IPv4 addresses, runs of 13 to 19 digits and of 32 or more hexadecimal digits
+PERSONAL = r"[\w.+-]+@[\w-]+\.[\w.]*\w|\b\d{1,3}(?:\.\d{1,3}){3}\b|\b\d{13,19}\b|\b[0-9a-f]{32,}\b"
+
+
+@query("op4_edit_aware_counts")
+def op4_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts before and after personal data and secrets are masked."""
+    path = _tokenizer("byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = editcount.count_trees(editcount.replacing_edits(docs, PERSONAL, "[masked]"), path)
+    return editcount.recount(trees, path).select("doc_id", "n_before", "n_edits", "n_tokens", "n_leaves", "n_redone")
+
+
+@query("op6_spaced_seed_decontamination")
+def op6_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = spacedseeds.mark_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return marked.drop("text_hash")
