@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrylake.llm import editcount, mixing, rendezvous, repair, spacedseeds
+from registrylake.llm import capfilters, editcount, mixing, rendezvous, repair, spacedseeds
 from registrylake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,3 +141,8 @@ def op4_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = spacedseeds.mark_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return marked.drop("text_hash")
+
+
+@query("op3_cap_filter_links")
+def op3_cap_filter_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capfilters.link_vectors(table(spark, sf_dir, "embeddings"), 0.95)
