@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrylake.llm import capfilters, editcount, mixing, rendezvous, repair, spacedseeds
+from registrylake.llm import capfilters, editcount, indexing, mixing, rendezvous, repair, spacedseeds, zstdclass
 from registrylake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,3 +146,18 @@ def op6_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
 @query("op3_cap_filter_links")
 def op3_cap_filter_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capfilters.link_vectors(table(spark, sf_dir, "embeddings"), 0.95)
+
+
+def _scored(scores: DataFrame, least: float) -> DataFrame:
+    held = F.coalesce(indexing.held_out(F.col("doc_id")), F.lit(False))
+    return scores.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+@query("op8_random_indexing_quality")
+def op8_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(indexing.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), 0.5)
+
+
+@query("op10_compression_toxicity")
+def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(zstdclass.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), 0.7)

@@ -39,26 +39,29 @@ ROW = (
 
 
 def _slots(pairs: np.ndarray) -> np.ndarray:
-    return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE_BITS)).view(np.int64)
+    return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE_BITS)).astype(np.int32)
 
 
-def _chosen(rank: np.ndarray) -> np.ndarray:
-    """Places whose pair wins over the overlapping pairs left and right; in runs of one pair every other place."""
-    place = np.arange(len(rank))
-    new = np.ones(len(rank), bool)
-    new[1:] = rank[1:] != rank[:-1]
-    run = np.maximum.accumulate(np.where(new, place, 0))
-    won = (rank >= 0) & ((place - run) % 2 == 0)
-    # -1 is no candidate; a lower rank is a more frequent pair
-    left = np.where(rank[:-1] < 0, np.iinfo(rank.dtype).max, rank[:-1])
-    right = np.where(rank[1:] < 0, np.iinfo(rank.dtype).max, rank[1:])
-    won[1:] &= rank[1:] <= left
-    won[:-1] &= rank[:-1] <= right
-    return np.flatnonzero(won)
+def _chosen(place: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which candidates win over the overlapping ones left and right; in runs of one pair every other place.
+
+    ``place`` is ascending; candidates at neighbouring places overlap. A lower rank is a more frequent pair.
+    """
+    touch = place[1:] == place[:-1] + 1
+    at = np.arange(len(place))
+    new = np.ones(len(place), bool)
+    new[1:] = ~touch | (rank[1:] != rank[:-1])
+    won = (at - np.maximum.accumulate(np.where(new, at, 0))) % 2 == 0
+    won[1:] &= ~touch | (rank[1:] <= rank[:-1])
+    won[:-1] &= ~touch | (rank[:-1] <= rank[1:])
+    return won
 
 
 def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    """(first rule, rules as pairs, expansion lengths, sequence) of a run of ids."""
+    """(first rule, rules as pairs, expansion lengths, sequence) of a run of ids.
+
+    Pairs are counted in a table by hash. Of pairs that share a slot one is looked at in a round; the others wait.
+    """
     first = int(ids.max()) + 1 if len(ids) else 0
     seq = ids.astype(np.int64)
     rules, lengths, n_rules = [], [], 0
@@ -69,30 +72,35 @@ def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
         slot = _slots(pairs)
         seen = np.bincount(slot, minlength=1 << TABLE_BITS)
         least = max(MIN_PAIRS, int(seen.max()) // FALL) if least is None else max(MIN_PAIRS, least // FALL)
-        often = np.flatnonzero(seen[slot] >= least)
-        found, counts = np.unique(pairs[often], return_counts=True)
-        found, counts = found[counts >= least], counts[counts >= least]
-        if len(found):
-            found = found[np.argsort(-counts, kind="stable")]
-            # the more frequent pair keeps a slot; another pair of the slot waits for a later round
-            table, place = np.full(1 << TABLE_BITS, -1, np.int64), np.arange(len(found))[::-1]
-            table[_slots(found)[::-1]] = place
-            rank = np.full(len(pairs), -1, np.int64)
-            at = table[slot[often]]
-            rank[often] = np.where((at >= 0) & (found[at] == pairs[often]), at, -1)
-            won = _chosen(rank)
-            uses = np.bincount(rank[won], minlength=len(found))
-            used = np.flatnonzero(uses >= 2)
-            number = np.full(len(found), -1, np.int64)
+        place = np.flatnonzero((seen >= least)[slot])
+        pairs, slot = pairs[place], slot[place]
+        held = np.zeros(1 << TABLE_BITS, np.int64)
+        held[slot] = pairs
+        same = held[slot] == pairs
+        place, slot = place[same], slot[same]
+        counts = np.bincount(slot, minlength=1 << TABLE_BITS)
+        often = np.flatnonzero(counts >= least)
+        if len(often):
+            often = often[np.argsort(-counts[often], kind="stable")]
+            order = np.full(1 << TABLE_BITS, -1, np.int32)
+            order[often] = np.arange(len(often))
+            rank = order[slot]
+            place, rank = place[rank >= 0], rank[rank >= 0]
+            won = _chosen(place, rank)
+            place, rank = place[won], rank[won]
+            used = np.flatnonzero(np.bincount(rank, minlength=len(often)) >= 2)
+            number = np.full(len(often), -1, np.int64)
             number[used] = first + n_rules + np.arange(len(used))
-            won = won[number[rank[won]] >= 0]
-            rules.append(np.stack([found[used] >> 32, found[used] & 0xFFFFFFFF], axis=1))
+            number = number[rank]
+            place, number = place[number >= 0], number[number >= 0]
+            pair = held[often[used]]
+            rules.append(np.stack([pair >> 32, pair & 0xFFFFFFFF], axis=1))
             lengths.append(size[rules[-1]].sum(axis=1))
             size = np.concatenate([size, lengths[-1]])
             n_rules += len(used)
-            seq[won] = number[rank[won]]
+            seq[place] = number
             keep = np.ones(len(seq), bool)
-            keep[won + 1] = False
+            keep[place + 1] = False
             seq = seq[keep]
         if least == MIN_PAIRS:
             break
@@ -100,13 +108,12 @@ def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     return first, rule_table, (np.concatenate(lengths) if lengths else np.zeros(0, np.int64)), seq
 
 
-def expand(seq: np.ndarray, first: int, rules: np.ndarray) -> np.ndarray:
-    """The ids that symbols stand for. Rules only name earlier symbols, so each pass opens one more level."""
-    seq = seq.astype(np.int64)
+def _opened(seq: np.ndarray, first: int, rules: np.ndarray) -> np.ndarray:
+    """Open the nonterminals of ``seq`` pass by pass; rules only name earlier symbols."""
     while True:
         open_ = seq >= first
         if not open_.any():
-            return seq.astype(np.uint32)
+            return seq
         at = np.arange(len(seq)) + np.cumsum(open_) - open_
         out = np.empty(len(seq) + int(open_.sum()), np.int64)
         pair = rules[seq[open_] - first]
@@ -115,13 +122,26 @@ def expand(seq: np.ndarray, first: int, rules: np.ndarray) -> np.ndarray:
         seq = out
 
 
+def expand(seq: np.ndarray, first: int, rules: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The ids that symbols stand for: every rule is opened once, then each symbol is looked up."""
+    if not len(seq):
+        return np.zeros(0, np.uint32)
+    opened = _opened(np.arange(first, first + len(rules)), first, rules)
+    flat = np.concatenate([np.arange(first), opened]).astype(np.uint32)
+    size = np.concatenate([np.ones(first, np.int64), lengths])
+    start = np.cumsum(size) - size
+    n = size[seq]
+    ends = np.cumsum(n)
+    return flat[np.repeat(start[seq] - (ends - n), n) + np.arange(ends[-1])]
+
+
 def _u32(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<u4").astype(np.int64)
 
 
 def decode(row: dict) -> np.ndarray:
     """All ids of a shard."""
-    return expand(_u32(row["sequence"]), row["first_rule"], _u32(row["rules"]).reshape(-1, 2))
+    return expand(_u32(row["sequence"]), row["first_rule"], _u32(row["rules"]).reshape(-1, 2), _u32(row["lengths"]))
 
 
 def decode_span(row: dict, start: int, stop: int) -> np.ndarray:
@@ -134,7 +154,7 @@ def decode_span(row: dict, start: int, stop: int) -> np.ndarray:
         return np.zeros(0, np.uint32)
     a, b = np.searchsorted(ends, start, side="right"), np.searchsorted(ends, stop, side="left")
     skip = start - (int(ends[a - 1]) if a else 0)
-    ids = expand(seq[a : b + 1], first, _u32(row["rules"]).reshape(-1, 2))
+    ids = expand(seq[a : b + 1], first, _u32(row["rules"]).reshape(-1, 2), _u32(row["lengths"]))
     return ids[skip : skip + stop - start]
 
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 import numpy as np
 
-CACHED_PIECES = 600_000  # a memory bound (about 100 MB): a full table starts anew
+CACHED_PIECES = 1_200_000  # a memory bound (about 200 MB): a full table starts anew
 _ENCODERS: dict[str, Encoder] = {}
 
 
