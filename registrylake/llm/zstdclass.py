@@ -35,7 +35,9 @@ SAMPLE_ROWS = 4000  # of each kind at most, those with the smallest hash of thei
 SAMPLE_CHARS = 8_000_000  # of each kind at most
 ORDINARY_BYTES, TOXIC_BYTES = 16 << 10, 8 << 10
 RATIO = 8  # a toxic word is at least so much more frequent in toxic text
-SHORTEST = 3  # characters of a toxic word
+SHORTEST = 3  # bytes of a toxic word
+STEMS = (4, 5, 6)  # letters of a stem
+COVERED = 0.8
 NUMBERS = 8
 
 _NOISE = re.compile(r"[\W_]+")
@@ -78,21 +80,43 @@ def _contexts(texts: Sequence[bytes]) -> tuple[dict[bytes, int], int]:
     return {w: int(counts[i]) for w, i in names.items()}, len(first)
 
 
+def _with_stems(counts: dict[bytes, int]) -> dict[bytes, int]:
+    """The counts of words (a space on both sides) and of their first letters (a space before)."""
+    out: dict[bytes, int] = {}
+    for word, k in counts.items():
+        out[b" " + word + b" "] = k
+        letters = word.decode()
+        for n in STEMS:
+            if len(letters) > n:
+                stem = b" " + letters[:n].encode()
+                out[stem] = out.get(stem, 0) + k
+    return out
+
+
 def toxic_words(toxic: Sequence[bytes], ordinary: Sequence[bytes]) -> list[bytes]:
-    """Words far more frequent in toxic text, the most telling last (nearest to a window)."""
+    """Words and stems far more frequent in toxic text; whole words and the most telling last (nearest to a window)."""
     a, n_a = _contexts(toxic)
     b, n_b = _contexts(ordinary)
+    a, b = _with_stems(a), _with_stems(b)
     least = 2 * np.log(max(2, len(a.keys() | b.keys())))
     found = []
     for word, k in a.items():
         other = b.get(word, 0)
-        if k < 2 or len(word) < SHORTEST or k * n_b < RATIO * other * n_a:
+        if k < 2 or len(word.strip()) < SHORTEST or k * n_b < RATIO * other * n_a:
             continue
         expected = (k + other) * n_a / (n_a + n_b)
         ratio = 2 * (k * np.log(k / expected) + (other * np.log(other / (k + other - expected)) if other else 0))
         if ratio >= least:
-            found.append((ratio, word))
-    return [w for _, w in sorted(found)]
+            found.append((word.endswith(b" "), ratio, word))
+    # a stem that one longer piece mostly stands for says nothing more
+    covered: dict[bytes, int] = {}
+    for _, _, word in found:
+        letters = word.strip().decode()
+        for n in STEMS:
+            if n < len(letters):
+                stem = b" " + letters[:n].encode()
+                covered[stem] = max(covered.get(stem, 0), a[word])
+    return [w for whole, _, w in sorted(found) if whole or covered.get(w, 0) < COVERED * a[w]]
 
 
 def dictionaries(toxic: Sequence[bytes], ordinary: Sequence[bytes]) -> tuple[bytes, bytes]:
@@ -104,7 +128,7 @@ def dictionaries(toxic: Sequence[bytes], ordinary: Sequence[bytes]) -> tuple[byt
         common = zstandard.train_dictionary(ORDINARY_BYTES, windows).as_bytes()
     except zstandard.ZstdError:  # too little text to train on: the text itself is the dictionary
         common = b"".join(windows)[-ORDINARY_BYTES:]
-    words = b"".join(b" " + w + b" " for w in toxic_words(toxic, ordinary))[-TOXIC_BYTES:]
+    words = b"".join(toxic_words(toxic, ordinary))[-TOXIC_BYTES:]
     return b"\0" * len(words) + common, words + common
 
 
