@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrylake.llm import capfilters, editcount, indexing, mixing, rendezvous, repair, spacedseeds, zstdclass
+from registrylake.llm import capfilters, editcount, indexing, mixing, probminhash, rendezvous, repair, spacedseeds, zstdclass
 from registrylake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,3 +161,9 @@ def op8_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_compression_toxicity")
 def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(zstdclass.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), 0.7)
+
+
+@query("op2_probminhash_classes")
+def op2_probminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = probminhash.near_classes(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.col("doc_id") == F.col("class_id"))
