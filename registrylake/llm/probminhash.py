@@ -1,9 +1,11 @@
 """Near-duplicate documents by ProbMinHash over weighted word shingles.
 
-A document is its shingles of five words, weighted by how often they occur; similarity is the probability Jaccard index. Each
-shingle sends points at the times of a Poisson process whose rate is its weight; a point falls on one of ``SIZE`` places, and
-a signature holds the shingle whose point came first there. A shingle stops once its next point is later than the
-latest place. The share of equal places estimates similarity; bands of places are join keys.
+A document is its shingles of five words; one that occurs n times weighs 1 + ln n, so that a phrase said hundreds of times
+does not outweigh the rest. Each shingle sends points at the times of a Poisson process whose rate is its weight; a point falls
+on one of ``SIZE`` places, and a signature holds the shingle whose point came first there. A shingle stops once its next point
+is later than the latest place. The share of equal places estimates the probability Jaccard index of the weighted shingles;
+bands of places are join keys. Pairs that come out of them are verified on their texts: the Jaccard index of the distinct
+shingles must reach the limit.
 
 Texts of equal word sequences are one text first. Of documents that share a bucket only a spanning forest of the most similar
 pairs is compared exactly; then only pairs between different classes that still share a bucket are, all whose
@@ -21,7 +23,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from registrylake.llm.links import classes
@@ -38,8 +40,12 @@ BLOCK = 512
 _WORDS = HashedWords()
 
 
+def weights_of(counts: np.ndarray) -> np.ndarray:
+    return 1 + np.log(counts)
+
+
 def shingles(flat: np.ndarray, ends: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Distinct shingles and their weights for each text."""
+    """Distinct shingles and their counts for each text."""
     hashes, _, text = windows(flat, ends, SHINGLE)
     bounds = np.searchsorted(text, np.arange(len(ends)))
     out = []
@@ -58,11 +64,11 @@ def _uniform(x: np.ndarray) -> np.ndarray:
 
 
 def signatures(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """A row of SIZE shingle hashes for each set; zeros for an empty one."""
+    """A row of SIZE shingle hashes for each set of shingles and counts; zeros for an empty one."""
     n = len(sets)
     owner = np.repeat(np.arange(n), [len(s) for s, _ in sets])
     shingle = np.concatenate([s for s, _ in sets]) if n else np.zeros(0, np.uint64)
-    weight = np.concatenate([w for _, w in sets]).astype(np.float64) if n else np.zeros(0)
+    weight = weights_of(np.concatenate([w for _, w in sets])) if n else np.zeros(0)
     first = np.full(n * SIZE, np.inf)
     found = np.zeros(n * SIZE, np.uint64)
     time, state = np.zeros(len(owner)), mix(shingle)
@@ -79,25 +85,10 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     return found.reshape(n, SIZE)
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """The exact probability Jaccard index of two weighted sets."""
-    names, at = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
-    x, y = np.zeros(len(names)), np.zeros(len(names))
-    x[at[: len(a[0])]], y[at[len(a[0]) :]] = a[1], b[1]
-    if not len(names):
-        return 0.0
-    both = (x > 0) & (y > 0)
-    if not both.any():
-        return 0.0
-    if x.max() == y.max() == 1:
-        return float(both.sum()) / len(names)
-    ratio = np.where(y > 0, x / np.where(y > 0, y, 1), np.inf)
-    order = np.argsort(ratio, kind="stable")
-    ranked = ratio[order]
-    low_y = np.concatenate([[0.0], np.cumsum(y[order])])
-    high_x = x.sum() - np.concatenate([[0.0], np.cumsum(x[order])])
-    at = np.searchsorted(ranked, ratio[both], side="left")  # places of smaller ratios count with b, the others with a
-    return float(np.sum(1 / (high_x[at] / x[both] + low_y[at] / y[both])))
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """The Jaccard index of two sets, each without repeats."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / max(1, len(a) + len(b) - both)
 
 
 def sketch(docs: DataFrame) -> DataFrame:
@@ -251,7 +242,7 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             one, two = (shingles(*hash_words(as_bytes(piece.column(c)), _WORDS)) for c in ("text", "other"))
-            keep = [i for i, (p, q) in enumerate(zip(one, two, strict=True)) if similarity(p, q) >= least]
+            keep = [i for i, (p, q) in enumerate(zip(one, two, strict=True)) if similarity(p[0], q[0]) >= least]
             yield piece.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     return both.mapInArrow(run, "a bigint, b bigint").distinct()
@@ -308,8 +299,6 @@ def keep_one(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text
     # rows that share their id: one of them, by text and the other columns
     repeated = counts.where("n > 1 AND class_id = _d").select("_d")
     order = [F.xxhash64(text_col), F.xxhash64(*docs.columns)]
-    from pyspark.sql import Window
-
     several = kept.join(repeated, ident == F.col("_d"), "left_semi")
     several = several.withColumn("_place", F.row_number().over(Window.partitionBy(id_col).orderBy(*order))).where("_place = 1")
     return kept.join(repeated, ident == F.col("_d"), "left_anti").unionByName(several.drop("_place"))
