@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrylake.llm import capfilters, editcount, indexing, mixing, probminhash, rendezvous, repair, spacedseeds, zstdclass
+from registrylake.llm import capfilters, debruijn, editcount, indexing, mixing, probminhash, rendezvous, repair, spacedseeds, zstdclass
 from registrylake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,28 @@ MIX_WEIGHTS = (5.0, 2.0, 1.0)
 MIX_LIMIT = 3.0
 
 
+SQL_REPEATS = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, row_number() OVER () AS r FROM documents
+), p AS (
+  SELECT r, unnest(range(1, len(w) - 33)) AS i, w FROM d WHERE len(w) >= 35
+), h AS (
+  SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS k FROM p
+), c AS (
+  SELECT r, i FROM h WHERE k IN (SELECT k FROM h GROUP BY k HAVING count(*) > 1)
+), g AS (
+  SELECT r, list_distinct(flatten(list(range(i, i + 35)))) AS gone FROM c GROUP BY r
+), k AS (
+  SELECT doc_id, w, coalesce(gone, []) AS gone,
+         [x[1] FOR x IN list_zip(w, range(1, len(w) + 1)) IF NOT list_contains(coalesce(gone, []), x[2])] AS kept
+  FROM d LEFT JOIN g USING (r)
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - len(kept))::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256
+FROM k
+"""
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(f: Query) -> Query:
         QUERIES[name] = f
@@ -124,8 +146,8 @@ def op1_repair_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_documents(spark, path)
 
 
-#: mail addresses, IPv4 addresses, runs of 13 to 19 digits and of 32 or more hexadecimal digits
-PERSONAL = r"[\w.+-]+@[\w-]+\.[\w.]*\w|\b\d{1,3}(?:\.\d{1,3}){3}\b|\b\d{13,19}\b|\b[0-9a-f]{32,}\b"
+#: mail addresses, IPv4 addresses, runs of 13 to 19 digits and of 32 or more hexadecimal digits, a digit among them
+PERSONAL = r"(?<![\w.+-])[\w.+-]+@[\w-]+\.[\w.]*\w|\b(?:\d{1,3}(?:\.\d{1,3}){3}|\d{13,19}|(?=[a-f]*\d)[0-9a-f]{32,})\b"
 
 
 @query("op4_edit_aware_counts")
@@ -133,7 +155,7 @@ def op4_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts before and after personal data and secrets are masked."""
     path = _tokenizer("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    trees = editcount.count_trees(editcount.replacing_edits(docs, PERSONAL, "[masked]"), path)
+    trees = editcount.count_trees(editcount.replacing_edits(docs, PERSONAL, "[masked]", needs="[0-9@]"), path)
     return editcount.recount(trees, path).select("doc_id", "n_before", "n_edits", "n_tokens", "n_leaves", "n_redone")
 
 
@@ -167,3 +189,8 @@ def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_probminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = probminhash.near_classes(table(spark, sf_dir, "documents"))
     return found.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+
+
+@query("op9_debruijn_repeats", SQL_REPEATS)
+def op9_debruijn_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")

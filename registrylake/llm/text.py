@@ -87,7 +87,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 _POWERS: list[np.ndarray] = []
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < n:
         size = max(n, 1 << 16)
         _POWERS[:] = [np.multiply.accumulate(np.full(size, step, np.uint64)) for step in (_STEP, _BACK)]
@@ -103,7 +103,7 @@ def windows(flat: np.ndarray, ends: np.ndarray, k: int, factor: int = 1) -> tupl
     n = len(flat)
     if n < k:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    up, down = _powers(n + 1)
+    up, down = powers(n + 1)
     words = flat if factor == 1 else mix(flat * np.uint64(factor))
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(words * up[:n], out=total[1:])
