@@ -109,6 +109,25 @@ def _rest() -> Column:
     return F.col("target") - _rounds() * F.col("source_size")
 
 
+def sizes_of(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """(doc_id, source, size, h); words are counted once, all later steps read numbers."""
+    sizes = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.col(source_col).cast("string").alias("source"),
+        word_count(F.col(text_col)).alias("size"),
+        key_hash(F.col(id_col)).alias("h"),
+    )
+    return materialise(sizes, "mix-sizes")
+
+
+def plan_of(sizes: DataFrame, weights: Sequence[float], share: float, limit: float) -> DataFrame:
+    """(source, source_size, target, rounds, bound): what each source's documents do."""
+    targets = materialise(source_targets(sizes, weights, share, limit), "mix-targets")
+    bounds = thresholds(sizes, targets).withColumnRenamed("source", "_s")
+    joined = targets.join(bounds, F.col("source").eqNullSafe(F.col("_s")), "left")
+    return joined.select("source", "source_size", "target", _rounds().alias("rounds"), F.coalesce("bound", F.lit(0)).alias("bound"))
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = (5, 2, 1),
@@ -118,23 +137,36 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """(doc_id, source, size, source_size, target, repeats, taken) for every document; taken = repeats x size.
+    """(doc_id, source, h, size, source_size, target, repeats, taken) for every document; taken = repeats x size.
 
     Sources in order of code points, null last, weigh ``weights``, over and over; together they get ``share`` of all words.
     """
-    sizes = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.col(source_col).cast("string").alias("source"),
-        word_count(F.col(text_col)).alias("size"),
-        key_hash(F.col(id_col)).alias("h"),
-    )
-    sizes = materialise(sizes, "mix-sizes")  # words are counted once, all later steps read numbers
-    targets = materialise(source_targets(sizes, weights, share, limit), "mix-targets")
-    bounds = thresholds(sizes, targets).withColumnRenamed("source", "_s")
-    plan = targets.join(bounds, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s").select(
-        F.col("source").alias("_s"), "source_size", "target", _rounds().alias("rounds"), F.coalesce("bound", F.lit(0)).alias("bound")
-    )
+    sizes = sizes_of(docs, id_col, text_col, source_col)
+    plan = plan_of(sizes, weights, share, limit).withColumnRenamed("source", "_s")
     repeats = F.col("rounds") + (F.col("h") < F.col("bound")).cast("bigint")
     return sizes.join(plan, F.col("source").eqNullSafe(F.col("_s"))).select(
-        "doc_id", "source", "size", "source_size", "target", repeats.alias("repeats"), (repeats * F.col("size")).alias("taken")
+        "doc_id", "source", "h", "size", "source_size", "target", repeats.alias("repeats"), (repeats * F.col("size")).alias("taken")
     )
+
+
+def take(
+    docs: DataFrame,
+    weights: Sequence[float] = (5, 2, 1),
+    share: float = 1.0,
+    limit: float = 3.0,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """The documents, all their columns, a row for each time the mix takes them.
+
+    The plan has a row for each source, as each of its documents takes its source's rounds and bound; texts are not shuffled
+    when it is small enough for Spark to send it to all tasks.
+    """
+    sizes = sizes_of(docs, id_col, text_col, source_col)
+    plan = plan_of(sizes, weights, share, limit)
+    source, h = F.col(source_col).cast("string"), key_hash(F.col(id_col))
+    joined = docs.join(plan.select(*[F.col(c).alias(f"_mix_{c}") for c in ("source", "rounds", "bound")]), source.eqNullSafe(F.col("_mix_source")))
+    repeats = (F.col("_mix_rounds") + (h < F.col("_mix_bound")).cast("bigint")).cast("int")
+    rows = joined.withColumn("_mix_time", F.explode(F.when(repeats > 0, F.sequence(F.lit(1), repeats))))
+    return rows.select(*[docs[c] for c in docs.columns])

@@ -133,7 +133,7 @@ def op7_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -142,7 +142,7 @@ def _tokenizer(name: str) -> str:
 @query("op1_repair_token_ids")
 def op1_repair_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
-    repair.write_shards(table(spark, sf_dir, "documents"), path, _tokenizer("byte_bpe_50k.json"), END_ID)
+    repair.write_shards(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), END_ID)
     return repair.read_documents(spark, path)
 
 
@@ -153,7 +153,7 @@ PERSONAL = r"(?<![\w.+-])[\w.+-]+@[\w-]+\.[\w.]*\w|\b(?:\d{1,3}(?:\.\d{1,3}){3}|
 @query("op4_edit_aware_counts")
 def op4_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts before and after personal data and secrets are masked."""
-    path = _tokenizer("byte_bpe_50k.json")
+    path = tokenizer_path("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     trees = editcount.count_trees(editcount.replacing_edits(docs, PERSONAL, "[masked]", needs="[0-9@]"), path)
     return editcount.recount(trees, path).select("doc_id", "n_before", "n_edits", "n_tokens", "n_leaves", "n_redone")
