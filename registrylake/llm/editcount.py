@@ -157,17 +157,23 @@ def recount(trees: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
     return rows.mapInArrow(run, schema)
 
 
-def replacing_edits(docs: DataFrame, pattern: str, replacement: str, text_col: str = "text", out: str = "edits") -> DataFrame:
-    """The documents with one edit for each match of ``pattern``."""
+def replacing_edits(
+    docs: DataFrame, pattern: str, replacement: str, needs: str = "", text_col: str = "text", out: str = "edits"
+) -> DataFrame:
+    """The documents with one edit for each match of ``pattern``.
+
+    ``needs`` is a pattern of one character that every match holds; texts without it are not searched further.
+    """
     small_batches(docs.sparkSession)
     kept = docs.drop(out)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        match = re.compile(pattern)
+        match, need = re.compile(pattern), re.compile(needs)
+        found = lambda t: match.finditer(t) if need.search(t) else ()
         kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("text", pa.string())]))
         for piece in pieces(batches, text_col):
-            edits = [[(m.start(), m.end(), replacement) for m in match.finditer(t or "")] for t in piece.column(text_col).to_pylist()]
+            edits = [[(m.start(), m.end(), replacement) for m in found(t or "")] for t in piece.column(text_col).to_pylist()]
             column = pa.array([[dict(zip(("first", "last", "text"), e, strict=True)) for e in doc] for doc in edits], kind)
             yield pa.RecordBatch.from_arrays([*piece.columns, column], [*piece.schema.names, out])
 

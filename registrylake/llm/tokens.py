@@ -8,8 +8,10 @@ comma are encoded as a whole, so the ids are always those of the plain call.
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import chain, pairwise
 
 import numpy as np
 
@@ -38,7 +40,8 @@ class _Pieces(dict):
 
 
 def _cut(text: str) -> list[str]:
-    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").replace(".", "\0.").replace(",", "\0,").split("\0")
+    pieces = text.replace(" ", "\0 ").replace("\n", "\0\n\0").replace(".", "\0.").replace(",", "\0,").split("\0")
+    return pieces[1:] if not pieces[0] and len(pieces) > 1 else pieces  # the text starts with a place to cut
 
 
 def _plain(piece: str) -> bool:
@@ -47,6 +50,24 @@ def _plain(piece: str) -> bool:
     return piece == "\n" or bool(inner) and not inner[0].isspace() and not inner[-1].isspace()
 
 
+def _slices(ids: list[int], bounds: np.ndarray) -> Iterator[list[int]]:
+    for first, last in pairwise(bounds.tolist()):
+        yield ids[first:last]
+
+
+def _sign_table() -> dict[int, str]:
+    """The sign that a byte-level vocabulary writes for each byte: printable ones as they are, the others from 256 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    return {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(plain)))}
+
+
+_SIGNS = _sign_table()
+
+
+def _byte_signs(text: str) -> str:
+    return text.encode().decode("latin-1").translate(_SIGNS)
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -54,6 +75,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
+        parts = json.loads(self.tokenizer.to_str())
+        self.byte_level = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}.items() <= (parts["pre_tokenizer"] or {}).items() and not parts["normalizer"]
         self._clear()
 
     def _clear(self) -> None:
@@ -73,9 +97,17 @@ class Encoder:
         new, self.pieces.new = self.pieces.new, []
         if not new:
             return
-        found = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, np.int32)
-        counts = np.bincount(np.array(found.word_ids, np.int64), minlength=len(new)) if len(ids) else np.zeros(len(new), int)
+        # letters, with or without a space before them, are one pre-token and go straight to the model
+        words = [p[p[:1] == " " :].isalpha() for p in new]
+        found = [[t.id for t in self.model.tokenize(_byte_signs(p))] if w else None for p, w in zip(new, words, strict=True)]
+        others = [p for p, w in zip(new, words, strict=True) if not w]
+        if others:
+            mixed = self.tokenizer.encode(others, is_pretokenized=True, add_special_tokens=False)
+            at = np.searchsorted(np.array(mixed.word_ids, np.int64), np.arange(len(others) + 1))
+            parts = _slices(mixed.ids, at)
+            found = [next(parts) if f is None else f for f in found]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))
         known = self.known + len(new)
         for name in ("ids", "starts", "lengths", "plain", "stop", "word_end"):
             held, need = getattr(self, name), self.used + len(ids) if name == "ids" else known
@@ -85,9 +117,9 @@ class Encoder:
         self.ids[self.used : self.used + len(ids)] = ids
         self.lengths[to] = counts
         self.starts[to] = self.used + np.cumsum(counts) - counts
-        self.plain[to] = [_plain(p) for p in new]
-        self.stop[to] = [p[:1] in (".", ",") for p in new]
-        self.word_end[to] = [p[-1:].isalnum() for p in new]
+        self.plain[to] = [w or _plain(p) for p, w in zip(new, words, strict=True)]
+        self.stop[to] = [not w and p[:1] in (".", ",") for p, w in zip(new, words, strict=True)]
+        self.word_end[to] = [w or p[-1:].isalnum() for p, w in zip(new, words, strict=True)]
         self.known += len(new)
         self.used += len(ids)
 
@@ -106,6 +138,9 @@ class Encoder:
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each text has."""
+        if not self.byte_level:
+            found = [self.whole(t) for t in texts]
+            return np.concatenate([np.zeros(0, np.int32), *found]), np.array([len(f) for f in found], np.int64)
         numbers, counts = self.numbers(texts)
         per_piece = self.lengths[numbers].astype(np.int64)
         ends = np.cumsum(counts)
