@@ -120,7 +120,8 @@ def _bitmap(anchors: DataFrame) -> bytes:
 
 
 def _is_set(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    bit = hashes >> np.uint64(64 - BITMAP_BITS)
+    bits = (64 * len(bitmap)).bit_length() - 1
+    bit = hashes >> np.uint64(64 - bits)
     return (bitmap[(bit >> np.uint64(6)).view(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
 
 

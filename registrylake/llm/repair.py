@@ -30,7 +30,8 @@ from registrylake.llm.tokens import encoder
 
 SHARD_TOKENS = 1 << 20
 MIN_PAIRS = 8  # a rule costs about what eight replacements save
-FALL = 6  # from one round to the next the threshold falls to a sixth
+FALL = 12  # from one round to the next the threshold falls to a twelfth
+WORTH = 20  # at the lowest threshold rounds go on while each takes away a twentieth
 TABLE_BITS = 18
 ROW = (
     "part int, shard int, first_token bigint, n_tokens bigint, doc_ids array<{id}>, doc_tokens array<bigint>, "
@@ -42,19 +43,37 @@ def _slots(pairs: np.ndarray) -> np.ndarray:
     return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE_BITS)).astype(np.int32)
 
 
-def _chosen(place: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Which candidates win over the overlapping ones left and right; in runs of one pair every other place.
+def _chosen(place: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and ranks of the candidates that are replaced: the best first, none that overlaps a better one that is; of a run every other place.
 
     ``place`` is ascending; candidates at neighbouring places overlap. A lower rank is a more frequent pair.
     """
-    touch = place[1:] == place[:-1] + 1
-    at = np.arange(len(place))
-    new = np.ones(len(place), bool)
-    new[1:] = ~touch | (rank[1:] != rank[:-1])
-    won = (at - np.maximum.accumulate(np.where(new, at, 0))) % 2 == 0
-    won[1:] &= ~touch | (rank[1:] <= rank[:-1])
-    won[:-1] &= ~touch | (rank[:-1] <= rank[1:])
-    return won
+    winners = []
+    while len(place):
+        touch = place[1:] == place[:-1] + 1
+        left, right = rank[:-1], rank[1:]
+        won = np.ones(len(place), bool)
+        won[1:] &= ~touch | (right < left)
+        won[:-1] &= ~touch | (left <= right)
+        run = np.flatnonzero(touch & (left == right))
+        if len(run):  # pairs of one symbol overlap themselves
+            new = np.ones(len(place), bool)
+            new[run + 1] = False
+            at = np.arange(len(place), dtype=np.int32)
+            start = np.maximum.accumulate(np.where(new, at, 0))
+            inner = run + 1
+            even = inner[(inner - start[inner]) % 2 == 0]
+            better = np.ones(len(place), bool)
+            better[1:] &= ~touch | (right <= left)
+            better[:-1] &= ~touch | (left <= right)
+            won[even] = better[even]
+        winners.append((place[won], rank[won]))
+        # what neither won nor overlaps a winner is looked at again
+        rest = ~won
+        rest[1:] &= ~(touch & won[:-1])
+        rest[:-1] &= ~(touch & won[1:])
+        place, rank = place[rest], rank[rest]
+    return np.concatenate([p for p, _ in winners]), np.concatenate([r for _, r in winners])
 
 
 def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
@@ -68,6 +87,7 @@ def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     size = np.ones(first, np.int64)
     least = None
     while len(seq) > 1:
+        before = len(seq)
         pairs = (seq[:-1] << 32) | seq[1:]
         slot = _slots(pairs)
         seen = np.bincount(slot, minlength=1 << TABLE_BITS)
@@ -86,8 +106,7 @@ def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
             order[often] = np.arange(len(often))
             rank = order[slot]
             place, rank = place[rank >= 0], rank[rank >= 0]
-            won = _chosen(place, rank)
-            place, rank = place[won], rank[won]
+            place, rank = _chosen(place, rank)
             used = np.flatnonzero(np.bincount(rank, minlength=len(often)) >= 2)
             number = np.full(len(often), -1, np.int64)
             number[used] = first + n_rules + np.arange(len(used))
@@ -102,7 +121,7 @@ def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
             keep = np.ones(len(seq), bool)
             keep[place + 1] = False
             seq = seq[keep]
-        if least == MIN_PAIRS:
+        if least == MIN_PAIRS and len(seq) > before - before // WORTH:
             break
     rule_table = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
     return first, rule_table, (np.concatenate(lengths) if lengths else np.zeros(0, np.int64)), seq

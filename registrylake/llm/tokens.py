@@ -62,9 +62,12 @@ def _sign_table() -> dict[int, str]:
 
 
 _SIGNS = _sign_table()
+_SPACE = _SIGNS[32]
 
 
 def _byte_signs(text: str) -> str:
+    if text.isascii():  # letters, a space before them at most
+        return _SPACE + text[1:] if text[0] == " " else text
     return text.encode().decode("latin-1").translate(_SIGNS)
 
 
