@@ -8,8 +8,9 @@ bands of places are join keys. Pairs that come out of them are verified on their
 shingles must reach the limit.
 
 Texts of equal word sequences are one text first. Of documents that share a bucket only a spanning forest of the most similar
-pairs is compared exactly; then only pairs between different classes that still share a bucket are, all whose
-estimate is not clearly below the limit. So a group of copies or near copies costs in proportion to its size, and no link
+pairs is compared exactly; then only pairs between different classes that still share a bucket are, all whose estimates
+are not clearly below the limit: that of the signature, and a finer one of the distinct shingles. A pair is sent on
+from the first bucket that both are in. So a group of copies or near copies costs in proportion to its size, and no link
 between different classes that a bucket shows is left out. Buckets above ``BLOCK`` rows are cut into blocks.
 
 Defined results: a text of fewer than five words is one shingle of all of them; null texts, texts without words and rows
@@ -35,7 +36,10 @@ LEAST = 0.8
 BANDS, ROWS = 25, 5  # a pair at 0.8 shares no band with probability 5e-5
 SIZE = BANDS * ROWS
 SURE = 0.12  # more than three standard deviations of the estimate at 0.8
+BINS = 1024
+FINE_SURE = 0.05  # four standard deviations of the finer estimate at 0.8
 BLOCK = 512
+PAIRS_AT_ONCE = 8192  # a memory bound: pairs whose bins are compared together
 
 _WORDS = HashedWords()
 
@@ -85,6 +89,17 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     return found.reshape(n, SIZE)
 
 
+def fine_bins(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """A row of BINS bytes for each set: a hash of the smallest shingle of each bin, zero for an empty bin."""
+    n = len(sets)
+    owner = np.repeat(np.arange(n), [len(s) for s, _ in sets])
+    value = mix((np.concatenate([s for s, _ in sets]) if n else np.zeros(0, np.uint64)) ^ np.uint64(0xA0761D6478BD642F))
+    empty = np.uint64(0xFFFFFFFFFFFFFFFF)
+    low = np.full(n * BINS, empty)
+    np.minimum.at(low, owner * BINS + (value % np.uint64(BINS)).view(np.int64), value)
+    return np.where(low == empty, 0, 1 + mix(low) % np.uint64(255)).astype(np.uint8).reshape(n, BINS)
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """The Jaccard index of two sets, each without repeats."""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -92,7 +107,7 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(doc_id, h1, h2, keys, sig) of every document with words; ``docs`` has (doc_id, text)."""
+    """(doc_id, h1, h2, keys, sig, fine) of every document with words; ``docs`` has (doc_id, text)."""
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -101,7 +116,8 @@ def sketch(docs: DataFrame) -> DataFrame:
         for piece in pieces(batches):
             flat, ends = hash_words(as_bytes(piece.column("text")), _WORDS)
             full = np.flatnonzero(np.diff(ends))
-            sig = signatures(shingles(flat, ends))[full]
+            sets = shingles(flat, ends)
+            sig, fine = signatures(sets)[full], fine_bins(sets)[full]
             keys = np.zeros((len(full), BANDS), np.uint64)
             parts = sig.reshape(len(full), BANDS, ROWS)
             for r in range(ROWS):
@@ -113,10 +129,11 @@ def sketch(docs: DataFrame) -> DataFrame:
             columns = [
                 piece.column("doc_id").take(pa.array(full)), pa.array(both[:, 0]), pa.array(both[:, 1]),
                 pa.array(list(signed(keys)), pa.list_(pa.int64())), pa.array([s.tobytes() for s in short], pa.binary()),
+                pa.array([s.tobytes() for s in fine], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h1", "h2", "keys", "sig"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h1", "h2", "keys", "sig", "fine"])
 
-    schema = f"doc_id {kind}, h1 bigint, h2 bigint, keys array<bigint>, sig binary"
+    schema = f"doc_id {kind}, h1 bigint, h2 bigint, keys array<bigint>, sig binary, fine binary"
     return docs.where("doc_id IS NOT NULL").mapInArrow(run, schema)
 
 
@@ -200,7 +217,23 @@ def _forest(table: pa.Table, least: float) -> np.ndarray:
     return spanning_pairs(table.column("id").to_numpy(), estimate, least)
 
 
-def _across(table: pa.Table, least: float) -> np.ndarray:
+def _not_clearly_below(table: pa.Table, x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs of rows have this bucket as the first one they share, and a finer estimate of at least ``least``."""
+    here = table.column("key")[0].as_py()
+    keys = np.array(table.column("keys").to_pylist(), np.int64)
+    fine = np.frombuffer(b"".join(table.column("fine").to_pylist()), np.uint8).reshape(-1, BINS)
+    good = np.zeros(len(x), bool)
+    for i in range(0, len(x), PAIRS_AT_ONCE):
+        p, q = x[i : i + PAIRS_AT_ONCE], y[i : i + PAIRS_AT_ONCE]
+        first = (keys[p] == keys[q]).argmax(axis=1)
+        at = np.flatnonzero(keys[p, first] == here)
+        a, b = fine[p[at]], fine[q[at]]
+        filled = ((a | b) > 0).sum(axis=1)
+        good[i + at] = ((a == b) & (a > 0)).sum(axis=1) >= least * filled
+    return good
+
+
+def _across(table: pa.Table, least: float, fine_least: float) -> np.ndarray:
     """Pairs of different classes with a minor row in them; in groups of two blocks, pairs of the two only."""
     comp = table.column("comp").to_numpy()
     if len(comp) < 2 or (comp == comp[0]).all():
@@ -210,11 +243,13 @@ def _across(table: pa.Table, least: float) -> np.ndarray:
     if (side != side[0]).any():
         wanted &= side[:, None] != side
     x, y = np.nonzero(wanted)
+    good = _not_clearly_below(table, x, y, fine_least)
+    x, y = x[good], y[good]
     return np.sort(np.stack([ids[x], ids[y]], axis=1), axis=1)
 
 
 def _minor_tasks(rows: DataFrame) -> DataFrame:
-    """Rows of (key, id, comp, sig) with (x, y, side): groups in which pairs outside the largest class of a bucket are compared.
+    """Rows of (key, id, comp, keys, sig, fine) with (x, y, side): groups in which pairs outside the largest class of a bucket are compared.
 
     x and y are blocks; minor rows are dealt over blocks below zero. A row of the largest class goes to each minor block, a
     minor row to each block of the largest class and of the minor rows.
@@ -230,7 +265,7 @@ def _minor_tasks(rows: DataFrame) -> DataFrame:
     majors = F.sequence(F.lit(0), F.col("g") - 1)
     others = F.when(F.col("minor"), F.concat(minors, majors)).otherwise(minors)
     rows = rows.withColumn("side", own).withColumn("other", F.explode(others))
-    return rows.select("key", "id", "comp", "sig", "side", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"))
+    return rows.select("key", "id", "comp", "keys", "sig", "fine", "side", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
@@ -258,7 +293,7 @@ def near_classes(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id",
     same = copies.withColumnsRenamed({"h1": "_1", "h2": "_2"})
     texts = sketched.join(same, (F.col("h1") == F.col("_1")) & (F.col("h2") == F.col("_2")))
     member = materialise(texts.select("doc_id", "id"), "copies")
-    reps = texts.where("doc_id = id").select("id", "keys", "sig").dropDuplicates(["id", "keys"])
+    reps = texts.where("doc_id = id").select("id", "keys", "sig", "fine").dropDuplicates(["id", "keys"])
     reps = materialise(reps, "texts")
     bands = reps.select("id", F.explode("keys").alias("key")).distinct()
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -273,8 +308,8 @@ def near_classes(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id",
 
     comp = classes(links, "a", "b")
     rows2 = bands.select("key", "id").join(comp, "id", "left").select("key", "id", F.coalesce("class_id", "id").alias("comp"))
-    tasks = _minor_tasks(rows2.join(sigs, "id"))
-    more = _per_group(tasks, ["key", "x", "y"], lambda t: _across(t, clear))
+    tasks = _minor_tasks(rows2.join(reps, "id"))
+    more = _per_group(tasks, ["key", "x", "y"], lambda t: _across(t, clear, least - FINE_SURE))
     more = materialise(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     links = links.unionByName(verified(more, rows, least))
     # rows of one id with several texts tie these together
