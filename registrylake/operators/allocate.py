@@ -49,7 +49,8 @@ def allocate_to_wells(
         F.col(termination).alias("_to"),
         (F.col(weight) if method == "proportional" else F.lit(1)).cast(exact).alias("_weight"),
     )
-    spans = spans.where("_from is null or _to is null or _from < _to")
+    # a well of unknown weight takes no part
+    spans = spans.where("_weight is not null and (_from is null or _to is null or _from < _to)")
 
     months = _months_with_wells(prod, spans, lease)
     fits = (F.col("n_wells") == 1) if method == "single" else (F.col("n_wells") > 0) & (F.col("_total") > 0)

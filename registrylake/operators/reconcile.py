@@ -26,10 +26,16 @@ def reconcile(
     keys: Sequence[str],
     oil: str = "oil_production_bbl",
     gas: str = "casinghead_gas_mcf",
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """Compare two measures exactly with the source row of the same key (unique there)."""
-    theirs = source.select(
-        *keys, F.col(oil).alias("source_oil"), F.col(gas).alias("source_gas"), F.lit(True).alias("_found")
+    """Compare two measures exactly with the source row of the same key.
+
+    Of several source rows of a key the first in ``order`` counts; without one, the smallest in (oil, gas).
+    """
+    measures = F.struct(F.col(oil).alias("oil"), F.col(gas).alias("gas"))
+    theirs = source.groupBy(*keys).agg(F.min_by(measures, F.struct(*(order or (oil, gas)))).alias("_s"))
+    theirs = theirs.select(
+        *keys, F.col("_s.oil").alias("source_oil"), F.col("_s.gas").alias("source_gas"), F.lit(True).alias("_found")
     )
     joined = ours.select(*keys, F.col(oil).alias("parsed_oil"), F.col(gas).alias("parsed_gas")).join(
         theirs, list(keys), "left"

@@ -184,8 +184,10 @@ def required_nonnull(df: DataFrame, columns: Sequence[str], threshold: float = 0
 
 
 def parsed_timestamp(c: Column) -> Column:
-    """A date or timestamp, ISO text, or compact ``yyyyMMdd`` text; anything else is null."""
-    return F.coalesce(c.try_cast("timestamp"), F.try_to_timestamp(c.cast("string"), F.lit("yyyyMMdd")))
+    """A date or timestamp, ISO text, or compact ``yyyyMMdd`` text; anything else, years of five digits and more in it, is null."""
+    text = c.cast("string")
+    found = F.coalesce(c.try_cast("timestamp"), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
+    return F.when(~text.rlike(r"^\s*\d{5,7}(\s*$|-)"), found)
 
 
 def date_range_sane(df: DataFrame, columns: Sequence[str], run_ts: str, max_future_months: int = 6) -> Check:

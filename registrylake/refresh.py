@@ -17,7 +17,7 @@ from registrylake.operators.keysets import first_n_keys, first_n_rows, key_set_d
 from registrylake.quality import runner, summary
 from registrylake.session import materialise
 from registrylake.sinks.publish import append_log, create_if_absent, path_exists, publish
-from registrylake.sources.dbase import read_dbase
+from registrylake.sources.dbase import bad_files, read_dbase
 from registrylake.sources.delimited import read_delimited
 from registrylake.sources.landing import PATTERNS, newest_snapshot, verify_sources
 from registrylake.sources.text_lines import read_numbered_lines
@@ -58,10 +58,7 @@ def _publish(df: DataFrame, lake: str, slug: str, run_ts: str, gate: bool, needs
             raise SourceProblem(f"no rows for {slug}")
         return runner.run_checks(spark, slug, staged, run_ts)
 
-    if gate:
-        return publish(df, f"{lake}/{slug}", check)
-    publish(df, f"{lake}/{slug}")
-    return check(spark.read.parquet(f"{lake}/{slug}"))
+    return publish(df, f"{lake}/{slug}", check, gate=gate)
 
 
 def _first(lines: DataFrame, subset: int | None) -> DataFrame:
@@ -132,7 +129,7 @@ def production(
 def wells(
     spark: SparkSession, landing: str, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
 ) -> dict[str, DataFrame]:
-    """fact_well_records_raw, well_master, fact_well_completions; and do the last two have the same wells?
+    """fact_well_records_raw, well_master, fact_well_completions; do the last two have the same wells, and which files were skipped?
 
     The county files are read once: master and completions come from the published raw table.
     """
@@ -146,6 +143,7 @@ def wells(
     for slug, make in (("well_master", wells_table.well_master), ("fact_well_completions", wells_table.well_completions)):
         logs[slug] = _publish(make(raw), lake, slug, run_ts, gate)
     master, completions = (spark.read.parquet(f"{lake}/{s}") for s in ("well_master", "fact_well_completions"))
+    logs["bad_files"] = bad_files(spark, landing)
     logs["key_sets"] = key_set_difference(master, completions, "api10", "api10")
     return logs
 

@@ -51,11 +51,13 @@ def publish(
     target: str,
     check: Callable[[DataFrame], DataFrame] | None = None,
     partition_by: Sequence[str] = (),
+    gate: bool = True,
 ) -> DataFrame | None:
     """Write to a folder beside ``target``, run ``check`` on what was written, then swap it in.
 
     The checks read the staged files, so the plan behind ``df`` runs once. A failed level 1 check leaves
-    the staged folder for inspection and raises. Returns the check log.
+    the staged folder for inspection and raises; without ``gate`` it is only logged. An error that ``check``
+    raises always keeps the old table. Returns the check log.
     """
     spark = df.sparkSession
     staged = f"{target.rstrip('/')}.staged-{uuid.uuid4().hex}"
@@ -64,7 +66,7 @@ def publish(
     if check is not None:
         log = check(spark.read.schema(df.schema).parquet(staged))
         log = spark.createDataFrame(log.collect(), log.schema)  # a few rows: one per check
-        if blocks_publish(log):
+        if gate and blocks_publish(log):
             raise PublishBlocked(log)
     swap_in(spark, staged, target.rstrip("/"))
     return log

@@ -67,7 +67,7 @@ def scan_headers(folder: str, pattern: str = "api*.dbf") -> tuple[list[tuple[str
         path, size = entry
         try:
             return path, size, _read_header(path), None
-        except Exception as e:  # a damaged file is reported and skipped, the others are read
+        except (ValueError, struct.error) as e:  # a damaged file is reported and skipped; a failed read is raised
             return path, size, None, str(e)
 
     with ThreadPoolExecutor(16) as pool:

@@ -146,16 +146,19 @@ _NIBBLES = " + ".join(
 
 
 @query(
-    f"""WITH t AS (SELECT p_partkey, hex(encode(substr(rpad(p_brand || p_type, 5, ' '), 4, 5))) AS h FROM part)
-    SELECT p_partkey, CAST(({_NIBBLES}) * CASE WHEN substr(h, 10, 1) IN ('B', 'D') THEN -1 ELSE 1 END AS BIGINT) AS decoded,
-      regexp_matches(h, '^[0-9]*[A-F]$') AS is_valid FROM (SELECT p_partkey, rpad(h, 10, '0') AS h FROM t)"""
+    f"""WITH t AS (
+      SELECT p_partkey, unnest(g) AS h, unnest(range(len(g))) AS piece
+      FROM (SELECT p_partkey, regexp_extract_all(hex(encode(p_brand || p_type)), '.{{1,10}}') AS g FROM part))
+    SELECT p_partkey, CAST(piece AS INT) AS piece, CAST(({_NIBBLES}) * CASE WHEN substr(h, 10, 1) IN ('B', 'D') THEN -1 ELSE 1 END AS BIGINT) AS decoded,
+      regexp_matches(h, '^[0-9]*[A-F]$') AS is_valid FROM (SELECT p_partkey, piece, rpad(h, 10, '0') AS h FROM t)"""
 )
 def packed_dirty(spark, sf_dir):
-    """Text bytes where packed digits should be: half-bytes above 9 count with their value."""
-    raw = F.substring(F.rpad(F.concat("p_brand", "p_type"), 5, " "), 4, 5)
-    b = F.unhex(F.rpad(F.hex(F.encode(raw, "UTF-8")), 10, "0"))
-    return table(spark, sf_dir, "part").select(
-        "p_partkey", packed.packed_to_long(b).alias("decoded"), packed.is_valid_packed(b).alias("is_valid")
+    """Text bytes where packed digits should be, the whole text in pieces of five: half-bytes above 9 count with their value."""
+    pieces = F.regexp_extract_all(F.hex(F.encode(F.concat("p_brand", "p_type"), "UTF-8")), F.lit(".{1,10}"), F.lit(0))
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.posexplode(pieces).alias("piece", "h"))
+    b = F.unhex(F.rpad("h", 10, "0"))
+    return rows.select(
+        "p_partkey", "piece", packed.packed_to_long(b).alias("decoded"), packed.is_valid_packed(b).alias("is_valid")
     )
 
 

@@ -153,6 +153,23 @@ def test_allocation(spark, method, hot_rows):
     assert set(map(tuple, got)) == want and len(got) == len(want)
 
 
+def test_allocation_leaves_out_wells_of_unknown_weight(spark):
+    p = spark.createDataFrame([("A", 1, 100), ("B", 1, 7)], "lease string, month int, volume bigint")
+    wells = [("A", "w1", None, None, 1.0), ("A", "w2", None, None, None), ("A", "w3", None, None, 3.0), ("B", "w4", None, None, None)]
+    w = spark.createDataFrame(wells, "lease string, api10 string, effective_month int, termination_month int, w double")
+    got = allocate.allocate_to_wells(p, w, ["lease"], method="proportional", weight="w").collect()
+    assert {(r.lease, r.api10, r.n_wells, r.share) for r in got} == {("A", "w1", 2, 25.0), ("A", "w3", 2, 75.0), ("B", None, 0, 7.0)}
+
+
+def test_reconcile_takes_one_source_row_a_key(spark):
+    columns = "k string, oil_production_bbl int, casinghead_gas_mcf int, place int"
+    ours = spark.createDataFrame([("a", 5, 6, 0), ("b", 1, 1, 0)], columns)
+    theirs = spark.createDataFrame([("a", 9, 9, 2), ("a", 5, 6, 1), ("b", None, 1, 1), ("b", 1, 1, 2)], columns)
+    got = {r.k: r.status for r in reconcile.reconcile(ours, theirs, ["k"], order=["place"]).collect()}
+    assert got == {"a": reconcile.PASS, "b": reconcile.FAIL_FIRST}
+    assert reconcile.reconcile(ours, theirs, ["k"]).count() == 2
+
+
 def test_bring_to_rows_spreads_hot_keys(spark):
     rows = spark.createDataFrame([("hot", i) for i in range(500)] + [("a", 1), (None, 2)], "k string, i int")
     per_key = rows.where("k is not null").groupBy("k").agg(F.count("*").alias("n"), F.max("i").alias("top"))

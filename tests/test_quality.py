@@ -247,3 +247,9 @@ def test_unreadable_log_becomes_a_row(spark, tmp_path):
     good = spark.createDataFrame([entry("x", "pk", "pass", "2026-01-01")[:-1]], LOG.rsplit(",", 1)[0])
     rows = summary.collect_logs(spark, {"a": lambda: good, "b": lambda: spark.read.parquet(str(tmp_path / "none"))}, RUN).collect()
     assert {(r.table_slug, r.check_name, r.check_status, r.check_level) for r in rows} == {("a", "pk", "pass", 1), ("b", "_read_error", "error", 0)}
+
+
+def test_dates_of_five_to_seven_digits_are_no_dates(spark):
+    df = spark.createDataFrame([("19999",), ("1999999",), ("20200131",), ("2020-01-31",), ("19999-01-01",), (None,)], "d string")
+    got = [r[0] and r[0].strftime("%Y%m%d") for r in df.select(Q.parsed_timestamp(F.col("d"))).collect()]
+    assert got == [None, None, "20200131", "20200131", None, None]

@@ -52,6 +52,8 @@ def test_operator_registry(spark, places):
     (landing / "p5_organization_20260513.txt").write_text("F nothing here\n")
     with pytest.raises(refresh.SourceProblem):
         refresh.operator_registry(spark, str(landing), lake, RUN)
+    with pytest.raises(refresh.SourceProblem):
+        refresh.operator_registry(spark, str(landing), lake, RUN, gate=False)
     assert len(names()) == 3  # the failed refreshes changed nothing
 
 
@@ -100,8 +102,10 @@ def test_wells_and_quality(spark, places):
     rows = [("00300001", "L1", "r1", "A", "20000101"), ("00300001", "L2", "r2", "B", "20050505"), ("00300002", "L1", "r3", "A", "20010101"), ("00300002", "L1", "r3", "C", "20010101")]
     body = b"".join(b" " + b"".join(v.encode().ljust(w) for v, (_, w) in zip(r, LAYOUT, strict=True)) for r in rows)
     (landing / "api003.dbf").write_bytes(dbase_header(LAYOUT, len(rows)) + body)
+    (landing / "api004.dbf").write_bytes(b"too short")
     logs = refresh.wells(spark, str(landing), lake, RUN)
     assert tuple(logs["key_sets"].first()) == (0, 0, True)
+    assert [r.path.rsplit("/", 1)[-1] for r in logs["bad_files"].collect()] == ["api004.dbf"]
     refresh.operator_history(spark, lake, RUN)
     refresh.lease_crosswalk(spark, lake, RUN)
     count = lambda slug: spark.read.parquet(f"{lake}/{slug}").count()
