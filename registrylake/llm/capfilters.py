@@ -1,10 +1,13 @@
 """Near-duplicate vectors by spherical-cap filters with structured random product codes.
 
-A filter is a direction; a vector passes it if their product is above a threshold. The directions are product codes: after
-a random rotation the space is cut in two halves, and every pair of a codeword of the first and one of the second half is a
+A filter is a direction; a vector passes it if their product is above a threshold or among its ``NEAREST`` largest of a
+rotation: products of unit vectors have thinner tails than the Gaussian the threshold is taken from, so a threshold alone
+leaves vectors without a filter. The directions are product codes: after a random rotation the space is cut in two halves, and every pair of a codeword of the first and one of the second half is a
 filter. List decoding finds all filters that a vector passes from its products with the codewords alone: a codeword of
 one half can be skipped when even the best one of the other half does not lift the sum over the threshold. Vectors that share a
-filter are compared exactly; several rotations make it likely that similar vectors share one.
+filter are compared exactly; several rotations make it likely that similar vectors share one. In few dimensions many
+codewords are finer than the cap of similar vectors; there are as many as keep the expected recall of pairs at the
+limit, which is the same for all of them, as rotations are random, at ``RECALL`` at least.
 
 Equal vectors are first brought to one representative with a multiplicity. A vector is sent once for each first-half
 codeword of its filters, and groups above ``BLOCK`` rows are cut into pairs of blocks, so a task's memory is bounded. A
@@ -31,8 +34,13 @@ from registrylake.session import materialise
 
 ROTATIONS = 4
 LISTED = 60  # filters a vector would pass on average, over all rotations, were its halves equally long
+NEAREST = 15  # filters of a rotation that every vector passes at least
+RECALL = 0.999  # of pairs at the limit
+TRIALS = 300  # random pairs at the limit that the recall is taken from
 LEAST_CODEWORDS = 256
 BLOCK = 1024
+PRODUCTS_AT_ONCE = 1 << 22  # a memory bound: products with the codewords of a half that are held together
+ROUNDING = 1e-9
 
 
 def codewords_for(n: int) -> int:
@@ -44,6 +52,8 @@ def codewords_for(n: int) -> int:
 
 
 def threshold_for(codewords: int) -> float:
+    if LISTED >= ROTATIONS * codewords**2:
+        return -np.inf
     return NormalDist().inv_cdf(1 - LISTED / (ROTATIONS * codewords**2))
 
 
@@ -72,22 +82,57 @@ def decode_lists(vectors: np.ndarray, codewords: int, threshold: float) -> list[
         turn, first, second = _CODES[key]
         turned = vectors @ turn
         one, two = turned[:, : dims // 2] @ first.T, turned[:, dims // 2 :] @ second.T
+        cuts = np.minimum(threshold, _nearest(one, two))
         for i in range(n):
-            a, b = one[i], two[i]
-            x, y = np.flatnonzero(a >= threshold - b.max()), np.flatnonzero(b >= threshold - a.max())
-            p, q = np.nonzero(a[x][:, None] + b[y] >= threshold)
+            a, b, cut = one[i], two[i], cuts[i]
+            x, y = np.flatnonzero(a >= cut - b.max() - ROUNDING), np.flatnonzero(b >= cut - a.max() - ROUNDING)
+            p, q = np.nonzero(a[x][:, None] + b[y] >= cut)
             found[i].append((rotation * codewords + x[p]) * codewords + y[q])
     return [np.concatenate(parts) for parts in found]
 
 
+def _nearest(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """For each row the NEAREST-th largest sum of a product of the first and one of the second half (the least of all, if fewer)."""
+    some = min(NEAREST, one.shape[1])
+    a, b = (np.partition(x, -some, axis=1)[:, -some:] for x in (one, two))
+    sums = (a[:, :, None] + b[:, None, :]).reshape(len(a), -1)
+    at = max(0, sums.shape[1] - NEAREST)
+    return np.partition(sums, at, axis=1)[:, at]
+
+
+def expected_recall(dims: int, codewords: int, least: float) -> float:
+    """The share of pairs at the limit that share a filter; rotations are independent, so each of them is a trial."""
+    rng = np.random.default_rng([dims, codewords])
+    one, other = (_rows_of_length_one(rng.normal(size=(TRIALS, dims))) for _ in range(2))
+    other = _rows_of_length_one(other - (one * other).sum(axis=1, keepdims=True) * one)
+    other = least * one + np.sqrt(max(0.0, 1 - least**2)) * other
+    hits = 0
+    for i in range(0, TRIALS, 50):
+        both = [decode_lists(x[i : i + 50], codewords, threshold_for(codewords)) for x in (one, other)]
+        hits += sum(len(np.unique(np.intersect1d(p, q) // codewords**2)) for p, q in zip(*both, strict=True))
+    return 1 - (1 - hits / (TRIALS * ROTATIONS)) ** ROTATIONS
+
+
+def codewords_at(dims: int, n: int, least: float) -> int:
+    """The codewords for ``n`` vectors of ``dims`` components: fewer than ``codewords_for`` where these would miss pairs at the limit."""
+    if dims < 4:  # a half of one component has two directions: all vectors pass all filters
+        return 2
+    codewords = codewords_for(n)
+    while codewords > 2 and expected_recall(dims, codewords, least) < RECALL:
+        codewords //= 2
+    return codewords
+
+
+def _rows_of_length_one(rows: np.ndarray) -> np.ndarray:
+    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
+
+
 def _unit(column: pa.Array) -> np.ndarray:
-    rows = np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), -1)
-    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    return _rows_of_length_one(np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), -1))
 
 
-def _send(vectors: DataFrame, codewords: int) -> DataFrame:
+def _send(vectors: DataFrame, codewords_of: dict[int, int]) -> DataFrame:
     """A row for every (vector, first-half codeword of one of its filters)."""
-    threshold = threshold_for(codewords)
     schema = "dims int, head bigint, id bigint, copies bigint, vector array<double>, filters array<bigint>"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,9 +140,11 @@ def _send(vectors: DataFrame, codewords: int) -> DataFrame:
             sizes = np.array([len(v) for v in batch.column("vector").to_pylist()], np.int64)
             for dims in np.unique(sizes):
                 rows = batch.take(pa.array(np.flatnonzero(sizes == dims)))
-                for first in range(0, rows.num_rows, 1000):
-                    part = rows.slice(first, 1000)
-                    lists = decode_lists(_unit(part.column("vector")), codewords, threshold)
+                codewords = codewords_of[int(dims)]
+                step = min(1000, max(1, PRODUCTS_AT_ONCE // codewords))
+                for first in range(0, rows.num_rows, step):
+                    part = rows.slice(first, step)
+                    lists = decode_lists(_unit(part.column("vector")), codewords, threshold_for(codewords))
                     heads = [np.unique(f // codewords) for f in lists]
                     at = pa.array(np.repeat(np.arange(len(heads)), [len(h) for h in heads]))
                     if not len(at):
@@ -135,7 +182,8 @@ def _roots(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _compare(table: pa.Table, codewords: int, least: float) -> pa.Table:
+def _compare(table: pa.Table, codewords_of: dict[int, int], least: float) -> pa.Table:
+    codewords = codewords_of[table.column("dims")[0].as_py()]
     head, cross = table.column("head")[0].as_py(), table.column("a")[0] != table.column("b")[0]
     table = table.sort_by("id").combine_chunks()
     ids, copies = table.column("id").to_numpy(), table.column("copies").to_numpy()
@@ -192,11 +240,12 @@ def link_vectors(df: DataFrame, least: float = 0.95, id_col: str = "vec_id", vec
     distinct = good.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"))
     # two rows of one id may hold different vectors, so a representative has a number of its own
     distinct = materialise(distinct.select("vector", "copies", "id"), "vectors")
-    codewords = codewords_for(distinct.count())
-    sent = materialise(_send(distinct.repartition("id"), codewords), "vector-filters")
+    lengths = distinct.groupBy(F.size("vector").alias("dims")).agg(F.count(F.lit(1)).alias("n")).collect()
+    codewords_of = {r["dims"]: codewords_at(r["dims"], r["n"], least) for r in lengths}
+    sent = materialise(_send(distinct.repartition("id"), codewords_of), "vector-filters")
     keys = ["dims", "head"]
     compared = _in_blocks(sent, keys).groupBy(*keys, "a", "b")
-    found = compared.applyInArrow(lambda t: _compare(t, codewords, least), "id bigint, n bigint, root bigint")
+    found = compared.applyInArrow(lambda t: _compare(t, codewords_of, least), "id bigint, n bigint, root bigint")
     found = materialise(found, "vector-links")
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
     component = classes(found.where("id <> root"), "id", "root")

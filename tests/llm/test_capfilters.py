@@ -79,3 +79,21 @@ def test_repeated_and_null_ids_empty_table(spark):
     rows = sorted((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in capfilters.link_vectors(df).collect())
     assert rows == [(0, 0, None, False), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
     assert _found(_frame(spark, [])) == []
+
+
+def test_recall_at_the_limit_of_large_tables_and_few_dimensions():
+    rng = np.random.default_rng(5)
+    for n, dims in [(10**6, 64), (10**7, 64), (10**6, 128), (1000, 16), (10**5, 16), (1000, 8), (10**6, 8), (1000, 4), (1000, 3)]:
+        words = capfilters.codewords_at(dims, n, 0.95)
+        a, b = rng.normal(size=(2, 200, dims))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        b -= (a * b).sum(axis=1, keepdims=True) * a
+        c = 0.95 * a + np.sqrt(1 - 0.95**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+        one, two = (capfilters.decode_lists(x, words, capfilters.threshold_for(words)) for x in (a, c))
+        assert min(map(len, one + two)) > 0, (n, dims)
+        assert np.mean([len(np.intersect1d(p, q)) > 0 for p, q in zip(one, two, strict=True)]) >= 0.99, (n, dims)
+
+
+def test_links_in_few_dimensions_equal_brute_force(spark):
+    rows = list(enumerate(_vectors(60, 8, 0.15) + _vectors(60, 2, 0.1) + _vectors(60, 3, 0.1) + _vectors(60, 16, 0.15)))
+    assert _found(_frame(spark, rows)) == _brute_force(rows)
