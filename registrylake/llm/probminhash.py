@@ -1,9 +1,10 @@
-"""Near-duplicate documents by ProbMinHash over weighted word shingles.
+"""Near-duplicate documents by ProbMinHash over distinct word shingles.
 
-A document is its shingles of five words; one that occurs n times weighs 1 + ln n, so that a phrase said hundreds of times
-does not outweigh the rest. Each shingle sends points at the times of a Poisson process whose rate is its weight; a point falls
+A document is its distinct shingles of five words, all of one weight (``signatures`` takes counts too: a shingle that occurs
+n times weighs 1 + ln n there), as the limit is one of the distinct shingles: candidates found or ruled out by other weights
+lose texts that differ in a repeated line. Each shingle sends points at the times of a Poisson process whose rate is its weight; a point falls
 on one of ``SIZE`` places, and a signature holds the shingle whose point came first there. A shingle stops once its next point
-is later than the latest place. The share of equal places estimates the probability Jaccard index of the weighted shingles;
+is later than the latest place. The share of equal places estimates the probability Jaccard index, with equal weights the plain one;
 bands of places are join keys. Pairs that come out of them are verified on their texts: the Jaccard index of the distinct
 shingles must reach the limit.
 
@@ -35,7 +36,7 @@ SHINGLE = 5
 LEAST = 0.8
 BANDS, ROWS = 25, 5  # a pair at 0.8 shares no band with probability 5e-5
 SIZE = BANDS * ROWS
-SURE = 0.12  # more than three standard deviations of the estimate at 0.8
+SURE = 0.15  # four standard deviations of the estimate at 0.8
 BINS = 1024
 FINE_SURE = 0.05  # four standard deviations of the finer estimate at 0.8
 BLOCK = 512
@@ -100,6 +101,11 @@ def fine_bins(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     return np.where(low == empty, 0, 1 + mix(low) % np.uint64(255)).astype(np.uint8).reshape(n, BINS)
 
 
+def unweighted(sets: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The same shingles, each counted once."""
+    return [(s, np.ones_like(n)) for s, n in sets]
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """The Jaccard index of two sets, each without repeats."""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -117,7 +123,7 @@ def sketch(docs: DataFrame) -> DataFrame:
             flat, ends = hash_words(as_bytes(piece.column("text")), _WORDS)
             full = np.flatnonzero(np.diff(ends))
             sets = shingles(flat, ends)
-            sig, fine = signatures(sets)[full], fine_bins(sets)[full]
+            sig, fine = signatures(unweighted(sets))[full], fine_bins(sets)[full]
             keys = np.zeros((len(full), BANDS), np.uint64)
             parts = sig.reshape(len(full), BANDS, ROWS)
             for r in range(ROWS):

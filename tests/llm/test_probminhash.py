@@ -77,6 +77,18 @@ def test_a_phrase_said_often_does_not_link(docs_of):
     assert all(r.class_id == r.doc_id for r in probminhash.near_classes(docs_of(rows)).collect())
 
 
+def test_texts_that_differ_in_a_repeated_line_are_found(docs_of):
+    rng = random.Random(11)
+    rows = []
+    for i in range(0, 120, 2):
+        words, line = [[f"u{i}_{j}" for j in range(40)], rng.sample(VOCABULARY, 12)]
+        other = [*line[:6], f"x{i}", *line[7:]]
+        rows += [(i, " ".join(words + line * 30)), (i + 1, " ".join(words + other * 30))]
+    want = _brute_force(rows)
+    assert len(set(want.values())) == 60
+    assert {r.doc_id: r.class_id for r in probminhash.near_classes(docs_of(rows)).collect()} == want
+
+
 def test_signature_estimates_the_probability_index():
     rng = np.random.default_rng(0)
     names = rng.integers(0, 1 << 63, 300).astype(np.uint64)
