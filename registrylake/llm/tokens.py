@@ -3,7 +3,8 @@
 A byte-level BPE never joins bytes across the start of a pre-token. A pre-token starts at every single space or line feed
 between other characters than white space, and at every full stop or comma behind a letter or digit. Cut there, each piece
 of a text is encoded on its own; a piece seen before is looked up. Texts with any other space, line feed, full stop or
-comma are encoded as a whole, so the ids are always those of the plain call.
+comma, and texts that hold the string of an added token (``<|endoftext|>``), are encoded as a whole, so the ids are always
+those of the plain call, which gives such a string the id of its token.
 """
 
 from __future__ import annotations
@@ -77,9 +78,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tokenizer.model
         parts = json.loads(self.tokenizer.to_str())
+        self.added = [t["content"] for t in parts["added_tokens"]]
         self.byte_level = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}.items() <= (parts["pre_tokenizer"] or {}).items() and not parts["normalizer"]
         self._clear()
 
@@ -133,7 +134,8 @@ class Encoder:
         look = self.pieces.__getitem__
         parts, counts = [], []
         for text in texts:
-            cut = [""] if "\0" in text else _cut(text)  # a text with the cutting mark in it goes as a whole
+            # a text with the cutting mark or an added token in it goes as a whole
+            cut = [""] if "\0" in text or any(t in text for t in self.added) else _cut(text)
             parts.append(np.fromiter(map(look, cut), np.int64, len(cut)))
             counts.append(len(cut))
         self._learn()

@@ -42,6 +42,26 @@ def test_cut_encoding_is_the_plain_encoding(tokenizer):
     assert [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])] == [encoder.whole(t).tolist() for t in ODD]
 
 
+def test_ids_are_those_of_the_plain_call(tokenizer):
+    from tokenizers import Tokenizer
+
+    texts = [*ODD, "end <|endoftext|> start", "a.<|endoftext|><|endoftext|>", "<|endoftext|>", "<|endoftext |> b", "\0<|endoftext|>"]
+    plain = Tokenizer.from_file(tokenizer)
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    ids, sizes = Encoder(tokenizer).encode(texts)
+    assert [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])] == want
+    assert want[len(ODD)] == [437, 220, 50256, 923]
+
+
+def test_counts_of_leaves_are_those_of_the_plain_call(tokenizer):
+    from registrylake.llm.editcount import cut_leaves
+
+    encoder = Encoder(tokenizer)
+    for text in ["word <|endoftext|> " * 200, "some <|endoftext|>. more " * 100 + "<|endoftext|>"]:
+        leaves = cut_leaves(text)
+        assert len(leaves) > 2 and sum(encoder.counts(leaves)) == len(encoder.whole(text))
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet="ab .,'\n\t!é1 ", max_size=30), min_size=1, max_size=4))
 def test_cut_encoding_of_any_text(texts):
