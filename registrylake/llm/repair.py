@@ -121,7 +121,8 @@ def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
             keep = np.ones(len(seq), bool)
             keep[place + 1] = False
             seq = seq[keep]
-        if least == MIN_PAIRS and len(seq) > before - before // WORTH:
+        # a round that takes nothing away ends it too, also where a twentieth is no whole symbol
+        if least == MIN_PAIRS and (len(seq) == before or len(seq) > before - before // WORTH):
             break
     rule_table = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
     return first, rule_table, (np.concatenate(lengths) if lengths else np.zeros(0, np.int64)), seq
@@ -164,7 +165,7 @@ def decode(row: dict) -> np.ndarray:
 
 
 def decode_span(row: dict, start: int, stop: int) -> np.ndarray:
-    """Ids ``start`` to ``stop`` (exclusive) of a shard; only the symbols that cover them are expanded."""
+    """Ids ``start`` to ``stop`` (exclusive) of a shard; only the symbols that cover them, and the rules below those, are opened."""
     seq, first = _u32(row["sequence"]), row["first_rule"]
     size = np.concatenate([np.ones(first, np.int64), _u32(row["lengths"])])
     ends = np.cumsum(size[seq])
@@ -173,7 +174,7 @@ def decode_span(row: dict, start: int, stop: int) -> np.ndarray:
         return np.zeros(0, np.uint32)
     a, b = np.searchsorted(ends, start, side="right"), np.searchsorted(ends, stop, side="left")
     skip = start - (int(ends[a - 1]) if a else 0)
-    ids = expand(seq[a : b + 1], first, _u32(row["rules"]).reshape(-1, 2), _u32(row["lengths"]))
+    ids = _opened(seq[a : b + 1], first, _u32(row["rules"]).reshape(-1, 2)).astype(np.uint32)
     return ids[skip : skip + stop - start]
 
 

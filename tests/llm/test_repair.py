@@ -62,6 +62,13 @@ def test_counts_of_leaves_are_those_of_the_plain_call(tokenizer):
         assert len(leaves) > 2 and sum(encoder.counts(leaves)) == len(encoder.whole(text))
 
 
+@pytest.mark.parametrize("n", [*range(26), 100_000])
+def test_small_runs_and_runs_of_one_symbol_end(n):
+    for ids in (np.arange(n, dtype=np.uint32), np.full(n, 7, np.uint32), np.arange(n, dtype=np.uint32) % 3):
+        first, rules, lengths, seq = repair.compress(ids)
+        assert repair.expand(seq, first, rules, lengths).tolist() == ids.tolist()
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet="ab .,'\n\t!é1 ", max_size=30), min_size=1, max_size=4))
 def test_cut_encoding_of_any_text(texts):
