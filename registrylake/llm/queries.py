@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrylake.llm import capfilters, debruijn, editcount, indexing, mixing, probminhash, rendezvous, repair, spacedseeds, zstdclass
+from registrylake.llm import (
+    capfilters, debruijn, editcount, indexing, maxsketch, mixing, probminhash, rendezvous, repair, spacedseeds, zstdclass,
+)
 from registrylake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,3 +196,42 @@ def op2_probminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_debruijn_repeats", SQL_REPEATS)
 def op9_debruijn_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+SQL_SEARCH = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents WHERE text IS NOT NULL
+), w AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), tf AS (
+  SELECT r, doc_id, term, count(*)::BIGINT AS tf FROM w GROUP BY ALL
+), n AS (
+  SELECT r, count(*)::BIGINT AS n FROM w GROUP BY r
+), a AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM n
+), df AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM tf, a GROUP BY term, n_docs
+), i AS (
+  SELECT DISTINCT item_id, text FROM benchmark
+), q AS (
+  SELECT item_id, text, term, count(*)::BIGINT AS times
+  FROM (SELECT item_id, text, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i)
+  GROUP BY ALL
+), s AS (
+  SELECT item_id, text, r, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term) JOIN n USING (r), a GROUP BY item_id, text, r, doc_id
+), o AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS FIRST)::INT AS rank, doc_id, score
+  FROM s WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10
+"""
+
+
+@query("op13_max_sketch_search", SQL_SEARCH)
+def op13_max_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = maxsketch.build_index(table(spark, sf_dir, "documents"))
+    return maxsketch.search(index, table(spark, sf_dir, "benchmark"), 10)
