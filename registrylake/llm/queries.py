@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrylake.llm import (
-    capfilters, debruijn, editcount, indexing, maxsketch, mixing, probminhash, rendezvous, repair, spacedseeds, zstdclass,
+    capfilters, debruijn, editcount, indexing, maxsketch, mixing, probminhash, rendezvous, repair, spacedseeds, turntrie, zstdclass,
 )
 from registrylake.session import scratch_path
 
@@ -235,3 +235,49 @@ SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10
 def op13_max_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = maxsketch.build_index(table(spark, sf_dir, "documents"))
     return maxsketch.search(index, table(spark, sf_dir, "benchmark"), 10)
+
+
+SQL_TRIE = rf"""
+WITH crc AS ({SQL_CRC}), t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
+         count(*) OVER (PARTITION BY conv_id) AS n, strlen(coalesce(text, ''))::BIGINT AS size,
+         md5(strlen(coalesce(role, ''))::VARCHAR || ' ' || coalesce(role, '') || ' ' || coalesce(text, '')) AS key
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, {SQL_CRC_OF.replace('text', 'conv_id::VARCHAR')}::BIGINT % 9 AS h FROM (SELECT DISTINCT conv_id FROM t), crc
+), r AS (
+  SELECT c.conv_id, i, key, size FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 5 AND i <= h
+  UNION ALL
+  SELECT c.conv_id, i + 1000000, key, size FROM c JOIN t ON t.conv_id = c.conv_id AND i > h
+), o AS (
+  SELECT conv_id, key, size, row_number() OVER (PARTITION BY conv_id ORDER BY i) AS depth FROM r
+), p AS (
+  SELECT conv_id, depth, size, string_agg(key, '') OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING) AS path FROM o
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c
+), m AS (
+  SELECT conv_id, depth, size, md5(path) AS node, lag(md5(path)) OVER (PARTITION BY conv_id ORDER BY depth) AS up,
+         max(depth) OVER (PARTITION BY conv_id) = depth AS is_end
+  FROM p
+), v AS (
+  SELECT node, depth, min(up) AS up, min(conv_id) AS conv_id, count(*)::BIGINT AS n_convs, (count(*) - 1) * min(size) AS own,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (is_end) AS ends
+  FROM m GROUP BY node, depth
+), k AS (
+  SELECT up AS node, count(*)::BIGINT AS n_children FROM v WHERE up IS NOT NULL GROUP BY up
+), s AS (
+  SELECT a.node, sum(v.own)::BIGINT AS saved_tokens, (count(*) FILTER (k.node IS NULL))::BIGINT AS n_leaves
+  FROM (SELECT DISTINCT a.node, b.node AS below FROM m AS a JOIN m AS b ON a.conv_id = b.conv_id AND b.depth >= a.depth) AS a
+  JOIN v ON v.node = a.below LEFT JOIN k ON k.node = v.node GROUP BY a.node
+)
+SELECT v.conv_id, v.depth, u.conv_id AS parent_conv_id, v.n_convs, coalesce(k.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens,
+       sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM v JOIN s ON s.node = v.node LEFT JOIN k ON k.node = v.node LEFT JOIN v AS u ON u.node = v.up
+"""
+
+
+@query("op12_turn_trie", SQL_TRIE)
+def op12_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = turntrie.encode_turns(table(spark, sf_dir, "conversations"))
+    conv_id = F.col("conv_id")
+    head_turns = F.crc32(conv_id.cast("string").cast("binary")) % 9
+    return turntrie.trie(turntrie.spliced(convs, conv_id - conv_id % 5, head_turns, 8))
