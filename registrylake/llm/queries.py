@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrylake.llm import (
-    capfilters, debruijn, editcount, indexing, maxsketch, mixing, probminhash, rendezvous, repair, spacedseeds, turntrie, zstdclass,
+    capfilters, debruijn, editcount, indexing, maxsketch, mixing, probminhash, rendezvous, repair, spacedseeds, turntrie, urltree, zstdclass,
 )
 from registrylake.session import scratch_path
 
@@ -281,3 +281,13 @@ def op12_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv_id = F.col("conv_id")
     head_turns = F.crc32(conv_id.cast("string").cast("binary")) % 9
     return turntrie.trie(turntrie.spliced(convs, conv_id - conv_id % 5, head_turns, 8))
+
+
+ALLOWED_URLS = ("org/", "com/fr/")
+BLOCKED_URLS = ("example.org/es/", "example.org/en/1", "com/de/")
+
+
+@query("op11_path_template_verdicts")
+def op11_path_template_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urltree.judge(table(spark, sf_dir, "pages"), ALLOWED_URLS, BLOCKED_URLS)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
