@@ -71,7 +71,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit("row"), "doc_id", "text")})
 
 
-def _sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterable[pa.RecordBatch], coordinates: int) -> Iterator[pa.RecordBatch]:
     hashes, df = HashedWords(), Counter()
     names = ["h1", "h2", "n", "coords", "tops", "term", "df"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
@@ -89,7 +89,7 @@ def _sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = Counter(terms_of(text))
             df.update(counts.keys())
             tf = np.fromiter(counts.values(), np.int64, len(counts))
-            at = (np.fromiter(map(hashes.__getitem__, counts), np.uint64, len(counts)) % np.uint64(COORDINATES)).astype(np.int64)
+            at = (np.fromiter(map(hashes.__getitem__, counts), np.uint64, len(counts)) % np.uint64(coordinates)).astype(np.int64)
             order = np.argsort(at, kind="stable")
             at, first = np.unique(at[order], return_index=True)
             n.append(int(tf.sum()))
@@ -112,26 +112,28 @@ class Index(NamedTuple):
     frequencies: DataFrame  # term, df
     n_docs: int
     n_terms: int
+    coordinates: int
 
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Index:
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", coordinates: int = COORDINATES) -> Index:
+    """``coordinates``, at most 2**16, settles how close the bounds are; results do not depend on it."""
     small_batches(docs.sparkSession)
     keyed = _keyed(docs, id_col, text_col)
-    written = materialise(keyed.select("h1", "h2", "text").mapInArrow(_sketches, SKETCH), "max-sketches")
+    written = materialise(keyed.select("h1", "h2", "text").mapInArrow(lambda b: _sketches(b, coordinates), SKETCH), "max-sketches")
     sketches = written.where("n > 0").select("h1", "h2", "n", "coords", "tops")
     frequencies = written.where("term is not null").groupBy("term").agg(F.sum("df").alias("df"))
     n_docs, n_terms = sketches.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    return Index(keyed, sketches, frequencies, n_docs, n_terms)
+    return Index(keyed, sketches, frequencies, n_docs, n_terms, coordinates)
 
 
 class Block:
     """Items of a block with the weights of their terms: what every task of a pass gets."""
 
     def __init__(self, index: Index, items: list[list[tuple[bytes, int]]], df: dict[bytes, int]):
-        self.n_docs, self.n_terms = index.n_docs, index.n_terms
+        self.n_docs, self.n_terms, self.coordinates = index.n_docs, index.n_terms, index.coordinates
         self.items = [[(t, times * weight(df[t], index.n_docs)) for t, times in terms if t in df] for terms in items]
         hashes = HashedWords()
-        at = [np.array([hashes[t] % COORDINATES for t, _ in terms], np.int64) for terms in self.items]
+        at = [np.array([hashes[t] % index.coordinates for t, _ in terms], np.int64) for terms in self.items]
         self.coords = np.unique(np.concatenate([*at, np.zeros(0, np.int64)]))
         self.at = [np.searchsorted(self.coords, a) for a in at]
         self.weights = [np.array([w for _, w in terms], float) for terms in self.items]
@@ -146,7 +148,7 @@ class Block:
         doc = np.repeat(np.arange(docs), [len(c) for c in coords])
         coords = np.concatenate(coords)
         tops = np.frombuffer(b"".join(batch.column("tops").to_pylist()), "<u4")
-        row = np.full(COORDINATES, -1, np.int64)
+        row = np.full(self.coordinates, -1, np.int64)
         row[self.coords] = np.arange(len(self.coords))
         row = row[coords]
         doc, tops, row = doc[row >= 0], tops[row >= 0].astype(np.int64), row[row >= 0]
@@ -231,12 +233,12 @@ def _best(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _blocks(items: DataFrame) -> Iterator[list[tuple]]:
+def _blocks(items: DataFrame, most: int) -> Iterator[list[tuple]]:
     """Items in blocks of bounded size: the driver holds one block at a time."""
     held, size = [], 0
     for row in items.toLocalIterator():
         text = (row.text or "").encode()
-        if held and (len(held) >= BLOCK_ITEMS or size + len(text) > BLOCK_BYTES):
+        if held and (len(held) >= most or size + len(text) > BLOCK_BYTES):
             yield held
             held, size = [], 0
         held.append((row.item_id, list(Counter(terms_of(text)).items())))
@@ -245,14 +247,14 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple]]:
         yield held
 
 
-def _search_block(index: Index, items: list[tuple], id_type, k: int) -> DataFrame:
+def _search_block(index: Index, items: list[tuple], id_type: str, k: int, first: int) -> DataFrame:
     spark = index.docs.sparkSession
     terms = sorted({t for _, counts in items for t, _ in counts})
     asked = F.broadcast(spark.createDataFrame([(bytearray(t),) for t in terms], "term binary"))  # the terms of one block
     df = {bytes(r.term): r.df for r in index.frequencies.join(asked, "term").collect()}
     block = Block(index, [counts for _, counts in items], df)
-    first = F.broadcast(_highest_bounds(block, index.sketches, max(k, FIRST)))  # at most FIRST keys per item of the block
-    kth = _best(_rescored(block, index, first), k).where(F.col("rank") == k)
+    highest = F.broadcast(_highest_bounds(block, index.sketches, max(k, first)))  # at most ``first`` keys per item of the block
+    kth = _best(_rescored(block, index, highest), k).where(F.col("rank") == k)
     thresholds = np.ones(len(items))  # with fewer than k scores any positive one counts
     for r in kth.select("item", "score").collect():
         thresholds[r.item] = r.score
@@ -261,11 +263,13 @@ def _search_block(index: Index, items: list[tuple], id_type, k: int) -> DataFram
     return found.join(F.broadcast(names), "item").select("item_id", "rank", "doc_id", "score")
 
 
-def search(index: Index, items: DataFrame, k: int = 10, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
+def search(
+    index: Index, items: DataFrame, k: int = 10, first: int = FIRST, block_items: int = BLOCK_ITEMS, item_col: str = "item_id", text_col: str = "text"
+) -> DataFrame:
     """(item_id, rank, doc_id, score): the ``k`` best documents of every item, as the module says."""
     asked = items.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text")).distinct()
     id_type = asked.schema["item_id"].dataType.simpleString()
-    found = [materialise(_search_block(index, block, id_type, k), "search") for block in _blocks(asked)]
+    found = [materialise(_search_block(index, block, id_type, k, first), "search") for block in _blocks(asked, block_items)]
     doc_type = index.docs.schema["doc_id"].dataType.simpleString()
     result = items.sparkSession.createDataFrame([], f"item_id {id_type}, rank int, doc_id {doc_type}, score bigint")
     for rows in found:

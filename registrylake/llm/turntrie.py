@@ -79,8 +79,8 @@ def spliced(convs: DataFrame, head_of: Column, head_turns: Column, most: int) ->
 # ---------------------------------------------------------------- one row per turn sequence
 
 
-def _id_text(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of at most CHUNK_IDS ids of one key, comma-joined; the rows come sorted by (key, conv_id)."""
+def _id_text(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Runs of at most ``most`` ids of one key, comma-joined; the rows come sorted by (key, conv_id)."""
     key, ids = None, []
 
     def out() -> pa.RecordBatch:
@@ -89,7 +89,7 @@ def _id_text(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for k, i in zip(batch.column("key").to_pylist(), batch.column("conv_id").to_pylist(), strict=True):
-            if ids and (k != key or len(ids) == CHUNK_IDS):
+            if ids and (k != key or len(ids) == most):
                 yield out()
                 ids = []
             key = k
@@ -117,14 +117,15 @@ def _hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([state.hexdigest()])], names)
 
 
-def _distinct(convs: DataFrame) -> DataFrame:
+def _distinct(convs: DataFrame, chunk_ids: int) -> DataFrame:
     """(seq, sizes, n, conv_id, ends_sha256): every different sequence, its members' count, the smallest and the hash of all."""
     keyed = materialise(convs.withColumn("key", F.md5(F.concat_ws(",", F.col("seq").cast("array<string>")).cast("binary"))), "conversations")
     rows = keyed.groupBy("key", "seq", "sizes").agg(F.count(F.lit(1)).alias("n"), F.min("conv_id").alias("conv_id"))
     alone = rows.where("n = 1").withColumn("ends_sha256", F.sha2(F.col("conv_id").cast("string").cast("binary"), 256))
     many = rows.where("n > 1")
     members = keyed.select("key", "conv_id").join(many.select("key"), "key")
-    runs = members.repartitionByRange("key", "conv_id").sortWithinPartitions("key", "conv_id").mapInArrow(_id_text, "key string, first bigint, ids string")
+    members = members.repartitionByRange("key", "conv_id").sortWithinPartitions("key", "conv_id")
+    runs = members.mapInArrow(lambda b: _id_text(b, chunk_ids), "key string, first bigint, ids string")
     # a run is many ids, so what meets here is a fraction of the members
     hashes = runs.repartition("key").sortWithinPartitions("key", "first").mapInArrow(_hashed, "key string, ends_sha256 string")
     return alone.unionByName(many.join(hashes, "key")).drop("key")
@@ -260,7 +261,7 @@ def _tree_nodes(rows: list[tuple], before: np.ndarray | None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW)
 
 
-def _trees(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _trees(batches: Iterable[pa.RecordBatch], shard_turns: int) -> Iterator[pa.RecordBatch]:
     """Shard after shard of sorted rows; a row without members is the last one of the part before."""
     part, before, rows, turns = None, None, [], 0
     for batch in batches:
@@ -270,7 +271,7 @@ def _trees(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, n, ids = (batch.column(c).to_pylist() for c in ("part", "n", "conv_id"))
         for i, sha in enumerate(batch.column("ends_sha256").to_pylist()):
             seq, own = numbers[ends[i] : ends[i + 1]], sizes[ends[i] : ends[i + 1]]
-            if rows and (parts[i] != part or turns + len(seq) > SHARD_TURNS):
+            if rows and (parts[i] != part or turns + len(seq) > shard_turns):
                 yield _tree_nodes(rows, before)
                 before, rows, turns = rows[-1][0], [], 0
             if parts[i] != part:
@@ -293,19 +294,19 @@ def _merged(nodes: DataFrame) -> DataFrame:
     )
 
 
-def trie(convs: DataFrame) -> DataFrame:
+def trie(convs: DataFrame, shard_turns: int = SHARD_TURNS, chunk_ids: int = CHUNK_IDS) -> DataFrame:
     """All nodes of the trie of (conv_id, seq, sizes), the root among them.
 
     Columns: conv_id (smallest member), depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256.
     """
-    sorted_ = _distinct(convs).repartitionByRange("seq").withColumn("part", F.spark_partition_id())
+    sorted_ = _distinct(convs, chunk_ids).repartitionByRange("seq").withColumn("part", F.spark_partition_id())
     placed = materialise(sorted_, "trie-shards")  # what part a row is in is settled by the written rows
     # one row per part: the last sequence of a part goes before the rows of the next
     last = placed.groupBy("part").agg(F.max("seq").alias("seq")).withColumn("part", F.lead("part").over(Window.orderBy("part")))
     guards = last.where("part is not null").selectExpr("seq", "cast(array() as array<int>) as sizes", "0L as n", "0L as conv_id", "cast(null as string) as ends_sha256", "part")
     both = placed.unionByName(guards).withColumn("real", F.col("n") > 0)
     dealt = both.repartition("part").sortWithinPartitions("part", "real", "seq").drop("real")
-    nodes = materialise(dealt.mapInArrow(_trees, NODE), "trie-nodes")
+    nodes = materialise(dealt.mapInArrow(lambda b: _trees(b, shard_turns), NODE), "trie-nodes")
     border = materialise(_merged(nodes), "trie-border")
     final = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
     done = nodes.where("not border and parent_path is null").select(*final)

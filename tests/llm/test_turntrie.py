@@ -59,20 +59,17 @@ def _rows(df):
 
 
 @pytest.mark.parametrize("shard_turns", [1, 7, 1 << 20])
-def test_trie_equals_brute_force(spark, shard_turns, monkeypatch):
-    monkeypatch.setattr(turntrie, "SHARD_TURNS", shard_turns)
-    monkeypatch.setattr(turntrie, "CHUNK_IDS", 5)
+def test_trie_equals_brute_force(spark, shard_turns):
     for seed in (3, 4):
         convs = _corpus(seed, 90, 6)
-        found = turntrie.trie(turntrie.encode_turns(_table(spark, convs)))
+        found = turntrie.trie(turntrie.encode_turns(_table(spark, convs)), shard_turns, chunk_ids=5)
         assert _rows(found) == _brute(convs)
 
 
-def test_chains_over_shards(spark, monkeypatch):
+def test_chains_over_shards(spark):
     """Every conversation goes on from the one before it, so each shard ends in the middle of a path."""
-    monkeypatch.setattr(turntrie, "SHARD_TURNS", 3)
     convs = {i: [("u", "x")] * i for i in range(1, 30)} | {100 + i: [("u", "x")] * i + [("a", "end")] for i in range(0, 30, 4)}
-    assert _rows(turntrie.trie(turntrie.encode_turns(_table(spark, convs)))) == _brute(convs)
+    assert _rows(turntrie.trie(turntrie.encode_turns(_table(spark, convs)), shard_turns=3)) == _brute(convs)
 
 
 def test_query_splices(spark, tmp_path):
