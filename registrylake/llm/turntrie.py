@@ -303,7 +303,9 @@ def trie(convs: DataFrame, shard_turns: int = SHARD_TURNS, chunk_ids: int = CHUN
     placed = materialise(sorted_, "trie-shards")  # what part a row is in is settled by the written rows
     # one row per part: the last sequence of a part goes before the rows of the next
     last = placed.groupBy("part").agg(F.max("seq").alias("seq")).withColumn("part", F.lead("part").over(Window.orderBy("part")))
-    guards = last.where("part is not null").selectExpr("seq", "cast(array() as array<int>) as sizes", "0L as n", "0L as conv_id", "cast(null as string) as ends_sha256", "part")
+    guards = last.where("part is not null").selectExpr(
+        "seq", "array_repeat(0, size(seq)) as sizes", "0L as n", "0L as conv_id", "cast(null as string) as ends_sha256", "part"
+    )
     both = placed.unionByName(guards).withColumn("real", F.col("n") > 0)
     dealt = both.repartition("part").sortWithinPartitions("part", "real", "seq").drop("real")
     nodes = materialise(dealt.mapInArrow(lambda b: _trees(b, shard_turns), NODE), "trie-nodes")

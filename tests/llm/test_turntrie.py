@@ -72,6 +72,22 @@ def test_chains_over_shards(spark):
     assert _rows(turntrie.trie(turntrie.encode_turns(_table(spark, convs)), shard_turns=3)) == _brute(convs)
 
 
+@pytest.fixture
+def many_parts(spark):
+    """Every shuffle keeps its partitions, so that shards begin and end at their borders."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.unset(name)
+
+
+def test_nodes_over_parts(spark, many_parts):
+    for seed in (5, 6):
+        convs = _corpus(seed, 90, 6)
+        found = turntrie.trie(turntrie.encode_turns(_table(spark, convs)), shard_turns=20, chunk_ids=5)
+        assert _rows(found) == _brute(convs)
+
+
 def test_query_splices(spark, tmp_path):
     convs = _corpus(8, 80, 12)
     _table(spark, convs).withColumn("number", F.lit("x")).write.parquet(f"{tmp_path}/conversations.parquet")
