@@ -74,14 +74,14 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
+def materialise(df: DataFrame, label: str = "stage", **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Cuts lineage like a reliable checkpoint, but columnar, so that later steps read only the columns
     they use. Values that depend on task placement (chunk numbers) become plain stored data, and a
-    lost executor costs a re-read, never a re-numbering.
+    lost executor costs a re-read, never a re-numbering. ``options`` go to the writer.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from registrylake.functions.text import ascii_replace
+from registrylake.session import materialise
 
-BROADCAST_SPLITS = 200_000
+#: row groups of written lines: what one unsplittable file holds is read back by many tasks
+ROW_GROUP = {"parquet.block.size": str(32 << 20)}
+SPLIT = ["_path", "_start"]
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -16,34 +19,45 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return raw.select(ascii_replace(F.col("value")).alias("value"), F.col("_metadata.file_name").alias("source_file"))
 
 
-def read_numbered_lines(spark: SparkSession, path: str | list[str], spread: int | None = None) -> DataFrame:
-    """``read_lines`` plus ``line_number_in_file``, the 0-based position in the file.
-
-    A ``.gz`` file is one task; ``spread`` hands its numbered lines to that many tasks for what follows.
-
-    A line's number is its place in its split plus the lines of the file's earlier splits. Spark numbers
-    the rows of a task one after the other, so the place in the split needs no shuffle; the lines per
-    split are one aggregate. That aggregate is broadcast while the number of splits is known to be
-    small, and joined by shuffle beyond.
-    """
-    raw = spark.read.text(path)
-    splits = raw.rdd.getNumPartitions() + len(raw.inputFiles())
-    place = [
+def placed_lines(spark: SparkSession, path: str | list[str], line_end: str | None = None) -> DataFrame:
+    """``read_lines`` plus the split a line is from (``_path``, ``_start``) and ``_id``, which grows inside a split."""
+    raw = (spark.read.option("lineSep", line_end) if line_end else spark.read).text(path)
+    return raw.select(
+        ascii_replace(F.col("value")).alias("value"),
+        F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_id"),
-    ]
-    per_split = raw.select(*place).groupBy("_path", "_start").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_split.select(
-        "_path", "_start", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
     )
-    lines = raw.select(
-        ascii_replace(F.col("value")).alias("value"), F.col("_metadata.file_name").alias("source_file"), *place
-    )
-    if splits <= BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
-    numbered = lines.join(offsets, ["_path", "_start"]).select(
-        "value", "source_file", (F.col("_id") + F.col("_shift")).alias("line_number_in_file")
-    )
-    return numbered.repartition(spread, "source_file", "line_number_in_file") if spread else numbered
+
+
+def earlier_splits() -> Window:
+    """The splits of the same file before this one."""
+    return Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def split_index(written: DataFrame, *summary: Column) -> DataFrame:
+    """One row per split of written lines: how many lines, the first id, the lines of the file before it, and ``summary``.
+
+    It is read from the narrow columns of the very rows it describes, so the two cannot disagree.
+    """
+    splits = written.groupBy(*SPLIT).agg(F.count(F.lit(1)).alias("_lines"), F.min("_id").alias("_first"), *summary)
+    return splits.withColumn("_before", F.coalesce(F.sum("_lines").over(earlier_splits()), F.lit(0)))
+
+
+def on_split(written: DataFrame, splits: DataFrame) -> DataFrame:
+    """Lines with their split's row. A split without one is an error, never a lost line."""
+    known = F.when(F.col("_before").isNull(), F.raise_error(F.concat(F.lit("no index of the split of "), "_path"))).otherwise(F.col("_before"))
+    joined = written.join(splits, SPLIT, "left").withColumn("_before", known)
+    return joined.withColumn("line_number_in_file", F.col("_id") - F.col("_first") + F.col("_before"))
+
+
+def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``read_lines`` plus ``line_number_in_file``, the 0-based position in the file.
+
+    The files are read once: lines are written with the split they are from and a number that grows inside it. The index of
+    the splits comes from these written rows, one row each, and a prefix sum over a file's splits turns a place in the split
+    into a place in the file. A ``.gz`` file is unpacked by one task; its written lines are dealt out by row groups.
+    """
+    written = materialise(placed_lines(spark, path), "lines", **ROW_GROUP)
+    return on_split(written, split_index(written)).select("value", "source_file", "line_number_in_file")
