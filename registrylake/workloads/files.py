@@ -288,11 +288,36 @@ def line_numbering(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT CAST(c_nationkey AS VARCHAR) AS file, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS number,
+      c_nationkey || '|' || c_custkey || '|' || c_name AS text FROM customer"""
+)
+def numbered_lines(spark, sf_dir):
+    """One compressed file per nation, its customers in order: every line with its own number and text."""
+    line = F.concat_ws("|", "c_nationkey", "c_custkey", "c_name")
+    rows = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", line.alias("value"))
+    folder = scratch_path(spark, "nations")
+    placed = rows.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").drop("c_custkey")
+    placed.write.partitionBy("c_nationkey").text(folder, compression="gzip")
+    lines = read_numbered_lines(spark, f"{folder}/*")
+    return lines.select(F.substring_index("value", "|", 1).alias("file"), F.col("line_number_in_file").alias("number"), F.col("value").alias("text"))
+
+
 # -- inspections ----------------------------------------------------------------------------------
 
 _HEADER = "Operator Name}District}API No}Compliance}Remarks"
 
 
+def _with_headers(rows: DataFrame, header: Column, label: str) -> str:
+    """Files of the lines in ``value``, one for each ``_p``, with one header line at the top: it sorts first in its partition."""
+    parts = rows.withColumn("_h", F.lit(1))
+    heads = parts.select("_p").distinct().select(header.alias("value"), "_p", F.lit(0).alias("_h"))
+    ordered = parts.unionByName(heads).repartition("_p").sortWithinPartitions("_p", "_h")
+    folder = scratch_path(rows.sparkSession, label)
+    ordered.select("value", "_p").write.partitionBy("_p").text(folder)
+    return f"{folder}/*"
+
+
 def _inspection_folder(spark, sf_dir) -> str:
     c = table(spark, sf_dir, "customer")
     seg, bal = F.col("c_mktsegment"), F.col("c_acctbal")
@@ -300,15 +325,41 @@ def _inspection_folder(spark, sf_dir) -> str:
     remarks = F.when(seg == "BUILDING", '"say ""no"" } later"').when(seg == "MACHINERY", "N/A").otherwise(seg)
     row = F.concat_ws("}", "c_name", _zero("c_nationkey", 2), api, F.when(bal < 5000, "Y").otherwise(""), remarks)
     row = F.when(bal < 0, F.concat(row, F.lit("}one too many"))).when(bal < 500, F.substring_index(row, "}", 2)).otherwise(row)
-    rows = c.select(row.alias("value")).coalesce(4)
-    header = F.lit(_HEADER)
-    # one header line at the top of every file: it sorts first in its partition
-    parts = rows.withColumn("_p", F.spark_partition_id()).withColumn("_h", F.lit(1))
-    heads = parts.select("_p").distinct().select(header.alias("value"), "_p", F.lit(0).alias("_h"))
-    ordered = parts.unionByName(heads).repartition("_p").sortWithinPartitions("_p", "_h")
-    folder = scratch_path(spark, "inspections")
-    ordered.select("value", "_p").write.partitionBy("_p").text(folder)
-    return f"{folder}/*"
+    rows = c.select(row.alias("value")).coalesce(4).withColumn("_p", F.spark_partition_id())
+    return _with_headers(rows, F.lit(_HEADER), "inspections")
+
+
+@query(
+    """SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'see' || chr(10) || c_name || chr(10) || chr(10) || '"so" } far'
+      WHEN c_mktsegment = 'MACHINERY' THEN chr(10) ELSE c_mktsegment END AS remarks, CASE WHEN c_acctbal < 0 THEN 'a"b' ELSE 'end' || chr(10) END AS note FROM customer"""
+)
+def inspections_quoted_breaks(spark, sf_dir):
+    """Quoted fields that hold line breaks, blank lines, quotes and separators."""
+    c = table(spark, sf_dir, "customer")
+    seg = F.col("c_mktsegment")
+    remarks = F.when(seg == "BUILDING", F.concat(F.lit('"see\n'), "c_name", F.lit('\n\n""so"" } far"'))).when(seg == "MACHINERY", '"\n"').otherwise(seg)
+    note = F.when(F.col("c_acctbal") < 0, 'a"b').otherwise('"end\n"')
+    rows = c.select(F.concat_ws("}", "c_custkey", remarks, note).alias("value"), F.pmod("c_nationkey", F.lit(4)).alias("_p"))
+    return read_delimited(spark, _with_headers(rows, F.lit('Id}"Remarks"}Note'), "quoted"))
+
+
+@query(
+    """SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_nationkey % 3 <> 2 THEN c_name END AS operator_name,
+      CASE WHEN c_nationkey % 3 <> 1 THEN CAST(c_nationkey AS VARCHAR) END AS district, CASE WHEN c_nationkey % 3 = 1 THEN c_mktsegment END AS inspector
+    FROM customer WHERE NOT (c_nationkey % 3 = 2 AND c_acctbal < 0)"""
+)
+def inspections_mixed_headers(spark, sf_dir):
+    """Files of three layouts, united by column names; a row may be too long for the layout of its own file only."""
+    c = table(spark, sf_dir, "customer")
+    kind = F.pmod("c_nationkey", F.lit(3))
+    too_long = F.when(F.col("c_acctbal") < 0, "}one too many").otherwise("")
+    row = (
+        F.when(kind == 0, F.concat_ws("}", "c_custkey", "c_name", "c_nationkey"))
+        .when(kind == 1, F.concat_ws("}", "c_mktsegment", "c_custkey", "c_name"))
+        .otherwise(F.concat(F.concat_ws("}", "c_nationkey", "c_custkey"), too_long))
+    )
+    header = F.when(F.col("_p") == 0, "Id}Operator Name}District").when(F.col("_p") == 1, "Inspector}ID}operator name").otherwise("District}Id")
+    return read_delimited(spark, _with_headers(c.select(row.alias("value"), kind.alias("_p")), header, "mixed"))
 
 
 @query(

@@ -182,3 +182,64 @@ def test_first_delimited_rows_in_file_order(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert sorted(got) == [i for i in range(3000) if i % 7][:1500]
+
+
+@pytest.fixture
+def small_splits(spark):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_quoted_breaks_over_splits(spark, tmp_path, small_splits):
+    """Fields longer than a split, so that splits start and end inside quotes, against a reading of the whole file."""
+    rng = np.random.default_rng(5)
+    want = []
+    for name in ("a.txt", "b.txt"):
+        rows = ["id}note}more\n"]
+        for i in range(150):
+            kind = rng.integers(0, 6)
+            note = [
+                "plain", '"one\ntwo"', '"' + 'long "" text}\n' * int(rng.integers(1, 200)) + '"', 'in"side', '"\r\n\n"', '""',
+            ][kind]
+            rows.append(f"{i}}}{note}}}{'x' if i % 3 else chr(34) + 'y' + chr(10) + chr(34)}\n" + ("\n" if kind == 0 else ""))
+        path = tmp_path / name
+        path.write_bytes("".join(rows).encode())
+        frame = pd.read_csv(path, sep="}", dtype=str, encoding="ascii", lineterminator="\n")
+        want += [tuple(None if pd.isna(v) else v for v in row) for row in frame.itertuples(index=False)]
+    got = delimited.read_delimited(spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_open_quote_is_an_error(spark, tmp_path):
+    (tmp_path / "a.txt").write_text('a}b\n1}"never closed\n2}3\n')
+    with pytest.raises(Exception, match="never closed"):
+        delimited.read_delimited(spark, str(tmp_path)).collect()
+
+
+def test_headers_are_united(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("\n id}B}b\n1}2}3\n1}2}3}4\n")
+    (tmp_path / "b.txt").write_text('"C}c"}ID\n5}6\n5}6}7\n')
+    (tmp_path / "empty.txt").write_text("")
+    got = delimited.read_delimited(spark, str(tmp_path))
+    assert got.columns == ["id", "b", "b.1", "c}c"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([("1", "2", "3", None), ("6", None, None, "5")], key=repr)
+    assert delimited.overlong_rows(spark, str(tmp_path)).first().n_dropped == 2
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "x.txt").write_text("\n")
+    assert delimited.read_delimited(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_a_split_without_an_index_is_an_error(spark):
+    lines = spark.createDataFrame([("x", "f", 0, 5)], "value string, _path string, _start bigint, _id bigint")
+    index = text_lines.split_index(lines)
+    assert text_lines.on_split(lines, index).first().line_number_in_file == 0
+    with pytest.raises(Exception, match="no index"):
+        text_lines.on_split(lines, index.where("_path = 'g'")).collect()
+
+
+def test_lines_are_read_once(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("x\ny\n")
+    plan = text_lines.read_numbered_lines(spark, str(tmp_path))._jdf.queryExecution().toString()
+    assert "FileScan text" not in plan and "FileScan parquet" in plan
