@@ -55,6 +55,13 @@ TABLE_RULES: dict[str, TableRules] = {
     "dim_well_lease_crosswalk": TableRules(
         required=("api10", "lease_name"), id_cols=("api10",), bool_cols=("is_current",), fk=WELL
     ),
+    "dim_lease_well_bridge": TableRules(
+        pk=("district", "lease_number", "api10"),
+        required=("district", "lease_number", "api10"),
+        id_cols=("district", "lease_number", "api10"),
+        fk=WELL,
+    ),
+    "fact_well_production_monthly": TableRules(pk=("api10", "month"), required=("api10",), id_cols=("api10",), fk=WELL),
     "dim_operator_consolidation": TableRules(required=("operator_number",), id_cols=("operator_number",)),
 }
 

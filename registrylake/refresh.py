@@ -13,6 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from registrylake.operators import bridge
 from registrylake.operators.keysets import first_n_keys, first_n_rows, key_set_difference
 from registrylake.quality import runner, summary
 from registrylake.session import materialise
@@ -27,6 +28,7 @@ from registrylake.tables import inspections as inspections_table
 from registrylake.tables import operator_registry as registry_table
 from registrylake.tables import permits as permits_table
 from registrylake.tables import production as production_table
+from registrylake.tables import well_months as well_months_table
 from registrylake.tables import wells as wells_table
 
 LINE_ORDER = ("source_file", "line_number_in_file")
@@ -167,6 +169,32 @@ def lease_crosswalk(
     return _publish(rows, lake, "dim_well_lease_crosswalk", run_ts, gate)
 
 
+def lease_wells(
+    spark: SparkSession, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
+) -> dict[str, DataFrame]:
+    """dim_lease_well_bridge from the records that name lease and well, and fact_well_production_monthly by equal shares.
+
+    ``coverage`` tells how much of the production the bridge reaches; the rest goes to no well and is not published here.
+    """
+    read = lambda slug: spark.read.parquet(f"{lake}/{slug}")
+    members = read("dim_injection_uic_raw")
+    if subset:
+        members = members.limit(subset)
+    pairs = bridge.lease_well_bridge(members, read("dim_well_lease_crosswalk"))
+    logs = {}
+    slug = "dim_lease_well_bridge"
+    logs[slug] = _publish(pairs.withColumn("scraped_at", F.lit(run_ts)), lake, slug, run_ts, gate)
+    wells = read(slug)
+    # a tape may hold a lease-month more than once; a period that is no number is no month
+    month = F.expr("try_cast(concat(prod_year, prod_month) AS int)")
+    monthly = read("fact_production_monthly").withColumn("month", month).where("month is not null")
+    slug = "fact_well_production_monthly"
+    made = well_months_table.well_months(monthly, wells).withColumn("scraped_at", F.lit(run_ts))
+    logs[slug] = _publish(made, lake, slug, run_ts, gate)
+    logs["coverage"] = bridge.bridge_coverage(monthly, wells, volume="oil_production_bbl")
+    return logs
+
+
 def _opener(spark: SparkSession, path: str) -> Callable[[], DataFrame]:
     return lambda: spark.read.schema(runner.LOG_SCHEMA).parquet(path)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registrylake.functions import filters
-from registrylake.operators import allocate, profile, reconcile
+from registrylake.operators import allocate, bridge, crosswalk, profile, reconcile
 from registrylake.quality import checks as Q
 from registrylake.tables.corrections import apply_corrections
 from registrylake.workloads.registry import query, table
@@ -137,9 +137,8 @@ def allocate_single_well(spark, sf_dir):
 
 @query(_allocation_sql(_LEASE, "volume // n_wells"))
 def allocate_skewed_lease(spark, sf_dir):
-    """A third of the wells on one lease: that lease is spread by a salt."""
-    rows = table(spark, sf_dir, "lineitem").count()
-    return _allocation(spark, sf_dir, _LEASE, hot_rows=max(1, rows // 100))
+    """A third of the wells on one lease: its wells are dealt to many salts."""
+    return _allocation(spark, sf_dir, _LEASE, salt_rows=100)
 
 
 @query(
@@ -169,6 +168,90 @@ def allocation_adds_up(spark, sf_dir):
     return whole.join(shares, "lease").select("lease", "volume", (F.round("share") == F.col("volume")).alias("shares_add_up"))
 
 
+# spans of a well that overlap are one, with the largest weight
+_SPANS_SQL = """spans AS (SELECT l_suppkey AS lease, l_partkey AS api10, l_linestatus, MIN(CAST(strftime(l_shipdate, '%Y%m') AS BIGINT)) AS f,
+      NULLIF(MAX(CAST(strftime(l_shipdate, '%Y%m') AS BIGINT)), 199808) AS t, COUNT(*) AS w FROM lineitem GROUP BY 1, 2, 3),
+    marked AS (SELECT *, CASE WHEN max(coalesce(t, 999999)) OVER (PARTITION BY lease, api10 ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > f
+        THEN 0 ELSE 1 END AS begins FROM spans WHERE t IS NULL OR f < t),
+    numbered AS (SELECT *, SUM(begins) OVER (PARTITION BY lease, api10 ORDER BY f ROWS UNBOUNDED PRECEDING) AS island FROM marked),
+    merged AS (SELECT lease, api10, MIN(f) AS f, MAX(coalesce(t, 999999)) AS t, {weight} AS w FROM numbered GROUP BY lease, api10, island),
+    active AS (SELECT prod.lease, month, api10, volume, w FROM prod JOIN merged ON prod.lease = merged.lease AND f <= month AND month < t),
+    n AS (SELECT lease, month, COUNT(*) AS n_wells, SUM(w) AS total FROM active GROUP BY 1, 2)"""
+
+
+def _spans_sql(weight, share):
+    return f"""WITH {_PROD_SQL.format(lease='l_suppkey')}, {_SPANS_SQL.format(weight=weight)}
+    SELECT lease, month, api10, n_wells, volume, {share} AS share FROM active JOIN n USING (lease, month)
+    UNION ALL
+    SELECT lease, month, NULL, 0, volume, volume FROM prod WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.lease = prod.lease AND n.month = prod.month)"""
+
+
+def _spans(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_suppkey AS lease", "l_partkey AS api10", "CAST(date_format(l_shipdate, 'yyyyMM') AS BIGINT) AS month",
+        "CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS volume", "l_linestatus",
+    )
+    spans = lines.groupBy("lease", "api10", "l_linestatus").agg(
+        F.min("month").alias("effective_month"), F.expr("NULLIF(MAX(month), 199808)").alias("termination_month"), F.count(F.lit(1)).alias("w")
+    )
+    return allocate.lease_production(lines, ["lease"], "month", "volume"), spans
+
+
+@query(_spans_sql("MAX(1)", "volume // n_wells"))
+def allocate_overlapping_spans(spark, sf_dir):
+    """A well has a span for each line status, and these overlap: it counts once in a month."""
+    production, wells = _spans(spark, sf_dir)
+    return allocate.allocate_to_wells(production, wells, ["lease"]).withColumn("share", F.floor("share").cast("bigint"))
+
+
+_TINY = -700
+
+
+@query(_spans_sql(f"MAX(w) * POWER(2.0, {_TINY})", "CAST(floor(volume * w / total) AS BIGINT)"))
+def allocate_tiny_weights(spark, sf_dir):
+    """Weights of about 1e-210, which a sum of fixed scale would take as nothing; of overlapping spans the largest counts."""
+    production, wells = _spans(spark, sf_dir)
+    wells = wells.withColumn("w", F.expr(f"w * POWER(2.0D, {_TINY})"))
+    shares = allocate.allocate_to_wells(production, wells, ["lease"], method="proportional", weight="w")
+    return shares.withColumn("share", F.floor("share").cast("bigint"))
+
+
+_BRIDGE_SQL = """life AS (SELECT l_partkey, MIN(CAST(strftime(l_shipdate, '%Y%m') AS INTEGER)) AS f FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1),
+    bridge AS (SELECT DISTINCT l_linestatus AS district, CAST(l_suppkey AS VARCHAR) AS lease_number, CAST(l_partkey AS VARCHAR) AS api10, f AS effective_month,
+      CAST(NULL AS INTEGER) AS termination_month, f IS NOT NULL AS is_dated FROM lineitem LEFT JOIN life USING (l_partkey) WHERE l_linenumber <> 7)"""
+
+
+def _bridge(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_linestatus AS district", "CASE WHEN l_linenumber = 7 THEN ' ' ELSE CAST(l_suppkey AS STRING) END AS lease_number",
+        "CAST(l_partkey AS STRING) AS api10", "l_returnflag", "l_linestatus AS lease_name", "date_format(l_shipdate, 'yyyyMMdd') AS completion",
+        "l_orderkey AS gas_rrcid", "l_linenumber", "l_orderkey",
+    )
+    spans = crosswalk.lease_crosswalk(lines.where("l_returnflag <> 'N'"), ["l_orderkey", "l_linenumber"])
+    return bridge.lease_well_bridge(lines, spans)
+
+
+@query(f"WITH {_BRIDGE_SQL} SELECT * FROM bridge")
+def lease_well_bridge(spark, sf_dir):
+    """Leases and their wells from the lines that name both, dated by the well's crosswalk."""
+    return _bridge(spark, sf_dir)
+
+
+@query(
+    f"""WITH {_BRIDGE_SQL}, v AS (SELECT l_linestatus AS district, CAST(l_suppkey AS VARCHAR) AS lease_number,
+        SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS v FROM lineitem GROUP BY 1, 2),
+      w AS (SELECT district, lease_number, COUNT(DISTINCT api10) AS w FROM bridge GROUP BY 1, 2)
+    SELECT COUNT(*) AS n_leases, COUNT(w) AS n_bridged, COUNT(*) FILTER (w = 1) AS n_single_well, CAST(SUM(v) AS BIGINT) AS volume,
+      CAST(coalesce(SUM(v) FILTER (w >= 1), 0) AS BIGINT) AS volume_bridged, CAST(coalesce(SUM(v) FILTER (w = 1), 0) AS BIGINT) AS volume_single_well
+    FROM v LEFT JOIN w USING (district, lease_number)"""
+)
+def bridge_coverage(spark, sf_dir):
+    produced = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_linestatus AS district", "CAST(l_suppkey AS STRING) AS lease_number", "CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS volume"
+    )
+    return bridge.bridge_coverage(produced, _bridge(spark, sf_dir))
+
+
 @query(
     """SELECT p_partkey, CAST(SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents, CAST(p_size AS BIGINT) AS size,
       CASE WHEN p_size > 10 THEN CAST(SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS BIGINT) // CAST(p_size - 10 AS BIGINT) END AS cents_per_unit

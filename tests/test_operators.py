@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from registrylake.operators import allocate, carry, crosswalk, dedupe, keysets, profile, reconcile, tenure
+from registrylake.operators import allocate, bridge, carry, crosswalk, dedupe, keysets, profile, reconcile, tenure
 from registrylake.plans import skew
 
 
@@ -130,16 +130,16 @@ def test_volatility(spark):
     assert got == {"steady": (2, 0, "well_property"), "moving": (2, 1, "event_property"), "sparse": (2, 0, "well_property")}
 
 
-@pytest.mark.parametrize("hot_rows", [None, 2, 1])
+@pytest.mark.parametrize("salt_rows", [1000, 2, 1])
 @pytest.mark.parametrize("method", ["equal", "proportional", "single"])
-def test_allocation(spark, method, hot_rows):
+def test_allocation(spark, method, salt_rows):
     prod = [("A", 202101, 100), ("A", 202102, 90), ("B", 202101, 50), ("C", 202101, 7), ("A", 202109, 5)]
     wells = [("A", "w1", 202101, None, 1), ("A", "w2", 202102, 202103, 3), ("B", "w3", None, 202101, 1), ("B", "w4", 202001, 202102, 2),
              ("A", "w5", 202102, 202102, 9)]
     p = spark.createDataFrame(prod, "lease string, month int, volume bigint")
     w = spark.createDataFrame(wells, "lease string, api10 string, effective_month int, termination_month int, w int")
     weight = "w" if method == "proportional" else None
-    got = allocate.allocate_to_wells(p, w, ["lease"], method=method, weight=weight, hot_rows=hot_rows).collect()
+    got = allocate.allocate_to_wells(p, w, ["lease"], method=method, weight=weight, salt_rows=salt_rows).collect()
     want = set()
     for lease, month, volume in prod:
         on = [(x[1], x[4]) for x in wells if x[0] == lease and (x[2] is None or x[2] <= month) and (x[3] is None or month < x[3])]
@@ -224,3 +224,68 @@ def test_sample_is_stable_and_banded(spark):
     a = reconcile.stratified_sample(df, ["band"], ["id"], 3, seed=1)
     b = reconcile.stratified_sample(df.repartition(7), ["band"], ["id"], 3, seed=1)
     assert a.count() == 12 and {r.id for r in a.collect()} == {r.id for r in b.collect()}
+
+
+def _allocated_by_loop(prod, wells):
+    """Proportional shares; spans of a well that overlap are merged one by one."""
+    islands = {}
+    for lease, name, f, t, w in sorted(wells, key=lambda x: (x[2] is not None, x[2] or 0)):
+        known = islands.setdefault((lease, name), [])
+        if known and (known[-1][1] is None or f is None or known[-1][1] > f):
+            last = known[-1]
+            known[-1] = (last[0], None if None in (last[1], t) else max(last[1], t), max(last[2], w))
+        else:
+            known.append((f, t, w))
+    out = set()
+    for lease, month, volume in prod:
+        on = [(n, w) for (of, n), spans in islands.items() if of == lease for f, t, w in spans if (f is None or f <= month) and (t is None or month < t)]
+        total = sum(w for _, w in on)
+        out |= {(lease, month, n, len(on), volume, volume * (w / total)) for n, w in on} or {(lease, month, None, 0, volume, float(volume))}
+    return out
+
+
+@pytest.mark.parametrize("salt_rows", [3, 10_000])
+def test_allocation_over_spans_that_overlap(spark, salt_rows):
+    rng = random.Random(salt_rows)
+    spans = []
+    for _ in range(300):
+        f = rng.choice([None, rng.randint(1, 30)])
+        t = rng.choice([None, (f or 0) + rng.randint(1, 12)])
+        # a third of all spans on one lease, weights from 1e-300 to 1e300
+        spans.append((rng.choice(["hot", f"l{rng.randint(0, 5)}"]), f"w{rng.randint(0, 40)}", f, t, 2.0 ** rng.randint(-1000, 1000)))
+    prod = [(lease, m, 1000 + m) for lease in ["hot", "none", *[f"l{i}" for i in range(6)]] for m in range(1, 40)]
+    p = spark.createDataFrame(prod, "lease string, month int, volume bigint")
+    w = spark.createDataFrame(spans, "lease string, api10 string, effective_month int, termination_month int, w double")
+    got = allocate.allocate_to_wells(p, w, ["lease"], method="proportional", weight="w", salt_rows=salt_rows).collect()
+    want = {r[:5]: r[5] for r in _allocated_by_loop(prod, spans)}
+    assert {tuple(r)[:5] for r in got} == set(want) and len(got) == len(want)
+    assert all(r.share == pytest.approx(want[tuple(r)[:5]], rel=1e-9, abs=1e-200) for r in got)
+
+
+def test_allocation_of_bad_weights(spark):
+    p = spark.createDataFrame([("A", 1, 100)], "lease string, month int, volume bigint")
+    wells = [("A", "w1", 2e-300), ("A", "w2", 6e-300), ("A", "w3", float("nan")), ("A", "w4", float("inf")), ("A", "w5", -1.0), ("A", "w6", 0.0)]
+    w = spark.createDataFrame([(a, b, None, None, c) for a, b, c in wells], "lease string, api10 string, effective_month int, termination_month int, w double")
+    got = allocate.allocate_to_wells(p, w, ["lease"], method="proportional", weight="w").collect()
+    assert {r.api10: round(r.share, 9) for r in got} == {"w1": 25.0, "w2": 75.0, "w6": 0.0}
+
+
+def test_lease_well_bridge(spark):
+    members = [("01", "5", "w1"), ("01", "5", "w1"), ("01", "5", "w2"), ("02", "", "w1"), (None, "5", "w1"), ("02", "7", None), ("02", "8", "w3")]
+    spans = [("w1", "1999-05-02", "2001-02-03", False), ("w1", "2001-02-03", None, True), ("w2", None, "2004-01-01", False), ("w2", "2000-01-01", "2003-01-01", False)]
+    m = spark.createDataFrame(members, "district string, lease_number string, api10 string")
+    x = spark.createDataFrame(spans, "api10 string, effective_date string, termination_date string, is_current boolean")
+    wells = bridge.lease_well_bridge(m, x)
+    assert set(map(tuple, wells.collect())) == {("01", "5", "w1", 199905, None, True), ("01", "5", "w2", 200001, 200401, True), ("02", "8", "w3", None, None, False)}
+    p = spark.createDataFrame([("01", "5", 10), ("01", "5", 5), ("02", "8", 3), ("09", "9", 4)], "district string, lease_number string, volume bigint")
+    assert tuple(bridge.bridge_coverage(p, wells).first()) == (3, 2, 1, 22, 18, 3)
+    assert tuple(bridge.bridge_coverage(p.limit(0), wells).first()) == (0, 0, 0, 0, 0, 0)
+
+
+def test_allocation_does_not_shuffle_the_long_rows(spark):
+    """Between the join and the result there is no exchange, and nothing is sent to all tasks by a hint."""
+    p = spark.createDataFrame([("A", 1, 100)], "lease string, month int, volume bigint")
+    w = spark.createDataFrame([("A", "w", 1, 2)], "lease string, api10 string, effective_month int, termination_month int")
+    plan = allocate.allocate_to_wells(p, w, ["lease"])._jdf.queryExecution()
+    assert "hint" not in plan.logical().toString().lower()
+    assert "repartition" not in plan.logical().toString().lower()

@@ -128,3 +128,27 @@ def test_wells_and_quality(spark, places):
     assert count("well_master") == 1
     refresh.operator_history(spark, lake, RUN, subset=1)
     assert count("dim_operator_history") == 2
+
+
+def test_well_months(spark, places):
+    landing, lake = places
+    rows = [("00300001", "L1", "r1", "A", "20000101"), ("00300002", "L1", "r3", "A", "20230501")]
+    body = b"".join(b" " + b"".join(v.encode().ljust(w) for v, (_, w) in zip(r, LAYOUT, strict=True)) for r in rows)
+    (landing / "api003.dbf").write_bytes(dbase_header(LAYOUT, len(rows)) + body)
+    refresh.wells(spark, str(landing), lake, RUN)
+    refresh.lease_crosswalk(spark, lake, RUN)
+    lines = [put(" " * 40, (0, "01"), (2, "08"), (4, "000001"), (28, "003"), (31, f"0000{i}")) for i in (1, 2)]
+    gz(landing / "uif_20260514.gz", [*lines, lines[0]])
+    refresh.injection(spark, str(landing), lake, RUN)
+    records = [root("08", "000001"), cycle("2304"), made(10, 1), made(5, 2), cycle("2305"), made(7, 3), root("09", "000002"), cycle("2304"), made(1, 1)]
+    (landing / "PDF100.ebc").write_bytes(b"".join(records))
+    refresh.production(spark, str(landing), lake, RUN)
+    logs = refresh.lease_wells(spark, lake, RUN)
+    assert spark.read.parquet(f"{lake}/dim_lease_well_bridge").count() == 2
+    got = spark.read.parquet(f"{lake}/fact_well_production_monthly").collect()
+    # in April only the first well was there
+    assert {(r.api10, r.month, r.oil_production_bbl, r.largest_lease) for r in got} == {
+        ("4200300001", 202304, 15.0, 1), ("4200300001", 202305, 3.5, 2), ("4200300002", 202305, 3.5, 2),
+    }
+    coverage = logs["coverage"].first()
+    assert (coverage.n_leases, coverage.n_bridged, coverage.volume, coverage.volume_bridged) == (2, 1, 23, 22)
