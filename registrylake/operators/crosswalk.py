@@ -4,22 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registrylake.functions.dates import numeric_date
 from registrylake.functions.text import numeric_or_null
-from registrylake.plans.skew import divide_by_heat
-
-
-def _pairs(rows: DataFrame) -> DataFrame:
-    marked = rows.withColumn("_is_last", F.col("_place").eqNullSafe(F.col("_last")))
-    return marked.groupBy("api10", "lease_name").agg(
-        F.min("_num").alias("_first_num"),
-        F.max("_num").alias("_last_num"),
-        F.count("_record").alias("n_completions"),
-        F.max("_is_last").alias("is_current"),
-    )
 
 
 def lease_crosswalk(
@@ -29,12 +18,14 @@ def lease_crosswalk(
     lease: str = "lease_name",
     completion: str = "completion",
     record: str = "gas_rrcid",
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """One row per (well, lease): first and last date, count of records, is it the well's current lease.
 
     The current lease is the one of the well's last row by date; missing or bad dates sort last and so
     win, equal dates are settled by ``seq``. A current pair has no termination date.
+
+    Rows are combined to pairs in the tasks that read them, with the place of each pair's last row among the
+    sums; the last row of a well is that of its last pair. No row travels on its own, whatever the size of a well.
     """
     num = numeric_or_null(F.col(completion))
     rows = df.where(F.col(lease).isNotNull() & F.col(key).isNotNull()).select(
@@ -44,16 +35,14 @@ def lease_crosswalk(
         num.alias("_num"),
         F.struct(num.isNull().alias("bad"), num.alias("num"), *seq, F.col(lease).alias("tie")).alias("_place"),
     )
-    cold, hot, _ = divide_by_heat(rows, ["api10"], hot_rows)
-    # Marking each well's last row first leaves only fixed-width values to aggregate per pair, which Spark
-    # does in hash aggregates. The rows of an ordinary well shuffle once, by well.
-    last = F.max("_place").over(Window.partitionBy("api10"))
-    pairs = _pairs(cold.repartition("api10").withColumn("_last", last))
-    if hot is not None:
-        # The last rows of at most MAX_HOT_KEYS wells are broadcast; a hot well's rows stay where they are
-        # and combine to pairs before the shuffle.
-        lasts = hot.groupBy("api10").agg(F.max("_place").alias("_last"))
-        pairs = pairs.unionByName(_pairs(hot.join(F.broadcast(lasts), "api10")))
+    pairs = rows.groupBy("api10", "lease_name").agg(
+        F.min("_num").alias("_first_num"),
+        F.max("_num").alias("_last_num"),
+        F.count("_record").alias("n_completions"),
+        F.max("_place").alias("_place"),
+    )
+    last = pairs.groupBy("api10").agg(F.max("_place").alias("_last"))
+    pairs = pairs.join(last, "api10").withColumn("is_current", F.col("_place").eqNullSafe(F.col("_last")))
     return pairs.select(
         "api10",
         "lease_name",

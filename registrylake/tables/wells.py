@@ -55,9 +55,9 @@ def well_completions(raw: DataFrame) -> DataFrame:
     return first_rows(raw.select(*columns, "ordinal"), ["api10", "gas_rrcid"], SOURCE_ORDER).select(*columns, "ordinal")
 
 
-def operator_history(completions: DataFrame, run_ts: str, hot_rows: int | None = None) -> DataFrame:
-    return operator_tenure(completions, SOURCE_ORDER, hot_rows=hot_rows).withColumn("scraped_at", F.lit(run_ts))
+def operator_history(completions: DataFrame, run_ts: str) -> DataFrame:
+    return operator_tenure(completions, SOURCE_ORDER).withColumn("scraped_at", F.lit(run_ts))
 
 
-def well_lease_crosswalk(completions: DataFrame, run_ts: str, hot_rows: int | None = None) -> DataFrame:
-    return lease_crosswalk(completions, SOURCE_ORDER, hot_rows=hot_rows).withColumn("scraped_at", F.lit(run_ts))
+def well_lease_crosswalk(completions: DataFrame, run_ts: str) -> DataFrame:
+    return lease_crosswalk(completions, SOURCE_ORDER).withColumn("scraped_at", F.lit(run_ts))

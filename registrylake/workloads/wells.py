@@ -59,9 +59,8 @@ _HOT_USER = "CASE WHEN event_type IN ('click', 'view', 'error') THEN -1 ELSE use
 
 @query(_tenure_sql(key=_HOT_USER))
 def tenure_skewed_key(spark, sf_dir):
-    """Over half of the rows on one key: it is solved in range chunks."""
-    rows = _completions(spark, sf_dir, key=F.expr(_HOT_USER))
-    return tenure.operator_tenure(rows, ["seq"], hot_rows=max(1, rows.count() // 20))
+    """Over half of the rows on one key, which many ranges share."""
+    return tenure.operator_tenure(_completions(spark, sf_dir, key=F.expr(_HOT_USER)), ["seq"], ranges=64)
 
 
 @query(
@@ -127,8 +126,7 @@ _HOT_PART = "CASE WHEN l_returnflag = 'N' THEN -1 ELSE l_partkey END"
 @query(_crosswalk_sql(_HOT_PART))
 def entity_crosswalk_skewed(spark, sf_dir):
     """A third of the rows on one well."""
-    rows = _crosswalk_rows(spark, sf_dir, F.expr(_HOT_PART))
-    return crosswalk.lease_crosswalk(rows, _SEQ, hot_rows=max(1, rows.count() // 20))
+    return crosswalk.lease_crosswalk(_crosswalk_rows(spark, sf_dir, F.expr(_HOT_PART)), _SEQ)
 
 
 # -- carried context ---------------------------------------------------------------------------

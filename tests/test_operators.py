@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from registrylake.operators import allocate, bridge, carry, crosswalk, dedupe, keysets, profile, reconcile, tenure
-from registrylake.plans import skew
 
 
 def number(s):
@@ -47,12 +46,12 @@ def tenure_by_loop(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("hot_rows", [10_000, 300, 40])
+@pytest.mark.parametrize("ranges", [None, 1, 7, 60, 900])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_tenure(spark, seed, hot_rows):
+def test_tenure(spark, seed, ranges):
     rows = completions(seed)
     df = spark.createDataFrame(rows, COLUMNS).repartition(3)
-    got = tenure.operator_tenure(df, ["seq"], hot_rows=hot_rows)
+    got = tenure.operator_tenure(df, ["seq"], ranges=ranges)
     assert sorted(map(tuple, got.collect()), key=repr) == tenure_by_loop(rows)
     assert tenure.multiple_current(got).count() == 0
 
@@ -83,11 +82,10 @@ def crosswalk_by_loop(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("hot_rows", [10_000, 100, 8])
-def test_crosswalk(spark, hot_rows):
+def test_crosswalk(spark):
     rows = completions(3)
     df = spark.createDataFrame(rows, COLUMNS).repartition(3)
-    got = crosswalk.lease_crosswalk(df, ["seq"], hot_rows=hot_rows)
+    got = crosswalk.lease_crosswalk(df, ["seq"])
     assert sorted(map(tuple, got.collect()), key=repr) == crosswalk_by_loop(rows)
 
 
@@ -170,21 +168,33 @@ def test_reconcile_takes_one_source_row_a_key(spark):
     assert reconcile.reconcile(ours, theirs, ["k"]).count() == 2
 
 
-def test_bring_to_rows_spreads_hot_keys(spark):
-    rows = spark.createDataFrame([("hot", i) for i in range(500)] + [("a", 1), (None, 2)], "k string, i int")
-    per_key = rows.where("k is not null").groupBy("k").agg(F.count("*").alias("n"), F.max("i").alias("top"))
-    got = skew.bring_to_rows(rows, per_key, ["k"], ["top"], "n", hot_rows=10).collect()
-    assert len(got) == 502 and {(r.k, r.top) for r in got} == {("hot", 499), ("a", 1), (None, None)}
+def _jobs(spark):
+    return spark.sparkContext.statusTracker().getJobIdsForGroup("built")
 
 
-def test_hot_keys_are_bounded(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 2)
-    rows = completions(4)
-    df = spark.createDataFrame(rows, COLUMNS)
-    hot, n = skew.hot_keys(df, ["api10"], 5)
-    assert hot.count() == 2 and n >= 500
-    got = tenure.operator_tenure(df, ["seq"], hot_rows=5)
-    assert sorted(map(tuple, got.collect()), key=repr) == tenure_by_loop(rows)
+def test_nothing_runs_while_tenure_and_crosswalk_are_built(spark):
+    df = spark.createDataFrame(completions(4), COLUMNS)
+    spark.sparkContext.setJobGroup("built", "no job")
+    try:
+        history, pairs = tenure.operator_tenure(df, ["seq"]), crosswalk.lease_crosswalk(df, ["seq"])
+        assert not _jobs(spark)
+        history.count(), pairs.count()
+        assert _jobs(spark)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_crosswalk_combines_before_the_first_exchange(spark):
+    plan = crosswalk.lease_crosswalk(spark.createDataFrame(completions(4), COLUMNS), ["seq"])._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    for at, line in enumerate(lines):
+        if "Exchange" in line:  # what feeds it, sorts and projections aside
+            below = next(x for x in lines[at + 1 :] if "Sort " not in x and "Project" not in x)
+            assert "Aggregate" in below, plan
+
+
+def test_tenure_of_nothing(spark):
+    assert tenure.operator_tenure(spark.createDataFrame([], COLUMNS), ["seq"], ranges=5).collect() == []
 
 
 # Published spot checks (district, lease, year, month, oil, gas).
