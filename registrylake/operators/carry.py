@@ -2,13 +2,74 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK_RECORDS = 1 << 16
-MAX_CHUNKS = 100_000
+from registrylake.plans.ranges import in_ranges, starts
+from registrylake.session import materialise
+
+BLOCK = 256  # ranges whose tails one window puts in order
+
+
+def _filled(rows: DataFrame, names: Sequence[str], group: Sequence[str]) -> DataFrame:
+    """Contexts carried inside each sorted range, with the range's number and a mark on the last row of each group in it."""
+
+    def fill(both: pa.RecordBatch, new: np.ndarray) -> pa.RecordBatch:
+        at = np.arange(both.num_rows)
+        first = np.maximum.accumulate(np.where(np.r_[True, new], at, 0))
+        columns = []
+        for name, column in zip(both.schema.names, both.columns, strict=True):
+            if name in names:
+                last = np.maximum.accumulate(np.where(column.is_valid().to_numpy(zero_copy_only=False), at, -1))
+                column = column.take(pa.array(np.maximum(last, 0), mask=last < first))
+            columns.append(column)
+        return pa.RecordBatch.from_arrays(columns, schema=both.schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, held = TaskContext.get().partitionId(), None  # the last row waits for the next one
+
+        def out(found: pa.RecordBatch, tail: np.ndarray) -> pa.RecordBatch:
+            marks = [pa.array(np.full(len(tail), part, np.int32)), pa.array(tail)]
+            return pa.RecordBatch.from_arrays([*found.columns, *marks], [*found.schema.names, "_part", "_tail"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            both = batch if held is None else pa.concat_batches([held, batch])
+            new = starts(both, group)
+            both = fill(both, new)
+            held = both.slice(both.num_rows - 1)
+            yield out(both.slice(0, both.num_rows - 1), new)
+        if held is not None:
+            yield out(held, np.array([True]))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(run, f"{schema}, _part int, _tail boolean")
+
+
+def _earlier_tails(tails: DataFrame, names: Sequence[str], group: Sequence[str]) -> DataFrame:
+    """What each range of a group starts with: the last value of the ranges before it, first inside blocks of ranges, then over these."""
+    tails = tails.withColumn("_block", F.floor(F.col("_part") / BLOCK))
+    before = Window.partitionBy(*group, "_block").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    inside = tails.select(*group, "_part", "_block", *[F.last(n, ignorenulls=True).over(before).alias(n) for n in names])
+    blocks = tails.groupBy(*group, "_block").agg(*[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("_part"))).alias(n) for n in names])
+    so_far = Window.partitionBy(*group).orderBy("_block") if group else Window.partitionBy(F.lit(0)).orderBy("_block")
+    so_far = so_far.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(
+        *[F.col(g).alias(f"_g_{g}") for g in group], F.col("_block").alias("_b"), *[F.last(n, ignorenulls=True).over(so_far).alias(f"_b_{n}") for n in names]
+    )
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group], F.col("_block") == F.col("_b"))
+    joined = inside.join(blocks, same)
+    return joined.select(
+        *[f"_g_{g}" for g in group], F.col("_part").alias("_p"), *[F.coalesce(F.col(n), F.col(f"_b_{n}")).alias(f"_t_{n}") for n in names]
+    )
 
 
 def carry_forward(
@@ -16,36 +77,19 @@ def carry_forward(
     index: str,
     contexts: Mapping[str, Column],
     group: Sequence[str] = (),
-    chunk_records: int | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add each context: its last non-null value at or before the row, in ``index`` order per ``group``.
 
-    A file is one ordered sequence, so a window over it would be one task. Instead the sequence is cut
-    into chunks of ``chunk_records`` positions, each carried alone; one row per chunk and context then
-    hands the last value on to the later chunks. Both steps use (group, chunk), so the records shuffle
-    once. By default a chunk grows with the data, so that a group has at most MAX_CHUNKS of these rows.
+    A file is one ordered sequence, so a window over it would be one task. Instead the rows are sorted into ranges of about
+    equal numbers of rows, whatever the indexes are, and each range is carried alone and written. The last row of each
+    (range, group) then tells later ranges what they start with. The records shuffle once.
     """
-    if chunk_records is None:
-        span = df.agg((F.max(index) - F.min(index)).alias("span")).first()["span"] or 0
-        chunk_records = max(CHUNK_RECORDS, int(span) // MAX_CHUNKS + 1)
     names = list(contexts)
-    at = F.col(index).cast("bigint")
-    chunk = at - F.pmod(at, F.lit(chunk_records).cast("bigint"))
-    rows = df.withColumns({**{n: contexts[n] for n in names}, "_chunk": chunk})
-    place = [*group, "_chunk"]
-
-    inside = Window.partitionBy(*place).orderBy(index).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carried = rows.withColumns({n: F.last(n, ignorenulls=True).over(inside) for n in names})
-
-    tails = rows.groupBy(*place).agg(
-        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col(index))).alias(f"_t_{n}") for n in names]
-    )
-    earlier = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    earlier = earlier.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    tails = tails.select(
-        *place, *[F.last(f"_t_{n}", ignorenulls=True).over(earlier).alias(f"_t_{n}") for n in names]
-    )
-    joined = carried.join(tails, place, "left")
-    return joined.select(
-        *df.columns, *[F.coalesce(F.col(n), F.col(f"_t_{n}")).alias(n) for n in names]
-    )
+    rows = df.withColumns({n: contexts[n] for n in names})
+    filled = materialise(_filled(in_ranges(rows, group, [index], ranges), names, group), "carried")
+    tails = _earlier_tails(filled.where("_tail").select(*group, "_part", *names), names, group)
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group], F.col("_part") == F.col("_p"))
+    joined = filled.join(tails, same, "left")  # a row for each range and group: small enough to be sent to all tasks as a rule
+    kept = [c for c in df.columns if c not in names]
+    return joined.select(*kept, *[F.coalesce(F.col(n), F.col(f"_t_{n}")).alias(n) for n in names])

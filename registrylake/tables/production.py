@@ -138,7 +138,7 @@ def read_tape_with_parents(
     return read_with_contexts(spark, files, contexts, _type_hex(*types), split_bytes)
 
 
-def with_parents(tape: DataFrame, chunk_records: int | None = None) -> DataFrame:
+def with_parents(tape: DataFrame, ranges: int | None = None) -> DataFrame:
     """The same for records that are already in a table."""
     kind = record_type(F.col("rec"))
     contexts = {
@@ -146,7 +146,7 @@ def with_parents(tape: DataFrame, chunk_records: int | None = None) -> DataFrame
         "cycle_rec": F.when(kind == "02", byte_slice(F.col("rec"), 0, CYCLE_BYTES)),
     }
     group = ["source_file"] if "source_file" in tape.columns else []
-    return carry_forward(tape, "record_index", contexts, group, chunk_records)
+    return carry_forward(tape, "record_index", contexts, group, ranges)
 
 
 def segment_records(tape: DataFrame, segment: str) -> DataFrame:

@@ -539,7 +539,7 @@ def oil_tape_monthly(spark, sf_dir):
 def oil_tape_table_monthly(spark, sf_dir):
     """The records are in a table already: parents are carried by windows over chunks."""
     tape = production.read_tape(spark, _tape_folder(spark, sf_dir), types=("01", "02", "03"))
-    return production.production_monthly(production.with_parents(tape, 4096), RUN_TS).drop("scraped_at")
+    return production.production_monthly(production.with_parents(tape, 40), RUN_TS).drop("scraped_at")
 
 
 @query(

@@ -134,13 +134,13 @@ def entity_crosswalk_skewed(spark, sf_dir):
 _CENTS = "CAST(ROUND(value * 100) AS BIGINT)"
 
 
-def _carried(spark, sf_dir, chunk_records):
+def _carried(spark, sf_dir, ranges):
     kind, cents = F.col("event_type"), F.expr(_CENTS)
     rows = carry.carry_forward(
         table(spark, sf_dir, "events").select("event_id", "event_type", "value"),
         "event_id",
         {"root": F.when(kind == "signup", cents), "cycle": F.when(kind == "view", cents)},
-        chunk_records=chunk_records,
+        ranges=ranges,
     )
     zero = F.lit(0).cast("bigint")
     return rows.where(kind == "purchase").select(
@@ -164,8 +164,8 @@ def carry_forward(spark, sf_dir):
 
 @query(_CARRY_SQL)
 def carry_forward_small_chunks(spark, sf_dir):
-    """Many chunks, so that context crosses their borders and some chunks have none."""
-    return _carried(spark, sf_dir, 7)
+    """Many ranges, so that context crosses their borders and some ranges have none."""
+    return _carried(spark, sf_dir, 400)
 
 
 # -- dedupe, key sets, subsets, unions ----------------------------------------------------------

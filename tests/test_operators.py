@@ -89,14 +89,14 @@ def test_crosswalk(spark):
     assert sorted(map(tuple, got.collect()), key=repr) == crosswalk_by_loop(rows)
 
 
-@pytest.mark.parametrize("chunk", [1, 7, 700, 1 << 16])
-def test_carry_forward(spark, chunk):
+@pytest.mark.parametrize("ranges", [None, 1, 5, 600])
+def test_carry_forward(spark, ranges):
     rng = random.Random(5)
     rows = [(f, i, rng.choice("RCPPPPPPPPxxx"), rng.randrange(100)) for f in ("a", "b") for i in range(1000)]
     rows += [("quiet", i, "P", i) for i in range(50)]
     df = spark.createDataFrame(rows, "f string, i bigint, kind string, v int").repartition(5)
     when = lambda k: F.when(F.col("kind") == k, F.col("v"))
-    got = carry.carry_forward(df, "i", {"root": when("R"), "cycle": when("C")}, ["f"], chunk)
+    got = carry.carry_forward(df, "i", {"root": when("R"), "cycle": when("C")}, ["f"], ranges)
     want, state = {}, {}
     for f, i, kind, v in rows:
         root, cycle = state.get(f, (None, None))
@@ -105,6 +105,21 @@ def test_carry_forward(spark, chunk):
     assert {(r.f, r.i): (r.root, r.cycle) for r in got.collect()} == want
 
 
+def test_carry_of_one_sequence_with_a_far_index(spark):
+    """Ranges have equal numbers of rows though one index lies far off; nulls stay nulls, also in the group."""
+    rows = [(i if i < 999 else 10**15, "x" if i % 400 == 7 else None) for i in range(1000)]
+    df = spark.createDataFrame(rows, "i bigint, v string")
+    got = carry.carry_forward(df, "i", {"last": F.col("v")}, ranges=300)
+    want = [None] * 7 + ["x"] * 993
+    assert [r.last for r in got.orderBy("i").collect()] == want
+    parts = carry._filled(carry.in_ranges(df, [], ["i"], 10), [], []).groupBy("_part").count().collect()
+    assert len(parts) > 5 and max(r["count"] for r in parts) < 300
+    grouped = spark.createDataFrame([(None, 1, "a"), (None, 2, None), ("g", 1, None), ("g", 2, "b")], "g string, i int, v string")
+    got = carry.carry_forward(grouped, "i", {"last": F.col("v")}, ["g"], ranges=4)
+    assert {(r.g, r.i): r["last"] for r in got.collect()} == {(None, 1): "a", (None, 2): "a", ("g", 1): None, ("g", 2): "b"}
+    assert carry.carry_forward(grouped.limit(0), "i", {"last": F.col("v")}, ["g"]).collect() == []
+
+
 def test_first_rows_keeps_null_keys_and_order(spark):
     rows = [(None, None, 3), (None, None, 1), ("a", None, 2), ("a", "x", 5), ("a", "x", 4)]
     df = spark.createDataFrame(rows, "k string, r string, seq int").repartition(3)
