@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from functools import reduce, wraps
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,13 +53,32 @@ def _row(check: Check, prefix: str) -> Column:
     )
 
 
+def _measures(checks: Sequence[Check]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("_rows"), *[c.alias(f"_{i}_{m}") for i, check in enumerate(checks) for m, c in check.measures.items()]]
+
+
+def _rendered(measured: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    return measured.select(F.inline(F.array(*[_row(check, f"_{i}_") for i, check in enumerate(checks)])))
+
+
 def _evaluate_frame(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    measures = [F.count(F.lit(1)).alias("_rows")]
-    rows = []
-    for i, check in enumerate(checks):
-        measures += [c.alias(f"_{i}_{m}") for m, c in check.measures.items()]
-        rows.append(_row(check, f"_{i}_"))
-    return frame.agg(*measures).select(F.inline(F.array(*rows)))
+    return _rendered(frame.agg(*_measures(checks)), checks)
+
+
+def observing(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``df`` with the checks' measures taken on the way, and what renders them once an action on it has ended.
+
+    The checks look at ``df`` itself; their rows are those of ``evaluate``, without another read.
+    """
+    measures = _measures(checks)
+    schema = df.agg(*measures).schema
+    taken = Observation()
+
+    def results() -> DataFrame:
+        row = tuple(taken.get[name] for name in schema.names)
+        return _rendered(df.sparkSession.createDataFrame([row], schema), checks)
+
+    return df.observe(taken, *measures), results
 
 
 def error_row(spark, name: str, level: int, value: str, threshold: str) -> DataFrame:
@@ -253,22 +272,26 @@ def key_column_named(df: DataFrame, column: str = "api10") -> Check:
     )
 
 
-def row_count(df: DataFrame, expected: int | None = None, tolerance: float = 0.01) -> Check:
-    """Row count near the expected one; without one, the table is compared with itself."""
+def row_count(df: DataFrame, expected: int | Callable[[], int] | None = None, tolerance: float = 0.01) -> Check:
+    """Row count near the expected one; without one, the table is compared with itself.
+
+    An expected count that is known only after the rows were written, of their source, is a function.
+    """
     n = {"n": F.count(F.lit(1))}
 
     def render(m):
         actual = m("n")
-        want = actual if expected is None else F.lit(expected)
-        if expected is None:
+        known = expected() if callable(expected) else expected
+        want = actual if known is None else F.lit(known)
+        if known is None:
             status = F.when(actual == 0, "warn").otherwise("pass")
-        elif expected == 0:
+        elif known == 0:
             status = F.when(actual == 0, "warn").otherwise("pass")
         else:
             status = F.when(F.abs(actual - want) / want <= tolerance, "pass").otherwise("warn")
         return status, _thousands(actual), F.format_string("delta: %+,d", actual - want)
 
-    shown = "own count" if expected is None else f"{expected:,}"
+    shown = "own count" if expected is None else "source count" if callable(expected) else f"{expected:,}"
     return Check("row_count", 1, f"{shown} +/- {tolerance:.0%}", df, n, render)
 
 
@@ -288,6 +311,19 @@ def row_count_match(source: DataFrame, output: DataFrame) -> Check:
     )
 
 
+def files_read(bad: DataFrame) -> Check:
+    """Were all files of a source read? ``bad`` has a ``path`` for each that was skipped; the first ones are named."""
+    names = F.array_sort(F.collect_set(F.element_at(F.split("path", "/"), -1)))
+    return Check(
+        "source_files_read", 2, "no file skipped", bad, {"n": F.count(F.lit(1)), "names": names},
+        lambda m: (
+            F.when(m("n") == 0, "pass").otherwise("warn"),
+            F.concat(_thousands(m("n")), F.lit(" skipped")),
+            F.array_join(F.slice(m("names"), 1, 5), "; "),
+        ),
+    )
+
+
 # -- level 2: references between tables ---------------------------------------------------------
 
 

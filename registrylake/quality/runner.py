@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +37,7 @@ def checks_for(
     rules: TableRules,
     run_ts: str,
     parents: Mapping[str, DataFrame] | None = None,
-    expected_rows: int | None = None,
+    expected_rows: int | Callable[[], int] | None = None,
 ) -> list[Q.Check]:
     """The applicable checks, in a fixed order."""
     out: list[Q.Check] = []
@@ -92,6 +92,29 @@ def run_checks(
     return check_log(results, run_ts, run_id)
 
 
+def counted(source: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """A source whose rows are counted on the way to what is written from it, and the count once that has ended.
+
+    A stage that runs again after a lost executor may count rows twice; such a count only warns.
+    """
+    seen = Observation()
+    return source.observe(seen, F.count(F.lit(1)).alias("n")), lambda: seen.get["n"]
+
+
+def written_checks(
+    df: DataFrame, rules: TableRules, run_ts: str, expected_rows: int | Callable[[], int] | None = None
+) -> tuple[list[Q.Check], Callable[..., DataFrame]]:
+    """The checks that one pass over ``df`` measures, and what makes the log of them and of all others on the written rows."""
+    observed = [c for c in checks_for(df, rules, run_ts, None, expected_rows) if c.frame is df]
+
+    def check(staged: DataFrame, results: DataFrame | None = None) -> DataFrame:
+        rest = [c for c in checks_for(staged, rules, run_ts, None, expected_rows) if results is None or c.frame is not staged]
+        parts = ([results] if results is not None else []) + ([Q.evaluate(rest)] if rest else [])
+        return check_log(reduce(DataFrame.unionAll, parts), run_ts)
+
+    return observed, check
+
+
 def run_all(
     spark: SparkSession,
     tables: Mapping[str, DataFrame | None],

@@ -33,11 +33,16 @@ def latest_status(log: DataFrame) -> DataFrame:
 
 
 def collect_logs(spark: SparkSession, logs: Mapping[str, Callable[[], DataFrame]], run_ts: str) -> DataFrame:
-    """Union of the tables' logs; a log that cannot be opened is one ``_read_error`` row at level 0."""
+    """Union of the tables' logs; a log that cannot be read is one ``_read_error`` row at level 0.
+
+    Files that open may still not read, so every log is read to its end here, apart from the others.
+    """
     parts = []
     for slug, opened in logs.items():
         try:
-            parts.append(opened().withColumn("table_slug", F.lit(slug)))
+            log = opened()
+            log.agg(F.bit_xor(F.xxhash64(*log.columns))).collect()
+            parts.append(log.withColumn("table_slug", F.lit(slug)))
         except Exception as e:  # an unreadable log must not hide the others
             row = [("", "_read_error", 0, "error", str(e).splitlines()[0], "", run_ts, "Failed to read log", slug)]
             schema = (

@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from registrylake.operators import bridge
 from registrylake.operators.keysets import first_n_keys, first_n_rows, key_set_difference
+from registrylake.quality import checks as Q
 from registrylake.quality import runner, summary
+from registrylake.quality.config import rules_for
 from registrylake.session import materialise
-from registrylake.sinks.publish import append_log, create_if_absent, path_exists, publish
+from registrylake.sinks.publish import append_log, create_if_absent, open_table, publish, table_exists
 from registrylake.sources.dbase import bad_files, read_dbase
 from registrylake.sources.delimited import read_delimited
 from registrylake.sources.landing import PATTERNS, newest_snapshot, verify_sources
@@ -52,15 +54,22 @@ def require_intact(spark: SparkSession, landing: str, path: str) -> None:
         raise SourceProblem(f"{path} is not the file its sidecar describes")
 
 
-def _publish(df: DataFrame, lake: str, slug: str, run_ts: str, gate: bool, needs_rows: bool = False) -> DataFrame:
-    spark = df.sparkSession
+#: tables that are read by a part of their rows, and the column that tells which
+PARTITIONS = {"fact_production_monthly": ("prod_year",), "fact_production_records_raw": ("record_type",)}
 
-    def check(staged: DataFrame) -> DataFrame:
+
+def _publish(
+    df: DataFrame, lake: str, slug: str, run_ts: str, gate: bool, needs_rows: bool = False, source_rows: Callable[[], int] | None = None
+) -> DataFrame:
+    """Write, check, show. ``source_rows`` tells how many rows the source had, where the table keeps them all."""
+    observed, log_of = runner.written_checks(df, rules_for(slug), run_ts, source_rows)
+
+    def check(staged: DataFrame, results: DataFrame | None = None) -> DataFrame:
         if needs_rows and staged.isEmpty():
             raise SourceProblem(f"no rows for {slug}")
-        return runner.run_checks(spark, slug, staged, run_ts)
+        return log_of(staged, results)
 
-    return publish(df, f"{lake}/{slug}", check, gate=gate)
+    return publish(df, f"{lake}/{slug}", check, PARTITIONS.get(slug, ()), gate, observed)
 
 
 def _first(lines: DataFrame, subset: int | None) -> DataFrame:
@@ -74,8 +83,8 @@ def operator_registry(
     path = newest(spark, landing, "operator_registry")
     require_intact(spark, landing, path)
     lines = registry_table.record_type(read_numbered_lines(spark, path)).where("record_type = 'A'")
-    rows = registry_table.operator_registry(_first(lines, subset).drop("record_type"), run_ts)
-    log = _publish(rows, lake, "dim_operator_registry", run_ts, gate, needs_rows=True)
+    source, n = runner.counted(_first(lines, subset).drop("record_type"))
+    log = _publish(registry_table.operator_registry(source, run_ts), lake, "dim_operator_registry", run_ts, gate, True, n)
     create_if_absent(spark, f"{lake}/dim_operator_history", wells_table.HISTORY_SCHEMA)
     create_if_absent(spark, f"{lake}/dim_operator_consolidation", registry_table.CONSOLIDATION_SCHEMA)
     return log
@@ -85,7 +94,8 @@ def drilling_permits(
     spark: SparkSession, landing: str, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
 ) -> DataFrame:
     lines = permits_table.long_enough(read_numbered_lines(spark, newest(spark, landing, "drilling_permits")))
-    return _publish(permits_table.drilling_permits(_first(lines, subset), run_ts), lake, "dim_drilling_permits", run_ts, gate)
+    source, n = runner.counted(_first(lines, subset))
+    return _publish(permits_table.drilling_permits(source, run_ts), lake, "dim_drilling_permits", run_ts, gate, source_rows=n)
 
 
 def injection(
@@ -93,8 +103,9 @@ def injection(
 ) -> DataFrame:
     """dim_injection_uic_raw, and dim_injection_uic from it."""
     lines = injection_table.long_enough(read_numbered_lines(spark, newest(spark, landing, "injection")))
-    _publish(injection_table.injection_raw(_first(lines, subset), run_ts), lake, "dim_injection_uic_raw", run_ts, gate)
-    raw = spark.read.parquet(f"{lake}/dim_injection_uic_raw")
+    source, n = runner.counted(_first(lines, subset))
+    _publish(injection_table.injection_raw(source, run_ts), lake, "dim_injection_uic_raw", run_ts, gate, source_rows=n)
+    raw = open_table(spark, f"{lake}/dim_injection_uic_raw")
     return _publish(injection_table.injection_wells(raw), lake, "dim_injection_uic", run_ts, gate)
 
 
@@ -102,17 +113,18 @@ def hearings(
     spark: SparkSession, landing: str, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
 ) -> DataFrame:
     lines = hearings_table.long_enough(read_numbered_lines(spark, newest(spark, landing, "hearings")))
-    return _publish(hearings_table.hearings(_first(lines, subset), run_ts), lake, "dim_hearings", run_ts, gate)
+    source, n = runner.counted(_first(lines, subset))
+    return _publish(hearings_table.hearings(source, run_ts), lake, "dim_hearings", run_ts, gate, source_rows=n)
 
 
 def inspections(
     spark: SparkSession, landing: str, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
 ) -> DataFrame:
     """fact_inspections and its identical raw twin."""
-    rows = read_delimited(spark, newest(spark, landing, "inspections"), first=subset)
-    rows = inspections_table.inspections(rows, run_ts)
-    _publish(rows, lake, "fact_inspections_raw", run_ts, gate)
-    return _publish(spark.read.parquet(f"{lake}/fact_inspections_raw"), lake, "fact_inspections", run_ts, gate)
+    source, n = runner.counted(read_delimited(spark, newest(spark, landing, "inspections"), first=subset))
+    _publish(inspections_table.inspections(source, run_ts), lake, "fact_inspections_raw", run_ts, gate, source_rows=n)
+    twin, n = runner.counted(open_table(spark, f"{lake}/fact_inspections_raw"))
+    return _publish(twin, lake, "fact_inspections", run_ts, gate, source_rows=n)
 
 
 def production(
@@ -124,7 +136,9 @@ def production(
     leaves = production_table.read_tape_with_parents(spark, path, types=("03",))
     if subset:
         everything, leaves = (df.where(F.col("record_index") < subset) for df in (everything, leaves))
-    _publish(production_table.production_records_raw(everything, run_ts), lake, "fact_production_records_raw", run_ts, gate)
+    everything, n = runner.counted(everything)
+    raw = production_table.production_records_raw(everything, run_ts)
+    _publish(raw, lake, "fact_production_records_raw", run_ts, gate, source_rows=n)
     return _publish(production_table.production_monthly(leaves, run_ts), lake, "fact_production_monthly", run_ts, gate)
 
 
@@ -140,18 +154,22 @@ def wells(
         records = first_n_rows(records, wells_table.SOURCE_ORDER, subset)
     logs = {}
     slug = "fact_well_records_raw"
-    logs[slug] = _publish(wells_table.well_records_raw(records, run_ts), lake, slug, run_ts, gate, needs_rows=True)
-    raw = spark.read.parquet(f"{lake}/{slug}")
+    records, n = runner.counted(records)
+    logs[slug] = _publish(wells_table.well_records_raw(records, run_ts), lake, slug, run_ts, gate, True, n)
+    raw = open_table(spark, f"{lake}/{slug}")
     for slug, make in (("well_master", wells_table.well_master), ("fact_well_completions", wells_table.well_completions)):
         logs[slug] = _publish(make(raw), lake, slug, run_ts, gate)
-    master, completions = (spark.read.parquet(f"{lake}/{s}") for s in ("well_master", "fact_well_completions"))
+    master, completions = (open_table(spark, f"{lake}/{s}") for s in ("well_master", "fact_well_completions"))
     logs["bad_files"] = bad_files(spark, landing)
+    skipped = runner.check_log(Q.evaluate([Q.files_read(logs["bad_files"])]), run_ts)
+    append_log(skipped, f"{lake}/qa_fact_well_records_raw")
+    logs["skipped"] = skipped
     logs["key_sets"] = key_set_difference(master, completions, "api10", "api10")
     return logs
 
 
 def _completions(spark: SparkSession, lake: str, subset: int | None) -> DataFrame:
-    rows = spark.read.parquet(f"{lake}/fact_well_completions")
+    rows = open_table(spark, f"{lake}/fact_well_completions")
     return first_n_keys(rows, "api10", wells_table.SOURCE_ORDER, subset) if subset else rows
 
 
@@ -176,7 +194,7 @@ def lease_wells(
 
     ``coverage`` tells how much of the production the bridge reaches; the rest goes to no well and is not published here.
     """
-    read = lambda slug: spark.read.parquet(f"{lake}/{slug}")
+    read = lambda slug: open_table(spark, f"{lake}/{slug}")
     members = read("dim_injection_uic_raw")
     if subset:
         members = members.limit(subset)
@@ -203,14 +221,14 @@ def quality(
     spark: SparkSession, lake: str, run_ts: str, slugs: Sequence[str], rules: Mapping | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Check all tables, append their logs, publish qa_summary and qa_review_queue; returns both."""
-    tables = {s: spark.read.parquet(f"{lake}/{s}") if path_exists(spark, f"{lake}/{s}") else None for s in slugs}
+    tables = {s: open_table(spark, f"{lake}/{s}") if table_exists(spark, f"{lake}/{s}") else None for s in slugs}
     log = materialise(runner.run_all(spark, tables, run_ts, rules), "qa")
     for slug in slugs:
         append_log(log.where(F.col("table_slug") == slug).drop("table_slug"), f"{lake}/qa_{slug}")
     history = summary.collect_logs(spark, {s: _opener(spark, f"{lake}/qa_{s}") for s in slugs}, run_ts)
     current = materialise(summary.latest_status(history), "qa-summary")
     target = f"{lake}/qa_summary"
-    previous = spark.read.parquet(target) if path_exists(spark, target) else None
+    previous = open_table(spark, target) if table_exists(spark, target) else None
     publish(summary.new_issues(current, previous), f"{lake}/qa_review_queue")
     publish(current, target)
-    return spark.read.parquet(target), spark.read.parquet(f"{lake}/qa_review_queue")
+    return open_table(spark, target), open_table(spark, f"{lake}/qa_review_queue")

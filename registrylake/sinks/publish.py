@@ -1,15 +1,28 @@
-"""Publishing: stage, check, swap."""
+"""Publishing: stage, check, show.
+
+A table is a folder of versions. A version is a folder of its own, ``v-<id>``, and is shown by an empty marker
+``_published-<number>-<id>``. Making the marker is the one step that publishes: it either happened or not, and the version shown
+before stays whole, so a reader always finds a table. The newest marker counts; the version before it is kept for
+readers that are still in it, older ones are dropped.
+"""
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from registrylake.quality import checks as Q
 from registrylake.quality.runner import blocks_publish
 
+MARKER = "_published-"
+SCHEMA_FILE = "_table_schema.json"
+KEPT = 2
+
 
 class PublishBlocked(RuntimeError):
     """A level 1 check failed; the published table is unchanged."""
@@ -24,59 +37,104 @@ def _hadoop(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _names(spark: SparkSession, path: str) -> list[str]:
     filesystem, p = _hadoop(spark, path)
-    return filesystem.exists(p)
-
-
-def swap_in(spark: SparkSession, staged: str, target: str) -> None:
-    """Rename the staged folder to the target; the old one is put back if that fails."""
-    filesystem, target_path = _hadoop(spark, target)
-    _, staged_path = _hadoop(spark, staged)
-    backup = f"{target}.old-{uuid.uuid4().hex}"
-    _, backup_path = _hadoop(spark, backup)
-    had_one = filesystem.exists(target_path)
-    if had_one and not filesystem.rename(target_path, backup_path):
-        raise OSError(f"cannot move {target} aside")
-    if not filesystem.rename(staged_path, target_path):
-        if had_one:
-            filesystem.rename(backup_path, target_path)
-        raise OSError(f"cannot rename {staged} to {target}")
-    if had_one:
-        filesystem.delete(backup_path, True)
+    return [s.getPath().getName() for s in filesystem.listStatus(p)] if filesystem.exists(p) else []
+
+
+def _versions(names: Sequence[str]) -> list[tuple[int, str]]:
+    """(number, folder) of the markers, the newest first."""
+    marks = [n.removeprefix(MARKER).split("-", 1) for n in names if n.startswith(MARKER)]
+    return sorted(((int(number), f"v-{version}") for number, version in marks), reverse=True)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a version, or a plain folder of rows?"""
+    names = _names(spark, path)
+    return bool(_versions(names)) or any(not n.startswith(("v-", ".", "_")) for n in names)
+
+
+def open_table(spark: SparkSession, path: str) -> DataFrame:
+    """The version shown now, with the columns and types it was published with. A plain folder of Parquet files is read as it is."""
+    versions = _versions(_names(spark, path))
+    if not versions:
+        return spark.read.parquet(path)
+    folder = f"{path.rstrip('/')}/{versions[0][1]}"
+    filesystem, p = _hadoop(spark, f"{folder}/{SCHEMA_FILE}")
+    stream = filesystem.open(p)
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    schema = T.StructType.fromJson(json.loads(text))
+    return spark.read.schema(schema).parquet(folder).select(*[f"`{n}`" for n in schema.names])
+
+
+def _write_version(df: DataFrame, folder: str, partition_by: Sequence[str]) -> DataFrame:
+    """Rows and schema; partition columns are text, so that 01 stays 01."""
+    spark = df.sparkSession
+    df.write.partitionBy(*partition_by).parquet(folder)
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name in partition_by else f.dataType) for f in df.schema])
+    filesystem, p = _hadoop(spark, f"{folder}/{SCHEMA_FILE}")
+    out = filesystem.create(p, True)
+    out.write(bytearray(schema.json().encode()))
+    out.close()
+    return spark.read.schema(schema).parquet(folder).select(*[f"`{n}`" for n in schema.names])
+
+
+def _show(spark: SparkSession, target: str, version: str) -> None:
+    """The one step that publishes, then the old versions go."""
+    names = _names(spark, target)
+    versions = _versions(names)
+    number = versions[0][0] + 1 if versions else 1
+    filesystem, marker = _hadoop(spark, f"{target}/{MARKER}{number:09d}-{version.removeprefix('v-')}")
+    filesystem.create(marker, False).close()
+    for old, folder in versions[KEPT - 1 :]:
+        for name in (f"{MARKER}{old:09d}-{folder.removeprefix('v-')}", folder):
+            filesystem.delete(_hadoop(spark, f"{target}/{name}")[1], True)
+    for name in names:  # what a plain folder held before its first version
+        if not name.startswith(("v-", MARKER)):
+            filesystem.delete(_hadoop(spark, f"{target}/{name}")[1], True)
 
 
 def publish(
     df: DataFrame,
     target: str,
-    check: Callable[[DataFrame], DataFrame] | None = None,
+    check: Callable[..., DataFrame] | None = None,
     partition_by: Sequence[str] = (),
     gate: bool = True,
+    observed: Sequence[Q.Check] = (),
 ) -> DataFrame | None:
-    """Write to a folder beside ``target``, run ``check`` on what was written, then swap it in.
+    """Write a version of ``target``, run ``check`` on what was written, then show it.
 
-    The checks read the staged files, so the plan behind ``df`` runs once. A failed level 1 check leaves
-    the staged folder for inspection and raises; without ``gate`` it is only logged. An error that ``check``
-    raises always keeps the old table. Returns the check log.
+    The plan behind ``df`` runs once. ``observed`` checks, which look at ``df`` itself, are measured by the write; ``check`` gets the
+    written rows and, if there are any, the results of these. A failed level 1 check leaves the version unshown for
+    inspection and raises; without ``gate`` it is only logged. An error that ``check`` raises always keeps the old
+    table. Returns the check log.
     """
-    spark = df.sparkSession
-    staged = f"{target.rstrip('/')}.staged-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(staged)
+    spark, target = df.sparkSession, target.rstrip("/")
+    version = f"v-{uuid.uuid4().hex}"
+    results = None
+    if observed:
+        try:
+            df, results = Q.observing(df, observed)
+        except AnalysisException:  # what cannot be measured on the way is read again
+            spare = list(observed)
+            results = lambda: Q.evaluate(spare)
+    staged = _write_version(df, f"{target}/{version}", partition_by)
     log = None
     if check is not None:
-        log = check(spark.read.schema(df.schema).parquet(staged))
+        log = check(staged, results()) if results else check(staged)
         log = spark.createDataFrame(log.collect(), log.schema)  # a few rows: one per check
         if gate and blocks_publish(log):
             raise PublishBlocked(log)
-    swap_in(spark, staged, target.rstrip("/"))
+    _show(spark, target, version)
     return log
 
 
 def create_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> bool:
-    """Write an empty typed table unless one is there; tells whether it was written."""
-    if path_exists(spark, path):
+    """Publish an empty typed table unless one is there; tells whether it was."""
+    if table_exists(spark, path):
         return False
-    spark.createDataFrame([], schema).write.parquet(path)
+    publish(spark.createDataFrame([], schema), path)
     return True
 
 

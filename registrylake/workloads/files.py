@@ -6,20 +6,24 @@ The rendering is test scaffolding; it is Spark work over the whole tables too, o
 from __future__ import annotations
 
 import struct
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from registrylake.functions.ebcdic import encode_text
 from registrylake.functions.packed import long_to_packed
 from registrylake.quality import checks as Q
-from registrylake.quality.runner import check_log
+from registrylake.quality import runner
+from registrylake.quality.config import TableRules
+from registrylake.quality.runner import check_log, counted
 from registrylake.session import scratch_path
-from registrylake.sinks.publish import publish
-from registrylake.sources.dbase import read_dbase
+from registrylake.sinks.publish import PublishBlocked, create_if_absent, open_table, publish
+from registrylake.sources.dbase import bad_files, read_dbase
 from registrylake.sources.delimited import overlong_rows, read_delimited
 from registrylake.sources.fixed_records import SPLIT_BYTES, list_files
-from registrylake.sources.landing import newest_snapshot, verify_sources
+from registrylake.sources.landing import SIDECAR, newest_snapshot, verify_sources
 from registrylake.sources.paths import locate
 from registrylake.sources.text_lines import read_lines, read_numbered_lines
 from registrylake.streaming.landing_stream import run_available, stream_lines
@@ -597,7 +601,7 @@ def publish_checked(spark, sf_dir):
     target = scratch_path(spark, "published")
     rows.where("o_orderstatus = 'F'").write.parquet(target)  # the older version
     publish(rows, target, lambda staged: check_log(Q.evaluate([Q.pk_unique(staged, "o_orderkey")]), RUN_TS))
-    return spark.read.parquet(target)
+    return open_table(spark, target)
 
 
 @query("SELECT TRUE AS found_newest, 'no_sidecar' AS status, TRUE AS all_ok")
@@ -610,3 +614,118 @@ def landing_audit(spark: SparkSession, sf_dir):
     return audit.agg(
         F.lit(newest.endswith(last)).alias("found_newest"), F.max("status").alias("status"), F.bool_and("ok").alias("all_ok")
     )
+
+
+@query("""SELECT o_orderkey, o_custkey, o_orderstatus, 'pk_unique' AS blocked_by FROM orders""")
+def publish_blocked_keeps_old(spark, sf_dir):
+    """A version whose keys repeat is not shown; readers go on with the version before it."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    target = scratch_path(spark, "guarded")
+    check = lambda staged: check_log(Q.evaluate([Q.pk_unique(staged, "o_orderkey")]), RUN_TS)
+    publish(rows, target, check)
+    blocked_by = "nothing"
+    try:
+        publish(rows.unionAll(rows.withColumn("o_custkey", -F.col("o_custkey"))), target, check)
+    except PublishBlocked as e:
+        blocked_by = e.log.where("check_status = 'fail'").first()["check_name"]
+    return open_table(spark, target).withColumn("blocked_by", F.lit(blocked_by))
+
+
+@query(
+    """SELECT strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month, COUNT(*) AS n FROM orders
+    WHERE strftime(o_orderdate, '%Y') = '1997' GROUP BY 1, 2"""
+)
+def publish_partitioned(spark, sf_dir):
+    """One year out of a table published by year: its folder alone is read, and the year stays text."""
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy").alias("year"), F.date_format("o_orderdate", "MM").alias("month")
+    )
+    target = scratch_path(spark, "by-year")
+    publish(rows, target, partition_by=["year"])
+    return open_table(spark, target).where("year = '1997'").groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT 0::BIGINT AS n_rows, 'api10 string, since date, n bigint, is_current boolean, share double' AS columns, TRUE AS first_time, FALSE AS again FROM region LIMIT 1")
+def typed_empty_table(spark, sf_dir):
+    """An empty table keeps its types, and making it again leaves what is there alone."""
+    schema = T.StructType([
+        T.StructField("api10", T.StringType()), T.StructField("since", T.DateType()), T.StructField("n", T.LongType()),
+        T.StructField("is_current", T.BooleanType()), T.StructField("share", T.DoubleType()),
+    ])
+    path = scratch_path(spark, "empty")
+    first, again = create_if_absent(spark, path, schema), create_if_absent(spark, path, schema)
+    made = open_table(spark, path)
+    columns = ", ".join(f"{n} {t}" for n, t in made.dtypes)
+    return made.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.lit(columns).alias("columns"), F.lit(first).alias("first_time"), F.lit(again).alias("again"))
+
+
+@query(
+    """SELECT CAST(n_nationkey AS VARCHAR) AS folder, CASE WHEN n_nationkey % 3 = 0 THEN 'verified' WHEN n_nationkey % 3 = 1 THEN 'mismatch' ELSE 'no_sidecar' END AS status,
+      n_nationkey % 3 <> 1 AS ok FROM nation"""
+)
+def landing_digests(spark: SparkSession, sf_dir):
+    """A folder per nation: a third has a sidecar with the file's digest, a third one with another digest, a third none."""
+    rows = table(spark, sf_dir, "nation")
+    root = scratch_path(spark, "digests")
+    line = F.concat_ws("|", "n_nationkey", "n_name")
+    rows.select(line.alias("value"), F.col("n_nationkey").alias("folder")).repartition("folder").write.partitionBy("folder").text(root)
+    digest = F.sha2(F.concat(line, F.lit("\n")).cast("binary"), 256)
+    wrong = F.when(F.col("n_nationkey") % 3 == 1, F.reverse(digest)).otherwise(digest)
+    sidecars = rows.where("n_nationkey % 3 <> 2").select(F.col("n_nationkey").alias("folder"), F.to_json(F.struct(wrong.alias("sha256"))).alias("value"))
+    for r in sidecars.collect():  # one small file for each of the 25 nations
+        filesystem, inner = locate(f"{root}/folder={r.folder}/{SIDECAR}")
+        with filesystem.open_output_stream(inner) as out:
+            out.write(r.value.encode())
+    audit = verify_sources(spark, root)
+    return audit.select(F.regexp_extract("path", "folder=([0-9]+)/", 1).alias("folder"), "status", "ok")
+
+
+@query("SELECT COUNT(*) AS n_rows, 2 AS n_skipped, 'warn' AS check_status, 'api997.dbf; api998.dbf' AS notes FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice <= 490000")
+def county_bad_files(spark, sf_dir):
+    """Damaged files among good ones: the good ones are read, the others named by a check."""
+    folder = _county_files(spark, sf_dir)
+    for name, data in (("api997.dbf", b"short"), ("api998.dbf", b"\x00" * 64)):
+        filesystem, inner = locate(f"{folder}/{name}")
+        with filesystem.open_output_stream(inner) as out:
+            out.write(data)
+    bad = bad_files(spark, folder)
+    check = Q.evaluate([Q.files_read(bad)])
+    n_rows, n_skipped = read_dbase(spark, folder).count(), bad.count()
+    return check.select(F.lit(n_rows).cast("bigint").alias("n_rows"), F.lit(n_skipped).alias("n_skipped"), "check_status", "notes")
+
+
+_CYCLE_TIMES = (1, -2, 3, 4, -5, 6, 7, 8, -9, 10, 11)
+
+
+@query(
+    "SELECT strftime(o_orderdate, '%y%m') AS rpt_cycle_key, "
+    + ", ".join(
+        f"o_orderkey * {times} AS {f.name}" for f, times in zip([f for f in production.CYCLE if f.kind == production.PACKED], _CYCLE_TIMES, strict=True)
+    )
+    + """, strftime(o_orderdate, '%Y') AS oil_allow_effect_year, strftime(o_orderdate, '%m') AS oil_allow_effect_month,
+      strftime(o_orderdate, '%d') AS oil_allow_effect_day, lpad(CAST(o_custkey % 10000 AS VARCHAR), 4, '0') AS oil_allow_issue_year,
+      lpad(CAST(o_custkey % 100 AS VARCHAR), 2, '0') AS oil_allow_issue_month, lpad(CAST(o_orderkey % 100 AS VARCHAR), 2, '0') AS oil_allow_issue_day FROM orders"""
+)
+def oil_tape_cycles(spark, sf_dir):
+    """All 18 data fields of the cycle segment, each with a value of its own."""
+    o = table(spark, sf_dir, "orders")
+    packed = [long_to_packed((F.col("o_orderkey") * k).cast("bigint")) for k in _CYCLE_TIMES]
+    dates = encode_text(F.concat(F.date_format("o_orderdate", "yyyyMMdd"), _zero("o_custkey", 4), _zero("o_custkey", 2), _zero("o_orderkey", 2)))
+    rec = F.concat(encode_text(F.concat(F.lit("02"), F.date_format("o_orderdate", "yyMM"))), *packed[:6], dates, *packed[6:], F.lit(bytearray(b"\x40" * 25)))
+    folder = write_binary_files(o.select(rec.alias("rec")), "cycles", ".ebc")
+    return production.segment_records(production.read_tape(spark, folder), "02").drop("record_index")
+
+
+@query(
+    """SELECT 'row_count' AS check_name, 'pass' AS check_status, format('{:,}', COUNT(*)) AS check_value, 'delta: +0' AS notes FROM orders UNION ALL
+    SELECT 'row_count', 'warn', format('{:,}', COUNT(*) FILTER (o_orderstatus = 'F')), 'delta: -' || format('{:,}', COUNT(*) FILTER (o_orderstatus <> 'F')) FROM orders"""
+)
+def publish_counts_source(spark, sf_dir):
+    """Rows written against rows of the source, both counted by the write: all of them, and with some lost on the way."""
+    logs = []
+    for keep in ("true", "o_orderstatus = 'F'"):
+        source, n = counted(table(spark, sf_dir, "orders"))
+        rows = source.where(keep).select("o_orderkey", "o_orderstatus")
+        observed, log_of = runner.written_checks(rows, TableRules(), RUN_TS, n)
+        logs.append(publish(rows, scratch_path(spark, "counted"), log_of, observed=observed))
+    return reduce(DataFrame.unionAll, logs).select("check_name", "check_status", "check_value", "notes")

@@ -12,6 +12,8 @@ from registrylake.operators.tenure import operator_tenure
 from registrylake.quality import checks as Q
 from registrylake.quality import runner, summary
 from registrylake.quality.config import TableRules
+from registrylake.session import scratch_path
+from registrylake.sources.paths import locate
 from registrylake.workloads.registry import RUN_TS, query, table
 
 
@@ -199,7 +201,7 @@ _TYPES = {"l_orderkey": "bigint", "l_returnflag": "string", "l_linenumber": "big
     " UNION ALL ".join(
         [
             _row("lineitem", "schema_match", 1, "'fail'", "'1 missing'", "all expected columns present", "'missing: [''l_absent'']'"),
-            _row("lineitem", "dtype_match", 1, "'fail'", "'1 columns of another dtype'", "all match".replace("all", "all dtypes"), "'l_linenumber: int != bigint'"),
+            _row("lineitem", "dtype_match", 1, "'fail'", "'1 columns of another dtype'", "all dtypes match", "'l_linenumber: int != bigint'"),
             _row("lineitem", "identifier_columns_str", 1, "'fail'", "'1 non-str ID columns'", "all str", "'l_orderkey: bigint'"),
             _row("lineitem", "api_column_named_l_orderkey", 1, "'pass'", "'present'", "column exists", "''"),
             _row("lineitem", "api_column_named_api10", 1, "'fail'", "'missing'", "column exists", "'no column api10'"),
@@ -561,3 +563,25 @@ _ROLL = ", ".join(f"COUNT(*) FILTER (check_status = '{s}') AS n_{s}" for s in su
 )
 def qa_status_rollup(spark, sf_dir):
     return summary.status_rollup(_log(spark, sf_dir))
+
+
+@query(
+    """SELECT 'events' AS table_slug, event_type AS check_name, COUNT(*) AS n, NULL AS value FROM events GROUP BY event_type UNION ALL
+    SELECT 'junk', '_read_error', 1, 'Failed to read log' UNION ALL SELECT 'torn', '_read_error', 1, 'Failed to read log'"""
+)
+def qa_junk_logs(spark, sf_dir):
+    """A log that is no Parquet file and one cut short, among a good one: each is one error row, the good one stays whole."""
+    folder = scratch_path(spark, "logs")
+    rows = table(spark, sf_dir, "events").select(
+        F.lit("run").alias("ingestion_run_id"), F.col("event_type").alias("check_name"), F.lit(1).cast("bigint").alias("check_level"),
+        *[F.lit("x").alias(c) for c in ("check_status", "check_value", "check_threshold", "checked_at", "notes")],
+    )
+    rows.write.parquet(f"{folder}/events")
+    for name, data in (("junk", b"no parquet"), ("torn", b"PAR1" + b"\x15" * 100 + b"PAR1")):
+        filesystem, inner = locate(f"{folder}/{name}")
+        filesystem.create_dir(inner)
+        with filesystem.open_output_stream(f"{inner}/part-0.parquet") as out:
+            out.write(data)
+    openers = {s: (lambda s=s: spark.read.schema(runner.LOG_SCHEMA).parquet(f"{folder}/{s}")) for s in ("events", "junk", "torn")}
+    log = summary.collect_logs(spark, openers, RUN_TS)
+    return log.groupBy("table_slug", "check_name").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("check_level") == 0, F.col("notes"))).alias("value"))
