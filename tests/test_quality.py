@@ -176,7 +176,7 @@ def test_single_scan_for_single_table_checks(spark, tmp_path):
 
 
 def test_runner_and_registry(spark):
-    assert len(config.TABLE_RULES) == 10 and config.rules_for("unknown") == config.TableRules()
+    assert len(config.TABLE_RULES) == 12 and config.rules_for("unknown") == config.TableRules()
     wells = frame(spark, [("4200000001", "00000001")], "api10 string, apinum string")
     permits = frame(spark, [("4200000001",), ("4200000002",)], "api10 string")
     log = runner.run_all(spark, {"well_master": wells, "dim_drilling_permits": permits, "lost": None}, RUN)

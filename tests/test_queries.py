@@ -41,7 +41,8 @@ def test_query(spark, db, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    """Those of the library itself; some training-data operators are beyond SQL and have tests of their own."""
+    assert set(SQL) == set(QUERIES) and set(SQL) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
