@@ -330,16 +330,21 @@ def near_classes(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id",
 
 
 def keep_one(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each class, the one with the smallest id; rows without an id stay."""
-    found = near_classes(docs, least, id_col, text_col)
-    counts = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.count(F.lit(1)).alias("n"))
-    counts = materialise(counts, "classes").withColumnRenamed("doc_id", "_d")
-    ident = F.col(id_col).cast("bigint")
-    gone = counts.where("class_id <> _d").select("_d")
-    kept = docs.join(gone, ident == F.col("_d"), "left_anti")
-    # rows that share their id: one of them, by text and the other columns
-    repeated = counts.where("n > 1 AND class_id = _d").select("_d")
-    order = [F.xxhash64(text_col), F.xxhash64(*docs.columns)]
-    several = kept.join(repeated, ident == F.col("_d"), "left_semi")
-    several = several.withColumn("_place", F.row_number().over(Window.partitionBy(id_col).orderBy(*order))).where("_place = 1")
-    return kept.join(repeated, ident == F.col("_d"), "left_anti").unionByName(several.drop("_place"))
+    """One document of each class, the one with the smallest id; all its columns.
+
+    A document is a row known by id and text, so rows that only share their id are in one class when their texts are. Of
+    equal rows one stays; rows without an id or without words are all kept.
+    """
+    # a number from id and text, so that no row needs to be looked up for it; classes are of numbers
+    number = F.when(F.col(id_col).isNotNull(), F.xxhash64(F.lit("row"), F.col(id_col), F.col(text_col)))
+    found = materialise(near_classes(docs.select(number.alias("doc_id"), F.col(text_col).alias("text")), least).distinct(), "classes")
+    ids = docs.select(number.alias("doc_id"), F.col(id_col).alias("id")).distinct()
+    first = F.min(F.struct("id", "doc_id"))
+    kept = ids.join(found, "doc_id").groupBy("class_id").agg(first.alias("first")).select("class_id", F.col("first.doc_id").alias("_kept"))
+    gone = found.join(kept, "class_id").where("doc_id <> _kept").select(F.col("doc_id").alias("_d"))
+    rest = docs.join(gone, number == F.col("_d"), "left_anti")
+    repeated = docs.where(F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).groupBy(number.alias("_d")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_d")
+    several = rest.join(repeated, number == F.col("_d"), "left_semi")
+    place = F.row_number().over(Window.partitionBy("_number").orderBy(F.xxhash64(*docs.columns)))
+    several = several.withColumn("_number", number).withColumn("_place", place).where("_place = 1").drop("_number", "_place")
+    return rest.join(repeated, number == F.col("_d"), "left_anti").unionByName(several)

@@ -133,3 +133,11 @@ def test_long_chains_and_stars_of_links(spark):
     random.Random(2).shuffle(chain)
     found = {r["id"]: r.class_id for r in classes(spark.createDataFrame(chain, "a bigint, b bigint"), "a", "b").collect()}
     assert found == {i: 0 for i in range(61)} | {i: 1000 for i in range(1000, 1200)}
+
+
+def test_rows_that_share_an_id_are_texts_of_their_own(docs_of):
+    a, b, c, z = (" ".join(f"{n}{i}" for i in range(60)) for n in "abcz")
+    near_a = a.replace("a59", "other")
+    rows = [(5, a), (5, b), (5, c), (7, b), (8, z), (9, near_a), (None, z), (None, a), (None, None), (None, None), (5, b), (6, ""), (6, "")]
+    kept = [(r.doc_id, r.text) for r in probminhash.keep_one(docs_of(rows)).collect()]
+    assert sorted(kept, key=repr) == sorted([(5, a), (5, b), (5, c), (8, z), (None, z), (None, a), (None, None), (None, None), (6, ""), (6, "")], key=repr)
