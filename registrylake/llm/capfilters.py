@@ -237,9 +237,9 @@ def link_vectors(df: DataFrame, least: float = 0.95, id_col: str = "vec_id", vec
     usable = F.coalesce((square > 0) & (square < float("inf")) & F.col("vec_id").isNotNull(), F.lit(False))
     rows = rows.withColumn("vector", F.when(usable, F.col("vector")))
     good = rows.where("vector IS NOT NULL")
-    distinct = good.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    # two rows of one id may hold different vectors, so a representative has a number of its own
-    distinct = materialise(distinct.select("vector", "copies", "id"), "vectors")
+    distinct = good.groupBy("vector").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("copies"))
+    # two rows of one id may hold different vectors, so a representative has a number of its own, from its components
+    distinct = materialise(distinct.select("vector", "copies", "low", F.xxhash64("vector").alias("id")), "vectors")
     lengths = distinct.groupBy(F.size("vector").alias("dims")).agg(F.count(F.lit(1)).alias("n")).collect()
     codewords_of = {r["dims"]: codewords_at(r["dims"], r["n"], least) for r in lengths}
     sent = materialise(_send(distinct.repartition("id"), codewords_of), "vector-filters")
@@ -249,10 +249,11 @@ def link_vectors(df: DataFrame, least: float = 0.95, id_col: str = "vec_id", vec
     found = materialise(found, "vector-links")
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
     component = classes(found.where("id <> root"), "id", "root")
-    per_vector = distinct.select("vector", "id", "copies").join(links, "id", "left").join(component, "id", "left")
-    per_vector = per_vector.select(
+    per_vector = distinct.join(links, "id", "left").join(component, "id", "left")
+    lowest = per_vector.where("class_id IS NOT NULL").groupBy("class_id").agg(F.min("low").alias("_lowest"))
+    per_vector = per_vector.join(lowest, "class_id", "left").select(
         F.col("vector").alias("_v"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("class_id", "id").alias("component_id"),
+        F.coalesce("_lowest", "low").alias("component_id"),
     )
     joined = rows.join(per_vector, F.col("vector") == F.col("_v"), "left")
     own = F.coalesce("component_id", "vec_id")

@@ -97,3 +97,13 @@ def test_recall_at_the_limit_of_large_tables_and_few_dimensions():
 def test_links_in_few_dimensions_equal_brute_force(spark):
     rows = list(enumerate(_vectors(60, 8, 0.15) + _vectors(60, 2, 0.1) + _vectors(60, 3, 0.1) + _vectors(60, 16, 0.15)))
     assert _found(_frame(spark, rows)) == _brute_force(rows)
+
+
+def test_equal_ids_of_different_vectors(spark):
+    a, b = [1.0, 0.0, 0.0, 0.0, 0.2], [0.0, 1.0, 0.0, 0.3, 0.0]
+    near = [1.0, 0.01, 0.0, 0.0, 0.2]
+    schema = "vec_id bigint, embedding array<double>"
+    got = capfilters.link_vectors(spark.createDataFrame([(1, a), (1, b), (2, near)], schema), 0.95).collect()
+    assert sorted(map(tuple, got)) == [(1, 0, 1, True), (1, 1, 1, True), (2, 1, 1, False)]
+    got = capfilters.link_vectors(spark.createDataFrame([(1, a), (1, near)], schema), 0.95).collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 1, True), (1, 1, 1, True)]
