@@ -1,12 +1,12 @@
 """Mixing sources to target weights with nested hash-threshold histograms.
 
-Every document has a fixed 60-bit hash of its key. A source takes whole rounds of all its documents and, for the rest of
+Every document has a fixed 60-bit hash of its key and text. A source takes whole rounds of all its documents and, for the rest of
 its target, those documents whose hash is below a threshold. The threshold is found from histograms: words summed by
 (source, first 12 bits), then only the rows of the bucket where the sum crosses the target by the next 12 bits, and so on.
 No row is sorted, and a rerun takes the same documents.
 
-Defined results: a null source is a source of its own, last in order; a null or empty text has size 0; documents with equal
-keys share a hash and are taken together; a source without words has target 0; an empty table gives an empty result.
+Defined results: a null source is a source of its own, last in order; a null or empty text has size 0; equal rows
+share a hash and are taken together; a source without words has target 0; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,15 +22,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 DIGITS = 3  # hexadecimal digits a level
 LEVELS = 5
 BUCKETS = 16**DIGITS
+FEW_SOURCES = 20_000  # rows of a few dozen bytes and a source's name
+SALTS = 64
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def key_hash(key: Column) -> Column:
-    """60 bits of the key's md5."""
-    digest = F.md5(F.coalesce(key.cast("string"), F.lit("null")).cast("binary"))
+def key_hash(key: Column, text: Column) -> Column:
+    """60 bits of an md5 of the key and the text's md5, so that rows that only share a key are taken one by one."""
+    own = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    digest = F.md5(F.concat_ws("/", F.coalesce(key.cast("string"), F.lit("null")), own).cast("binary"))
     return F.conv(F.substring(digest, 1, DIGITS * LEVELS), 16, 10).cast("bigint")
 
 
@@ -85,7 +88,7 @@ def thresholds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     The last level holds single hashes: the one that crosses is taken if that ends nearer to the target.
     """
     rest = targets.select(F.col("source").alias("_s"), _rest().alias("left")).where("left > 0")
-    rows = sizes.join(rest, F.col("source").eqNullSafe(F.col("_s"))).select("source", "size", "h", "left")
+    rows = on_source(sizes, rest, F.col("source"), "_s").select("source", "size", "h", "left")
     found, bound = None, F.lit(0).cast("bigint")
     for level in range(LEVELS):
         at = _boundary(rows, level)
@@ -109,13 +112,27 @@ def _rest() -> Column:
     return F.col("target") - _rounds() * F.col("source_size")
 
 
+def on_source(rows: DataFrame, per_source: DataFrame, source: Column, key: str) -> DataFrame:
+    """Rows with their source's row of ``per_source``.
+
+    A table of at most ``FEW_SOURCES`` rows, which is counted, goes to all tasks and the rows stay where they are. A larger one is
+    copied to ``SALTS`` salts and the rows are dealt over them, so that a source with a third of all rows is many tasks.
+    """
+    same = source.eqNullSafe(F.col(key))
+    if per_source.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES:
+        return rows.join(F.broadcast(per_source), same)
+    salted = per_source.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("_lot", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    return dealt.join(salted, same & (F.col("_lot") == F.col("_salt"))).drop("_lot", "_salt")
+
+
 def sizes_of(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """(doc_id, source, size, h); words are counted once, all later steps read numbers."""
     sizes = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         word_count(F.col(text_col)).alias("size"),
-        key_hash(F.col(id_col)).alias("h"),
+        key_hash(F.col(id_col), F.col(text_col)).alias("h"),
     )
     return materialise(sizes, "mix-sizes")
 
@@ -142,9 +159,9 @@ def mix(
     Sources in order of code points, null last, weigh ``weights``, over and over; together they get ``share`` of all words.
     """
     sizes = sizes_of(docs, id_col, text_col, source_col)
-    plan = plan_of(sizes, weights, share, limit).withColumnRenamed("source", "_s")
+    plan = materialise(plan_of(sizes, weights, share, limit).withColumnRenamed("source", "_s"), "mix-plan")
     repeats = F.col("rounds") + (F.col("h") < F.col("bound")).cast("bigint")
-    return sizes.join(plan, F.col("source").eqNullSafe(F.col("_s"))).select(
+    return on_source(sizes, plan, F.col("source"), "_s").select(
         "doc_id", "source", "h", "size", "source_size", "target", repeats.alias("repeats"), (repeats * F.col("size")).alias("taken")
     )
 
@@ -160,13 +177,13 @@ def take(
 ) -> DataFrame:
     """The documents, all their columns, a row for each time the mix takes them.
 
-    The plan has a row for each source, as each of its documents takes its source's rounds and bound; texts are not shuffled
-    when it is small enough for Spark to send it to all tasks.
+    The plan has a row for each source, as each of its documents takes its source's rounds and bound; texts are not shuffled.
     """
     sizes = sizes_of(docs, id_col, text_col, source_col)
     plan = plan_of(sizes, weights, share, limit)
-    source, h = F.col(source_col).cast("string"), key_hash(F.col(id_col))
-    joined = docs.join(plan.select(*[F.col(c).alias(f"_mix_{c}") for c in ("source", "rounds", "bound")]), source.eqNullSafe(F.col("_mix_source")))
+    plan = materialise(plan.select(*[F.col(c).alias(f"_mix_{c}") for c in ("source", "rounds", "bound")]), "mix-plan")
+    source, h = F.col(source_col).cast("string"), key_hash(F.col(id_col), F.col(text_col))
+    joined = on_source(docs, plan, source, "_mix_source")
     repeats = (F.col("_mix_rounds") + (h < F.col("_mix_bound")).cast("bigint")).cast("int")
     rows = joined.withColumn("_mix_time", F.explode(F.when(repeats > 0, F.sequence(F.lit(1), repeats))))
     return rows.select(*[docs[c] for c in docs.columns])

@@ -77,3 +77,16 @@ def test_empty_texts_sources_and_tables(docs_of):
 def test_one_document_larger_than_the_rest(docs_of):
     rows = mixing.mix(docs_of([(1, "w " * 9000, "a"), (2, "w", "a"), (3, "w w", "b")])).collect()
     assert len(rows) == 3 and all(r.taken <= 3 * r["size"] for r in rows)
+
+
+def test_rows_of_one_id_are_taken_one_by_one(docs_of):
+    rows = [(1, " ".join([f"t{i}"] * 6), "a") for i in range(300)] + [(1000 + i, "one two three", "b") for i in range(600)]
+    got = mixing.mix(docs_of(rows), (1.0, 1.1)).where("source = 'a'").collect()
+    assert abs(sum(r.taken for r in got) - got[0].target) <= 6
+
+
+def test_many_sources_meet_their_plan_over_salts(docs_of, monkeypatch):
+    rows = [(i, "w " * (i % 7), f"s{i % 9}" if i % 3 else "hot") for i in range(400)] + [(999, "w", None)]
+    few = sorted(map(tuple, mixing.mix(docs_of(rows)).collect()), key=repr)
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 3)
+    assert sorted(map(tuple, mixing.mix(docs_of(rows)).collect()), key=repr) == few
