@@ -73,7 +73,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS h
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '/' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h
   FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -157,7 +157,7 @@ def op4_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts before and after personal data and secrets are masked."""
     path = tokenizer_path("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    trees = editcount.count_trees(editcount.replacing_edits(docs, PERSONAL, "[masked]", needs="[0-9@]"), path)
+    trees = editcount.count_trees(editcount.replacing_edits(docs, PERSONAL, "[masked]", needs=r"[\d@]"), path)
     return editcount.recount(trees, path).select("doc_id", "n_before", "n_edits", "n_tokens", "n_leaves", "n_redone")
 
 
@@ -167,7 +167,27 @@ def op6_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     return marked.drop("text_hash")
 
 
-@query("op3_cap_filter_links")
+SQL_LINKS = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+), g AS (
+  SELECT r, vec_id, e FROM v WHERE vec_id IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND list_dot_product(e, e) > 0
+), p AS (
+  SELECT a.r AS x, b.r AS y FROM g AS a JOIN g AS b ON a.r <> b.r AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT r, r AS m FROM g UNION SELECT reach.r, p.y FROM reach JOIN p ON p.x = reach.m
+), c AS (
+  SELECT reach.r, min(g.vec_id) AS component_id FROM reach JOIN g ON g.r = reach.m GROUP BY reach.r
+), n AS (
+  SELECT x AS r, count(*) AS n FROM p GROUP BY x
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(coalesce(component_id, vec_id) = vec_id, FALSE) AS kept
+FROM v LEFT JOIN c USING (r) LEFT JOIN n USING (r)
+"""
+
+
+@query("op3_cap_filter_links", SQL_LINKS)
 def op3_cap_filter_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capfilters.link_vectors(table(spark, sf_dir, "embeddings"), 0.95)
 

@@ -65,3 +65,13 @@ def test_given_edits_and_nulls(spark, docs_of, tokenizer):
     docs = docs.withColumn("edits", F.expr("IF(doc_id = 1, array(named_struct('first', -5, 'last', 99, 'text', 'z')), NULL)"))
     rows = editcount.recount(editcount.count_trees(docs, tokenizer), tokenizer).collect()
     assert sorted((r.doc_id or 0, r.text, r.n_edits) for r in rows) == [(0, "d", 0), (1, "z", 1), (1, "z", 1)]
+
+
+def test_digits_of_all_scripts_are_masked(spark, docs_of, tokenizer):
+    from registrylake.llm.queries import PERSONAL
+
+    text = "number ١٢٣٤٥٦٧٨٩٠١٢٣ end"
+    rows = docs_of([(1, text), (2, text + " 5")])
+    edits = editcount.replacing_edits(rows.select("doc_id", "text"), PERSONAL, "[masked]", needs=r"[\d@]")
+    found = editcount.recount(editcount.count_trees(edits, tokenizer), tokenizer).collect()
+    assert {r.doc_id: r.n_edits for r in found} == {1: 1, 2: 1}
