@@ -6,8 +6,11 @@ places whose bit is set, and a join on the hash gives (document, item, shift). A
 a document is contaminated if a run of at least ``MIN_WORDS`` aligned words (the whole item, if that is shorter) holds at
 least ``MIN_SHARE`` equal ones. Words are compared as letters and digits, case folded.
 
-Defined results: null and empty texts hold nothing; an item with fewer words than the shortest seed matches nothing;
-repeated items and documents each get their own result; rows with equal ids are kept apart by their texts; an empty
+No overlap of that kind is missed. The four masks are such that a run of ``MIN_WORDS`` or more words needs more substitutions than the
+share allows to hide all of them, whatever its length (the test walks through all patterns). An item of fewer words is
+cut into one piece more than the substitutions it may have, and one of the pieces is always whole.
+
+Defined results: null and empty texts hold nothing, and an item without words is found nowhere; repeated items and documents each get their own result; rows with equal ids are kept apart by their texts; an empty
 benchmark marks nothing.
 """
 
@@ -21,10 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registrylake.llm.text import HashedWords, as_bytes, hash_words, mix, pieces, signed, small_batches
+from registrylake.session import materialise
 
-SEEDS = ("1111111", "111011011", "11010110011", "1101001100101")
+SEEDS = ("1101111", "1111101", "1100010111", "11011000011")
 MIN_WORDS = 13
 MIN_SHARE = 0.8
+PIECE = 100  # a run of n words of a short item counts as mask PIECE + n
 BITMAP_BITS = 24  # 2 MB, whatever the size of the benchmark; a fuller bitmap only sends more rows to the join
 
 
@@ -50,23 +55,58 @@ def seed_hashes(flat: np.ndarray, ends: np.ndarray, seed: str, number: int) -> t
     return mix(value[inside]), np.flatnonzero(inside), text[inside]
 
 
+def pieces_of(n: int) -> list[tuple[int, int]]:
+    """(first word, words) of the pieces of an item of ``n`` words, fewer than MIN_WORDS: at least one has no substitution."""
+    count = round(n * (1 - MIN_SHARE) * 100) // 100 + 1
+    bounds = [n * i // count for i in range(count + 1)]
+    return [(x, y - x) for x, y in zip(bounds, bounds[1:], strict=False)]
+
+
+def _mask(number: int) -> str:
+    return SEEDS[number] if number < PIECE else "1" * (number - PIECE)
+
+
 def _bit(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BITMAP_BITS)).view(np.int64)
 
 
-def _places(rows: DataFrame, columns: Sequence[str], bitmap=None) -> DataFrame:
-    """``columns`` of each row with (place, hash) of its seeds; with a bitmap only those whose bit is set."""
+def _item_places(items: DataFrame) -> DataFrame:
+    """(item_id, mask, place, hash) of all places of the items' masks."""
+    kind = items.schema["item_id"].dataType.simpleString()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            flat, ends = hash_words(as_bytes(piece.column("text")), WORDS)
+            size, found = np.diff(ends), []
+            for number in range(len(SEEDS)):
+                hashes, place, text = seed_hashes(flat, ends, SEEDS[number], number)
+                long = size[text] >= MIN_WORDS
+                found += zip(text[long].tolist(), [number] * int(long.sum()), (place - ends[text])[long].tolist(), signed(hashes)[long].tolist(), strict=True)
+            for i in np.flatnonzero((size > 0) & (size < MIN_WORDS)).tolist():
+                for first, words in pieces_of(int(size[i])):
+                    own = flat[ends[i] + first : ends[i] + first + words]
+                    hashes, _, _ = seed_hashes(own, np.array([0, words]), "1" * words, PIECE + words)
+                    found.append((i, PIECE + words, first, int(signed(hashes)[0])))
+            at, mask, place, value = zip(*found, strict=True) if found else ((), (), (), ())
+            ids = piece.column("item_id").take(pa.array(at, pa.int64()))
+            columns = [ids, pa.array(mask, pa.int32()), pa.array(place, pa.int64()), pa.array(value, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["item_id", "mask", "place", "hash"])
+
+    return items.select("item_id", "text").mapInArrow(run, f"item_id {kind}, mask int, place bigint, hash bigint")
+
+
+def _places(rows: DataFrame, columns: Sequence[str], masks: Sequence[int], bitmap) -> DataFrame:
+    """``columns`` of each row with (place, hash) of the masks, where the hash has its bit set."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*columns).schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.unpackbits(np.frombuffer(bitmap.value, np.uint8), bitorder="little").view(bool) if bitmap else None
+        held = np.unpackbits(np.frombuffer(bitmap.value, np.uint8), bitorder="little").view(bool)
         for piece in pieces(batches):
             flat, ends = hash_words(as_bytes(piece.column("text")), WORDS)
-            for number, seed in enumerate(SEEDS):
-                hashes, place, text = seed_hashes(flat, ends, seed, number)
-                if held is not None:
-                    hit = held[_bit(hashes)]
-                    hashes, place, text = hashes[hit], place[hit], text[hit]
+            for number in masks:
+                hashes, place, text = seed_hashes(flat, ends, _mask(number), number)
+                hit = held[_bit(hashes)]
+                hashes, place, text = hashes[hit], place[hit], text[hit]
                 if len(hashes):
                     kept = [piece.column(c).take(pa.array(text)) for c in columns]
                     yield pa.RecordBatch.from_arrays(
@@ -110,20 +150,20 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``docs`` has (doc_id, text, _hash), ``benchmark`` (item_id, text).
     """
     small_batches(docs.sparkSession)
-    items = _places(benchmark, ["item_id"])
+    items = materialise(_item_places(benchmark), "seeds")
+    masks = sorted(r["mask"] for r in items.select("mask").distinct().collect())  # the seeds, and a few lengths of pieces
     bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(items))
-    hits = _places(docs, ["doc_id", "_hash"], bitmap)
+    hits = _places(docs, ["doc_id", "_hash"], masks, bitmap)
     shifts = (
         hits.join(items.withColumnRenamed("place", "item_place"), "hash")
         .select("doc_id", "_hash", "item_id", (F.col("place") - F.col("item_place")).alias("shift"))
-        .distinct()
+        .groupBy("doc_id", "_hash", "item_id")
+        .agg(F.collect_set("shift").alias("shifts"))  # at most one for each word of the two
     )
     found = shifts.withColumnRenamed("doc_id", "_doc")
-    found = found.join(
-        docs.withColumnRenamed("_hash", "_h"), (F.col("_h") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
-    )
+    found = found.join(docs.withColumnRenamed("_hash", "_h"), (F.col("_h") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
     texts = benchmark.select(F.col("item_id").alias("_item"), F.col("text").alias("item_text")).distinct()
-    found = found.join(texts, F.col("item_id").eqNullSafe(F.col("_item"))).select("doc_id", "_hash", "item_id", "shift", "text", "item_text")
+    found = found.join(texts, F.col("item_id").eqNullSafe(F.col("_item"))).select("doc_id", "_hash", "item_id", "shifts", "text", "item_text")
     names = {f.name: f.dataType.simpleString() for f in found.schema}
     schema = f"doc_id {names['doc_id']}, _hash bigint, item_id {names['item_id']}, n_words int, n_equal int, first_word int"
 
@@ -132,10 +172,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             doc, doc_ends = hash_words(as_bytes(piece.column("text")), WORDS)
             item, item_ends = hash_words(as_bytes(piece.column("item_text")), WORDS)
             rows = []
-            for i, shift in enumerate(piece.column("shift").to_pylist()):
-                own = item[item_ends[i] : item_ends[i + 1]]
-                n, equal, first = longest_overlap(doc[doc_ends[i] : doc_ends[i + 1]], own, shift)
-                rows.append((n >= min(MIN_WORDS, len(own)), n, equal, first))
+            for i, shifts in enumerate(piece.column("shifts").to_pylist()):
+                text, own = doc[doc_ends[i] : doc_ends[i + 1]], item[item_ends[i] : item_ends[i + 1]]
+                n, equal, first = max((longest_overlap(text, own, shift) for shift in shifts), key=lambda x: (x[0], x[1], -x[2]))
+                rows.append((n >= max(1, min(MIN_WORDS, len(own))), n, equal, first))
             keep = pa.array(np.flatnonzero([r[0] for r in rows]))
             numbers = [pa.array([r[c] for r in rows if r[0]], pa.int32()) for c in (1, 2, 3)]
             kept = [piece.column(c).take(keep) for c in ("doc_id", "_hash", "item_id")]

@@ -85,3 +85,41 @@ def test_longest_overlap():
     doc, item = np.array([9, 1, 2, 3, 8, 5, 6, 9]), np.array([1, 2, 3, 4, 5, 6])
     assert spacedseeds.longest_overlap(doc, item, 1) == (6, 5, 1)
     assert spacedseeds.longest_overlap(doc, item, 50) == (0, 0, 0)
+
+
+def test_no_pattern_of_the_rule_hides_from_the_masks():
+    """The fewest substitutions that hide a run of every length from all masks are more than the rule allows."""
+    width = max(map(len, spacedseeds.SEEDS))
+    masks = [(int(m, 2), len(m)) for m in spacedseeds.SEEDS]
+    fewest = {(0, 0): 0}  # (last words equal or not, how many of them) -> substitutions so far
+    for length in range(1, 300):
+        longer = {}
+        for (bits, n), cost in fewest.items():
+            for equal in (0, 1):
+                now, seen = (bits << 1 | equal) & ((1 << width) - 1), min(n + 1, width)
+                if not any(seen >= size and now & m == m for m, size in masks):
+                    key = (now & ((1 << width - 1) - 1), min(seen, width - 1))
+                    longer[key] = min(longer.get(key, 1 << 30), cost + 1 - equal)
+        fewest = longer
+        if length >= spacedseeds.MIN_WORDS:
+            assert min(fewest.values(), default=1 << 30) > length // 5, length
+
+
+def test_pieces_of_short_items():
+    for n in range(1, spacedseeds.MIN_WORDS):
+        parts = spacedseeds.pieces_of(n)
+        assert [w for x, k in parts for w in range(x, x + k)] == list(range(n)) and len(parts) == n // 5 + 1
+
+
+def test_short_items_equal_brute_force(spark, docs_of):
+    rng = random.Random(9)
+    items = [(n, " ".join(_text(rng, n))) for n in range(1, 20)]
+    docs = []
+    for n, item in items:
+        for wrong in range(4):
+            words = item.split()
+            for at in rng.sample(range(n), min(n, wrong)):
+                words[at] = "zz"
+            docs.append((10 * n + wrong, " ".join(_text(rng, 5) + words + _text(rng, 5))))
+    rows = {r.doc_id: r.item_ids for r in spacedseeds.mark_contaminated(docs_of(docs), _bench(spark, items)).collect()}
+    assert rows == {i: sorted(k for k, item in items if _overlaps(text.split(), item.split())) for i, text in docs}
