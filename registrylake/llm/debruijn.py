@@ -8,8 +8,10 @@ smallest hash (the first of equals); consecutive windows with the same anchor ar
 * only where paths of an anchor differ are they opened into windows, and these are counted and joined on (anchor, window).
 
 A first pass counts anchors; two bitmaps of fixed size let the second pass send on only paths whose anchor may repeat. Joins
-on the anchor decide exactly. What repeats goes back to its source coordinates (document, first word, number of
-windows); there paths that touch or overlap grow together into spans, and a join with the texts takes the words out.
+on the anchor decide exactly. A path has a number; the windows of opened paths travel as (anchor, window, number and offset), and what
+repeats of a path comes back as the bits of one row. So every path goes back to its source coordinates (document, first
+word), where paths that touch or overlap grow together into spans, and the words are taken out. Texts without any repeat, as a
+third bitmap tells, are finished where they are read; only the others are joined with their spans.
 
 Words are runs of other bytes than space and 0x09 to 0x0D, unchanged. An edge is known by two 64-bit hashes, its anchor's
 and its own.
@@ -37,6 +39,7 @@ ANCHOR = 11
 PLACE_BITS = 28  # of a packed hash: the place in a piece
 BITMAP_BITS = 25  # 4 MB each, whatever the input; fuller bitmaps only send more rows to the joins
 HELD_ROWS = 1_000_000
+WORD_BITS = 60  # windows of an opened path that one number tells of
 
 _WORDS = HashedWords()
 
@@ -109,11 +112,11 @@ def _combined(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "n", "low", "high"])
 
 
-def _bitmap(anchors: DataFrame) -> bytes:
-    """Bits of the anchors; at most 2^BITMAP_BITS / 64 rows come to the driver."""
-    bit = F.shiftrightunsigned("anchor", 64 - BITMAP_BITS)
-    one = F.expr(f"shiftleft(1L, int(pmod(shiftrightunsigned(anchor, {64 - BITMAP_BITS}), 64)))")
-    rows = anchors.groupBy(F.shiftright(bit, 6).cast("int").alias("at")).agg(F.bit_or(one).alias("bits")).toPandas()
+def _bitmap(hashes: DataFrame, column: str) -> bytes:
+    """Bits of the hashes in a column; at most 2^BITMAP_BITS / 64 rows come to the driver."""
+    bit = F.shiftrightunsigned(column, 64 - BITMAP_BITS)
+    one = F.expr(f"shiftleft(1L, int(pmod(shiftrightunsigned({column}, {64 - BITMAP_BITS}), 64)))")
+    rows = hashes.groupBy(F.shiftright(bit, 6).cast("int").alias("at")).agg(F.bit_or(one).alias("bits")).toPandas()
     words = np.zeros((1 << BITMAP_BITS) // 64, np.int64)
     words[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
     return words.tobytes()
@@ -155,23 +158,41 @@ def _occurrences(rows: DataFrame, span: int, repeated: bytes, branching: bytes)
 
 
 def repeated_windows(rows: DataFrame, span: int = SPAN) -> DataFrame:
-    """(doc_id, _hash, first, n): runs of ``n`` windows from word ``first`` on that all start somewhere else too.
+    """(doc_id, _hash, first, n, bits): windows that all start somewhere else too, from word ``first`` on.
 
+    A path kept whole has its number of windows ``n``; of an opened one ``bits`` tells which of WORD_BITS windows repeat, and n is 0.
     ``rows`` has (doc_id, text, _hash).
     """
     small_batches(rows.sparkSession)
     anchors = materialise(_anchor_counts(rows, span), "anchors")
-    found = _occurrences(rows, span, _bitmap(anchors), _bitmap(anchors.where("NOT same")))
-    found = materialise(found, "paths")
+    found = _occurrences(rows, span, _bitmap(anchors, "anchor"), _bitmap(anchors.where("NOT same"), "anchor"))
+    found = materialise(found.withColumn("path", F.monotonically_increasing_id()), "paths")
     whole = found.drop("edges").join(anchors.where("same").select("anchor"), "anchor")
-    edges = found.where("size(edges) > 0").select("doc_id", "_hash", "first", "anchor", F.posexplode("edges").alias("at", "edge"))
+    offsets = span - ANCHOR + 1  # windows of a path at most
+    edges = found.where("size(edges) > 0").select("anchor", "path", F.posexplode("edges").alias("at", "edge"))
+    edges = edges.select("anchor", "edge", (F.col("path") * offsets + F.col("at")).alias("ref"))
     several = edges.groupBy("anchor", "edge").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor", "edge")
-    single = edges.join(several, ["anchor", "edge"])
-    columns = ["doc_id", "_hash", "first", "n"]
-    # a path kept whole may have its bit set by chance and be opened too; both say the same of its windows
-    return whole.select(*columns).unionByName(
-        single.select("doc_id", "_hash", (F.col("first") + F.col("at")).alias("first"), F.lit(1).alias("n"))
+    at = F.pmod("ref", F.lit(offsets))
+    single = edges.join(several, ["anchor", "edge"]).select(F.expr(f"ref div {offsets}").alias("path"), at.cast("int").alias("at"))
+    single = single.groupBy("path", F.expr(f"cast(at div {WORD_BITS} as int)").alias("part")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, at % {WORD_BITS})")).alias("bits")
     )
+    opened = found.where("size(edges) > 0").select("path", "doc_id", "_hash", "first").join(single, "path")
+    opened = opened.select("doc_id", "_hash", (F.col("first") + F.col("part") * WORD_BITS).alias("first"), F.lit(0).alias("n"), "bits")
+    # a path kept whole may have its bit set by chance and be opened too; both say the same of its windows
+    return whole.select("doc_id", "_hash", "first", "n", F.lit(0).cast("bigint").alias("bits")).unionByName(opened)
+
+
+def _covered(n_words: int, first: np.ndarray, n: np.ndarray, bits: np.ndarray, span: int) -> np.ndarray:
+    """Which words the windows cover."""
+    edge = np.zeros(n_words + 1, np.int64)
+    whole = n > 0
+    row, at = np.nonzero((bits[~whole, None] >> np.arange(WORD_BITS)) & 1)
+    start = np.concatenate([first[whole], first[~whole][row] + at])
+    stop = np.concatenate([first[whole] + n[whole], first[~whole][row] + at + 1]) + span - 1
+    np.add.at(edge, start, 1)
+    np.add.at(edge, stop, -1)
+    return np.cumsum(edge[:-1]) > 0
 
 
 def remove_repeats(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,31 +200,47 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", te
     if span < ANCHOR:
         raise ValueError(f"a window has at least {ANCHOR} words")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("_hash", F.xxhash64("text"))
-    runs = repeated_windows(rows, span).groupBy("doc_id", "_hash")
-    # a document has at most one run for each of its words
-    runs = runs.agg(F.collect_list(F.struct("first", "n")).alias("runs")).withColumnsRenamed({"doc_id": "_doc", "_hash": "_h"})
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_h"))
-    joined = rows.join(runs, same, "left").select("doc_id", "text", F.col("runs.first").alias("first"), F.col("runs.n").alias("n"))
+    # equal rows have equal runs: as a set a document has at most one for each of its words
+    runs = repeated_windows(rows, span).groupBy("doc_id", "_hash").agg(F.collect_set(F.struct("first", "n", "bits")).alias("runs"))
+    runs = materialise(runs, "runs").withColumnsRenamed({"doc_id": "_doc", "_hash": "_h"})
+    held = rows.sparkSession.sparkContext.broadcast(_bitmap(runs, "_h"))
     kind = rows.schema["doc_id"].dataType.simpleString()
+    out = f"doc_id {kind}, text string, n_words bigint, n_removed bigint, kept_sha256 string"
+
+    def may_have_runs(batch: pa.RecordBatch) -> np.ndarray:
+        return _is_set(np.frombuffer(held.value, np.uint64), batch.column("_hash").to_numpy().view(np.uint64))
+
+    def some(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.take(pa.array(np.flatnonzero(may_have_runs(batch))))
+
+    def finished(piece: pa.RecordBatch, runs_of: Iterable) -> pa.RecordBatch:
+        texts, total, gone, digests = [], [], [], []
+        for text, runs in zip(as_bytes(piece.column("text")), runs_of, strict=True):
+            words = text.split()
+            total.append(len(words))
+            if runs is not None and runs.is_valid:
+                first, n, bits = (runs.values.field(c).to_numpy().astype(np.int64) for c in ("first", "n", "bits"))
+                covered = _covered(len(words), first, n, bits, span)
+                words = [w for w, c in zip(words, covered.tolist(), strict=True) if not c]
+            kept = b" ".join(words)
+            gone.append(total[-1] - len(words))
+            texts.append(kept.decode("utf-8", "replace"))
+            digests.append(hashlib.sha256(kept).hexdigest())
+        columns = [piece.column("doc_id"), pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests, pa.string())]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_words", "n_removed", "kept_sha256"])
+
+    def without(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            rest = piece.take(pa.array(np.flatnonzero(~may_have_runs(piece))))
+            if rest.num_rows:
+                yield finished(rest, [None] * rest.num_rows)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def taken_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            texts, total, gone, digests = [], [], [], []
-            for text, first, n in zip(as_bytes(piece.column("text")), piece.column("first"), piece.column("n"), strict=True):
-                words = text.split()
-                total.append(len(words))
-                if first.is_valid:
-                    edge = np.zeros(len(words) + 1, np.int64)
-                    start = first.values.to_numpy()
-                    np.add.at(edge, start, 1)
-                    np.add.at(edge, start + n.values.to_numpy() + span - 1, -1)
-                    covered = np.cumsum(edge[:-1]) > 0
-                    words = [w for w, c in zip(words, covered.tolist(), strict=True) if not c]
-                kept = b" ".join(words)
-                gone.append(total[-1] - len(words))
-                texts.append(kept.decode("utf-8", "replace"))
-                digests.append(hashlib.sha256(kept).hexdigest())
-            columns = [piece.column("doc_id"), pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_words", "n_removed", "kept_sha256"])
-
-    return joined.mapInArrow(run, f"doc_id {kind}, text string, n_words bigint, n_removed bigint, kept_sha256 string")
+            yield finished(piece, piece.column("runs"))
+
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_h"))
+    texts = rows.mapInArrow(some, f"doc_id {kind}, text string, _hash bigint")
+    joined = texts.join(runs, same, "left").select("doc_id", "text", "runs").mapInArrow(taken_out, out)
+    return rows.mapInArrow(without, out).unionByName(joined)

@@ -73,3 +73,14 @@ def test_empty_table(docs_of):
     assert debruijn.remove_repeats(docs_of([])).collect() == []
     with pytest.raises(ValueError):
         debruijn.remove_repeats(docs_of([]), 5)
+
+
+def test_many_equal_rows_have_one_set_of_runs(docs_of):
+    """Rows of one id and text: as many as there are, each loses its repeats, and their runs are not multiplied."""
+    text = " ".join(f"w{i}" for i in range(80))
+    docs = docs_of([(1, text)] * 400 + [(2, "other " * 3)])
+    rows = debruijn.remove_repeats(docs).collect()
+    assert len(rows) == 401 and all(r.n_removed == (80 if r.doc_id == 1 else 0) for r in rows)
+    spans = debruijn.repeated_windows(docs.select("doc_id", "text", F.xxhash64("text").alias("_hash")))
+    kept = spans.groupBy("doc_id", "_hash").agg(F.collect_set(F.struct("first", "n", "bits")).alias("runs")).collect()
+    assert len(kept) == 1 and len(kept[0].runs) <= 80
