@@ -24,6 +24,7 @@ from registrylake.sources.dbase import bad_files, read_dbase
 from registrylake.sources.delimited import read_delimited
 from registrylake.sources.landing import PATTERNS, newest_snapshot, verify_sources
 from registrylake.sources.text_lines import read_numbered_lines
+from registrylake.streaming.corrections_stream import merge_landed
 from registrylake.tables import hearings as hearings_table
 from registrylake.tables import injection as injection_table
 from registrylake.tables import inspections as inspections_table
@@ -142,6 +143,13 @@ def production(
     return _publish(production_table.production_monthly(leaves, run_ts), lake, "fact_production_monthly", run_ts, gate)
 
 
+def corrections(spark: SparkSession, landing: str, lake: str, run_ts: str, pattern: str = "*.ebc") -> DataFrame:
+    """Merge the corrected tapes in ``landing`` that no earlier run has merged into fact_production_monthly; its check log."""
+    slug = "fact_production_monthly"
+    merge_landed(spark, landing, pattern, f"{lake}/{slug}", f"{lake}/_checkpoints/corrections", run_ts)
+    return runner.run_checks(spark, slug, open_table(spark, f"{lake}/{slug}"), run_ts)
+
+
 def wells(
     spark: SparkSession, landing: str, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
 ) -> dict[str, DataFrame]:

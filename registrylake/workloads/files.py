@@ -26,6 +26,7 @@ from registrylake.sources.fixed_records import SPLIT_BYTES, list_files
 from registrylake.sources.landing import SIDECAR, newest_snapshot, verify_sources
 from registrylake.sources.paths import locate
 from registrylake.sources.text_lines import read_lines, read_numbered_lines
+from registrylake.streaming.corrections_stream import merge_batch
 from registrylake.streaming.landing_stream import run_available, stream_lines
 from registrylake.tables import hearings as hearings_table
 from registrylake.tables import injection, inspections, operator_registry, permits, production, wells
@@ -729,3 +730,31 @@ def publish_counts_source(spark, sf_dir):
         observed, log_of = runner.written_checks(rows, TableRules(), RUN_TS, n)
         logs.append(publish(rows, scratch_path(spark, "counted"), log_of, observed=observed))
     return reduce(DataFrame.unionAll, logs).select("check_name", "check_status", "check_value", "notes")
+
+
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS lease_number, strftime(o_orderdate, '%Y') AS prod_year,
+      CAST(ROUND(o_totalprice * 100) AS BIGINT) + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS oil_production_bbl,
+      CASE WHEN o_orderstatus = 'F' THEN 'Y' ELSE 'N' END AS corrected_report_flag, TRUE AS first_time, FALSE AS again FROM orders"""
+)
+def corrections_merged(spark, sf_dir):
+    """Corrected reports merged into a table by year: later postings win, earlier ones do not, a batch that comes again does nothing."""
+    o = table(spark, sf_dir, "orders")
+    reports = o.select(
+        F.lit("01").alias("district"), F.col("o_orderkey").cast("string").alias("lease_number"), F.date_format("o_orderdate", "yyMM").alias("rpt_cycle_key"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("oil_production_bbl"), F.lit("N").alias("corrected_report_flag"),
+        *[F.date_format("o_orderdate", f).alias(f"posting_{c}") for c, f in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))],
+        F.date_format("o_orderdate", "yyyy").alias("prod_year"), "o_orderstatus",
+    )
+    target = scratch_path(spark, "corrected")
+    publish(reports.drop("o_orderstatus"), target, partition_by=["prod_year"])
+
+    def later(status, year, more):
+        changed = {"posting_year": F.lit(year), "corrected_report_flag": F.lit("Y"), "oil_production_bbl": F.col("oil_production_bbl") + more}
+        return reports.where(F.col("o_orderstatus") == status).withColumns(changed).drop("o_orderstatus")
+
+    first = merge_batch(later("F", "2005", 1), 0, target, "query")
+    merge_batch(later("O", "1990", 5), 1, target, "query")
+    again = merge_batch(later("O", "2005", 7), 1, target, "query")
+    kept = open_table(spark, target).select("lease_number", "prod_year", "oil_production_bbl", "corrected_report_flag")
+    return kept.withColumns({"first_time": F.lit(first), "again": F.lit(again)})

@@ -210,6 +210,63 @@ def test_publish_gate_and_swap(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(part" in parts.where("part = '1'")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_reader_always_finds_a_table(spark, tmp_path):
+    """At every step of a publish, a failing one included, the table is the old one or the new one."""
+    target = str(tmp_path / "table")
+    P.publish(spark.range(3), target)
+    seen = []
+
+    def check(staged):
+        seen.append(P.open_table(spark, target).count())
+        raise ValueError("a check that breaks")
+
+    with pytest.raises(ValueError):
+        P.publish(spark.range(5), target, check)
+    opened = P.open_table(spark, target)
+    assert seen == [3] and opened.count() == 3
+    P.publish(spark.range(7), target)
+    assert opened.count() == 3 and P.open_table(spark, target).count() == 7  # a reader inside the old version can end
+    for n in (8, 9):
+        P.publish(spark.range(n), target)
+    assert P.open_table(spark, target).count() == 9
+    assert len([p for p in (tmp_path / "table").iterdir() if p.name.startswith(P.MARKER)]) == P.KEPT
+
+
+def test_partitions_are_carried(spark, tmp_path):
+    target = str(tmp_path / "table")
+    rows = lambda text: spark.createDataFrame(text, "year string, v int")
+    P.publish(rows([("01", 1), ("02", 2), (None, 9)]), target, partition_by=["year"], properties={"a": 1})
+    for v in range(3, 8):
+        P.publish(rows([("02", v)]), target, partition_by=["year"], carry=True, properties={"b": v})
+    assert sorted(map(tuple, P.open_table(spark, target).collect()), key=repr) == sorted([("01", 1), ("02", 7), (None, 9)], key=repr)
+    assert P.table_properties(spark, target) == {"a": 1, "b": 7}
+    P.publish(rows([("02", 1)]).where("v > 5"), target, partition_by=["year"])
+    assert P.open_table(spark, target).collect() == []
+
+
+def test_observed_checks_equal_evaluated_ones(spark, tmp_path):
+    rows = spark.createDataFrame([("a", None, "20250101"), ("b", "x", "99999999"), (None, "y", "20240101")], "k string, v string, d string")
+    rules = config.TableRules(required=("k", "v"), date_cols=("d",), id_cols=("k",), expected_columns=("k", "z"), count_range=(1, 2, "rows"), pk=("k",))
+    observed, log_of = runner.written_checks(rows, rules, RUN, lambda: 5)
+    assert {c.name for c in observed} >= {"required_nonnull", "date_range_sane", "row_count", "count_sanity"}
+    log = P.publish(rows, str(tmp_path / "t"), log_of, gate=False, observed=observed)
+    plain = runner.run_checks(spark, "x", rows, RUN, rules=rules, expected_rows=lambda: 5)
+    assert sorted(map(tuple, log.collect())) == sorted(map(tuple, plain.collect()))
+    assert {r.check_name: (r.check_status, r.notes) for r in log.collect()}["row_count"] == ("warn", "delta: -2")
+
+
+def test_logs_that_do_not_read(spark, tmp_path):
+    for name, data in (("junk", b"no parquet"), ("torn", b"PAR1 PAR1")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part-0.parquet").write_bytes(data)
+    P.append_log(runner.run_checks(spark, "x", spark.range(2), RUN), str(tmp_path / "good"))
+    openers = {n: (lambda n=n: spark.read.schema(runner.LOG_SCHEMA).parquet(str(tmp_path / n))) for n in ("junk", "good", "torn", "absent")}
+    log = summary.collect_logs(spark, openers, RUN).collect()
+    assert sorted((r.table_slug, r.check_name, r.check_level) for r in log) == [
+        ("absent", "_read_error", 0), ("good", "row_count", 1), ("junk", "_read_error", 0), ("torn", "_read_error", 0),
+    ]
+
+
 def test_companions_and_log(spark, tmp_path):
     path = str(tmp_path / "history")
     schema = T.StructType([T.StructField("api10", T.StringType()), T.StructField("is_current", T.BooleanType())])

@@ -153,3 +153,27 @@ def test_well_months(spark, places):
     }
     coverage = logs["coverage"].first()
     assert (coverage.n_leases, coverage.n_bridged, coverage.volume, coverage.volume_bridged) == (2, 1, 23, 22)
+
+
+def test_corrections(spark, places):
+    landing, lake = places
+    (landing / "new").mkdir()
+    records = [root("08", "000001"), cycle("2304"), made(10, 1), cycle("2405"), made(7, 3), root("09", "000002"), cycle("2304"), made(1, 1)]
+    (landing / "PDF100.ebc").write_bytes(b"".join(records))
+    refresh.production(spark, str(landing), lake, RUN)
+    slug = f"{lake}/fact_production_monthly"
+    year = lambda y: sorted(f for f in open_table(spark, slug).inputFiles() if f"prod_year={y}" in f)
+    months = lambda: {(r.lease_number, r.prod_year, r.prod_month): r.oil_production_bbl for r in open_table(spark, slug).collect()}
+    assert months() == {("000001", "2023", "04"): 10, ("000001", "2024", "05"): 7, ("000002", "2023", "04"): 1}
+    untouched = year("2024")
+    (landing / "new" / "corr1.ebc").write_bytes(b"".join([root("08", "000001"), cycle("2304"), made(11, 1, "Y")]))
+    refresh.corrections(spark, str(landing / "new"), lake, RUN)
+    assert months() == {("000001", "2023", "04"): 11, ("000001", "2024", "05"): 7, ("000002", "2023", "04"): 1}
+    files = open_table(spark, slug).inputFiles()
+    refresh.corrections(spark, str(landing / "new"), lake, RUN)  # nothing new has landed
+    assert sorted(open_table(spark, slug).inputFiles()) == sorted(files)
+    for i, oil in ((2, 12), (3, 13)):
+        (landing / "new" / f"corr{i}.ebc").write_bytes(b"".join([root("09", "000002"), cycle("2304"), made(oil, 1, "Y")]))
+    refresh.corrections(spark, str(landing / "new"), lake, RUN)
+    assert months()["000002", "2023", "04"] == 13 and months()["000001", "2023", "04"] == 11
+    assert year("2024") == untouched
