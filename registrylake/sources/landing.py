@@ -25,8 +25,15 @@ PATTERNS = {
 
 
 def list_landed(spark: SparkSession, folder: str) -> DataFrame:
-    """path, file_name, length of the files in the folder; contents are not read."""
-    files = spark.read.format("binaryFile").load(folder).select("path", "length")
+    """path, file_name, length of the files in the folder and in ``key=value`` folders of it; contents are not read.
+
+    Other folders, those of published tables among them, are not looked into.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    root = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    inside = F.expr(f"substring(path, {len(root) + 2})")
+    files = files.where(inside.rlike("^([^/=]+=[^/]*/)*[^/]+$") & ~inside.startswith("version="))
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
 
 
