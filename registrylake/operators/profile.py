@@ -32,21 +32,19 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
 def column_volatility(df: DataFrame, key: str, columns: Sequence[str], limit: float = 0.01) -> DataFrame:
     """Which columns describe the entity and which its events?
 
-    A column varies in a key when it has two different non-null values there, that is when its minimum
-    and maximum differ: one pass, combined before the shuffle. Shares are over keys with several rows.
+    A column varies in a key when it has two different non-null values there, that is when the least and the largest of their
+    hashes differ, in one of two independent hashes of 64 bits. Hashes have a fixed width, so Spark combines them in hash aggregates
+    before the shuffle, whatever the columns hold. Shares are over keys with several rows.
     """
-    per_key = (
-        df.groupBy(key)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[x for c in columns for x in (F.min(c).alias(f"_min_{c}"), F.max(c).alias(f"_max_{c}"))],
-        )
-        .where("_n > 1")
-    )
-    totals = per_key.agg(
-        F.count(F.lit(1)).alias("_keys"),
-        *[F.count_if(F.col(f"_min_{c}") != F.col(f"_max_{c}")).alias(c) for c in columns],
-    )
+
+    def hashes(c: str) -> list[Column]:
+        known = F.col(c).isNotNull()
+        return [F.when(known, F.xxhash64(c)), F.when(known, F.xxhash64(F.lit("other"), c))]
+
+    extremes = [x for c in columns for i, h in enumerate(hashes(c)) for x in (F.min(h).alias(f"_min{i}_{c}"), F.max(h).alias(f"_max{i}_{c}"))]
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *extremes).where("_n > 1")
+    varies = [(F.col(f"_min0_{c}") != F.col(f"_max0_{c}")) | (F.col(f"_min1_{c}") != F.col(f"_max1_{c}")) for c in columns]
+    totals = per_key.agg(F.count(F.lit(1)).alias("_keys"), *[F.count_if(v).alias(c) for c, v in zip(columns, varies, strict=True)])
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("varying_keys")) for c in columns])
     share = F.col("varying_keys") / F.when(F.col("multi_row_keys") > 0, F.col("multi_row_keys"))
     return (

@@ -33,7 +33,8 @@ def reconcile(
     Of several source rows of a key the first in ``order`` counts; without one, the smallest in (oil, gas).
     """
     measures = F.struct(F.col(oil).alias("oil"), F.col(gas).alias("gas"))
-    theirs = source.groupBy(*keys).agg(F.min_by(measures, F.struct(*(order or (oil, gas)))).alias("_s"))
+    asked = ours.select(*keys).distinct()  # a sample asks for few keys: the others are not sorted and combined for nothing
+    theirs = source.join(asked, list(keys), "left_semi").groupBy(*keys).agg(F.min_by(measures, F.struct(*(order or (oil, gas)))).alias("_s"))
     theirs = theirs.select(
         *keys, F.col("_s.oil").alias("source_oil"), F.col("_s.gas").alias("source_gas"), F.lit(True).alias("_found")
     )

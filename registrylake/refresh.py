@@ -20,7 +20,7 @@ from registrylake.quality import runner, summary
 from registrylake.quality.config import rules_for
 from registrylake.session import materialise
 from registrylake.sinks.publish import append_log, create_if_absent, open_table, publish, table_exists
-from registrylake.sources.dbase import bad_files, read_dbase
+from registrylake.sources.dbase import bad_files, read_dbase, scan_headers
 from registrylake.sources.delimited import read_delimited
 from registrylake.sources.landing import PATTERNS, newest_snapshot, verify_sources
 from registrylake.sources.text_lines import read_numbered_lines
@@ -157,7 +157,8 @@ def wells(
 
     The county files are read once: master and completions come from the published raw table.
     """
-    records = read_dbase(spark, landing)
+    scanned = scan_headers(landing)
+    records = read_dbase(spark, landing, scanned=scanned)
     if subset:
         records = first_n_rows(records, wells_table.SOURCE_ORDER, subset)
     logs = {}
@@ -168,7 +169,7 @@ def wells(
     for slug, make in (("well_master", wells_table.well_master), ("fact_well_completions", wells_table.well_completions)):
         logs[slug] = _publish(make(raw), lake, slug, run_ts, gate)
     master, completions = (open_table(spark, f"{lake}/{s}") for s in ("well_master", "fact_well_completions"))
-    logs["bad_files"] = bad_files(spark, landing)
+    logs["bad_files"] = bad_files(spark, landing, scanned=scanned)
     skipped = runner.check_log(Q.evaluate([Q.files_read(logs["bad_files"])]), run_ts)
     append_log(skipped, f"{lake}/qa_fact_well_records_raw")
     logs["skipped"] = skipped

@@ -77,17 +77,20 @@ def scan_headers(folder: str, pattern: str = "api*.dbf") -> tuple[list[tuple[str
     return good, bad
 
 
-def bad_files(spark: SparkSession, folder: str, pattern: str = "api*.dbf") -> DataFrame:
-    return spark.createDataFrame(scan_headers(folder, pattern)[1], "path string, reason string")
+def bad_files(spark: SparkSession, folder: str, pattern: str = "api*.dbf", scanned: tuple | None = None) -> DataFrame:
+    return spark.createDataFrame((scanned or scan_headers(folder, pattern))[1], "path string, reason string")
 
 
-def read_dbase(spark: SparkSession, folder: str, pattern: str = "api*.dbf", split_bytes: int = 64 << 20) -> DataFrame:
+def read_dbase(
+    spark: SparkSession, folder: str, pattern: str = "api*.dbf", split_bytes: int = 64 << 20, scanned: tuple | None = None
+) -> DataFrame:
     """All live records: one string column per field (lower-case name), ``source_file``, ``ordinal``.
 
     Files of equal layout are read together; layouts are united by column name. Deleted rows are left
-    out, text is Latin-1 and stripped, empty is null. Columns of files without rows stay, all null.
+    out, text is Latin-1 and stripped, empty is null. Columns of files without rows stay, all null. ``scanned`` is what
+    ``scan_headers`` gave, where it has been asked already.
     """
-    good, _ = scan_headers(folder, pattern)
+    good, _ = scanned or scan_headers(folder, pattern)
     if not good:
         raise FileNotFoundError(f"no readable {pattern} in {folder}")
     by_layout: dict[tuple[Field, ...], list[RecordFile]] = {}

@@ -535,8 +535,8 @@ _BEFORE = "checked_at < '2024-01-10'"
 
 
 def _log(spark, sf_dir):
-    table(spark, sf_dir, "events").createOrReplaceTempView("events")
-    return spark.sql(_LOG.format(ts="date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\")"))
+    log = _LOG.format(ts="date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\")").replace("FROM events", "FROM {events}")
+    return spark.sql(log, events=table(spark, sf_dir, "events"))
 
 
 @query(_LATEST_SQL.format(log=_LOG_SQL, where=""))

@@ -31,8 +31,7 @@ def reconcile_measures(spark, sf_dir):
 
 
 def _reconciled(spark, sf_dir):
-    table(spark, sf_dir, "orders").createOrReplaceTempView("orders")
-    ours = spark.sql(_OURS)
+    ours = spark.sql(_OURS.replace("FROM orders", "FROM {orders}"), orders=table(spark, sf_dir, "orders"))
     source = ours.where(_KEPT).selectExpr("o_orderkey", f"{_OIL2} AS oil", f"{_GAS2} AS gas")
     return reconcile.reconcile(ours, source, ["o_orderkey"], "oil", "gas")
 
@@ -347,8 +346,8 @@ _POSTED = """SELECT l_suppkey AS lease_number, {fmt} AS posted, l_returnflag AS
 )
 def corrections_upsert(spark, sf_dir):
     """Posted rows arrive in two lots; the latest posting of a lease wins."""
-    table(spark, sf_dir, "lineitem").createOrReplaceTempView("lineitem")
-    rows = spark.sql(_POSTED.format(fmt="date_format(l_shipdate, 'yyyyMMdd')"))
+    posted = _POSTED.format(fmt="date_format(l_shipdate, 'yyyyMMdd')").replace("FROM lineitem", "FROM {lineitem}")
+    rows = spark.sql(posted, lineitem=table(spark, sf_dir, "lineitem"))
     return apply_corrections(
         rows.where("flag <> 'R'"), rows.where("flag = 'R'"), keys=["lease_number"], order=["posted", "flag"]
     )
