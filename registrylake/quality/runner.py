@@ -53,14 +53,23 @@ def checks_for(
         out.append(Q.identifier_columns_str(df, rules.id_cols))
     if rules.expected_columns:
         out.append(Q.schema_match(df, rules.expected_columns))
+    if rules.dtypes:
+        out.append(Q.dtype_match(df, dict(rules.dtypes)))
     if rules.key_column:
         out.append(Q.key_column_named(df, rules.key_column))
     out.append(Q.row_count(df, expected_rows, tolerance=0.0))
     for column, parent, key in rules.fk:
         if parents and parent in parents:
             out.append(Q.fk_match_rate(df, column, parents[parent], key))
+            if rules.orphans:
+                out.append(Q.orphan_count(df, column, parents[parent], key))
     for column, bound in rules.cardinality:
         out.append(Q.cardinality_bounds(df, column, bound))
+    for key, field, current, truth in rules.cross_refs:
+        if parents and current in parents:
+            out.append(Q.cross_ref_consistency(df, parents[current], key, field, truth))
+    for name, identifier in rules.names:
+        out.append(Q.name_to_id_cardinality(df, name, identifier))
     if rules.count_range:
         out.append(Q.count_sanity(df, *rules.count_range))
     return out

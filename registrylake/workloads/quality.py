@@ -585,3 +585,46 @@ def qa_junk_logs(spark, sf_dir):
     openers = {s: (lambda s=s: spark.read.schema(runner.LOG_SCHEMA).parquet(f"{folder}/{s}")) for s in ("events", "junk", "torn")}
     log = summary.collect_logs(spark, openers, RUN_TS)
     return log.groupBy("table_slug", "check_name").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("check_level") == 0, F.col("notes"))).alias("value"))
+
+
+def _well(column):
+    return F.concat(F.lit("42"), F.lpad(F.col(column).cast("string"), 8, "0"))
+
+
+_PASSING = (
+    ("well_master", "pk_unique required_nonnull identifier_columns_str schema_match dtype_match api_column_named_api10 row_count"),
+    ("fact_well_completions", "pk_unique required_nonnull identifier_columns_str schema_match dtype_match api_column_named_api10 row_count fk_match_rate"),
+    ("dim_operator_registry", "pk_unique required_nonnull identifier_columns_str schema_match row_count name_to_id_cardinality"),
+    ("dim_operator_history", "required_nonnull boolean_not_uniform identifier_columns_str row_count cross_ref_consistency"),
+)
+_ORPHANS = "(SELECT COUNT(*) FILTER (c_custkey IS NULL OR c_acctbal < 0) / COUNT(*) AS r FROM orders LEFT JOIN customer ON o_custkey = c_custkey)"
+
+
+@query(
+    " UNION ALL ".join(f"SELECT '{slug}' AS table_slug, '{name}' AS check_name, 'pass' AS check_status" for slug, names in _PASSING for name in names.split())
+    + f"""
+    UNION ALL SELECT 'well_master', 'count_sanity', CASE WHEN COUNT(*) FILTER (c_acctbal >= 0) BETWEEN 1000000 AND 1500000 THEN 'pass' ELSE 'fail' END FROM customer
+    UNION ALL SELECT 'dim_operator_registry', 'count_sanity', CASE WHEN COUNT(*) BETWEEN 30000 AND 80000 THEN 'pass' ELSE 'fail' END FROM supplier
+    UNION ALL SELECT 'fact_well_completions', 'cardinality_bounds', CASE WHEN MAX(n) <= 1000 THEN 'pass' ELSE 'warn' END
+      FROM (SELECT COUNT(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal >= 0 GROUP BY o_custkey)
+    UNION ALL SELECT 'fact_well_completions', 'orphan_count', 'pass'
+    UNION ALL SELECT 'dim_operator_history', 'fk_match_rate', CASE WHEN 1 - r >= 0.99 THEN 'pass' WHEN 1 - r >= 0.95 THEN 'warn' ELSE 'fail' END FROM {_ORPHANS}
+    UNION ALL SELECT 'dim_operator_history', 'orphan_count', CASE WHEN r > 0.20 THEN 'fail' WHEN r > 0.05 THEN 'warn' ELSE 'pass' END FROM {_ORPHANS}"""
+)
+def qa_published_rules(spark, sf_dir):
+    """The rules of the published tables themselves; operator history has wells that the master lacks."""
+    wells = table(spark, sf_dir, "customer").where("c_acctbal >= 0")
+    orders = table(spark, sf_dir, "orders")
+    tables = {
+        "well_master": wells.select(_well("c_custkey").alias("api10"), F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("apinum")),
+        "fact_well_completions": orders.join(wells, F.col("o_custkey") == F.col("c_custkey")).select(
+            _well("o_custkey").alias("api10"), F.col("o_orderkey").cast("string").alias("gas_rrcid")
+        ),
+        "dim_operator_registry": table(spark, sf_dir, "supplier").select(
+            F.lpad(F.col("s_suppkey").cast("string"), 6, "0").alias("operator_number"), F.col("s_name").alias("operator_name")
+        ),
+        "dim_operator_history": orders.select(
+            _well("o_custkey").alias("api10"), F.col("o_orderpriority").alias("operator_name"), (F.col("o_orderstatus") == "F").alias("is_current")
+        ),
+    }
+    return runner.run_all(spark, tables, RUN_TS).select("table_slug", "check_name", "check_status")

@@ -184,6 +184,7 @@ def test_runner_and_registry(spark):
     assert got == {
         ("well_master", "pk_unique"): "pass", ("well_master", "required_nonnull"): "pass", ("well_master", "identifier_columns_str"): "pass",
         ("well_master", "row_count"): "pass", ("well_master", "count_sanity"): "fail", ("dim_drilling_permits", "required_nonnull"): "pass",
+        ("well_master", "schema_match"): "pass", ("well_master", "dtype_match"): "pass", ("well_master", "api_column_named_api10"): "pass",
         ("dim_drilling_permits", "identifier_columns_str"): "pass", ("dim_drilling_permits", "row_count"): "pass",
         ("dim_drilling_permits", "fk_match_rate"): "fail", ("lost", "table_exists"): "error",
     }
