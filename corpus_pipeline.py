@@ -1,4 +1,11 @@
-"""From raw documents to compressed token ids: the training-data operators in order, each on all that the one before it kept."""
+"""From raw documents to compressed token ids: the training-data operators in order, each on all that the one before it kept.
+
+Defined results: a null text counts as an empty one in every stage; an empty text is scored like any other and stays if its score does.
+Rows are documents: rows that share their id are judged by their own texts, and of equal rows one stays. Rows without an id, and rows
+without words, are never near duplicates. A null source is a source of its own. A document that the mix takes n times is n
+rows from there on, with n ranges of token ids. Columns beyond those of documents are carried through all stages but the last. An
+empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
