@@ -1,11 +1,12 @@
 """Repeated passages by a compacted de Bruijn graph of word windows.
 
-Every window of ``SPAN`` words is an edge of the graph. Each window has an anchor, the k-mer of ``ANCHOR`` words in it with the
+Every window of ``SPAN`` words is an edge of the graph. Each window has an anchor, the k-mer of half its words in it with the
 smallest hash (the first of equals); consecutive windows with the same anchor are a path. Equal windows have equal anchors, so
 
 * an anchor that occurs once has only windows that occur once;
 * if all paths of an anchor have the same words, the path does not branch: it is kept whole, and all its windows repeat;
-* only where paths of an anchor differ are they opened into windows, and these are counted and joined on (anchor, window).
+* where paths of an anchor differ, those that occur twice with the same words are kept whole too, and one of each is opened into
+  windows: these are counted by (anchor, window), and of the paths that occur once the windows found elsewhere repeat.
 
 A first pass counts anchors; two bitmaps of fixed size let the second pass send on only paths whose anchor may repeat. Joins
 on the anchor decide exactly. A path has a number; the windows of opened paths travel as (anchor, window, number and offset), and what
@@ -35,7 +36,7 @@ from registrylake.llm.text import HashedWords, as_bytes, hash_words, mix, pieces
 from registrylake.session import materialise
 
 SPAN = 35
-ANCHOR = 11
+LEAST_SPAN = 11
 PLACE_BITS = 28  # of a packed hash: the place in a piece
 BITMAP_BITS = 25  # 4 MB each, whatever the input; fuller bitmaps only send more rows to the joins
 HELD_ROWS = 1_000_000
@@ -44,6 +45,10 @@ WORD_BITS = 60  # windows of an opened path that one number tells of
 _WORDS = HashedWords()
 
 
+def anchor_words(span: int) -> int:
+    return max(1, span // 2)
+
+
 def _powers_of(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     up, down = powers(len(flat) + 1)
     total = np.zeros(len(flat) + 1, np.uint64)
@@ -57,13 +62,14 @@ def paths(flat: np.ndarray, ends: np.ndarray, span: int = SPAN) -> tuple[np.ndar
     none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     if n < span:
         return none
+    size = anchor_words(span)
     total, down = _powers_of(flat)
-    at = np.arange(n - ANCHOR + 1)
-    kmer = mix((total[at + ANCHOR] - total[at]) * down[at])
+    at = np.arange(n - size + 1)
+    kmer = mix((total[at + size] - total[at]) * down[at])
     packed = (kmer >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)) | at.astype(np.uint64)
-    # smallest of the span - ANCHOR + 1 k-mers of each window, by doubling
+    # smallest of the k-mers of each window, by doubling
     reach, width = packed, 1
-    want = span - ANCHOR + 1
+    want = span - size + 1
     while 2 * width <= want:
         reach = np.minimum(reach[:-width], reach[width:])
         width *= 2
@@ -129,7 +135,7 @@ def _is_set(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _occurrences(rows: DataFrame, span: int, repeated: bytes, branching: bytes) -> DataFrame:
-    """(doc_id, _hash, first, n, anchor, edges): paths whose anchor's bit is set; edges are window hashes where it may branch."""
+    """(doc_id, _hash, first, n, anchor, content, edges): paths whose anchor's bit is set; edges are window hashes where it may branch."""
     bits = rows.sparkSession.sparkContext.broadcast((repeated, branching))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
@@ -137,9 +143,9 @@ def _occurrences(rows: DataFrame, span: int, repeated: bytes, branching: bytes)
         some, open_ = (np.frombuffer(b, np.uint64) for b in bits.value)
         for piece in pieces(batches):
             flat, ends = hash_words(as_bytes(piece.column("text")), _WORDS)
-            text, first, count, anchor, _ = paths(flat, ends, span)
+            text, first, count, anchor, content = paths(flat, ends, span)
             keep = _is_set(some, anchor)
-            text, first, count, anchor = text[keep], first[keep], count[keep], anchor[keep]
+            text, first, count, anchor, content = text[keep], first[keep], count[keep], anchor[keep], content[keep]
             if not len(text):
                 continue
             opened = np.where(_is_set(open_, anchor), count, 0)
@@ -150,11 +156,11 @@ def _occurrences(rows: DataFrame, span: int, repeated: bytes, branching: bytes)
             rows_at = pa.array(text)
             columns = [
                 piece.column("doc_id").take(rows_at), piece.column("_hash").take(rows_at), pa.array((first - ends[text]).astype(np.int32)),
-                pa.array(count.astype(np.int32)), pa.array(signed(anchor)), lists,
+                pa.array(count.astype(np.int32)), pa.array(signed(anchor)), pa.array(signed(content)), lists,
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "_hash", "first", "n", "anchor", "edges"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "_hash", "first", "n", "anchor", "content", "edges"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, _hash bigint, first int, n int, anchor bigint, edges array<bigint>")
+    return rows.mapInArrow(run, f"doc_id {kind}, _hash bigint, first int, n int, anchor bigint, content bigint, edges array<bigint>")
 
 
 def repeated_windows(rows: DataFrame, span: int = SPAN) -> DataFrame:
@@ -167,20 +173,28 @@ def repeated_windows(rows: DataFrame, span: int = SPAN) -> DataFrame:
     anchors = materialise(_anchor_counts(rows, span), "anchors")
     found = _occurrences(rows, span, _bitmap(anchors, "anchor"), _bitmap(anchors.where("NOT same"), "anchor"))
     found = materialise(found.withColumn("path", F.monotonically_increasing_id()), "paths")
-    whole = found.drop("edges").join(anchors.where("same").select("anchor"), "anchor")
-    offsets = span - ANCHOR + 1  # windows of a path at most
-    edges = found.where("size(edges) > 0").select("anchor", "path", F.posexplode("edges").alias("at", "edge"))
-    edges = edges.select("anchor", "edge", (F.col("path") * offsets + F.col("at")).alias("ref"))
-    several = edges.groupBy("anchor", "edge").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor", "edge")
+    columns = ["doc_id", "_hash", "first", "n"]
+    whole = found.join(anchors.where("same").select("anchor"), "anchor").select(*columns)
+    open_ = found.where("size(edges) > 0")
+    contents = open_.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("times"), F.min("path").alias("path"))
+    contents = materialise(contents, "contents")
+    copies = open_.join(contents.where("times > 1").select("anchor", "content"), ["anchor", "content"]).select(*columns)
+    # one path of each content: its windows, and how often they occur with it
+    offsets = span - anchor_words(span) + 1  # windows of a path at most
+    edges = open_.select("anchor", "path", "edges").join(contents.select("path", "times"), "path")
+    edges = edges.select("anchor", "times", "path", F.posexplode("edges").alias("at", "edge"))
+    edges = edges.select("anchor", "edge", "times", (F.col("path") * offsets + F.col("at")).alias("ref"))
+    several = edges.groupBy("anchor", "edge").agg(F.sum("times").alias("times")).where("times > 1").select("anchor", "edge")
     at = F.pmod("ref", F.lit(offsets))
-    single = edges.join(several, ["anchor", "edge"]).select(F.expr(f"ref div {offsets}").alias("path"), at.cast("int").alias("at"))
+    alone = edges.where("times = 1").select("anchor", "edge", "ref").join(several, ["anchor", "edge"])
+    single = alone.select(F.expr(f"ref div {offsets}").alias("path"), at.cast("int").alias("at"))
     single = single.groupBy("path", F.expr(f"cast(at div {WORD_BITS} as int)").alias("part")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, at % {WORD_BITS})")).alias("bits")
     )
-    opened = found.where("size(edges) > 0").select("path", "doc_id", "_hash", "first").join(single, "path")
+    opened = open_.select("path", "doc_id", "_hash", "first").join(single, "path")
     opened = opened.select("doc_id", "_hash", (F.col("first") + F.col("part") * WORD_BITS).alias("first"), F.lit(0).alias("n"), "bits")
     # a path kept whole may have its bit set by chance and be opened too; both say the same of its windows
-    return whole.select("doc_id", "_hash", "first", "n", F.lit(0).cast("bigint").alias("bits")).unionByName(opened)
+    return whole.unionByName(copies).withColumn("bits", F.lit(0).cast("bigint")).unionByName(opened)
 
 
 def _covered(n_words: int, first: np.ndarray, n: np.ndarray, bits: np.ndarray, span: int) -> np.ndarray:
@@ -197,8 +211,8 @@ def _covered(n_words: int, first: np.ndarray, n: np.ndarray, bits: np.ndarray, s
 
 def remove_repeats(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, n_words, n_removed, kept_sha256): the words that no repeated window covers, joined by one space."""
-    if span < ANCHOR:
-        raise ValueError(f"a window has at least {ANCHOR} words")
+    if span < LEAST_SPAN:
+        raise ValueError(f"a window has at least {LEAST_SPAN} words")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("_hash", F.xxhash64("text"))
     # equal rows have equal runs: as a set a document has at most one for each of its words
     runs = repeated_windows(rows, span).groupBy("doc_id", "_hash").agg(F.collect_set(F.struct("first", "n", "bits")).alias("runs"))
