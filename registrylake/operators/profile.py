@@ -29,6 +29,22 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
     return reduce(DataFrame.unionAll, parts)
 
 
+def distinct_sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), bits: int = 14) -> DataFrame:
+    """(by, column_name, sketch): a sketch of the distinct non-null values of each column, for each group.
+
+    Sketches of a few KB are kept beside the rows they describe and merged later, so coverage over many versions, years or
+    tables needs no second look at any row. With 14 bits counts are right to about 1 %.
+    """
+    one = df.groupBy(*by).agg(*[F.hll_sketch_agg(F.col(c).cast("string"), bits).alias(f"_{c}") for c in columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_{c}").alias("sketch")) for c in columns])
+    return one.select(*by, F.inline(pairs))
+
+
+def merged_counts(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, column_name, n_distinct): distinct values over all sketches of a column."""
+    return sketches.groupBy(*by, "column_name").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct"))
+
+
 def column_volatility(df: DataFrame, key: str, columns: Sequence[str], limit: float = 0.01) -> DataFrame:
     """Which columns describe the entity and which its events?
 

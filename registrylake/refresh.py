@@ -9,6 +9,7 @@ to lack many well keys and need ``gate=False``.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from registrylake.operators.keysets import first_n_keys, first_n_rows, key_set_d
 from registrylake.quality import checks as Q
 from registrylake.quality import runner, summary
 from registrylake.quality.config import rules_for
-from registrylake.session import materialise
+from registrylake.session import materialise, scratch_scope
 from registrylake.sinks.publish import append_log, create_if_absent, open_table, publish, table_exists
 from registrylake.sources.dbase import bad_files, read_dbase, scan_headers
 from registrylake.sources.delimited import read_delimited
@@ -37,6 +38,17 @@ from registrylake.tables import wells as wells_table
 LINE_ORDER = ("source_file", "line_number_in_file")
 
 
+def _own_stages(refresh: Callable) -> Callable:
+    """What a refresh writes on the way goes when it has ended: its results are published tables and collected logs."""
+
+    @wraps(refresh)
+    def run(spark: SparkSession, *args, **options):
+        with scratch_scope(spark):
+            return refresh(spark, *args, **options)
+
+    return run
+
+
 class SourceProblem(RuntimeError):
     """No file, a damaged file, or a file without the records that are wanted."""
 
@@ -77,6 +89,7 @@ def _first(lines: DataFrame, subset: int | None) -> DataFrame:
     return first_n_rows(lines, LINE_ORDER, subset) if subset else lines
 
 
+@_own_stages
 def operator_registry(
     spark: SparkSession, landing: str, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
 ) -> DataFrame:
@@ -91,6 +104,7 @@ def operator_registry(
     return log
 
 
+@_own_stages
 def drilling_permits(
     spark: SparkSession, landing: str, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
 ) -> DataFrame:
@@ -99,6 +113,7 @@ def drilling_permits(
     return _publish(permits_table.drilling_permits(source, run_ts), lake, "dim_drilling_permits", run_ts, gate, source_rows=n)
 
 
+@_own_stages
 def injection(
     spark: SparkSession, landing: str, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
 ) -> DataFrame:
@@ -110,6 +125,7 @@ def injection(
     return _publish(injection_table.injection_wells(raw), lake, "dim_injection_uic", run_ts, gate)
 
 
+@_own_stages
 def hearings(
     spark: SparkSession, landing: str, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
 ) -> DataFrame:
@@ -118,6 +134,7 @@ def hearings(
     return _publish(hearings_table.hearings(source, run_ts), lake, "dim_hearings", run_ts, gate, source_rows=n)
 
 
+@_own_stages
 def inspections(
     spark: SparkSession, landing: str, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
 ) -> DataFrame:
@@ -128,6 +145,7 @@ def inspections(
     return _publish(twin, lake, "fact_inspections", run_ts, gate, source_rows=n)
 
 
+@_own_stages
 def production(
     spark: SparkSession, landing: str, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
 ) -> DataFrame:
@@ -143,13 +161,16 @@ def production(
     return _publish(production_table.production_monthly(leaves, run_ts), lake, "fact_production_monthly", run_ts, gate)
 
 
+@_own_stages
 def corrections(spark: SparkSession, landing: str, lake: str, run_ts: str, pattern: str = "*.ebc") -> DataFrame:
     """Merge the corrected tapes in ``landing`` that no earlier run has merged into fact_production_monthly; its check log."""
     slug = "fact_production_monthly"
     merge_landed(spark, landing, pattern, f"{lake}/{slug}", f"{lake}/_checkpoints/corrections", run_ts)
-    return runner.run_checks(spark, slug, open_table(spark, f"{lake}/{slug}"), run_ts)
+    log = runner.run_checks(spark, slug, open_table(spark, f"{lake}/{slug}"), run_ts)
+    return spark.createDataFrame(log.collect(), log.schema)
 
 
+@_own_stages
 def wells(
     spark: SparkSession, landing: str, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
 ) -> dict[str, DataFrame]:
@@ -182,6 +203,7 @@ def _completions(spark: SparkSession, lake: str, subset: int | None) -> DataFram
     return first_n_keys(rows, "api10", wells_table.SOURCE_ORDER, subset) if subset else rows
 
 
+@_own_stages
 def operator_history(
     spark: SparkSession, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
 ) -> DataFrame:
@@ -189,6 +211,7 @@ def operator_history(
     return _publish(rows, lake, "dim_operator_history", run_ts, gate)
 
 
+@_own_stages
 def lease_crosswalk(
     spark: SparkSession, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
 ) -> DataFrame:
@@ -196,6 +219,7 @@ def lease_crosswalk(
     return _publish(rows, lake, "dim_well_lease_crosswalk", run_ts, gate)
 
 
+@_own_stages
 def lease_wells(
     spark: SparkSession, lake: str, run_ts: str, subset: int | None = None, gate: bool = True
 ) -> dict[str, DataFrame]:
@@ -226,6 +250,7 @@ def _opener(spark: SparkSession, path: str) -> Callable[[], DataFrame]:
     return lambda: spark.read.schema(runner.LOG_SCHEMA).parquet(path)
 
 
+@_own_stages
 def quality(
     spark: SparkSession, lake: str, run_ts: str, slugs: Sequence[str], rules: Mapping | None = None
 ) -> tuple[DataFrame, DataFrame]:

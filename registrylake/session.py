@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 LOCAL_SCRATCH = "spark.registrylake.localScratch"
+SCOPE = "spark.registrylake.scope"
 
 
 def local_session(cores: int | str = 8, app: str = "registrylake", **conf: str) -> SparkSession:
@@ -65,13 +68,30 @@ def _own_scratch(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{_own_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+    scope = spark.conf.get(SCOPE, None)
+    return f"{_own_scratch(spark)}/{scope + '/' if scope else ''}{label}-{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Drop this application's intermediate tables; DataFrames that still read them end to work."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _own_scratch(spark))
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are dropped at the end; what they were for must be written or collected by then."""
+    outer, scope = spark.conf.get(SCOPE, None), f"scope-{uuid.uuid4().hex}"
+    spark.conf.set(SCOPE, scope)
+    try:
+        yield
+    finally:
+        spark.conf.set(SCOPE, outer) if outer else spark.conf.unset(SCOPE)
+        _delete(spark, f"{_own_scratch(spark)}/{scope}")
 
 
 def materialise(df: DataFrame, label: str = "stage", **options: str) -> DataFrame:

@@ -351,3 +351,19 @@ def corrections_upsert(spark, sf_dir):
     return apply_corrections(
         rows.where("flag <> 'R'"), rows.where("flag = 'R'"), keys=["lease_number"], order=["posted", "flag"]
     )
+
+
+@query(
+    """SELECT 'o_custkey' AS column_name, TRUE AS is_close, COUNT(DISTINCT strftime(o_orderdate, '%Y')) AS n_sketches FROM orders UNION ALL
+    SELECT 'o_orderkey', TRUE, COUNT(DISTINCT strftime(o_orderdate, '%Y')) FROM orders"""
+)
+def coverage_of_sketches(spark, sf_dir):
+    """Distinct customers and orders from one sketch a year, merged, against exact counts."""
+    o = table(spark, sf_dir, "orders").withColumn("year", F.date_format("o_orderdate", "yyyy"))
+    columns = ["o_custkey", "o_orderkey"]
+    sketches = profile.distinct_sketches(o, columns, ["year"])
+    exact = profile.distinct_counts(o, columns).withColumnRenamed("n_distinct", "n_exact")
+    parts = sketches.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_sketches"))
+    close = F.abs(F.col("n_distinct") - F.col("n_exact")) <= 0.04 * F.col("n_exact")
+    merged = profile.merged_counts(sketches).join(exact, "column_name").join(parts, "column_name")
+    return merged.select("column_name", close.alias("is_close"), "n_sketches")

@@ -314,3 +314,12 @@ def test_allocation_does_not_shuffle_the_long_rows(spark):
     plan = allocate.allocate_to_wells(p, w, ["lease"])._jdf.queryExecution()
     assert "hint" not in plan.logical().toString().lower()
     assert "repartition" not in plan.logical().toString().lower()
+
+
+def test_sketches_merge(spark):
+    df = spark.range(20_000).selectExpr("id % 5 AS part", "id % 7000 AS v", "CAST(NULL AS STRING) AS nothing")
+    sketches = profile.distinct_sketches(df, ["v", "nothing"], ["part"])
+    assert sketches.count() == 10
+    got = {r.column_name: r.n_distinct for r in profile.merged_counts(sketches).collect()}
+    assert abs(got["v"] - 7000) < 200 and got["nothing"] == 0
+    assert profile.merged_counts(sketches, ["part"]).count() == 10

@@ -25,3 +25,18 @@ def test_without_a_folder_only_a_local_session_goes_on(spark, monkeypatch):
 def test_partition_count():
     assert session.shuffle_partitions_for(1) == 200
     assert session.shuffle_partitions_for(100 * 10**12) == 372530
+
+
+def test_stages_of_a_scope_go_with_it(spark):
+    from registrylake.session import materialise, scratch_path, scratch_scope
+
+    outside = materialise(spark.range(3))
+    with scratch_scope(spark):
+        inside = scratch_path(spark, "x")
+        spark.range(5).write.parquet(inside)
+        with scratch_scope(spark):
+            assert materialise(spark.range(2)).count() == 2
+        assert spark.read.parquet(inside).count() == 5
+    assert outside.count() == 3
+    path = spark._jvm.org.apache.hadoop.fs.Path(inside)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
