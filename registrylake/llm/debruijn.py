@@ -174,15 +174,16 @@ def repeated_windows(rows: DataFrame, span: int = SPAN) -> DataFrame:
     found = _occurrences(rows, span, _bitmap(anchors, "anchor"), _bitmap(anchors.where("NOT same"), "anchor"))
     found = materialise(found.withColumn("path", F.monotonically_increasing_id()), "paths")
     columns = ["doc_id", "_hash", "first", "n"]
-    whole = found.join(anchors.where("same").select("anchor"), "anchor").select(*columns)
+    # without its bit an anchor does not branch; with it, what follows decides by the words, also where the bit is set by chance
+    whole = found.where("size(edges) = 0").join(anchors.where("same").select("anchor"), "anchor").select(*columns)
     open_ = found.where("size(edges) > 0")
-    contents = open_.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("times"), F.min("path").alias("path"))
-    contents = materialise(contents, "contents")
-    copies = open_.join(contents.where("times > 1").select("anchor", "content"), ["anchor", "content"]).select(*columns)
+    contents = open_.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("times"), F.min("path").alias("one"))
+    told = open_.join(contents, ["anchor", "content"]).withColumn("edges", F.when(F.col("path") == F.col("one"), F.col("edges")))
+    told = materialise(told.select("path", *columns, "anchor", "times", "edges"), "contents")
+    copies = told.where("times > 1").select(*columns)
     # one path of each content: its windows, and how often they occur with it
     offsets = span - anchor_words(span) + 1  # windows of a path at most
-    edges = open_.select("anchor", "path", "edges").join(contents.select("path", "times"), "path")
-    edges = edges.select("anchor", "times", "path", F.posexplode("edges").alias("at", "edge"))
+    edges = told.select("anchor", "times", "path", F.posexplode("edges").alias("at", "edge"))
     edges = edges.select("anchor", "edge", "times", (F.col("path") * offsets + F.col("at")).alias("ref"))
     several = edges.groupBy("anchor", "edge").agg(F.sum("times").alias("times")).where("times > 1").select("anchor", "edge")
     at = F.pmod("ref", F.lit(offsets))
@@ -191,9 +192,8 @@ def repeated_windows(rows: DataFrame, span: int = SPAN) -> DataFrame:
     single = single.groupBy("path", F.expr(f"cast(at div {WORD_BITS} as int)").alias("part")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, at % {WORD_BITS})")).alias("bits")
     )
-    opened = open_.select("path", "doc_id", "_hash", "first").join(single, "path")
+    opened = told.where("times = 1").select("path", "doc_id", "_hash", "first").join(single, "path")
     opened = opened.select("doc_id", "_hash", (F.col("first") + F.col("part") * WORD_BITS).alias("first"), F.lit(0).alias("n"), "bits")
-    # a path kept whole may have its bit set by chance and be opened too; both say the same of its windows
     return whole.unionByName(copies).withColumn("bits", F.lit(0).cast("bigint")).unionByName(opened)
 
 
