@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from registrylake.workloads.registry import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
