@@ -178,6 +178,7 @@ def repeated_windows(rows: DataFrame, span: int = SPAN) -> DataFrame:
     whole = found.where("size(edges) = 0").join(anchors.where("same").select("anchor"), "anchor").select(*columns)
     open_ = found.where("size(edges) > 0")
     contents = open_.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("times"), F.min("path").alias("one"))
+    contents = materialise(contents, "content-counts")  # beside a written table Spark splits the rows of one content
     told = open_.join(contents, ["anchor", "content"]).withColumn("edges", F.when(F.col("path") == F.col("one"), F.col("edges")))
     told = materialise(told.select("path", *columns, "anchor", "times", "edges"), "contents")
     copies = told.where("times > 1").select(*columns)
