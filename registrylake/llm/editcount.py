@@ -23,6 +23,7 @@ from registrylake.llm.text import pieces, small_batches
 from registrylake.llm.tokens import Encoder, encoder
 
 LEAF_CHARS = 512
+CACHED_PIECES = 150_000  # a task has three Python workers here, and all come to hold a table: about 40 MB each
 EDITS = "array<struct<first:int,last:int,text:string>>"
 TREE = "leaf_chars array<int>, tree array<bigint>"
 # a single space with other than white space on both sides: a pre-token starts there
@@ -112,7 +113,7 @@ def count_trees(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Data
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, CACHED_PIECES)
         for piece in pieces(batches, text_col):
             leaves = [cut_leaves(t or "") for t in piece.column(text_col).to_pylist()]
             counts = encode.counts([x for doc in leaves for x in doc])
@@ -137,7 +138,7 @@ def recount(trees: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
     schema = f"doc_id {kind}, text string, n_before bigint, n_edits bigint, n_tokens bigint, n_leaves bigint, n_redone bigint, {TREE}"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, CACHED_PIECES)
         for piece in pieces(batches):
             texts, found = [], []
             trees_out = []

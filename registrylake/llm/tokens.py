@@ -20,10 +20,11 @@ CACHED_PIECES = 1_200_000  # a memory bound (about 200 MB): a full table starts
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per Python worker and tokenizer file."""
+def encoder(path: str, most: int = CACHED_PIECES) -> Encoder:
+    """One encoder per Python worker and tokenizer file; its table holds about ``most`` pieces from now on."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].most = most
     return _ENCODERS[path]
 
 
@@ -73,7 +74,8 @@ def _byte_signs(text: str) -> str:
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = CACHED_PIECES):
+        self.most = most
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -129,7 +131,7 @@ class Encoder:
 
     def numbers(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the pieces of all texts, and how many each text has."""
-        if len(self.pieces) > CACHED_PIECES:
+        if len(self.pieces) > self.most:
             self._clear()
         look = self.pieces.__getitem__
         parts, counts = [], []

@@ -75,3 +75,15 @@ def test_digits_of_all_scripts_are_masked(spark, docs_of, tokenizer):
     edits = editcount.replacing_edits(rows.select("doc_id", "text"), PERSONAL, "[masked]", needs=r"[\d@]")
     found = editcount.recount(editcount.count_trees(edits, tokenizer), tokenizer).collect()
     assert {r.doc_id: r.n_edits for r in found} == {1: 1, 2: 1}
+
+
+def test_the_table_of_pieces_stays_small(tokenizer):
+    from registrylake.llm import tokens
+
+    encoder = tokens.encoder(tokenizer, 500)
+    for first in range(0, 5000, 100):
+        texts = [f"word{first + i} is w{'ab'[i % 2]}{first + i}x" for i in range(100)]
+        assert encoder.counts(texts).tolist() == [len(encoder.whole(t)) for t in texts]
+        assert len(encoder.pieces) <= 500 + 300
+    assert tokens.encoder(tokenizer) is encoder and encoder.most == tokens.CACHED_PIECES
+    assert editcount.CACHED_PIECES <= tokens.CACHED_PIECES // 4  # of three workers a task, each with a table
