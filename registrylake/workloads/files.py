@@ -517,8 +517,15 @@ def _crossing(folder: str) -> int:
     return min(SPLIT_BYTES, max(size for _, size in list_files(folder)) // 4)
 
 
+TAPE_FILES = 6  # at least
+RECORDS_PER_FILE = 2_000_000  # at most, about: 200 MB
+
+
 def _tape_folder(spark, sf_dir) -> str:
-    records = _tape_records(spark, sf_dir).repartitionByRange(6, "l_orderkey")
+    """Files of whole leases, as many as the lines need: a line makes four records at most."""
+    n_lines = table(spark, sf_dir, "lineitem").count()
+    files = max(TAPE_FILES, -(-4 * n_lines // RECORDS_PER_FILE))
+    records = _tape_records(spark, sf_dir).repartitionByRange(files, "l_orderkey")
     ordered = records.sortWithinPartitions("l_orderkey", "a", "b", "c", "d", F.substring("rec", 1, 2))
     return write_binary_files(ordered.select("rec"), "tape", ".ebc")
 

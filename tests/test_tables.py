@@ -271,3 +271,27 @@ def test_corrections(spark):
     new = spark.createDataFrame([("08", "1", "2303", "2023", "05", "01", "Y", 11), ("08", "2", "2303", "2023", "04", "30", "Y", 21), ("09", "1", "2303", "2023", "01", "01", "N", 1)], names)
     got = {(r.district, r.lease_number): r.oil for r in corrections.apply_corrections(old, new).collect()}
     assert got == {("08", "1"): 11, ("08", "2"): 20, ("09", "1"): 1}
+
+
+def _line_table(spark, folder, n_orders):
+    lines = spark.range(n_orders).selectExpr(
+        "id + 1 AS l_orderkey", "id % 50 AS l_partkey", "id % 7 AS l_suppkey", "1 AS l_linenumber", "cast(id % 9 AS double) AS l_quantity",
+        "cast(id AS double) AS l_extendedprice", "IF(id % 3 = 0, 'A', 'R') AS l_returnflag", "date_add(date'1995-01-01', cast(id % 700 AS int)) AS l_shipdate",
+    )
+    lines.write.parquet(f"{folder}/lineitem.parquet")
+
+
+def test_tape_files_grow_with_the_lines(spark, tmp_path, monkeypatch):
+    from registrylake.sources.fixed_records import list_files
+    from registrylake.workloads import files
+
+    monkeypatch.setattr(files, "RECORDS_PER_FILE", 400, raising=False)
+    sizes = {}
+    for n in (100, 3000):
+        _line_table(spark, f"{tmp_path}/{n}", n)
+        written = [size for _, size in list_files(files._tape_folder(spark, f"{tmp_path}/{n}"))]
+        sizes[n] = [size // production.RECORD_LENGTH for size in written]
+        assert sum(sizes[n]) == 3 * n + (n + 2) // 3
+    assert len(sizes[100]) == 6 and len(sizes[3000]) == 30 and max(sizes[3000]) <= 800
+    got = files.oil_tape_monthly(spark, f"{tmp_path}/3000")
+    assert got.where("cast(lease_number AS int) * 3 = oil_allowable_cycle_bbls AND rpt_cycle_key = right(concat(posting_year, posting_month), 4)").count() == 3000
