@@ -550,8 +550,10 @@ def oil_tape_monthly(spark, sf_dir):
 @query(_MONTHLY_SQL)
 def oil_tape_table_monthly(spark, sf_dir):
     """The records are in a table already: parents are carried by windows over chunks."""
-    tape = production.read_tape(spark, _tape_folder(spark, sf_dir), types=("01", "02", "03"))
-    return production.production_monthly(production.with_parents(tape, 40), RUN_TS).drop("scraped_at")
+    folder = _tape_folder(spark, sf_dir)
+    tape = production.read_tape(spark, folder, types=("01", "02", "03"))
+    ranges = max(40, sum(size for _, size in list_files(folder)) // SPLIT_BYTES)
+    return production.production_monthly(production.with_parents(tape, ranges), RUN_TS).drop("scraped_at")
 
 
 @query(

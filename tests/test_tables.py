@@ -295,3 +295,16 @@ def test_tape_files_grow_with_the_lines(spark, tmp_path, monkeypatch):
     assert len(sizes[100]) == 6 and len(sizes[3000]) == 30 and max(sizes[3000]) <= 800
     got = files.oil_tape_monthly(spark, f"{tmp_path}/3000")
     assert got.where("cast(lease_number AS int) * 3 = oil_allowable_cycle_bbls AND rpt_cycle_key = right(concat(posting_year, posting_month), 4)").count() == 3000
+
+
+def test_table_ranges_grow_with_the_tape(spark, tmp_path, monkeypatch):
+    from registrylake.workloads import files
+
+    _line_table(spark, tmp_path, 3000)
+    asked = []
+    carried = production.with_parents
+    monkeypatch.setattr(production, "with_parents", lambda tape, ranges=None: asked.append(ranges) or carried(tape, ranges))
+    assert files.oil_tape_table_monthly(spark, str(tmp_path)).count() == 3000
+    monkeypatch.setattr(files, "SPLIT_BYTES", 10_200)
+    assert files.oil_tape_table_monthly(spark, str(tmp_path)).count() == 3000
+    assert asked == [40, 100]
