@@ -20,35 +20,38 @@ def _least(pairs: DataFrame) -> DataFrame:
     return pairs.join(pairs.groupBy("u").agg(F.min("v").alias("m")), "u")
 
 
+def _pairs(rows: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    """A row (u, v) for each of ``pairs`` of columns of each row, in one pass over the rows."""
+    each = F.explode(F.array(*[F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in pairs]))
+    return rows.select(each.alias("pair")).select("pair.u", "pair.v")
+
+
 def _large_star(links: DataFrame) -> DataFrame:
-    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = _pairs(links, ("u", "v"), ("v", "u"))
     found = _least(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
     return found.where("u <> v").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     # links point from the larger to the smaller record
-    found = _least(links)
-    kept = found.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return kept.unionByName(found.select("u", F.col("m").alias("v"))).distinct()
+    return _pairs(_least(links), ("u", "m"), ("v", "m")).where("u <> v").distinct()
 
 
-def _print(links: DataFrame) -> tuple[int, int]:
-    row = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return row[0], row[1]
+def _settled(links: DataFrame) -> bool:
+    """Whether every record with a link to a smaller one has only that link, which no star join changes."""
+    ends = links.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.lit(1).alias("up")), F.struct(F.col("v").alias("id"), F.lit(0).alias("up")))).alias("end"))
+    counts = ends.groupBy("end.id").agg(F.sum("end.up").alias("up"), F.count(F.lit(1)).alias("n"))
+    return counts.where("up > 0 AND n > 1").count() == 0
 
 
 def classes(links: DataFrame, a: str, b: str) -> DataFrame:
     """(id, class_id): the smallest record of the class, for every record with a link to another."""
     small, large = F.least(a, b), F.greatest(a, b)
     links = materialise(links.where(F.col(a) != F.col(b)).select(large.alias("u"), small.alias("v")).distinct(), "links")
-    seen = _print(links)
     for _ in range(MAX_ROUNDS):
-        links = materialise(_small_star(_large_star(links)), "links")
-        now = _print(links)
-        if now == seen:
+        if _settled(links):
             break
-        seen = now
+        links = materialise(_small_star(_large_star(links)), "links")
     else:
         raise RuntimeError(f"links did not settle in {MAX_ROUNDS} rounds")
     # every link now points to the smallest record of its class

@@ -93,8 +93,8 @@ def thresholds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     for level in range(LEVELS):
         at = _boundary(rows, level)
         if level + 1 < LEVELS:
-            rows = _within(rows, at, level)
-            rows = materialise(rows, "mix-boundary") if level == 0 else rows
+            # written at each level: a level reads its rows twice, so plans over all levels would double with each
+            rows = materialise(_within(rows, at, level), "mix-boundary")
             continue
         found = at.select("source", "at", (F.col("n") < 2 * F.col("left")).alias("take"))
     high = rows.groupBy("source").agg(F.min(F.shiftright("h", 4 * DIGITS)).alias("high"))

@@ -317,7 +317,8 @@ def near_classes(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id",
     tasks = _minor_tasks(rows2.join(reps, "id"))
     more = _per_group(tasks, ["key", "x", "y"], lambda t: _across(t, clear, least - FINE_SURE))
     more = materialise(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-    links = links.unionByName(verified(more, rows, least))
+    # the classes found so far stand for their links, so they are not joined anew
+    links = comp.select(F.col("id").alias("a"), F.col("class_id").alias("b")).unionByName(verified(more, rows, least))
     # rows of one id with several texts tie these together
     several = member.groupBy("doc_id").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
     ties = member.join(several.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))

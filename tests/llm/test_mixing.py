@@ -90,3 +90,9 @@ def test_many_sources_meet_their_plan_over_salts(docs_of, monkeypatch):
     few = sorted(map(tuple, mixing.mix(docs_of(rows)).collect()), key=repr)
     monkeypatch.setattr(mixing, "FEW_SOURCES", 3)
     assert sorted(map(tuple, mixing.mix(docs_of(rows)).collect()), key=repr) == few
+
+
+def test_the_plan_of_thresholds_does_not_double_with_each_level(docs_of):
+    sizes = mixing.sizes_of(docs_of(_corpus()), "doc_id", "text", "source")
+    bounds = mixing.thresholds(sizes, mixing.source_targets(sizes, (5, 2, 1), 1.0, 3.0))
+    assert bounds._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= 4

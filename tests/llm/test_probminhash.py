@@ -4,7 +4,7 @@ import random
 import numpy as np
 
 from pyspark.sql import functions as F
-from registrylake.llm import probminhash
+from registrylake.llm import links, probminhash
 from registrylake.llm.links import classes
 
 VOCABULARY = [f"w{i}" for i in range(5000)]
@@ -141,3 +141,16 @@ def test_rows_that_share_an_id_are_texts_of_their_own(docs_of):
     rows = [(5, a), (5, b), (5, c), (7, b), (8, z), (9, near_a), (None, z), (None, a), (None, None), (None, None), (5, b), (6, ""), (6, "")]
     kept = [(r.doc_id, r.text) for r in probminhash.keep_one(docs_of(rows)).collect()]
     assert sorted(kept, key=repr) == sorted([(5, a), (5, b), (5, c), (8, z), (None, z), (None, a), (None, None), (None, None), (6, ""), (6, "")], key=repr)
+
+
+def test_settled_links_are_not_joined_again(docs_of, spark, monkeypatch):
+    rounds, star = [], links._large_star
+    monkeypatch.setattr(links, "_large_star", lambda pairs: rounds.append(1) or star(pairs))
+    stars = [(1, 5), (7, 1), (1, 1), (None, 3), (2, 6), (6, 2)]
+    found = {r["id"]: r.class_id for r in classes(spark.createDataFrame(stars, "a bigint, b bigint"), "a", "b").collect()}
+    assert found == {1: 1, 5: 1, 7: 1, 2: 2, 6: 2} and not rounds
+    # the classes of the forest are where the links across classes start from
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[:50] + [f"end{i}"])) for i in range(9, 0, -1)]
+    found = {r.doc_id: r.class_id for r in probminhash.near_classes(docs_of(rows)).collect()}
+    assert set(found.values()) == {1} and len(rounds) <= 2
