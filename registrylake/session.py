@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 LOCAL_SCRATCH = "spark.registrylake.localScratch"
 SCOPE = "spark.registrylake.scope"
 
@@ -94,6 +95,17 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         _delete(spark, f"{_own_scratch(spark)}/{scope}")
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What queries shuffle inside is deleted as each ends, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before) if before else spark.conf.unset(SHUFFLE_CLEANUP)
+
+
 def materialise(df: DataFrame, label: str = "stage", **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 

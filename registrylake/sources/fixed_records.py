@@ -8,6 +8,8 @@ For positional hierarchies (a child belongs to the latest parent before it) the
 a slice of the latest record of a given type. Inside a range that is a running maximum over the block; what
 a range starts with comes from the ranges before it, of which only the tails are read. So a file of any
 size is carried without shuffling or sorting its records.
+
+Files that end in ``.zst`` are read as what they hold (``packed``); their ranges are those of the content.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from registrylake.sources import paths
+from registrylake.sources import packed, paths
 from registrylake.sources.paths import locate, ship_with_tasks
 
 SPLIT_BYTES = 64 << 20
@@ -94,7 +96,8 @@ class FixedRecordReader(DataSourceReader):
             return
         filesystem, inner = locate(partition.path)
         name = inner.rsplit("/", 1)[-1]
-        with filesystem.open_input_file(inner) as f:
+        with filesystem.open_input_file(inner) as raw:
+            f = packed.opened(raw, inner)
             if self.tails:
                 yield self._tail(f, name, partition)
             else:
@@ -202,6 +205,7 @@ def split_size(files: Sequence[RecordFile], wanted: int) -> int:
 
 def _load(spark: SparkSession, files: Sequence[RecordFile], split_bytes: int, **options: object) -> DataFrame:
     ship_with_tasks(paths)
+    ship_with_tasks(packed)
     ship_with_tasks(sys.modules[__name__])
     spark.dataSource.register(FixedRecordSource)
     reader = spark.read.format("fixed_records").option("splitBytes", str(split_size(files, split_bytes)))
@@ -248,7 +252,15 @@ def read_with_contexts(
 
 def whole_records(path: str, record_length: int, pattern: str = "*") -> list[RecordFile]:
     """The files with their number of whole records; bytes after the last one are left out."""
-    return [RecordFile(p, 0, record_length, size // record_length) for p, size in list_files(path, pattern)]
+    return [RecordFile(p, 0, record_length, _content_size(p, size) // record_length) for p, size in list_files(path, pattern)]
+
+
+def _content_size(path: str, size: int) -> int:
+    if not path.endswith(packed.SUFFIX):
+        return size
+    filesystem, inner = locate(path)
+    with filesystem.open_input_file(inner) as f:
+        return packed.PackedInput(f, path).size
 
 
 def read_fixed_records(

@@ -17,6 +17,7 @@ from registrylake.session import materialise
 from registrylake.sources.fixed_records import (
     SPLIT_BYTES,
     Context,
+    RecordFile,
     read_record_files,
     read_with_contexts,
     whole_records,
@@ -120,9 +121,14 @@ def _type_hex(*types: str) -> list[str]:
     return [t.encode("cp037").hex() for t in types]
 
 
+def tape_files(path: str, pattern: str = "*") -> list[RecordFile]:
+    """The files of a tape with their numbers of whole records, packed (``.zst``) or not."""
+    return whole_records(path, RECORD_LENGTH, pattern)
+
+
 def read_tape(spark: SparkSession, path: str, pattern: str = "*", types: Sequence[str] = ()) -> DataFrame:
     """``source_file``, ``record_index``, ``rec``; only the given record types, if any are."""
-    return read_record_files(spark, whole_records(path, RECORD_LENGTH, pattern), keep=_type_hex(*types))
+    return read_record_files(spark, tape_files(path, pattern), keep=_type_hex(*types))
 
 
 def read_tape_with_parents(
@@ -134,7 +140,7 @@ def read_tape_with_parents(
     """
     root, cycle = _type_hex("01", "02")
     contexts = [Context("root_rec", root, 0, ROOT_BYTES), Context("cycle_rec", cycle, 0, CYCLE_BYTES)]
-    files = whole_records(path, RECORD_LENGTH, pattern)
+    files = tape_files(path, pattern)
     return read_with_contexts(spark, files, contexts, _type_hex(*types), split_bytes)
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 import struct
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,11 +18,12 @@ from registrylake.quality import checks as Q
 from registrylake.quality import runner
 from registrylake.quality.config import TableRules
 from registrylake.quality.runner import check_log, counted
-from registrylake.session import scratch_path
+from registrylake.session import scratch_path, shuffles_dropped
 from registrylake.sinks.publish import PublishBlocked, create_if_absent, open_table, publish
+from registrylake.sources import packed
 from registrylake.sources.dbase import bad_files, read_dbase
 from registrylake.sources.delimited import overlong_rows, read_delimited
-from registrylake.sources.fixed_records import SPLIT_BYTES, list_files
+from registrylake.sources.fixed_records import SPLIT_BYTES
 from registrylake.sources.landing import SIDECAR, newest_snapshot, verify_sources
 from registrylake.sources.paths import locate
 from registrylake.sources.text_lines import read_lines, read_numbered_lines
@@ -42,8 +43,9 @@ def write_text_files(lines: DataFrame, label: str, gz: bool = False) -> str:
 
 
 def write_binary_files(records: DataFrame, label: str, suffix: str, header: bytes = b"") -> str:
-    """One file per task, ``header`` first, then the task's records in order."""
+    """One file per task, ``header`` first, then the task's records in order; packed where the suffix says so."""
     folder = scratch_path(records.sparkSession, label)
+    pack = suffix.endswith(packed.SUFFIX)
 
     def write(batches):
         import pyarrow as pa
@@ -52,23 +54,27 @@ def write_binary_files(records: DataFrame, label: str, suffix: str, header: byte
         filesystem, inner = open_at(folder)
         filesystem.create_dir(inner, recursive=True)
         n = 0
-        with filesystem.open_output_stream(f"{inner}/api{TaskContext.get().partitionId():05d}{suffix}") as out:
+        with filesystem.open_output_stream(f"{inner}/api{TaskContext.get().partitionId():05d}{suffix}", compression=None) as raw:
+            out = packed_output(raw) if pack else raw
             out.write(header)
             for batch in batches:
                 out.write(b"".join(batch.column(0).to_pylist()))
                 n += batch.num_rows
+            if pack:
+                out.close()
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 
-    open_at = _by_value(locate)
+    open_at, packed_output = _by_value(locate), _by_value(packed.PackedOutput)
     records.mapInArrow(write, "n bigint").agg(F.sum("n")).collect()
     return folder
 
 
 def _by_value(fn):
-    from registrylake.sources import paths
+    import sys
+
     from registrylake.sources.paths import ship_with_tasks
 
-    ship_with_tasks(paths)
+    ship_with_tasks(sys.modules[fn.__module__])
     return fn
 
 
@@ -476,58 +482,70 @@ def county_lease_crosswalk(spark, sf_dir):
 # -- oil tape -----------------------------------------------------------------------------------------
 
 
-def _tape_records(spark, sf_dir) -> DataFrame:
-    """Orders as leases, their shipping months as cycles, their lines as production and disposition."""
+def _tape_lines(spark, sf_dir) -> DataFrame:
+    """What the tape tells of a line."""
+    columns = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
+    return table(spark, sf_dir, "lineitem").select(*columns)
+
+
+def _tape_records(lines: DataFrame) -> DataFrame:
+    """Orders as leases, their shipping months as cycles, their lines as production and disposition.
+
+    The lines come dealt by order. A task puts its lines in order and writes a root where a lease starts, a cycle where a month does.
+    """
     pad = lambda n: F.lit(bytearray(b"\x40" * n))
     txt = encode_text
     long = lambda c: long_to_packed(c.cast("bigint"))
-    lines = table(spark, sf_dir, "lineitem").withColumn("yymm", F.date_format("l_shipdate", "yyMM"))
     key = _zero("l_orderkey", 8)
     none = F.lit(0).cast("bigint")
-    root = lines.select("l_orderkey").distinct().select(
-        "l_orderkey", F.lit("").alias("a"), F.lit(0).alias("b"), none.alias("c"), none.alias("d"),
-        F.concat(txt(F.concat(F.lit("01O"), key)), *[long(F.col("l_orderkey") * k) for k in (1, -1, 2, 0)], pad(71)).alias("rec"),
-    )
-    cycle = lines.select("l_orderkey", "yymm").distinct().select(
-        "l_orderkey", F.col("yymm").alias("a"), F.lit(1).alias("b"), none.alias("c"), none.alias("d"),
-        F.concat(
-            txt(F.concat(F.lit("02"), "yymm")), *[long(none)] * 4, long(F.col("l_orderkey") * 3), long(none),
-            txt(F.lit("1998010119980102")), long(-F.col("l_orderkey")), *[long(none)] * 4, pad(25),
-        ).alias("rec"),
+    root = F.concat(txt(F.concat(F.lit("01O"), key)), *[long(F.col("l_orderkey") * k) for k in (1, -1, 2, 0)], pad(71))
+    cycle = F.concat(
+        txt(F.concat(F.lit("02"), "yymm")), *[long(none)] * 4, long(F.col("l_orderkey") * 3), long(none),
+        txt(F.lit("1998010119980102")), long(-F.col("l_orderkey")), *[long(none)] * 4, pad(25),
     )
-    made = lines.select(
-        "l_orderkey", F.col("yymm").alias("a"), F.lit(2).alias("b"), F.col("l_linenumber").cast("bigint").alias("c"),
-        F.xxhash64("l_partkey", "l_suppkey", "l_extendedprice").alias("d"),
-        F.concat(
-            txt(F.concat(F.lit("03"), F.when(F.col("l_returnflag") == "R", "Y").otherwise("N"), _gap(3))),
-            long(F.col("l_quantity")), long(F.round("l_extendedprice")), long(-F.col("l_partkey")),
-            txt(F.concat(F.lit("001"), _zero("l_linenumber", 4), F.date_format("l_shipdate", "yyyyMMdd"), F.lit("Y"))), pad(65),
-        ).alias("rec"),
+    made = F.concat(
+        txt(F.concat(F.lit("03"), F.when(F.col("l_returnflag") == "R", "Y").otherwise("N"), _gap(3))),
+        long(F.col("l_quantity")), long(F.round("l_extendedprice")), long(-F.col("l_partkey")),
+        txt(F.concat(F.lit("001"), _zero("l_linenumber", 4), F.date_format("l_shipdate", "yyyyMMdd"), F.lit("Y"))), pad(65),
     )
-    gone = lines.where("l_returnflag = 'A'").select(
-        "l_orderkey", F.col("yymm").alias("a"), F.lit(2).alias("b"), F.col("l_linenumber").cast("bigint").alias("c"),
-        F.xxhash64("l_partkey", "l_suppkey", "l_extendedprice").alias("d"),
-        F.concat(txt(F.concat(F.lit("05"), _zero("l_linenumber", 2))), long(F.col("l_suppkey")), pad(93)).alias("rec"),
+    gone = F.concat(txt(F.concat(F.lit("05"), _zero("l_linenumber", 2))), long(F.col("l_suppkey")), pad(93))
+    kinds = F.when(F.col("l_returnflag") == "A", F.array(F.lit("03"), F.lit("05"))).otherwise(F.array(F.lit("03")))
+    rows = lines.select(
+        "*", F.date_format("l_shipdate", "yyMM").alias("yymm"), F.xxhash64("l_partkey", "l_suppkey", "l_extendedprice").alias("d"),
+        F.explode(kinds).alias("kind"),
     )
-    return root.unionByName(cycle).unionByName(made).unionByName(gone)
+    above = F.lag("yymm").over(Window.partitionBy("l_orderkey").orderBy("yymm", "l_linenumber", "d", "kind"))
+    rows = rows.withColumn("above", above)
+    new_lease, new_month = F.col("above").isNull(), F.col("above").isNull() | (F.col("above") != F.col("yymm"))
+    parents = [F.struct(new.alias("there"), F.when(new, rec).alias("rec")) for new, rec in ((new_lease, root), (new_month, cycle))]
+    own = F.struct(F.lit(True).alias("there"), F.when(F.col("kind") == "03", made).otherwise(gone).alias("rec"))
+    return rows.select(F.inline(F.array(*parents, own))).where("there").select("rec")
 
 
 def _crossing(folder: str) -> int:
     """A split size that cuts every file at least a few times, so that leases cross range borders."""
-    return min(SPLIT_BYTES, max(size for _, size in list_files(folder)) // 4)
+    return min(SPLIT_BYTES, max(f.n_records for f in production.tape_files(folder)) * production.RECORD_LENGTH // 4)
 
 
 TAPE_FILES = 6  # at least
 RECORDS_PER_FILE = 2_000_000  # at most, about: 200 MB
 
 
-def _tape_folder(spark, sf_dir) -> str:
-    """Files of whole leases, as many as the lines need: a line makes four records at most."""
+def _tape_folder(spark, sf_dir, suffix: str = ".ebc") -> str:
+    """Files of whole leases, as many as the lines need: a line makes four records at most.
+
+    Only the lines are shuffled, not the records they make, and what was shuffled goes when the tape is written.
+    """
     n_lines = table(spark, sf_dir, "lineitem").count()
     files = max(TAPE_FILES, -(-4 * n_lines // RECORDS_PER_FILE))
-    records = _tape_records(spark, sf_dir).repartitionByRange(files, "l_orderkey")
-    ordered = records.sortWithinPartitions("l_orderkey", "a", "b", "c", "d", F.substring("rec", 1, 2))
-    return write_binary_files(ordered.select("rec"), "tape", ".ebc")
+    with shuffles_dropped(spark):
+        lines = _tape_lines(spark, sf_dir).repartitionByRange(files, "l_orderkey")
+        return write_binary_files(_tape_records(lines), "tape", suffix)
+
+
+def _packed_tape(spark, sf_dir) -> str:
+    """The same tape in packed files: most of a record is padding and zeros."""
+    return _tape_folder(spark, sf_dir, ".ebc" + packed.SUFFIX)
 
 
 _L8 = _Z.format("l_orderkey", 8)
@@ -542,7 +560,7 @@ _MONTHLY_SQL = f"""WITH r AS (SELECT *, strftime(l_shipdate, '%y%m') AS k FROM l
 
 @query(_MONTHLY_SQL)
 def oil_tape_monthly(spark, sf_dir):
-    folder = _tape_folder(spark, sf_dir)
+    folder = _packed_tape(spark, sf_dir)
     records = production.read_tape_with_parents(spark, folder, types=("03",), split_bytes=_crossing(folder))
     return production.production_monthly(records, RUN_TS).drop("scraped_at")
 
@@ -552,7 +570,7 @@ def oil_tape_table_monthly(spark, sf_dir):
     """The records are in a table already: parents are carried by windows over chunks."""
     folder = _tape_folder(spark, sf_dir)
     tape = production.read_tape(spark, folder, types=("01", "02", "03"))
-    ranges = max(40, sum(size for _, size in list_files(folder)) // SPLIT_BYTES)
+    ranges = max(40, sum(f.n_records for f in production.tape_files(folder)) * production.RECORD_LENGTH // SPLIT_BYTES)
     return production.production_monthly(production.with_parents(tape, ranges), RUN_TS).drop("scraped_at")
 
 
@@ -576,7 +594,7 @@ def oil_tape_by_district_year(spark, sf_dir):
     SELECT record_type, substr({_L8}, 1, 2) AS district, substr({_L8}, 3, 6) AS lease_number, COUNT(*) AS n, 80 * COUNT(*) AS hex_chars FROM t GROUP BY 1, 2, 3"""
 )
 def oil_tape_raw(spark, sf_dir):
-    folder = _tape_folder(spark, sf_dir)
+    folder = _packed_tape(spark, sf_dir)
     records = production.read_tape_with_parents(spark, folder, split_bytes=_crossing(folder))
     rows = production.production_records_raw(records, RUN_TS)
     return rows.groupBy("record_type", "district", "lease_number").agg(
@@ -588,7 +606,7 @@ def oil_tape_raw(spark, sf_dir):
     f"""SELECT lpad(CAST(l_linenumber AS VARCHAR), 2, '0') AS disposition_code, l_suppkey AS disposition_amount FROM lineitem WHERE l_returnflag = 'A'"""
 )
 def oil_tape_disposition(spark, sf_dir):
-    tape = production.read_tape(spark, _tape_folder(spark, sf_dir), types=("05",))
+    tape = production.read_tape(spark, _packed_tape(spark, sf_dir), types=("05",))
     return production.disposition_records(tape, RUN_TS).select("disposition_code", "disposition_amount")
 
 

@@ -1,6 +1,9 @@
 """Where intermediate tables go."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from registrylake import session
 
@@ -40,3 +43,23 @@ def test_stages_of_a_scope_go_with_it(spark):
     assert outside.count() == 3
     path = spark._jvm.org.apache.hadoop.fs.Path(inside)
     assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_shuffles_go_when_their_query_ends(spark):
+    import time
+
+    def shuffled():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().toList().toString()
+        return set(re.findall(r"shuffle_(\d+)_", blocks))
+
+    before = spark.conf.get(session.SHUFFLE_CLEANUP, None)
+    known = shuffled()
+    with session.shuffles_dropped(spark):
+        for _ in range(2):
+            assert spark.range(1000).repartitionByRange(7, "id").groupBy((F.col("id") % 3).alias("k")).count().count() == 3
+        session.materialise(spark.range(1000).repartition(5), "dropped")
+    until = time.time() + 20
+    while shuffled() - known and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled() - known
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) == before

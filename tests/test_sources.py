@@ -3,11 +3,13 @@
 import gzip
 import hashlib
 import json
+import random
 import struct
 
 import numpy as np
 import pandas as pd
 import pytest
+import zstandard
 
 from registrylake.sources import dbase, delimited, fixed_records, landing, text_lines
 from registrylake.workloads.files import dbase_header
@@ -243,3 +245,51 @@ def test_lines_are_read_once(spark, tmp_path):
     (tmp_path / "a.txt").write_text("x\ny\n")
     plan = text_lines.read_numbered_lines(spark, str(tmp_path))._jdf.queryExecution().toString()
     assert "FileScan text" not in plan and "FileScan parquet" in plan
+
+
+def test_packed_files_are_read_from_any_place(tmp_path):
+    import io
+
+    import pyarrow as pa
+
+    from registrylake.sources import packed
+
+    rng = random.Random(3)
+    content = bytes(rng.randrange(4) for _ in range(5003))
+    with pa.OSFile(str(tmp_path / "a.zst"), "wb") as f:
+        out = packed.PackedOutput(f, piece_bytes=100)
+        for start in range(0, len(content), 37):
+            out.write(content[start : start + 37])
+        out.close()
+    with pa.OSFile(str(tmp_path / "a.zst"), "rb") as f:
+        got = packed.opened(f, "a.zst")
+        assert got.size == len(content)
+        for at, n in [(0, 5003), (99, 2), (100, 100), (4990, 50), (5003, 1), (250, 0)]:
+            got.seek(at)
+            assert got.read(n) == content[at : at + n]
+    whole = (tmp_path / "a.zst").read_bytes()
+    assert zstandard.ZstdDecompressor().stream_reader(io.BytesIO(whole), read_across_frames=True).read() == content
+    for cut, message in [(whole[:-1], "no table of frames"), (b"", "no table of frames"), (whole[-200:], "shorter")]:
+        with pytest.raises((ValueError, OSError), match=message):
+            packed.PackedInput(pa.BufferReader(cut), "b.zst")
+
+
+def test_records_of_packed_files(spark, tmp_path):
+    import pyarrow as pa
+
+    from registrylake.sources import packed
+
+    records = [b"P%03d" % i if i % 5 == 2 else b"c%03d" % i for i in range(300)]
+    with pa.OSFile(str(tmp_path / "t.bin.zst"), "wb") as f:
+        out = packed.PackedOutput(f, piece_bytes=50)
+        out.write(b"".join(records) + b"??")
+        out.close()
+    with pa.OSFile(str(tmp_path / "empty.bin.zst"), "wb") as f:
+        packed.PackedOutput(f).close()
+    specs = fixed_records.whole_records(str(tmp_path), 4)
+    assert [s.n_records for s in specs] == [0, 300]
+    contexts = [fixed_records.Context("p", b"P".hex(), 0, 4)]
+    for split in (12, 72, 1 << 20):
+        got = fixed_records.read_with_contexts(spark, specs, contexts, [b"c".hex()], split).collect()
+        want = [(i, r, next((x for x in reversed(records[: i + 1]) if x[:1] == b"P"), None)) for i, r in enumerate(records) if r[:1] == b"c"]
+        assert sorted((g.record_index, bytes(g.rec), g.p and bytes(g.p)) for g in got) == want

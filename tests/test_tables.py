@@ -308,3 +308,46 @@ def test_table_ranges_grow_with_the_tape(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "SPLIT_BYTES", 10_200)
     assert files.oil_tape_table_monthly(spark, str(tmp_path)).count() == 3000
     assert asked == [40, 100]
+
+
+def _disk_used(folder):
+    import os
+
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(folder) for f in names if f.endswith((".ebc", ".zst")))
+
+
+@pytest.mark.parametrize("name", ["oil_tape_monthly", "oil_tape_raw", "oil_tape_disposition"])
+def test_tape_queries_keep_a_small_tape(spark, tmp_path, monkeypatch, name):
+    from registrylake.workloads import files
+
+    _line_table(spark, tmp_path, 3000)
+    written = []
+    write = files.write_binary_files
+    monkeypatch.setattr(files, "write_binary_files", lambda *args: written.append(write(*args)) or written[-1])
+    assert getattr(files, name)(spark, str(tmp_path)).count() > 0
+    assert _disk_used(written[0].removeprefix("file:")) < 102 * 10_000 / 4  # 10,000 records
+
+
+def test_tape_is_one_shuffle_of_the_lines(spark, tmp_path):
+    from registrylake.sources.fixed_records import list_files
+    from registrylake.workloads import files
+
+    day = "date'1995-0{}-03'"
+    rows = [(7, 1, 1, 1, "A", 2), (7, 1, 1, 1, "A", 2), (3, 5, 2, 2, "R", 2), (3, 4, 2, 1, "A", 1), (3, 4, 3, 1, "A", 1), (3, 5, 2, 9, "N", 1), (9, 1, 1, 1, None, 1)]
+    lines = " UNION ALL ".join(
+        f"SELECT {o}L l_orderkey, {p}L l_partkey, {s}L l_suppkey, {n} l_linenumber, 8.0D l_quantity, 100.4D l_extendedprice, "
+        f"{f'{flag!r}' if flag else 'CAST(NULL AS STRING)'} l_returnflag, {day.format(month)} l_shipdate" for o, p, s, n, flag, month in rows
+    )
+    spark.sql(lines).repartition(4, "l_suppkey").write.parquet(f"{tmp_path}/lineitem.parquet")
+    plain = [open(p.removeprefix("file:"), "rb").read() for p, _ in list_files(files._tape_folder(spark, str(tmp_path)))]
+    tape = b"".join(plain)
+    records = [tape[i : i + 102].decode("cp037") for i in range(0, len(tape), 102)]
+    assert [r[:2] + (r[2:6] if r[:2] == "02" else r[3:11] if r[:2] == "01" else "") for r in records] == [
+        "0100000003", "029501", "03", "05", "03", "05", "03", "029502", "03",
+        "0100000007", "029502", "03", "03", "05", "05", "0100000009", "029501", "03",
+    ]
+    packed = files._packed_tape(spark, str(tmp_path))
+    assert sorted(bytes(r.rec) for r in production.read_tape(spark, packed).collect()) == sorted(tape[i : i + 102] for i in range(0, len(tape), 102))
+    dealt = files._tape_records(files._tape_lines(spark, str(tmp_path)).repartitionByRange(6, "l_orderkey"))
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning(l_orderkey" in plan
