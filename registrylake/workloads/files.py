@@ -615,7 +615,7 @@ def oil_tape_disposition(spark, sf_dir):
     FROM (SELECT DISTINCT l_orderkey FROM lineitem)"""
 )
 def oil_tape_roots(spark, sf_dir):
-    tape = production.read_tape(spark, _tape_folder(spark, sf_dir))
+    tape = production.read_tape(spark, _packed_tape(spark, sf_dir))
     return production.segment_records(tape, "01").drop("record_index", "district", "lease_number")
 
 
