@@ -579,7 +579,7 @@ def oil_tape_table_monthly(spark, sf_dir):
     FROM ({_MONTHLY_SQL}) GROUP BY 1, 2"""
 )
 def oil_tape_by_district_year(spark, sf_dir):
-    records = production.read_tape_with_parents(spark, _tape_folder(spark, sf_dir), types=("03",))
+    records = production.read_tape_with_parents(spark, _packed_tape(spark, sf_dir), types=("03",))
     rows = production.production_monthly(records, RUN_TS)
     return rows.groupBy("district", "prod_year").agg(
         F.sum("oil_production_bbl").alias("oil"), F.sum("casinghead_gas_mcf").alias("gas"), F.count(F.lit(1)).alias("n_reports")
