@@ -323,3 +323,28 @@ def test_sketches_merge(spark):
     got = {r.column_name: r.n_distinct for r in profile.merged_counts(sketches).collect()}
     assert abs(got["v"] - 7000) < 200 and got["nothing"] == 0
     assert profile.merged_counts(sketches, ["part"]).count() == 10
+
+
+def test_carry_shuffles_blocks_and_sends_a_row_for_each_range(spark, monkeypatch):
+    asked = []
+    deal = carry.in_packed_ranges
+    monkeypatch.setattr(carry, "in_packed_ranges", lambda *args: asked.append(deal(*args)) or asked[-1])
+    rows = spark.range(0, 6000, 1, 7).select(
+        F.expr("IF(id % 97 = 0, NULL, concat('f', id % 40))").alias("f"), F.expr("6000 - id").alias("i"), F.expr("repeat('x', 100)").alias("rec"),
+        F.expr("IF(id % 31 = 0, id, NULL)").alias("v"), F.expr("timestamp_seconds(id)").alias("t"),
+    )
+    got = carry.carry_forward(rows, "i", {"last": F.col("v")}, ["f"], ranges=9)
+    held, want = {}, set()
+    for r in sorted(rows.collect(), key=lambda r: r.i):
+        held[r.f] = r.v if r.v is not None else held.get(r.f)
+        want.add((r.f, r.i, r.rec, r.v, r.t, held[r.f]))
+    assert set(map(tuple, got.collect())) == want and got.count() == 6000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    dealt = asked[0]
+    assert dealt.rdd.getNumPartitions() == 9
+    sizes = dealt.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(sizes) == 9 and max(r["count"] for r in sizes) < 1300
+    assert "_block" in dealt._jdf.queryExecution().executedPlan().toString()
+    floats = rows.withColumn("i", F.col("i").cast("double"))
+    assert set(map(tuple, carry.carry_forward(floats, "i", {"last": F.col("v")}, ["f"], 9).collect())) == want

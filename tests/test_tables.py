@@ -316,7 +316,7 @@ def _disk_used(folder):
     return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(folder) for f in names if f.endswith((".ebc", ".zst")))
 
 
-@pytest.mark.parametrize("name", ["oil_tape_monthly", "oil_tape_roots", "oil_tape_by_district_year", "oil_tape_raw", "oil_tape_disposition"])
+@pytest.mark.parametrize("name", ["oil_tape_monthly", "oil_tape_roots", "oil_tape_table_monthly", "oil_tape_by_district_year", "oil_tape_raw", "oil_tape_disposition"])
 def test_tape_queries_keep_a_small_tape(spark, tmp_path, monkeypatch, name):
     from registrylake.workloads import files
 
